@@ -3,11 +3,23 @@ load prediction."""
 
 from __future__ import annotations
 
+import heapq
+import sys
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pyspark import cloudpickle
 
 from ..config import SLIDE_SECONDS, Options, retention_seconds
 
+# The grouped-map function below is shipped by value, so executors need not
+# have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Relative accuracy of the approximate median (``median_exact=False``).
 APPROX_ACCURACY = 10000
 
@@ -46,6 +58,60 @@ def with_median(df: DataFrame, part: list[str], minutes: int, options: Options,
     return df.withColumn("median_load", m)
 
 
+def running_median(values: np.ndarray, include_current: bool) -> np.ndarray:
+    """Median of all earlier values (optionally including the current one)
+    for each position, with two heaps: O(n log n). Even counts interpolate
+    as ``0.5*lo + 0.5*hi``; no earlier value gives 0.0."""
+    lo: list[float] = []   # max-heap (negated) holding the lower half (+1)
+    hi: list[float] = []   # min-heap holding the upper half
+    out = np.empty(len(values), dtype="float64")
+
+    def push(v: float) -> None:
+        if not lo or v <= -lo[0]:
+            heapq.heappush(lo, -v)
+        else:
+            heapq.heappush(hi, v)
+        if len(lo) > len(hi) + 1:
+            heapq.heappush(hi, -heapq.heappop(lo))
+        elif len(hi) > len(lo):
+            heapq.heappush(lo, -heapq.heappop(hi))
+
+    for i, v in enumerate(values.tolist()):
+        if include_current:
+            push(v)
+        n = len(lo) + len(hi)
+        if n == 0:
+            out[i] = 0.0
+        elif n % 2:
+            out[i] = -lo[0]
+        else:
+            out[i] = 0.5 * -lo[0] + 0.5 * hi[0]
+        if not include_current:
+            push(v)
+    return out
+
+
+def with_median_all_history(df: DataFrame, key_cols: list[str], options: Options,
+                            order: str = "pos") -> DataFrame:
+    """``median_load`` over the whole earlier history of each key (no
+    retention). Spark's growing window frame re-sorts the history for every
+    row (O(n^2) per key); this runs a two-heap running median per key in an
+    Arrow-batched grouped-map task instead, O(n log n). A group is one key's
+    averages of one window length -- one row per 30 s of history, however
+    many readings fed it."""
+    schema = T.StructType(df.schema.fields + [T.StructField("median_load", T.DoubleType())])
+    include = options.include_current
+    scale = float(options.median_scale)
+
+    def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        m = running_median(pdf["avg"].to_numpy(dtype="float64"), include)
+        pdf["median_load"] = m / scale if scale != 1.0 else m
+        return pdf
+
+    return df.groupBy(*key_cols).applyInPandas(per_key, schema)
+
+
 def predict(df: DataFrame, entity_name: str, minutes: int) -> DataFrame:
     """``predicted_value = (avg + median_load) / 2`` tagged with the entity
     name and the window length in milliseconds."""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_OPTIONS, FULL_KEY, LEVEL_MINUTES, Entity, Options
-from ..operators.median import history_frame, predict, with_median
+from ..operators.median import history_frame, predict, with_median, with_median_all_history
 from ..operators.presum import panes, presum, restrict, to_units
 from ..operators.windows import CHUNK, averages, cascade, home, lookback, panes_per_window
 
@@ -57,9 +57,11 @@ def level_frames(readings: DataFrame, entity: Entity, levels: tuple[int, ...],
             df = home(df, options.chunk_panes)
         else:
             df = home(df, options.chunk_panes)
-            if medians:
+            if medians and options.median_mode == "history" and options.median_exact:
+                df = with_median_all_history(df.drop(CHUNK), list(entity.key_cols), options)
+            elif medians:
                 df = with_median(df, list(entity.key_cols), m, options)
-        out[m] = df.drop(CHUNK, "pos")
+        out[m] = df.drop(CHUNK, "pos") if CHUNK in df.columns else df.drop("pos")
     return out
 
 

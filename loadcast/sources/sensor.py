@@ -4,7 +4,7 @@ event-time rebase of the feed job."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,20 @@ def with_event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("event_time", F.timestamp_seconds("timestamp"))
 
 
+def _all_present(s: Column) -> Column:
+    cond = F.lit(True)
+    for c in SENSOR_COLUMNS:
+        cond = cond & s[c].isNotNull()
+    return cond
+
+
+def complete_struct(parsed: Column) -> Column:
+    """Rows of a parsed-reading struct column that have all seven fields, as a
+    generator: the parser runs once per line (a plain filter on the struct's
+    fields would be pushed below the projection and re-parse per field)."""
+    return F.explode(F.filter(F.array(parsed), _all_present)).alias("r")
+
+
 def complete(df: DataFrame) -> DataFrame:
     """Keep a reading iff all seven fields parsed (a bad number or a short line
     leaves a NULL; extra tokens are ignored)."""
@@ -68,7 +82,7 @@ def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     reader), e.g. Kafka values or text-file lines; dropped lines are those
     with a NULL field."""
     parsed = F.from_csv(F.col(col), SENSOR_DDL, _csv_options("PERMISSIVE"))
-    return complete(lines.select(parsed.alias("r")).select("r.*"))
+    return lines.select(complete_struct(parsed)).select("r.*")
 
 
 def read_text(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
@@ -85,7 +99,7 @@ def read_parquet(spark: SparkSession, path: str, streaming: bool = False) -> Dat
 def decode_kafka(records: DataFrame) -> DataFrame:
     """Kafka ``value`` (JSON document of a reading) -> readings."""
     v = F.col("value").cast("string")
-    return complete(records.select(F.from_json(v, SENSOR).alias("r")).select("r.*"))
+    return records.select(complete_struct(F.from_json(v, SENSOR))).select("r.*")
 
 
 def read_kafka(spark: SparkSession, topic: str = DEFAULT_TOPIC,
@@ -133,10 +147,10 @@ ADAPTER_LOAD_TYPES = ("click", "view")
 
 def from_events(events: DataFrame) -> DataFrame:
     uid = F.col("user_id")
-    secs = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))")
+    secs = "timestampdiff(SECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))"
     return events.select(
         F.col("event_id").alias("id"),
-        (F.lit(ADAPTER_EPOCH) + F.floor(secs / ADAPTER_SQUEEZE)).alias("timestamp"),
+        F.expr(f"{ADAPTER_EPOCH} + {secs} div {ADAPTER_SQUEEZE}").alias("timestamp"),
         F.col("value").cast("double").alias("value"),
         F.when(F.col("event_type").isin(*ADAPTER_LOAD_TYPES), 1).otherwise(0).cast("int").alias("property"),
         (F.expr("user_id div 20") % 5).alias("plug_id"),
