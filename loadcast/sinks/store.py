@@ -35,9 +35,10 @@ def write_averages(averages: DataFrame, path: str, mode: str = "append",
 def write_batch_averages(averages: DataFrame, path: str, batch_id: int) -> None:
     """Idempotent micro-batch write: a replayed batch overwrites its own
     ``batch_id`` directory instead of appending duplicates."""
+    parts = [c for c in STORE_PARTITIONS if c in averages.columns]
     (averages.withColumn("batch_id", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*STORE_PARTITIONS, "batch_id").parquet(path))
+     .partitionBy(*parts, "batch_id").parquet(path))
 
 
 def read_averages(spark: SparkSession, path: str, entity: str | None = None,
