@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 import tempfile
 import uuid
 
@@ -65,3 +66,19 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below :func:`shared_dir`."""
     return os.path.join(shared_dir(spark), "loadcast", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@contextmanager
+def conf_override(spark: SparkSession, settings: dict):
+    """Temporarily set runtime SQL settings, restoring the previous values."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
