@@ -35,6 +35,25 @@ def _median(col: Column, exact: bool) -> Column:
     return F.percentile(col, F.lit(0.5)) if exact else F.percentile_approx(col, 0.5, APPROX_ACCURACY)
 
 
+def median_over(avg: Column, part: list[str], minutes: int, options: Options,
+                order: str = "pos") -> Column:
+    """``median_load`` as a window expression over earlier averages of the
+    same key: the bounded retention frame (or, with ``retention=False``,
+    the whole earlier history -- see :func:`with_median_all_history` for
+    the scalable form). An empty history gives 0.0."""
+    if options.median_mode == "zero":
+        return F.lit(0.0)
+    if options.median_mode != "history":
+        raise ValueError(f"unknown median mode {options.median_mode!r}")
+    lo, hi = history_frame(minutes, options.include_current)
+    w = Window.partitionBy(*part).orderBy(order)
+    w = w.rangeBetween(-lo, hi) if options.retention else w.rangeBetween(Window.unboundedPreceding, hi)
+    m = F.coalesce(_median(avg, options.median_exact).over(w), F.lit(0.0))
+    if options.median_scale != 1.0:
+        m = m / F.lit(float(options.median_scale))
+    return m
+
+
 def with_median(df: DataFrame, part: list[str], minutes: int, options: Options,
                 order: str = "pos") -> DataFrame:
     """Add ``median_load`` to level rows that carry an ``avg`` column.
@@ -43,19 +62,9 @@ def with_median(df: DataFrame, part: list[str], minutes: int, options: Options,
     ``2 * minutes + 1`` earlier averages -- and is evaluated inside the
     ``(key, chunk)`` partitions of the cascade (their halo covers it).
     Without retention the whole history of the key is the frame, which
-    needs ``part`` = the key alone. An empty history gives 0.0.
+    needs ``part`` = the key alone.
     """
-    if options.median_mode == "zero":
-        return df.withColumn("median_load", F.lit(0.0))
-    if options.median_mode != "history":
-        raise ValueError(f"unknown median mode {options.median_mode!r}")
-    lo, hi = history_frame(minutes, options.include_current)
-    w = Window.partitionBy(*part).orderBy(order)
-    w = w.rangeBetween(-lo, hi) if options.retention else w.rangeBetween(Window.unboundedPreceding, hi)
-    m = F.coalesce(_median(F.col("avg"), options.median_exact).over(w), F.lit(0.0))
-    if options.median_scale != 1.0:
-        m = m / F.lit(float(options.median_scale))
-    return df.withColumn("median_load", m)
+    return df.withColumn("median_load", median_over(F.col("avg"), part, minutes, options, order))
 
 
 def running_median(values: np.ndarray, include_current: bool) -> np.ndarray:

@@ -23,7 +23,7 @@ partitioning and only re-sorts locally.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SLIDE_SECONDS
@@ -60,21 +60,23 @@ def _with_next(df: DataFrame, part: list[str]) -> DataFrame:
     return df.withColumn("nxt", F.lead("pos").over(w))
 
 
-def slide(df: DataFrame, part: list[str], n: int, chunk: int) -> DataFrame:
+def slide(df: DataFrame, part: list[str], n: int, chunk: int,
+          carry: tuple[str, ...] = ()) -> DataFrame:
     """One sliding level of ``n`` panes over rows ``(part, pos, s, c, t, nxt)``.
 
     Returns rows of the same shape, one per window end (ends beyond the
-    chunk are left to the next chunk)."""
+    chunk are left to the next chunk). ``carry`` columns are passed through
+    on the end that equals the input row's own position (NULL on added
+    ends): every end of a level is also an end of the next level, so the
+    earlier levels' values ride along a single chain."""
     last_in_chunk = (F.col(CHUNK) + 1) * chunk - 1
     stop = F.least(F.coalesce(F.col("nxt") - 1, F.col("pos") + (n - 1)),
                    F.col("pos") + (n - 1), last_in_chunk)
-    spine = df.select(*part, "pos", "s", "c", "t",
+    spine = df.select(*part, "pos", "s", "c", "t", *carry,
                       F.explode(F.sequence(F.col("pos"), stop)).alias("e"))
     here = F.col("e") == F.col("pos")
     spine = spine.select(*part, F.col("e").alias("pos"),
-                         F.when(here, F.col("s")).alias("s"),
-                         F.when(here, F.col("c")).alias("c"),
-                         F.when(here, F.col("t")).alias("t"))
+                         *[F.when(here, F.col(x)).alias(x) for x in ("s", "c", "t", *carry)])
     w = Window.partitionBy(*part).orderBy("pos")
     upto = w.rangeBetween(Window.unboundedPreceding, 0)
     before = w.rangeBetween(Window.unboundedPreceding, -n)
@@ -84,7 +86,8 @@ def slide(df: DataFrame, part: list[str], n: int, chunk: int) -> DataFrame:
         (F.sum("s").over(upto) - F.coalesce(F.sum("s").over(before), zero)).alias("s"),
         (F.sum("c").over(upto) - F.coalesce(F.sum("c").over(before), zero)).alias("c"),
         F.max("t").over(upto).alias("t"),
-        F.lead("pos").over(w).alias("nxt"))
+        F.lead("pos").over(w).alias("nxt"),
+        *carry)
 
 
 def cascade(pane_rows: DataFrame, key_cols: tuple[str, ...], level_panes: list[int],
@@ -103,6 +106,39 @@ def cascade(pane_rows: DataFrame, key_cols: tuple[str, ...], level_panes: list[i
     return out
 
 
+def cascade_wide(pane_rows: DataFrame, key_cols: tuple[str, ...], level_panes: list[int],
+                 chunk: int, halo: int | None = None) -> DataFrame:
+    """The whole chain in one pass: one row per end of the last level,
+    carrying ``s{i}, c{i}, t{i}`` of every level ``i`` (NULL where level
+    ``i`` has no window ending there). Callers add medians, then
+    :func:`home`."""
+    halo = lookback(level_panes)[-1] if halo is None else halo
+    part = list(key_cols) + [CHUNK]
+    df = _with_next(spread(pane_rows, chunk, halo), part)
+    carry: tuple[str, ...] = ()
+    last = len(level_panes) - 1
+    for i, n in enumerate(level_panes):
+        df = slide(df, part, n, chunk, carry)
+        if i < last:
+            df = (df.withColumn(f"s{i}", F.col("s")).withColumn(f"c{i}", F.col("c"))
+                  .withColumn(f"t{i}", F.col("t")))
+            carry = carry + (f"s{i}", f"c{i}", f"t{i}")
+    return (df.withColumnRenamed("s", f"s{last}").withColumnRenamed("c", f"c{last}")
+            .withColumnRenamed("t", f"t{last}"))
+
+
+def level_struct(i: int, n: int, scale: int, extra: dict | None = None) -> Column:
+    """Averages of level ``i`` of a wide row as a struct (NULL fields where
+    the level has no window ending at this row)."""
+    total = from_units(F.col(f"s{i}"), scale)
+    fields = [((F.col("pos") - (n - 1)) * SLIDE_SECONDS).alias("window_start"),
+              ((F.col("pos") + 1) * SLIDE_SECONDS).alias("window_end"),
+              total.alias("sum"), F.col(f"c{i}").alias("count"),
+              F.col(f"t{i}").alias("event_timestamp"), (total / F.col(f"c{i}")).alias("avg")]
+    fields += [v.alias(k) for k, v in (extra or {}).items()]
+    return F.struct(*fields)
+
+
 def home(df: DataFrame, chunk: int) -> DataFrame:
     """Keep each window end only in the chunk that owns it."""
     return df.where(floordiv("pos", chunk) == F.col(CHUNK))

@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_OPTIONS, FULL_KEY, LEVEL_MINUTES, Entity, Options
-from ..operators.median import history_frame, predict, with_median, with_median_all_history
-from ..operators.presum import panes, presum, restrict, to_units
-from ..operators.windows import CHUNK, averages, cascade, home, lookback, panes_per_window
+from ..operators.median import (history_frame, median_over, predict, with_median,
+                                with_median_all_history)
+from ..operators.presum import from_units, panes, presum, restrict, to_units
+from ..operators.windows import (CHUNK, averages, cascade, cascade_wide, home, level_struct, lookback,
+                                 panes_per_window)
 
 
 def _chain_for(levels: tuple[int, ...]) -> list[int]:
@@ -30,6 +32,53 @@ def entity_panes(readings: DataFrame, entity: Entity, options: Options) -> DataF
     return panes(presum(readings, entity, options), entity.key_cols)
 
 
+def _halo(chain: list[int], levels: tuple[int, ...], options: Options, medians: bool) -> int:
+    look = lookback([panes_per_window(m) for m in chain])
+    halo = look[-1]
+    if medians and options.retention and options.median_mode == "history":
+        halo = max([halo] + [look[i] + history_frame(m, options.include_current)[0]
+                             for i, m in enumerate(chain) if m in levels])
+    return halo
+
+
+def all_levels(readings: DataFrame, entity: Entity, levels: tuple[int, ...] = LEVEL_MINUTES,
+               options: Options = DEFAULT_OPTIONS, medians: bool = False,
+               pane_rows: DataFrame | None = None) -> DataFrame:
+    """Averages (and ``median_load``) of several levels in long format with
+    ``window_minutes``, from ONE pass of the cascade: one exchange, every
+    level's windows computed once, all medians in the same partitions, one
+    ``explode`` to long format (no union of per-level branches)."""
+    chain = _chain_for(levels)
+    n = [panes_per_window(m) for m in chain]
+    if pane_rows is None:
+        pane_rows = entity_panes(readings, entity, options)
+    chunk = options.chunk_panes
+    wide = cascade_wide(pane_rows, entity.key_cols, n, chunk, _halo(chain, levels, options, medians))
+    part = list(entity.key_cols) + [CHUNK]
+    per_level = []
+    for i, m in enumerate(chain):
+        if m not in levels:
+            continue
+        extra = {}
+        if medians and options.retention:
+            avg = from_units(F.col(f"s{i}"), options.value_scale) / F.col(f"c{i}")
+            extra["median_load"] = median_over(avg, part, m, options)
+        per_level.append(F.struct(F.lit(m).alias("window_minutes"),
+                                  level_struct(i, n[i], options.value_scale, extra).alias("v")))
+    keys = list(entity.key_cols)
+    long = (home(wide.select(*part, "pos", F.array(*per_level).alias("levels")), chunk)
+            .select(*keys, F.explode("levels").alias("x"))
+            .where(F.col("x.v.count").isNotNull())
+            .select(*keys, "x.window_minutes", "x.v.*"))
+    if medians and not options.retention:
+        if options.median_mode == "history" and options.median_exact:
+            long = with_median_all_history(long, keys + ["window_minutes"], options, order="window_end")
+        else:
+            long = long.withColumn("median_load", median_over(
+                F.col("avg"), keys + ["window_minutes"], 0, options, order="window_end"))
+    return long
+
+
 def level_frames(readings: DataFrame, entity: Entity, levels: tuple[int, ...],
                  options: Options = DEFAULT_OPTIONS, medians: bool = False,
                  pane_rows: DataFrame | None = None) -> dict[int, DataFrame]:
@@ -37,12 +86,7 @@ def level_frames(readings: DataFrame, entity: Entity, levels: tuple[int, ...],
     level, as ``{minutes: DataFrame}``. All levels share one plan prefix."""
     chain = _chain_for(levels)
     n = [panes_per_window(m) for m in chain]
-    look = lookback(n)
-    halo = look[-1]
-    if medians and options.retention and options.median_mode == "history":
-        halo = max(look[i] + history_frame(m, options.include_current)[0]
-                   for i, m in enumerate(chain) if m in levels)
-        halo = max(halo, look[-1])
+    halo = _halo(chain, levels, options, medians)
     if pane_rows is None:
         pane_rows = entity_panes(readings, entity, options)
     frames = cascade(pane_rows, entity.key_cols, n, options.chunk_panes, halo=halo)
@@ -77,15 +121,12 @@ def enriched(readings: DataFrame, entity: Entity, minutes: int,
 
 def predictions(readings: DataFrame, entity: Entity, levels: tuple[int, ...] = LEVEL_MINUTES,
                 options: Options = DEFAULT_OPTIONS) -> DataFrame:
-    """Predictions of all requested levels, one union (the levels share the
-    pane exchange through exchange reuse)."""
-    frames = level_frames(readings, entity, levels, options, medians=True)
-    parts = [with_full_key(predict(df, entity.name, m), entity).withColumn("window_minutes", F.lit(m))
-             for m, df in sorted(frames.items())]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Predictions of all requested levels (one cascade pass)."""
+    df = all_levels(readings, entity, levels, options, medians=True)
+    df = (df.withColumn("entity", F.lit(entity.name))
+          .withColumn("sliding_window_ms", (F.col("window_minutes") * 60000).cast("long"))
+          .withColumn("predicted_value", (F.col("avg") + F.col("median_load")) / F.lit(2.0)))
+    return with_full_key(df, entity)
 
 
 def with_full_key(df: DataFrame, entity: Entity) -> DataFrame:
@@ -99,18 +140,11 @@ def with_full_key(df: DataFrame, entity: Entity) -> DataFrame:
 def averages_table(readings: DataFrame, entity: Entity, levels: tuple[int, ...] = LEVEL_MINUTES,
                    options: Options = DEFAULT_OPTIONS) -> DataFrame:
     """Rows of the averages store: ``entity, window_minutes`` + full key +
-    window bounds + sum/count/event_timestamp/avg."""
-    frames = level_frames(readings, entity, levels, options)
+    window bounds + sum/count/event_timestamp/avg (one cascade pass)."""
     cols = ["entity", "window_minutes", *FULL_KEY, "window_start", "window_end",
             "sum", "count", "event_timestamp", "avg"]
-    parts = [with_full_key(df, entity)
-             .withColumn("entity", F.lit(entity.name))
-             .withColumn("window_minutes", F.lit(m))
-             .select(*cols) for m, df in sorted(frames.items())]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    df = all_levels(readings, entity, levels, options).withColumn("entity", F.lit(entity.name))
+    return with_full_key(df, entity).select(*cols)
 
 
 def direct_averages(readings: DataFrame, key_cols: tuple[str, ...], minutes: int,

@@ -25,7 +25,7 @@ from ..sinks.store import kafka_records, read_averages, write_averages
 from ..sources.sensor import (SENSOR_COLUMNS, decode_kafka, parse_lines, read_text,
                               rebase_event_time, sensor_from_testdata)
 from . import oracle as O
-from .pipeline import (averages_table, direct_averages, level_averages, level_frames,
+from .pipeline import (all_levels, averages_table, direct_averages, level_averages, level_frames,
                        predictions, with_full_key)
 
 Q = Callable[[SparkSession, str], DataFrame]
@@ -147,17 +147,10 @@ register("median_history_1min_house_scaled", O.level_sql(HOUSE_KEY, 1, median={"
     _enriched_q(HOUSE, 1, Options(median_scale=1000.0)))
 
 _ALL = (1, 5, 15, 60, 120)
-register("enrich_house", O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, median={}))(
-    lambda spark, sf: _enrich(spark, sf))
-
-
+@register("enrich_house", O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, median={}))
 def _enrich(spark, sf):
-    frames = level_frames(readings(spark, sf), HOUSE, _ALL, Options(), medians=True)
-    out = None
-    for m, df in sorted(frames.items()):
-        df = with_full_key(df, HOUSE).withColumn("entity", F.lit(HOUSE_NAME)).withColumn("window_minutes", F.lit(m))
-        out = df if out is None else out.unionByName(df)
-    return out
+    df = all_levels(readings(spark, sf), HOUSE, _ALL, Options(), medians=True)
+    return with_full_key(df, HOUSE).withColumn("entity", F.lit(HOUSE_NAME))
 
 
 register("predict_house", O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, median={}, predict=True))(
