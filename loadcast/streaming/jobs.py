@@ -42,13 +42,17 @@ def watermarked(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
 
 
 def stream_presum(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
-    """Per-second pre-sum on a watermarked stream (``final`` or ``none``).
-    The rolling variant emits running totals: see :mod:`.rolling`."""
+    """Per-second pre-sum on a watermarked stream: ``final`` (a watermarked
+    aggregate on (key, event_time)), ``none``, or ``rolling`` (running totals,
+    a stateful processor: see :mod:`.rolling`)."""
+    if options.presum == "rolling":
+        from .rolling import rolling_presum
+        return rolling_presum(readings, entity, options)
     df = restrict(readings, options).withColumn("u", to_units(F.col("value"), options.value_scale))
     if options.presum == "none":
         return df
     if options.presum != "final":
-        raise ValueError("streaming pre-sum supports 'final' and 'none'; use rolling.rolling_presum")
+        raise ValueError(f"unknown presum mode {options.presum!r}")
     by = list(entity.presum_cols)
     kept = [c for c in entity.key_cols if c not in by]
     return (df.groupBy(*by, "event_time")
