@@ -57,17 +57,51 @@ def presum(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
         return agg.select(*[c if c != "value" else from_units(F.col("u"), scale).alias("value")
                             for c in SENSOR_COLUMNS], "u")
     if options.presum == "rolling":
-        w = (Window.partitionBy(*by).orderBy("id")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out = df.select(
-            "id", *by,
-            F.sum("u").over(w).alias("u"),
-            *[F.first(c).over(w).alias(c) for c in kept])
+        out = running_total(df, by, "id", "u", kept)
         return out.select(*[c if c != "value" else from_units(F.col("u"), scale).alias("value")
                             for c in SENSOR_COLUMNS], "u")
     raise ValueError(f"unknown presum mode {options.presum!r}")
 
 
+# Rows per id bucket of the two-level running total (bounds one window task).
+RUNNING_BUCKET = 1 << 16
+
+
+def running_total(df: DataFrame, group: list[str], order: str, value: str,
+                  first_of: list[str] = (), bucket: int = RUNNING_BUCKET) -> DataFrame:
+    """Running ``sum(value)`` per ``group`` in ``order`` (unique), plus the
+    group's first row's ``first_of`` fields, without ever putting a whole
+    group into one task:
+
+    1. split each group into buckets of ``bucket`` consecutive order values;
+       a window per (group, bucket) gives the running sum inside the bucket;
+    2. per (group, bucket): bucket total and first row (a map-side combined
+       aggregate); a window over the buckets of a group (``1/bucket`` of the
+       rows) turns totals into offsets and finds the group's first row;
+    3. equi-join back on (group, bucket) -- fine-grained keys -- and add.
+    """
+    b = floordiv(order, bucket)
+    df = df.withColumn("_b", b)
+    w_in = (Window.partitionBy(*group, "_b").orderBy(order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    df = df.withColumn("_run", F.sum(value).over(w_in))
+    firsts = [F.min_by(F.col(c), F.col(order)).alias(f"_f_{c}") for c in first_of]
+    per_bucket = df.groupBy(*group, "_b").agg(F.sum(value).alias("_tot"),
+                                              F.min(order).alias("_first_id"), *firsts)
+    w_b = Window.partitionBy(*group).orderBy("_b")
+    before = w_b.rowsBetween(Window.unboundedPreceding, -1)
+    whole = w_b.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = per_bucket.select(
+        *group, "_b",
+        F.coalesce(F.sum("_tot").over(before), F.lit(0).cast("long")).alias("_off"),
+        *[F.first(f"_f_{c}").over(whole).alias(f"_g_{c}") for c in first_of])
+    out = df.drop(*first_of).join(offsets, [*group, "_b"])
+    out = out.withColumn(value, F.col("_run") + F.col("_off"))
+    for c in first_of:
+        out = out.withColumnRenamed(f"_g_{c}", c)
+    return out.drop("_b", "_run", "_off")
+
+
 def panes(presummed: DataFrame, key_cols: tuple[str, ...]) -> DataFrame:
     """One row per (key, 30-s pane): unit sum ``s``, row count ``c``, latest
     timestamp ``t``; ``pos`` is the pane index (epoch seconds div 30)."""

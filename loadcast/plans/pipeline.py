@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_OPTIONS, FULL_KEY, LEVEL_MINUTES, Entity, Options
-from ..operators.median import (history_frame, median_over, predict, with_median,
+from ..operators.median import (add_medians, history_frame, predict, with_median,
                                 with_median_all_history)
 from ..operators.presum import from_units, panes, presum, restrict, to_units
 from ..operators.windows import (CHUNK, averages, cascade, cascade_wide, home, level_struct, lookback,
@@ -55,16 +55,15 @@ def all_levels(readings: DataFrame, entity: Entity, levels: tuple[int, ...] = LE
     chunk = options.chunk_panes
     wide = cascade_wide(pane_rows, entity.key_cols, n, chunk, _halo(chain, levels, options, medians))
     part = list(entity.key_cols) + [CHUNK]
-    per_level = []
-    for i, m in enumerate(chain):
-        if m not in levels:
-            continue
-        extra = {}
-        if medians and options.retention:
-            avg = from_units(F.col(f"s{i}"), options.value_scale) / F.col(f"c{i}")
-            extra["median_load"] = median_over(avg, part, m, options)
-        per_level.append(F.struct(F.lit(m).alias("window_minutes"),
-                                  level_struct(i, n[i], options.value_scale, extra).alias("v")))
+    idx = {m: i for i, m in enumerate(chain) if m in levels}
+    with_med = medians and options.retention
+    if with_med:
+        wide = add_medians(wide, {f"med{i}": (from_units(F.col(f"s{i}"), options.value_scale) / F.col(f"c{i}"), m)
+                                  for m, i in idx.items()}, part, options)
+    per_level = [F.struct(F.lit(m).alias("window_minutes"),
+                          level_struct(i, n[i], options.value_scale,
+                                       {"median_load": F.col(f"med{i}")} if with_med else None).alias("v"))
+                 for m, i in idx.items()]
     keys = list(entity.key_cols)
     long = (home(wide.select(*part, "pos", F.array(*per_level).alias("levels")), chunk)
             .select(*keys, F.explode("levels").alias("x"))
@@ -74,8 +73,8 @@ def all_levels(readings: DataFrame, entity: Entity, levels: tuple[int, ...] = LE
         if options.median_mode == "history" and options.median_exact:
             long = with_median_all_history(long, keys + ["window_minutes"], options, order="window_end")
         else:
-            long = long.withColumn("median_load", median_over(
-                F.col("avg"), keys + ["window_minutes"], 0, options, order="window_end"))
+            long = add_medians(long, {"median_load": (F.col("avg"), 0)}, keys + ["window_minutes"],
+                               options, order="window_end")
     return long
 
 

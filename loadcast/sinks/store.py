@@ -24,11 +24,13 @@ def write_averages(averages: DataFrame, path: str, mode: str = "append",
                    sort_by_value: bool = False) -> None:
     """Averages table: Parquet partitioned by ``(entity, window_minutes)`` so
     a lookup of one entity and window length prunes to one directory.
-    ``sort_by_value`` orders the rows of each file by ``avg`` (min/max
-    statistics then make value-range scans selective)."""
+    ``sort_by_value`` range-partitions by ``(entity, window_minutes, avg)``
+    and sorts each task's rows: files of one directory then hold disjoint,
+    ordered ``avg`` ranges (selective min/max statistics), and one window
+    length is spread over many tasks instead of one."""
     df = averages
     if sort_by_value:
-        df = df.repartition(*STORE_PARTITIONS).sortWithinPartitions(*STORE_PARTITIONS, "avg")
+        df = df.repartitionByRange(*STORE_PARTITIONS, "avg").sortWithinPartitions(*STORE_PARTITIONS, "avg")
     df.write.mode(mode).partitionBy(*STORE_PARTITIONS).parquet(path)
 
 
