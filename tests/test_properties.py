@@ -76,3 +76,28 @@ def brute_median(vals, i, include):
 def test_running_median_matches_brute_force(vals, include):
     got = running_median(np.array(vals, dtype="float64"), include)
     assert list(got) == [brute_median(vals, i, include) for i in range(len(vals))]
+
+
+@pytest.mark.parametrize("bucket", [1, 3, 1 << 16])
+def test_running_total_buckets(spark, readings, bucket):
+    """Two-level running total (id buckets) = one window per group."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from loadcast.operators.presum import running_total
+    df = readings.withColumn("u", F.round(F.col("value") * 1000).cast("long"))
+    group = ["house_id", "plug_id"]       # coarse groups: many rows, many buckets
+    w = Window.partitionBy(*group).orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("id", F.sum("u").over(w).alias("u"), F.first("property").over(w).alias("property"))
+    got = running_total(df, group, "id", "u", ["property"], bucket=bucket).select("id", "u", "property")
+    assert as_set(got) == as_set(exp)
+
+
+def test_custom_entity(readings):
+    """Users add entities without code: a household-level cascade."""
+    from loadcast.config import Entity
+    household = Entity("Household", ("house_id", "household_id"), ("house_id", "household_id"), "hh_avg")
+    out = level_averages(readings, household, 5)
+    n_presum = presum(readings, household, Options()).count()
+    assert out.agg({"count": "sum"}).first()[0] == 20 * n_presum
+    assert set(out.columns) >= {"house_id", "household_id", "avg"}
