@@ -379,3 +379,61 @@ def _raw_json(spark, sf):
 def _prediction_json(spark, sf):
     p = predictions(readings(spark, sf), HOUSE, (1, 5))
     return parse_prediction(p.select(prediction_json(PREDICTION_NOW_MS).alias("value")))
+
+
+# ----------------------------------------------------------------- streaming = batch
+FLUSH_HOUSE = 99          # a far-future reading that closes every window; removed from results
+FLUSH_AFTER_S = 10 * 86400
+
+
+def stream_input(spark: SparkSession, sf: str) -> str:
+    """All readings plus one flush reading as CSV files under the shared
+    directory (one micro-batch: nothing can be late)."""
+    from ..functions.text import sensor_line
+    r = readings(spark, sf)
+    flush = r.agg((F.max("timestamp") + FLUSH_AFTER_S).alias("timestamp")).select(
+        F.lit(0).cast("long").alias("id"), "timestamp", F.lit(1.0).alias("value"),
+        F.lit(1).alias("property"), F.lit(0).cast("long").alias("plug_id"),
+        F.lit(0).cast("long").alias("household_id"), F.lit(FLUSH_HOUSE).cast("long").alias("house_id"))
+    path = scratch_path(spark, "stream-in")
+    r.select(*SENSOR_COLUMNS).unionByName(flush).select(sensor_line().alias("value")).write.text(path)
+    return path
+
+
+def _run_stream(spark: SparkSession, sf: str, entity, levels, options: Options) -> DataFrame:
+    from ..sources.sensor import read_csv_stream
+    from ..streaming.jobs import start_averaging_job
+    src = stream_input(spark, sf)
+    root = scratch_path(spark, "stream-out")
+    queries = start_averaging_job(spark, read_csv_stream(spark, src), entity, f"{root}/store",
+                                  f"{root}/docs", f"{root}/checkpoint", options, levels,
+                                  now_ms=PREDICTION_NOW_MS,
+                                  state_partitions=spark.sparkContext.defaultParallelism)
+    for q in queries:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    docs = parse_prediction(spark.read.text(f"{root}/docs"))
+    return docs.where(F.col("house_id") != FLUSH_HOUSE)
+
+
+@register("stream_predict_house", f"SELECT house_id, household_id, plug_id, \"sum\", \"count\", avg, event_timestamp, "
+                                  f"median_load, entity, sliding_window_ms, predicted_value, "
+                                  f"CAST({PREDICTION_NOW_MS} AS BIGINT) AS timestamp FROM "
+                                  f"({O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, median={}, predict=True)})")
+def _stream_predict_house(spark, sf):
+    """The streaming house job (chained watermarked windows, store,
+    median lookup, documents) run to completion over all readings."""
+    return _run_stream(spark, sf, HOUSE, _ALL, Options())
+
+
+@register("stream_predict_house_rolling", f"SELECT house_id, household_id, plug_id, \"sum\", \"count\", avg, "
+                                          f"event_timestamp, median_load, entity, sliding_window_ms, predicted_value, "
+                                          f"CAST({PREDICTION_NOW_MS} AS BIGINT) AS timestamp FROM "
+                                          f"({O.multi_level_sql(HOUSE_KEY, (1, 5), HOUSE_NAME, mode='rolling', median={}, predict=True)})")
+def _stream_predict_house_rolling(spark, sf):
+    """As-executed rolling pre-sum on the stream (stateful processor)."""
+    from ..session import conf_override
+    from ..streaming.rolling import ROCKSDB
+    with conf_override(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
+        return _run_stream(spark, sf, HOUSE, (1, 5), Options(presum="rolling"))

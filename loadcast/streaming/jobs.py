@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import (DEFAULT_BROKERS, DEFAULT_OPTIONS, DEFAULT_TOPIC, FULL_KEY, LEVEL_MINUTES, SLIDE_SECONDS, WATERMARK_DELAY,
                       Entity, Options, retention_seconds)
 from ..functions.docs import prediction_json
+from ..session import conf_override
 from ..operators.presum import from_units, restrict, to_units
 from ..sinks.store import STORE_PARTITIONS, write_batch_averages
 from ..sources.sensor import SENSOR_COLUMNS, with_event_time
@@ -139,7 +140,8 @@ def predictions_of(enriched: DataFrame) -> DataFrame:
 def start_averaging_job(spark: SparkSession, readings: DataFrame, entity: Entity, store_path: str,
                         docs_path: str, checkpoint: str, options: Options = DEFAULT_OPTIONS,
                         levels: tuple[int, ...] = LEVEL_MINUTES, trigger: dict | None = None,
-                        now_ms: int | None = None) -> list[StreamingQuery]:
+                        now_ms: int | None = None,
+                        state_partitions: int | None = None) -> list[StreamingQuery]:
     """House or plug averaging job: stream -> store -> median -> documents.
 
     One append-mode query per window length, each running the chain of
@@ -169,11 +171,16 @@ def start_averaging_job(spark: SparkSession, readings: DataFrame, entity: Entity
             finally:
                 batch.unpersist()
 
-        q = (rows.writeStream.outputMode("append")
+        w = (rows.writeStream.outputMode("append")
              .option("checkpointLocation", f"{checkpoint}/{entity.slug}-{m}min")
              .foreachBatch(per_batch)
-             .trigger(**(trigger or {"availableNow": True}))
-             .start())
+             .trigger(**(trigger or {"availableNow": True})))
+        # State-store partitions of a query are fixed at its first start (and
+        # kept in the checkpoint); size them to the stream, not to the batch
+        # shuffle setting, when given.
+        conf = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
+        with conf_override(spark, conf):
+            q = w.start()
         queries.append(q)
     return queries
 
