@@ -128,12 +128,13 @@ def load_sensor(spark: SparkSession, source: str = "kafka", path: str | None = N
 
 def rebase_event_time(df: DataFrame, reference_instant: int) -> DataFrame:
     """Shift all timestamps so that the first reading is at
-    ``reference_instant`` (epoch seconds). One small global aggregate; the
-    shift is then applied per row without a shuffle."""
-    first = df.agg(F.min("timestamp").alias("_first"))
-    return (df.crossJoin(F.broadcast(first))   # one-row side
-            .withColumn("timestamp", F.col("timestamp") + (F.lit(reference_instant) - F.col("_first")))
-            .drop("_first"))
+    ``reference_instant`` (epoch seconds). The offset comes from one global
+    ``min`` (a single row, combined map-side) and is applied per row as a
+    literal: no join, no shuffle of the readings."""
+    first = df.agg(F.min("timestamp")).first()[0]
+    if first is None:
+        return df
+    return df.withColumn("timestamp", F.col("timestamp") + F.lit(int(reference_instant) - int(first)))
 
 
 # ---------------------------------------------------------------------------

@@ -13,8 +13,8 @@ Sinks and the median lookup run in ``foreachBatch``:
 2. each average is enriched with the median of the same key's stored
    averages whose window ended within the retention before it -- an
    equi-join on (entity, window length, key) with a range on ``window_end``
-   against a ``window_end``-pruned scan of the store, then a bounded
-   ``percentile`` per average (at most 2*minutes+1 values);
+   against a ``window_end``-pruned scan of the store, then the exact median
+   of at most 2*minutes+1 sorted values per average;
 3. predictions are written as JSON documents.
 """
 
@@ -30,6 +30,7 @@ from ..config import (DEFAULT_BROKERS, DEFAULT_OPTIONS, DEFAULT_TOPIC, FULL_KEY,
                       Entity, Options, retention_seconds)
 from ..functions.docs import prediction_json
 from ..session import conf_override
+from ..operators.median import sorted_median
 from ..operators.presum import from_units, restrict, to_units
 from ..sinks.store import STORE_PARTITIONS, write_batch_averages
 from ..sources.sensor import SENSOR_COLUMNS, with_event_time
@@ -123,9 +124,13 @@ def enrich_from_store(batch: DataFrame, history: DataFrame, minutes: int,
     if options.retention:
         cond.append(F.col("h_end") >= F.col("window_end") - ret)
     joined = batch.join(h, reduce(lambda x, y: x & y, cond), "left")
-    med = F.percentile("h_avg", F.lit(0.5)) if options.median_exact else \
-        F.percentile_approx("h_avg", 0.5, 10000)
-    out = joined.groupBy(*batch.columns).agg(F.coalesce(med, F.lit(0.0)).alias("median_load"))
+    if options.median_exact:   # sorted values of the bounded history, middle taken once
+        out = (joined.groupBy(*batch.columns).agg(F.array_sort(F.collect_list("h_avg")).alias("_hist"))
+               .withColumn("median_load", F.coalesce(sorted_median(F.col("_hist")), F.lit(0.0)))
+               .drop("_hist"))
+    else:
+        out = joined.groupBy(*batch.columns).agg(
+            F.coalesce(F.percentile_approx("h_avg", 0.5, 10000), F.lit(0.0)).alias("median_load"))
     if options.median_scale != 1.0:
         out = out.withColumn("median_load", F.col("median_load") / F.lit(float(options.median_scale)))
     return out
