@@ -43,10 +43,6 @@ def retention_seconds(minutes: int) -> int:
     return minutes * 60 + RETENTION_EXTRA_SECONDS
 
 
-def doc_type(minutes: int) -> str:
-    return f"prediction_{minutes}min"
-
-
 @dataclass(frozen=True)
 class Entity:
     """What one average is keyed by.

@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_BROKERS, DEFAULT_TOPIC, Options, doc_type
+from ..config import DEFAULT_BROKERS, DEFAULT_TOPIC, RAW_DOC_TYPE, Options
+
+DOC_TYPE_PREFIX = "prediction_"
 from ..functions.docs import prediction_json, raw_json
 from ..functions.keys import key_string
 
@@ -71,7 +73,7 @@ def prediction_documents(predictions: DataFrame, now_ms: int | None = None) -> D
     return predictions.select(
         "entity", "window_minutes",
         doc_id.alias("doc_id"),
-        F.concat(F.lit("prediction_"), F.col("window_minutes").cast("string"), F.lit("min")).alias("doc_type"),
+        F.concat(F.lit(DOC_TYPE_PREFIX), F.col("window_minutes").cast("string"), F.lit("min")).alias("doc_type"),
         prediction_json(now_ms).alias("value"))
 
 
@@ -90,7 +92,7 @@ def write_documents(docs: DataFrame, path: str, mode: str = "append",
 
 
 def raw_documents(readings: DataFrame) -> DataFrame:
-    return readings.select(F.lit("raw").alias("doc_type"), raw_json().alias("value"))
+    return readings.select(F.lit(RAW_DOC_TYPE).alias("doc_type"), raw_json().alias("value"))
 
 
 def kafka_records(readings: DataFrame, key_col: str = "house_id") -> DataFrame:
@@ -109,6 +111,6 @@ def debug_dump(df: DataFrame, debug_dir: str | None, stage: str) -> None:
         df.write.mode("overwrite").option("header", "true").csv(f"{debug_dir}/{stage}")
 
 
-__all__ = ["doc_type", "write_averages", "write_batch_averages", "read_averages", "retain",
+__all__ = ["write_averages", "write_batch_averages", "read_averages", "retain",
            "prediction_documents", "write_documents", "raw_documents", "kafka_records",
            "write_kafka", "debug_dump", "with_store_key"]

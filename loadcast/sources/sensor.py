@@ -22,7 +22,6 @@ SENSOR = T.StructType([
     T.StructField("house_id", T.LongType()),
 ])
 SENSOR_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SENSOR.fields)
-CORRUPT = "_corrupt_record"
 
 
 def with_event_time(df: DataFrame) -> DataFrame:

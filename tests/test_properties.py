@@ -101,3 +101,23 @@ def test_custom_entity(readings):
     n_presum = presum(readings, household, Options()).count()
     assert out.agg({"count": "sum"}).first()[0] == 20 * n_presum
     assert set(out.columns) >= {"house_id", "household_id", "avg"}
+
+
+def test_as_written_options_differ(spark, readings):
+    """Q3 rolling pre-sum, Q4 plug pre-sum key and Q5 key string each change
+    results on the driver data (they are options, not the default)."""
+    from pyspark.sql import functions as F
+
+    from loadcast.config import PLUG_AS_WRITTEN
+    from loadcast.functions.keys import key_string
+    base = as_set(level_averages(readings, HOUSE, 1))
+    assert as_set(level_averages(readings, HOUSE, 1, Options(presum="rolling"))) != base
+    from loadcast.sources import SENSOR
+    # same house, same second, same plug number in two households
+    two = spark.createDataFrame([(1, 1704067200, 1.0, 1, 3, 0, 7), (2, 1704067200, 2.0, 1, 3, 1, 7)], SENSOR)
+    assert len(as_set(presum(two, PLUG, Options()))) == 2
+    merged = presum(two, PLUG_AS_WRITTEN, Options()).collect()
+    assert [(r.value, r.household_id) for r in merged] == [(3.0, 0)]
+    keys = level_averages(readings, PLUG, 1).select(key_string().alias("a"),
+                                                    key_string(mode="as_written").alias("b"))
+    assert keys.where(F.col("a") != F.col("b")).count() > 0
