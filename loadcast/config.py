@@ -18,7 +18,7 @@ from dataclasses import dataclass, replace
 # Allowed out-of-orderness of the event-time watermark: 10 seconds
 # Entity names used in predictions: "House", "Plug"
 # Key-string delimiter: "|"
-# Document index name: "smartgrid"; document types "prediction_<N>min" and "raw"
+# Document index name: "smartgrid"; document types "prediction_<N>min" (sinks.store) and "raw"
 # Feed defaults: topic "sensor_raw", brokers "localhost:9092"
 # ---------------------------------------------------------------------------
 SLIDE_SECONDS = 30
