@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_OPTIONS, FULL_KEY, LEVEL_MINUTES, Entity, Options
-from ..operators.median import (add_medians, history_frame, predict, with_median,
+from ..operators.median import (add_medians, history_frame, with_median,
                                 with_median_all_history)
 from ..operators.presum import from_units, panes, presum, restrict, to_units
 from ..operators.windows import (CHUNK, averages, cascade, cascade_wide, home, level_struct, lookback,

@@ -1,9 +1,10 @@
 """Structured Streaming versions of the feed and averaging jobs.
 
-The averaging stream is one append-mode query with chained stateful
-operators: pre-sum per (key, second) -> 1-min sliding window -> 5 -> 15 ->
-60 -> 120 minutes, each level re-windowing the previous level's results at
-``window_time`` (end - 1 µs, i.e. in the window's last pane). The 10-second
+Each window length of the averaging stream is one append-mode query with
+chained stateful operators: pre-sum per (key, second) -> 1-min sliding window
+-> 5 -> 15 -> 60 -> 120 minutes (up to its level), each level re-windowing the
+previous level's results at ``window_time`` (end - 1 µs, i.e. in the window's
+last pane). The 10-second
 watermark closes windows; late rows for closed windows are dropped (and
 counted in the query progress as ``numRowsDroppedByWatermark``).
 
@@ -26,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import (DEFAULT_BROKERS, DEFAULT_OPTIONS, DEFAULT_TOPIC, FULL_KEY, LEVEL_MINUTES, SLIDE_SECONDS, WATERMARK_DELAY,
-                      Entity, Options, retention_seconds)
+from ..config import (DEFAULT_BROKERS, DEFAULT_OPTIONS, DEFAULT_TOPIC, FULL_KEY, LEVEL_MINUTES,
+                      SLIDE_SECONDS, WATERMARK_DELAY, Entity, Options, retention_seconds)
 from ..functions.docs import prediction_json
 from ..session import conf_override
 from ..operators.median import sorted_median
 from ..operators.presum import from_units, restrict, to_units
-from ..sinks.store import STORE_PARTITIONS, write_batch_averages
+from ..sinks.store import write_batch_averages
 from ..sources.sensor import SENSOR_COLUMNS, with_event_time
 
 SLIDE = f"{SLIDE_SECONDS} seconds"
