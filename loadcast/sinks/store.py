@@ -112,4 +112,30 @@ def debug_dump(df: DataFrame, debug_dir: str | None, stage: str) -> None:
 
 __all__ = ["write_averages", "write_batch_averages", "read_averages", "retain",
            "prediction_documents", "write_documents", "raw_documents", "kafka_records",
-           "write_kafka", "debug_dump", "with_store_key"]
+           "write_kafka", "debug_dump", "with_store_key", "compact"]
+
+
+def compact(spark: SparkSession, src: str, dst: str, keep_since: int | None = None,
+            files_per_day: int | None = None) -> int:
+    """Compact a streaming store directory (one sub-directory per micro-batch)
+    into ``dst``, partitioned by day of ``window_end`` and sorted by key and
+    time inside each file; rows whose window ended before ``keep_since``
+    (epoch seconds, the retention cut) are dropped. A replayed batch cannot
+    produce duplicates, but rows are still reduced to one per unique key.
+    ``dst`` must differ from ``src`` (Spark cannot overwrite a path it reads).
+    Returns the number of rows written."""
+    if dst.rstrip("/") == src.rstrip("/"):
+        raise ValueError("compact into a new location, then swap")
+    df = spark.read.parquet(src)
+    df = df.drop("batch_id") if "batch_id" in df.columns else df
+    if keep_since is not None:
+        df = df.where(F.col("window_end") >= F.lit(keep_since))
+    keys = [c for c in STORE_KEY if c in df.columns]
+    df = df.dropDuplicates(keys).withColumn("end_day", F.expr("window_end div 86400"))
+    sort = [c for c in ("house_id", "household_id", "plug_id", "window_end") if c in df.columns]
+    # range partitioning spreads a busy day over many tasks; one day of a
+    # level lands in a few large, key-ordered files
+    parts = files_per_day or spark.conf.get("spark.sql.shuffle.partitions")
+    out = df.repartitionByRange(int(parts), "end_day", *sort).sortWithinPartitions("end_day", *sort)
+    out.write.mode("overwrite").partitionBy("end_day").parquet(dst)
+    return spark.read.parquet(dst).count()

@@ -117,3 +117,20 @@ def test_rolling_presum_stream_equals_batch(spark, stream_input, tmp_path):
         assert as_set(got) == as_set(level_averages(readings, HOUSE, 5, opts))
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_compact_store(spark, stream_input, tmp_path):
+    """Per-batch store directories compact into day-partitioned files with
+    the same rows; the retention cut drops old windows."""
+    from loadcast.sinks.store import compact
+    src, _ = stream_input
+    qs, store, _ = run_job(spark, src, tmp_path)
+    level = store + "/entity=House/window_minutes=5"
+    before = spark.read.parquet(level).drop("batch_id")
+    n = compact(spark, level, str(tmp_path / "compact"))
+    after = spark.read.parquet(str(tmp_path / "compact")).drop("end_day")
+    assert n == before.count()
+    assert as_set(after.select(*before.columns)) == as_set(before)
+    cut = before.agg(F.max("window_end")).first()[0] - 3600
+    kept = compact(spark, level, str(tmp_path / "compact2"), keep_since=cut)
+    assert kept == before.where(F.col("window_end") >= cut).count() < n
