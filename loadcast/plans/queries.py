@@ -437,3 +437,12 @@ def _stream_predict_house_rolling(spark, sf):
     from ..streaming.rolling import ROCKSDB
     with conf_override(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
         return _run_stream(spark, sf, HOUSE, (1, 5), Options(presum="rolling"))
+
+
+@register("stream_predict_plug", f"SELECT house_id, household_id, plug_id, \"sum\", \"count\", avg, event_timestamp, "
+                                 f"median_load, entity, sliding_window_ms, predicted_value, "
+                                 f"CAST({PREDICTION_NOW_MS} AS BIGINT) AS timestamp FROM "
+                                 f"({O.multi_level_sql(PLUG_KEY, (1, 5), PLUG_NAME, median={}, predict=True)})")
+def _stream_predict_plug(spark, sf):
+    """The streaming plug job (full key) run to completion over all readings."""
+    return _run_stream(spark, sf, PLUG, (1, 5), Options())
