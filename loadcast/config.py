@@ -91,6 +91,7 @@ class Options:
     store_key: str = "intent"        # "intent" | "as_written" key string
     value_scale: int = VALUE_SCALE
     chunk_panes: int = 2880 * 7      # time chunk of the (key, chunk) partitioning
+    cascade_partitions: int | None = None   # (key, chunk) partitions; None = shuffle setting
     levels: tuple[int, ...] = LEVEL_MINUTES
 
     def with_(self, **kw) -> "Options":

@@ -45,14 +45,27 @@ def lookback(level_panes: list[int]) -> list[int]:
     return out
 
 
-def spread(pane_rows: DataFrame, chunk: int, halo: int) -> DataFrame:
+def spread(pane_rows: DataFrame, chunk: int, halo: int, key_cols: tuple[str, ...] = (),
+           partitions: int | None = None) -> DataFrame:
     """Copy each pane row into its home chunk and the later chunks that
-    reach back to it (at most two when ``chunk >= halo``)."""
+    reach back to it (at most two when ``chunk >= halo``), then hash-partition
+    by (key, chunk).
+
+    The exchange is an explicit ``repartition`` to ``partitions`` (default:
+    the session's ``spark.sql.shuffle.partitions``): adaptive execution sizes
+    post-shuffle partitions by bytes and would merge these small-but-heavy
+    groups (every level's windows and medians run on them) into a few tasks.
+    The result satisfies the windows' distribution, so no other exchange is
+    added."""
     if chunk < 1:
         raise ValueError("chunk must be >= 1 pane")
     first = floordiv("pos", chunk)
     last = floordiv(f"pos + {int(halo)}", chunk)
-    return pane_rows.withColumn(CHUNK, F.explode(F.sequence(first, last)))
+    out = pane_rows.withColumn(CHUNK, F.explode(F.sequence(first, last)))
+    if key_cols:
+        n = partitions or int(pane_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartition(n, *key_cols, CHUNK)
+    return out
 
 
 def _with_next(df: DataFrame, part: list[str]) -> DataFrame:
@@ -91,14 +104,14 @@ def slide(df: DataFrame, part: list[str], n: int, chunk: int,
 
 
 def cascade(pane_rows: DataFrame, key_cols: tuple[str, ...], level_panes: list[int],
-            chunk: int, halo: int | None = None) -> list[DataFrame]:
+            chunk: int, halo: int | None = None, partitions: int | None = None) -> list[DataFrame]:
     """Chain of sliding levels; level i+1 slides over the window ends of
     level i. Returns the per-level frames *before* the home-chunk filter
     (callers add medians first, then call :func:`home`). ``halo`` defaults
     to the look-back of the last level; medians need more."""
     halo = lookback(level_panes)[-1] if halo is None else halo
     part = list(key_cols) + [CHUNK]
-    df = _with_next(spread(pane_rows, chunk, halo), part)
+    df = _with_next(spread(pane_rows, chunk, halo, key_cols, partitions), part)
     out = []
     for n in level_panes:
         df = slide(df, part, n, chunk)
@@ -107,14 +120,14 @@ def cascade(pane_rows: DataFrame, key_cols: tuple[str, ...], level_panes: list[i
 
 
 def cascade_wide(pane_rows: DataFrame, key_cols: tuple[str, ...], level_panes: list[int],
-                 chunk: int, halo: int | None = None) -> DataFrame:
+                 chunk: int, halo: int | None = None, partitions: int | None = None) -> DataFrame:
     """The whole chain in one pass: one row per end of the last level,
     carrying ``s{i}, c{i}, t{i}`` of every level ``i`` (NULL where level
     ``i`` has no window ending there). Callers add medians, then
     :func:`home`."""
     halo = lookback(level_panes)[-1] if halo is None else halo
     part = list(key_cols) + [CHUNK]
-    df = _with_next(spread(pane_rows, chunk, halo), part)
+    df = _with_next(spread(pane_rows, chunk, halo, key_cols, partitions), part)
     carry: tuple[str, ...] = ()
     last = len(level_panes) - 1
     for i, n in enumerate(level_panes):

@@ -68,7 +68,8 @@ def _averaging_job(spark, readings, entity, store_path, docs_path, options, leve
     part = list(entity.key_cols) + [CHUNK]
     pane_rows = entity_panes(readings, entity, options)
     debug_dump(pane_rows, debug_dir, f"{entity.slug}/panes")
-    df = _with_next(spread(pane_rows, options.chunk_panes, halo), part).checkpoint()
+    df = _with_next(spread(pane_rows, options.chunk_panes, halo, entity.key_cols,
+                              options.cascade_partitions), part).checkpoint()
     counts = {}
     for i, m in enumerate(chain):
         df = slide(df, part, n[i], options.chunk_panes).checkpoint()

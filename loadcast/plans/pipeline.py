@@ -53,7 +53,8 @@ def all_levels(readings: DataFrame, entity: Entity, levels: tuple[int, ...] = LE
     if pane_rows is None:
         pane_rows = entity_panes(readings, entity, options)
     chunk = options.chunk_panes
-    wide = cascade_wide(pane_rows, entity.key_cols, n, chunk, _halo(chain, levels, options, medians))
+    wide = cascade_wide(pane_rows, entity.key_cols, n, chunk, _halo(chain, levels, options, medians),
+                        options.cascade_partitions)
     part = list(entity.key_cols) + [CHUNK]
     idx = {m: i for i, m in enumerate(chain) if m in levels}
     with_med = medians and options.retention
@@ -88,7 +89,8 @@ def level_frames(readings: DataFrame, entity: Entity, levels: tuple[int, ...],
     halo = _halo(chain, levels, options, medians)
     if pane_rows is None:
         pane_rows = entity_panes(readings, entity, options)
-    frames = cascade(pane_rows, entity.key_cols, n, options.chunk_panes, halo=halo)
+    frames = cascade(pane_rows, entity.key_cols, n, options.chunk_panes, halo=halo,
+                     partitions=options.cascade_partitions)
     part = list(entity.key_cols) + [CHUNK]
     out = {}
     for i, m in enumerate(chain):
@@ -153,7 +155,8 @@ def direct_averages(readings: DataFrame, key_cols: tuple[str, ...], minutes: int
     df = restrict(readings, options).withColumn("u", to_units(F.col("value"), options.value_scale))
     pane_rows = panes(df, key_cols)
     n = panes_per_window(minutes)
-    frames = cascade(pane_rows, key_cols, [n], options.chunk_panes, halo=n - 1)
+    frames = cascade(pane_rows, key_cols, [n], options.chunk_panes, halo=n - 1,
+                     partitions=options.cascade_partitions)
     extra = (CHUNK, "pos")
     out = home(averages(frames[0], key_cols, n, options.value_scale, extra=extra), options.chunk_panes)
     out = out.drop(*extra)
