@@ -147,7 +147,10 @@ def with_median_all_history(df: DataFrame, key_cols: list[str], options: Options
         pdf["median_load"] = m / scale if scale != 1.0 else m
         return pdf
 
-    return df.groupBy(*key_cols).applyInPandas(per_key, schema)
+    # explicit partitioning: adaptive coalescing would merge these compute-heavy
+    # groups into a few tasks by bytes; the grouped map reuses it (no extra shuffle)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *key_cols).groupBy(*key_cols).applyInPandas(per_key, schema)
 
 
 def predict(df: DataFrame, entity_name: str, minutes: int) -> DataFrame:
@@ -170,6 +173,8 @@ def median_of_store(store: DataFrame, key_cols: tuple[str, ...], minutes: int,
           .withColumn("_home", F.expr(f"pos div {day}"))
           .withColumn("_chunk", F.explode(F.sequence(F.col("_home"), F.expr(f"(pos + {lo}) div {day}")))))
     part = list(key_cols) + ["_chunk"]
+    if options.retention:
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *part)
     if not options.retention:
         part = list(key_cols)
         df = df.where(F.col("_home") == F.col("_chunk"))
