@@ -68,3 +68,12 @@ def test_median_options_differ(golden):
     assert cur == pytest.approx([30.0, 31.666666666666667, 33.333333333333336])
     assert scaled == pytest.approx([b / 1000 for b in base])
     assert allh == pytest.approx(base)   # history shorter than the retention here
+
+
+def test_approximate_median(golden):
+    """median_exact=False (percentile_approx, for very large histories) picks
+    an element of the history instead of interpolating."""
+    df = level_frames(golden, HOUSE, (1,), Options(median_exact=False), medians=True)[1]
+    assert [r.median_load for r in df.orderBy("window_start").collect()] == pytest.approx([0.0, 30.0, 30.0])
+    allh = level_frames(golden, HOUSE, (1,), Options(median_exact=False, retention=False), medians=True)[1]
+    assert [r.median_load for r in allh.orderBy("window_start").collect()] == pytest.approx([0.0, 30.0, 30.0])
