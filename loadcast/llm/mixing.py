@@ -48,11 +48,11 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, total: int |
         wt = weights.groupBy(F.col("source").alias("ws")).agg(F.sum("weight").cast("double").alias("weight"))
         w = n.join(wt, F.col("source").eqNullSafe(F.col("ws")), "left").drop("ws")
     w = w.withColumn("weight", F.when(F.col("weight") > 0, F.col("weight")).otherwise(0.0))
-    sums = w.agg(F.sum("weight").alias("all_weight"), F.sum("rows").alias("all_rows"))
-    size = F.col("all_rows") if total is None else F.lit(float(total))
-    return (w.join(F.broadcast(sums))  # one row of totals
-            .select("source", F.when(F.col("all_weight") > 0, size * F.col("weight") / F.col("all_weight") / F.col("rows"))
-                    .otherwise(0.0).alias("rate")))
+    sums = w.agg(F.sum("weight").alias("weight"), F.sum("rows").alias("rows")).first()  # one row of totals
+    weight = sums["weight"] or 0.0
+    size = float((sums["rows"] or 0.0) if total is None else total)
+    rate = F.lit(size) * F.col("weight") / F.lit(weight) / F.col("rows") if weight > 0 else F.lit(0.0)
+    return w.select("source", rate.alias("rate"))
 
 
 def poisson_cdf(rate: Column) -> Column:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from loadcast.llm import mixing, quality
+from loadcast.llm import langid, mixing, quality, toxicity, warc
 
-MODULES = [mixing, quality]
+MODULES = [toxicity, warc, quality, mixing, langid]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

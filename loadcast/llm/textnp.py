@@ -192,3 +192,46 @@ def window_min(h: np.ndarray, w: int) -> np.ndarray:
         h = np.minimum(h[:-size], h[size:])
         size *= 2
     return np.minimum(h[:n], h[w - size:w - size + n]) if size < w else h[:n]
+
+
+def distinct_words(buf: np.ndarray, off: np.ndarray, lower: bool = False
+                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end) of one occurrence of every distinct word of a slice, and for
+    every (row, word) pair: row, index of the distinct word, count."""
+    s, e, row = words(buf, off)
+    h = span_hashes(buf, s, e, lower=lower)
+    u, first, inv = np.unique(h, return_index=True, return_inverse=True)
+    pair = row * max(len(u), 1) + inv
+    p, n = np.unique(pair, return_counts=True)
+    return s[first], e[first], p // max(len(u), 1), p % max(len(u), 1), n
+
+
+def spelled(buf: np.ndarray, s: np.ndarray, e: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the words, each between two spaces, and the word of each byte."""
+    ln = e - s + 2
+    at = np.concatenate([[0], np.cumsum(ln)])
+    word = np.repeat(np.arange(len(s)), ln)
+    pos = np.arange(at[-1]) - at[word]
+    inner = (pos > 0) & (pos < ln[word] - 1)
+    out = np.full(at[-1], 32, np.uint8)
+    out[inner] = buf[(s[word] + pos - 1)[inner]]
+    return (LOWER[out] if lower else out), word
+
+
+def grams(data: np.ndarray, word: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index of every byte after the first of a word, and the byte with its
+    longest context (at most ``order`` bytes, within the word), packed as
+    depth * 2^56 + bytes."""
+    n = len(data)
+    if n == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    start = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1])
+    depth = np.minimum(np.arange(n) - start[word], order)
+    key = np.zeros(n, np.int64)
+    for j in range(order, -1, -1):
+        key <<= 8
+        key[j:] |= data[:n - j]
+    i = np.flatnonzero(depth > 0)
+    d = depth[i]
+    mask = (np.int64(1) << (8 * (np.arange(order + 1) + 1))) - 1
+    return i, (key[i] & mask[d]) | (d << 56)
