@@ -2,11 +2,12 @@
 
 An expression is a word, spelled byte by byte between two spaces. Each class,
 toxic and ordinary, has its own counts of a byte after its longest context (up to
-``ORDER`` bytes); all shorter contexts share one set of Kneser-Ney continuation
-counts (in how many distinct longer contexts a byte follows), pooled over both
-classes. An expression that a class has hardly seen is thus smoothed to what both
-classes have in common, and only what the classes really differ in moves the
-comparison. A document is judged by its toxic minus its ordinary log-likelihood,
+``ORDER`` bytes, mostly the whole beginning of the word). Both back off to the
+same shared counts: first those of that context pooled over the classes, then
+Kneser-Ney continuation counts (in how many distinct longer contexts a byte
+follows) of contexts of ``SHORT`` to 0 bytes. An expression that a class has
+hardly seen is thus smoothed to what both classes have in common, and only what
+the classes really differ in moves the comparison. A document is judged by its toxic minus its ordinary log-likelihood,
 normalised by length: per word over the whole text, and per word in its most
 toxic window of ``WINDOW`` words and its most toxic word, so that one insult in a
 long text is not averaged away. A logistic curve over these three turns them into
@@ -36,9 +37,10 @@ from pyspark.sql import functions as F
 from loadcast.llm.common import cut, prepare, slot, table
 from loadcast.llm.textnp import distinct_words, grams, slices, span_hashes, spelled, words
 
-ORDER = 5
+ORDER = 14
+SHORT = 6
 DISCOUNT = 0.75
-SHARED_WEIGHT = 2.0
+SHARED_WEIGHT = 4.0
 WINDOW = 12
 MAX_GRAMS = 1_000_000
 CURVE_ROWS = 20_000
@@ -58,27 +60,38 @@ def labelled(docs: DataFrame, labels: DataFrame, broadcast_labels: int = BROADCA
     return docs.join(lab, docs["doc_id"] == lab["label_id"]).drop("label_id")
 
 
+def contexts(data: np.ndarray, word: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every byte after the first of a word: its index, (hash of its longest
+    context, byte) in 56 + 8 bits, and the gram of its last ``SHORT`` bytes."""
+    i, short = grams(data, word, SHORT)
+    start = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1]) if len(word) else np.zeros(0, np.int64)
+    begin = np.maximum(start[word[i]], i - order)
+    ctx = span_hashes(data, begin, i, lower=False)
+    return i, (ctx & ~np.uint64(255)) | data[i], short
+
+
 def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, toxic, ordinary): counts of each byte after its longest context,
-    over the words of all rows of (text, y)."""
+    """(gram, short, toxic, ordinary): counts of each byte after its longest
+    context, over the words of all rows of (text, y)."""
     def run(batches):
         held, size = [], 0
 
         def flush():
-            key = np.concatenate([h[0] for h in held])
-            u, inv = np.unique(key, return_inverse=True)
-            n = [np.bincount(inv, np.concatenate([h[c] for h in held])).astype(np.int64) for c in (1, 2)]
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(n[0]), pa.array(n[1])], ["gram", "toxic", "ordinary"])
+            u, first, inv = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
+            short = np.concatenate([h[1] for h in held])[first]
+            n = [np.bincount(inv, np.concatenate([h[c] for h in held])).astype(np.int64) for c in (2, 3)]
+            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(short), pa.array(n[0]), pa.array(n[1])],
+                                              ["gram", "short", "toxic", "ordinary"])
 
         for batch, buf, off in slices(batches, "text", SLICE_BYTES):
             y = np.asarray(batch.column("y")) > 0
             s, e, prow, pword, pn = distinct_words(buf, off, lower=True)
             data, word = spelled(buf, s, e, lower=True)
-            i, key = grams(data, word, order)
-            u, inv = np.unique(key, return_inverse=True)
+            i, key, short = contexts(data, word, order)
+            u, first, inv = np.unique(key, return_index=True, return_inverse=True)
             by = [np.bincount(inv, np.bincount(pword, pn * m[prow], minlength=len(s))[word[i]], minlength=len(u))
                   for m in (y, ~y)]
-            held.append((u, by[0], by[1]))
+            held.append((u, short[first], by[0], by[1]))
             size += len(u)
             if size > FLUSH_GRAMS:
                 yield flush()
@@ -86,82 +99,67 @@ def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
         if held:
             yield flush()
 
-    parts = rows.select("text", "y").mapInArrow(run, "gram long, toxic long, ordinary long")
-    return parts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    parts = rows.select("text", "y").mapInArrow(run, "gram long, short long, toxic long, ordinary long")
+    return parts.groupBy("gram", "short").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
+
+class Level:
+    """Counts of bytes after contexts, as sorted tables."""
+
+    def __init__(self, gram: np.ndarray, count: np.ndarray):
+        k = np.argsort(gram)
+        self.gram, self.count = gram[k], count[k].astype(np.float64)
+        self.ctx, first, size = np.unique(self.gram >> 8, return_index=True, return_counts=True)
+        self.types = size.astype(np.float64)
+        self.total = np.add.reduceat(self.count, first) if len(first) else np.zeros(0)
+
+    @staticmethod
+    def _at(table, values, key):
+        if not len(table):
+            return np.zeros(len(key))
+        at = np.minimum(np.searchsorted(table, key), len(table) - 1)
+        return np.where(table[at] == key, values[at], 0.0)
+
+    def smooth(self, gram: np.ndarray, backoff: np.ndarray, weight: float = 0.0) -> np.ndarray:
+        """Kneser-Ney probability of each gram's byte after its context."""
+        ctx = gram >> 8
+        n, total, types = self._at(self.gram, self.count, gram), self._at(self.ctx, self.total, ctx), self._at(self.ctx, self.types, ctx)
+        size = total + weight
+        p = (np.maximum(n - DISCOUNT, 0) + (DISCOUNT * types + weight) * backoff) / np.maximum(size, 1e-9)
+        return np.where(size > 0, p, backoff)
 
 
 class Ratio:
     """Log-likelihood ratio of a byte after its context, toxic to ordinary."""
 
-    def __init__(self, gram: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, order: int = ORDER):
-        k = np.argsort(gram)
-        self.order, self.gram = order, gram[k]
-        self.count = [toxic[k].astype(np.float64), ordinary[k].astype(np.float64)]
-        # a context keeps its depth tag, so contexts of words' first bytes stay apart
-        self.ctx, at = np.unique(self._context(self.gram), return_inverse=True)
-        self.total = [np.bincount(at, c, minlength=len(self.ctx)) for c in self.count]
-        self.types = [np.bincount(at, c > 0, minlength=len(self.ctx)) for c in self.count]
-        # continuation counts of shorter contexts, pooled over the classes
+    def __init__(self, gram: np.ndarray, short: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, order: int = ORDER):
+        self.order = order
+        self.pooled = Level(gram, toxic + ordinary)
+        self.classes = [Level(gram[c > 0], c[c > 0]) for c in (toxic, ordinary)]
         self.lower = []
-        key = self._bytes(self.gram, self.gram >> 56)
-        depth = self.gram >> 56
-        for o in range(order - 1, -1, -1):
-            take = depth > o
+        key, depth = short & ((1 << 56) - 1), short >> 56
+        for o in range(SHORT, -1, -1):
+            # distinct longer contexts are counted; words' beginnings have none
+            take = depth >= o
             u, n = np.unique(key[take] & self._mask(o), return_counts=True)
-            ctx, first, size = np.unique(u >> 8, return_index=True, return_counts=True)
-            total = np.add.reduceat(n, first).astype(np.float64) if len(u) else np.zeros(0)
-            self.lower.append((u, n.astype(np.float64), ctx, total, size.astype(np.float64)))
-            # an order's distinct grams, and those of words' starts, feed the next shorter one
-            rest = ~take
-            key = np.concatenate([u, key[rest]])
-            depth = np.concatenate([np.full(len(u), o), depth[rest]])
+            self.lower.append(Level(u, n))
+            key = np.concatenate([u, key[~take]])
+            depth = np.concatenate([np.full(len(u), o), depth[~take]])
         self.lower.reverse()
 
     @staticmethod
     def _mask(o: int) -> int:
         return (1 << 8 * (o + 1)) - 1
 
-    @staticmethod
-    def _bytes(key, depth):
-        return key & ((np.int64(1) << 56) - 1)
-
-    @staticmethod
-    def _context(gram):
-        return ((gram & ((1 << 56) - 1)) >> 8) | (gram >> 56 << 56)
-
-    @staticmethod
-    def _find(table, key):
-        if not len(table):
-            return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-        at = np.minimum(np.searchsorted(table, key), len(table) - 1)
-        return at, table[at] == key
-
-    def shared(self, key: np.ndarray, depth: np.ndarray) -> np.ndarray:
-        """Pooled probability of the last byte after all but the first byte of
-        its context."""
-        p = np.full(len(key), 1 / 256)
-        for o, (u, n, ctx, total, types) in enumerate(self.lower):
-            deep = np.flatnonzero(depth > o)
-            k = key[deep] & self._mask(o)
-            c, known = self._find(ctx, k >> 8)
-            deep, k, c = deep[known], k[known], c[known]
-            g, hit = self._find(u, k)
-            n_here = np.where(hit, n[g], 0.0) if len(u) else np.zeros(len(k))
-            p[deep] = np.maximum(n_here - DISCOUNT, 0) / total[c] + DISCOUNT * types[c] / total[c] * p[deep]
-        return p
-
-    def __call__(self, gram: np.ndarray) -> np.ndarray:
-        depth = gram >> 56
-        shared = self.shared(self._bytes(gram, depth), depth)
-        at, hit = self._find(self.gram, gram)
-        c, known = self._find(self.ctx, self._context(gram))
-        logs = []
-        for count, total, types in zip(self.count, self.total, self.types):
-            n = np.where(hit, count[at], 0.0) if len(count) else np.zeros(len(gram))
-            t = np.where(known, total[c], 0.0) if len(total) else np.zeros(len(gram))
-            kinds = np.where(known, types[c], 0.0) if len(total) else np.zeros(len(gram))
-            logs.append(np.log((np.maximum(n - DISCOUNT, 0) + (DISCOUNT * kinds + SHARED_WEIGHT) * shared) / (t + SHARED_WEIGHT)))
-        return logs[0] - logs[1]
+    def __call__(self, gram: np.ndarray, short: np.ndarray) -> np.ndarray:
+        key, depth = short & ((1 << 56) - 1), short >> 56
+        p = np.full(len(gram), 1 / 256)
+        for o, level in enumerate(self.lower):
+            deep = np.flatnonzero(depth >= o)
+            p[deep] = level.smooth(key[deep] & self._mask(o), p[deep])
+        p = self.pooled.smooth(gram, p)
+        toxic, ordinary = (c.smooth(gram, p, SHARED_WEIGHT) for c in self.classes)
+        return np.log(toxic) - np.log(ordinary)
 
 
 def differences(buf: np.ndarray, off: np.ndarray, ratio: Ratio) -> np.ndarray:
@@ -173,9 +171,9 @@ def differences(buf: np.ndarray, off: np.ndarray, ratio: Ratio) -> np.ndarray:
         return out
     u, first, inv = np.unique(span_hashes(buf, s, e), return_index=True, return_inverse=True)
     data, word = spelled(buf, s[first], e[first], lower=True)
-    i, key = grams(data, word, ratio.order)
-    g, ginv = np.unique(key, return_inverse=True)
-    each = np.bincount(word[i], ratio(g)[ginv], minlength=len(u))[inv]
+    i, key, short = contexts(data, word, ratio.order)
+    g, gfirst, ginv = np.unique(key, return_index=True, return_inverse=True)
+    each = np.bincount(word[i], ratio(g, short[gfirst])[ginv], minlength=len(u))[inv]
     count = np.bincount(row, minlength=n)
     has = np.flatnonzero(count)
     out[:, 0] = np.bincount(row, each, minlength=n) / np.maximum(count, 1)
@@ -250,7 +248,7 @@ def train(docs: DataFrame, labels: DataFrame, max_grams: int = MAX_GRAMS, curve_
     fits = levels[levels["count"].cumsum() <= max_grams]["level"]
     least = int(fits.min()) if len(fits) else 1000
     top = counts.filter(F.col("toxic") + F.col("ordinary") >= least).toPandas()
-    ratio = spark.sparkContext.broadcast(Ratio(top["gram"].to_numpy(), top["toxic"].to_numpy(), top["ordinary"].to_numpy()))
+    ratio = spark.sparkContext.broadcast(Ratio(top["gram"].to_numpy().view(np.uint64), top["short"].to_numpy(), top["toxic"].to_numpy(), top["ordinary"].to_numpy()))
     some = rows.filter(for_curve)
     share = F.xxhash64("doc_id")
     n = some.count()
