@@ -40,13 +40,15 @@ from loadcast.llm.textnp import distinct_words, grams, slices, span_hashes, spel
 ORDER = 14
 SHORT = 6
 DISCOUNT = 0.75
-SHARED_WEIGHT = 4.0
+SHARED_WEIGHT = 20.0
+CLEAR = 2.5  # difference in nats from which a word counts as a likely insult
 WINDOW = 12
 MAX_GRAMS = 1_000_000
 CURVE_ROWS = 20_000
 BROADCAST_LABELS = 2_000_000
 SLICE_BYTES = 8 << 20
 FLUSH_GRAMS = 2_000_000
+DIFFERENCES = ["mean_diff", "window_diff", "word_diff", "clear_diff"]
 
 
 def labelled(docs: DataFrame, labels: DataFrame, broadcast_labels: int = BROADCAST_LABELS) -> DataFrame:
@@ -163,9 +165,10 @@ class Ratio:
 
 
 def differences(buf: np.ndarray, off: np.ndarray, ratio: Ratio) -> np.ndarray:
-    """Per row: (per word over the text, best window, best word)."""
+    """Per row: (per word over the text, best window, best word, sum of what
+    likely insults have above ``CLEAR``)."""
     n = len(off) - 1
-    out = np.zeros((n, 3))
+    out = np.zeros((n, 4))
     s, e, row = words(buf, off)
     if not len(s):
         return out
@@ -179,6 +182,7 @@ def differences(buf: np.ndarray, off: np.ndarray, ratio: Ratio) -> np.ndarray:
     out[:, 0] = np.bincount(row, each, minlength=n) / np.maximum(count, 1)
     begin = np.searchsorted(row, has)
     out[has, 2] = np.maximum.reduceat(each, begin)
+    out[:, 3] = np.bincount(row, np.maximum(each - CLEAR, 0), minlength=n)
     total = np.concatenate([[0.0], np.cumsum(each)])
     to = np.minimum(np.arange(len(s)) + WINDOW, (begin + count[has])[np.searchsorted(has, row)])
     window = (total[to] - total[:-1]) / WINDOW
@@ -187,8 +191,8 @@ def differences(buf: np.ndarray, off: np.ndarray, ratio: Ratio) -> np.ndarray:
 
 
 def score_rows(docs: DataFrame, ratio, keep: list[str], curve=None) -> DataFrame:
-    """``keep`` columns, the three differences and, with a curve, the score."""
-    names = ["mean_diff", "window_diff", "word_diff"]
+    """``keep`` columns, the differences and, with a curve, the score."""
+    names = DIFFERENCES
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [f"{c} double" for c in names] + ["score double"])
 
@@ -211,7 +215,8 @@ class Curve:
 
     @staticmethod
     def inputs(d: np.ndarray) -> np.ndarray:
-        return np.column_stack([np.ones(len(d)), np.clip(d[:, 0] * 10, -5, 5), np.clip(d[:, 1], -3, 6), np.clip(d[:, 2] / 3, -3, 6)])
+        return np.column_stack([np.ones(len(d)), np.clip(d[:, 0] * 10, -5, 5), np.clip(d[:, 1], -3, 6), np.clip(d[:, 2] / 3, -3, 6),
+                                np.minimum(np.log1p(d[:, 3]), 4)])
 
     def __call__(self, d: np.ndarray) -> np.ndarray:
         if self.weight is None:
@@ -222,11 +227,11 @@ class Curve:
     def fit(cls, d: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> "Curve":
         if len(y) == 0 or y.min() == y.max():
             return cls(None, float(y.mean()) if len(y) else 0.0)
-        x, w = cls.inputs(d), np.zeros(4)
+        x, w = cls.inputs(d), np.zeros(5)
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
             g = x.T @ (y - p) - ridge * w
-            h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(4)
+            h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(5)
             step = np.linalg.solve(h, g)
             w = w + step
             if np.abs(step).max() < 1e-8:
@@ -254,8 +259,8 @@ def train(docs: DataFrame, labels: DataFrame, max_grams: int = MAX_GRAMS, curve_
     n = some.count()
     if n > curve_rows:  # whole hash range at once, no ordering of texts
         some = some.filter(F.pmod(share, F.lit(1 << 20)) < int((1 << 20) * curve_rows / n))
-    fit = score_rows(some, ratio, ["y"]).select("y", "mean_diff", "window_diff", "word_diff").toPandas()
-    curve = Curve.fit(fit[["mean_diff", "window_diff", "word_diff"]].to_numpy(), (fit["y"].to_numpy() > 0).astype(float))
+    fit = score_rows(some, ratio, ["y"]).select("y", *DIFFERENCES).toPandas()
+    curve = Curve.fit(fit[DIFFERENCES].to_numpy(), (fit["y"].to_numpy() > 0).astype(float))
     return ratio, curve
 
 
