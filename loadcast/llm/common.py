@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings that the operators rely on."""
     configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     if not spark.sparkContext.getCheckpointDir():
