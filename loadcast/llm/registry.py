@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from loadcast.llm import langid, mixing, near_dups, quality, toxicity, warc
+from loadcast.llm import langid, mixing, near_dups, quality, repeats, toxicity, warc
 
-MODULES = [toxicity, warc, quality, mixing, near_dups, langid]
+MODULES = [toxicity, warc, quality, mixing, repeats, near_dups, langid]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
