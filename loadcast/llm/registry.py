@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from loadcast.llm import decontaminate, html_text, langid, mixing, near_dups, quality, repeats, toxicity, warc
+from loadcast.llm import decontaminate, html_text, langid, lm, mixing, near_dups, quality, repeats, toxicity, warc
 
-MODULES = [toxicity, html_text, warc, quality, decontaminate, mixing, repeats, near_dups, langid]
+MODULES = [toxicity, html_text, warc, quality, decontaminate, mixing, lm, repeats, near_dups, langid]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
