@@ -12,6 +12,7 @@ from loadcast.session import configure, shared_dir
 # Arrow batches are bounded by bytes as well as by rows, so that a run of very
 # long texts does not fill a Python worker.
 ARROW_BATCH_BYTES = 16 << 20
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    # Python workers find the package also when the driver was started elsewhere
+    # (a cluster without this path gets the package by --py-files)
+    env = spark.sparkContext.environment
+    path = env.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in path:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, path)])
     return spark
 
 
