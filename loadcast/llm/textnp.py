@@ -177,21 +177,22 @@ def byte_grams(buf: np.ndarray, k: int) -> np.ndarray:
             out = part if out is None else (out ^ (out >> U(31))) * _STEP + part
             done += size
         if size * 2 > k:
-            return mix(out)
+            out = (out ^ (out >> U(32))) * U(0xD6E8FEB86659FD93)
+            return out ^ (out >> U(29))
         level = (level[:-size] ^ (level[:-size] >> U(29))) * U(_P) + level[size:]
         size *= 2
 
 
-def window_min(h: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of every run of ``w`` values."""
+def window_fold(h: np.ndarray, w: int, fold=np.minimum) -> np.ndarray:
+    """Minimum (or another idempotent fold) of every run of ``w`` values."""
     if len(h) < w:
         return h[:0]
     size = 1
     n = len(h) - w + 1
     while size * 2 <= w:
-        h = np.minimum(h[:-size], h[size:])
+        h = fold(h[:-size], h[size:])
         size *= 2
-    return np.minimum(h[:n], h[w - size:w - size + n]) if size < w else h[:n]
+    return fold(h[:n], h[w - size:w - size + n]) if size < w else h[:n]
 
 
 def distinct_words(buf: np.ndarray, off: np.ndarray, lower: bool = False
