@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder: for larger
+    intermediates, as it is compressed, read by column and of known size."""
+    spark = prepare(df.sparkSession)
+    path = shared_path(spark, "tables", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def slot(column: str, divisor: int) -> Column:
     """crc32 of the value as text, modulo ``divisor`` (null counts as '')."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % divisor

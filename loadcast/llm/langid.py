@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from loadcast.llm.common import cut, prepare, slot, table
+from loadcast.llm.common import prepare, slot, stored, table
 from loadcast.llm.textnp import distinct_words, grams, slices, spelled
 
 ORDER = 4
@@ -164,7 +164,7 @@ def word_bits(trees: list[ContextTree], data: np.ndarray, word: np.ndarray, n: i
 def train(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS,
           max_languages: int = MAX_LANGUAGES) -> dict[str, ContextTree]:
     """Context trees by language from all rows of (lang, text)."""
-    counts = cut(count_grams(docs.filter("lang is not null and text is not null"), order))
+    counts = stored(count_grams(docs.filter("lang is not null and text is not null"), order))
     kind = F.shiftright("gram", 56)
     width = W.partitionBy("lang", "kind")
     ranked = counts.withColumn("kind", kind).withColumn("ctx", F.shiftright("gram", 8))
@@ -173,7 +173,7 @@ def train(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS,
             .select("lang", "ctx"))
     langs = (counts.filter(kind == 0).groupBy("lang").agg(F.sum("n").alias("ln"))
              .orderBy(F.desc("ln"), "lang").limit(max_languages))
-    kept = cut(ranked.join(keep, ["lang", "ctx"]).select("lang", "gram", "n"))
+    kept = stored(ranked.join(keep, ["lang", "ctx"]).select("lang", "gram", "n"))
     model = {}
     for lang in sorted(r["lang"] for r in langs.collect()):  # one bounded tree at a time
         g = kept.filter(F.col("lang") == lang).select("gram", "n").toPandas()

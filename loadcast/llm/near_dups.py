@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import components, cut, prepare, table
+from loadcast.llm.common import components, cut, prepare, stored, table
 from loadcast.llm.textnp import mix, shingle_sets, slices
 
 BANDS = 30
@@ -210,10 +210,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     """(doc_id, n_shingles, component_id, kept): the class of every row, links
     being 100 * intersection >= percent * union of the k-word shingle sets."""
     prepare(docs.sparkSession)
-    sig = cut(fingerprint(docs, k, bands, band_rows(percent)).withColumn("sid", F.xxhash64("k1", "k2", "n")))
+    sig = stored(fingerprint(docs, k, bands, band_rows(percent)).withColumn("sid", F.xxhash64("k1", "k2", "n")))
     sets = (sig.filter("doc_id is not null and n > 0").groupBy("sid")
             .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("k1").alias("k1"), F.min("bands").alias("bands")))
-    sets = cut(sets)
+    sets = stored(sets)
     in_band = sets.select("sid", F.explode("bands").alias("band"))
     shared = in_band.groupBy("band").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high")
     stars = in_band.join(shared.select("band", "low"), "band").filter("sid <> low").select(F.col("sid").alias("a"), F.col("low").alias("b"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import cut, prepare, table
+from loadcast.llm.common import prepare, stored, table
 from loadcast.llm.textnp import SEP, shingles, slices, span_hashes, words
 
 WINDOW = 8
@@ -237,7 +237,7 @@ def train(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, *
 def quality_verdicts(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
                      threshold: float = 0.5) -> DataFrame:
     """Statistics, base rule, predicted quality and verdict of every document."""
-    stats = cut(document_statistics(docs))
+    stats = stored(document_statistics(docs))
     model = docs.sparkSession.sparkContext.broadcast(train(stats, labels, sample_rows))
 
     @F.pandas_udf("double")

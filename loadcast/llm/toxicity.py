@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import cut, prepare, slot, table
+from loadcast.llm.common import cut, prepare, slot, stored, table
 from loadcast.llm.textnp import distinct_words, grams, slices, span_hashes, spelled, words
 
 ORDER = 14
@@ -246,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, max_grams: int = MAX_GRAMS, curve_
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = labelled(base, labels, broadcast_labels)
     for_curve = slot("doc_id", 50) < 5
-    counts = cut(count_grams(rows.filter(~for_curve)))
+    counts = stored(count_grams(rows.filter(~for_curve)))
     # the smallest count level at which at most max_grams grams remain
     levels = counts.groupBy(F.least(F.col("toxic") + F.col("ordinary"), F.lit(1000)).alias("level")).count().toPandas()
     levels = levels.sort_values("level", ascending=False)
