@@ -74,23 +74,24 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, total: int |
     """The documents replicated to the target mix and globally shuffled."""
     prepare(docs.sparkSession)
     docs = docs.drop(*OWN)
+    # the row is kept as one value, so that its column names cannot clash
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").alias("mix_id"),
+                       F.col("source").alias("mix_source"))
     rates = source_rates(docs, weights, total, power).filter("rate > 0")
     rates = rates.select(F.col("source").alias("rate_source"), "rate", poisson_cdf(F.col("rate")).alias("cdf"))
-    same = F.col("source").eqNullSafe(F.col("rate_source"))
+    same = F.col("mix_source").eqNullSafe(F.col("rate_source"))
     if rates.count() <= broadcast_sources:
-        joined = docs.join(F.broadcast(rates), same)
+        joined = rows.join(F.broadcast(rates), same)
     else:
         spread = rates.withColumn("rate_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = docs.withColumn("doc_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-        joined = salted.join(spread, same & (F.col("doc_salt") == F.col("rate_salt"))).drop("doc_salt", "rate_salt")
-    u = uniform(F.lit(seed), F.col("doc_id"))
-    counted = (joined.withColumn("n_copies", F.size(F.filter("cdf", lambda c: c <= u)).cast("long"))
-               .filter("n_copies > 0").drop("cdf", "rate_source")
-               .withColumn("rate", F.round("rate", 9)))
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("mix_id"), F.lit(salts)).cast("int"))
+        joined = salted.join(spread, same & (F.col("salt") == F.col("rate_salt")))
+    u = uniform(F.lit(seed), F.col("mix_id"))
+    counted = joined.withColumn("n_copies", F.size(F.filter("cdf", lambda c: c <= u)).cast("long")).filter("n_copies > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_copies") - 1)))
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.lit("shuffle"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.lit("shuffle"), F.coalesce(F.col("mix_id").cast("string"), F.lit("")),
                             F.col("copy")))
-    return (copies.withColumn("shuffle_key", F.substring(key, 1, 16))
+    return (copies.select("row.*", F.round("rate", 9).alias("rate"), "n_copies", "copy", F.substring(key, 1, 16).alias("shuffle_key"))
             .repartition("shuffle_key").sortWithinPartitions("shuffle_key"))
 
 

@@ -13,10 +13,11 @@ toxic window of ``WINDOW`` words and its most toxic word, so that one insult in
 long text is not averaged away. A logistic curve over these three turns them into
 a score.
 
-Counts cover all labelled rows that are not held out, but a tenth that is left
-for the curve. Bounds, both parameters: the model keeps the ``max_grams`` most
-frequent expressions' contexts (whole count levels, so ties are kept or dropped
-together), and the curve is fitted on at most ``curve_rows`` rows. Labels are
+Counts cover all labelled rows that are not held out. The curve is fitted across
+two halves of them, each judged by the counts of the other. Bounds, both
+parameters: the model keeps the ``max_grams`` most frequent expressions' contexts
+(whole count levels, so ties are kept or dropped together), and the curve is
+fitted on a hash sample of about ``curve_rows`` rows. Labels are
 broadcast up to ``broadcast_labels`` rows (16 bytes each); above that the join is
 a shuffle.
 
@@ -51,15 +52,11 @@ FLUSH_GRAMS = 2_000_000
 DIFFERENCES = ["mean_diff", "window_diff", "word_diff", "clear_diff"]
 
 
-def labelled(docs: DataFrame, labels: DataFrame, broadcast_labels: int = BROADCAST_LABELS) -> DataFrame:
-    """Documents with an unambiguous label ``y``."""
-    lab = (labels.filter("doc_id is not null and toxic is not null")
-           .groupBy(F.col("doc_id").cast("long").alias("label_id"))
-           .agg(F.min("toxic").alias("y"), F.max("toxic").alias("y2")).filter("y = y2").select("label_id", "y"))
-    lab = cut(lab)
-    if lab.count() <= broadcast_labels:
-        lab = F.broadcast(lab)
-    return docs.join(lab, docs["doc_id"] == lab["label_id"]).drop("label_id")
+def clear_labels(labels: DataFrame) -> DataFrame:
+    """(label_id, y) of the documents with an unambiguous label."""
+    return (labels.filter("doc_id is not null and toxic is not null")
+            .groupBy(F.col("doc_id").cast("long").alias("label_id"))
+            .agg(F.min("toxic").alias("y"), F.max("toxic").alias("y2")).filter("y = y2").select("label_id", "y"))
 
 
 def contexts(data: np.ndarray, word: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,28 +69,30 @@ def contexts(data: np.ndarray, word: np.ndarray, order: int = ORDER) -> tuple[np
     return i, (ctx & ~np.uint64(255)) | data[i], short
 
 
+GROUPS = ["ordinary0", "toxic0", "ordinary1", "toxic1"]
+
+
 def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, short, toxic, ordinary): counts of each byte after its longest
-    context, over the words of all rows of (text, y)."""
+    """(gram, short, counts by class and half): how often a byte follows its
+    longest context, over the words of all rows of (text, half, y)."""
     def run(batches):
         held, size = [], 0
 
         def flush():
             u, first, inv = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
             short = np.concatenate([h[1] for h in held])[first]
-            n = [np.bincount(inv, np.concatenate([h[c] for h in held])).astype(np.int64) for c in (2, 3)]
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(short), pa.array(n[0]), pa.array(n[1])],
-                                              ["gram", "short", "toxic", "ordinary"])
+            n = [np.bincount(inv, np.concatenate([h[2 + c] for h in held])).astype(np.int64) for c in range(4)]
+            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(short), *map(pa.array, n)], ["gram", "short", *GROUPS])
 
         for batch, buf, off in slices(batches, "text", SLICE_BYTES):
-            y = np.asarray(batch.column("y")) > 0
+            group = np.asarray(batch.column("half")).astype(int) * 2 + (np.asarray(batch.column("y")) > 0)
             s, e, prow, pword, pn = distinct_words(buf, off, lower=True)
             data, word = spelled(buf, s, e, lower=True)
             i, key, short = contexts(data, word, order)
             u, first, inv = np.unique(key, return_index=True, return_inverse=True)
-            by = [np.bincount(inv, np.bincount(pword, pn * m[prow], minlength=len(s))[word[i]], minlength=len(u))
-                  for m in (y, ~y)]
-            held.append((u, short[first], by[0], by[1]))
+            by = [np.bincount(inv, np.bincount(pword, pn * (group == c)[prow], minlength=len(s))[word[i]], minlength=len(u))
+                  for c in range(4)]
+            held.append((u, short[first], *by))
             size += len(u)
             if size > FLUSH_GRAMS:
                 yield flush()
@@ -101,8 +100,8 @@ def count_grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
         if held:
             yield flush()
 
-    parts = rows.select("text", "y").mapInArrow(run, "gram long, short long, toxic long, ordinary long")
-    return parts.groupBy("gram", "short").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    parts = rows.select("text", "half", "y").mapInArrow(run, "gram long, short long, " + ", ".join(f"{c} long" for c in GROUPS))
+    return parts.groupBy("gram", "short").agg(*[F.sum(c).alias(c) for c in GROUPS])
 
 
 class Level:
@@ -244,24 +243,39 @@ def train(docs: DataFrame, labels: DataFrame, max_grams: int = MAX_GRAMS, curve_
     """(broadcast Ratio, Curve) from all labelled rows of ``docs``."""
     spark = prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = labelled(base, labels, broadcast_labels)
-    for_curve = slot("doc_id", 50) < 5
-    counts = stored(count_grams(rows.filter(~for_curve)))
+    lab = cut(clear_labels(labels))
+    n_labels = lab.count()
+    near = F.broadcast(lab) if n_labels <= broadcast_labels else lab
+    rows = base.join(near, F.col("doc_id") == F.col("label_id")).withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)))
+    counts = stored(count_grams(rows))
+    every = sum((F.col(c) for c in GROUPS), F.lit(0))
     # the smallest count level at which at most max_grams grams remain
-    levels = counts.groupBy(F.least(F.col("toxic") + F.col("ordinary"), F.lit(1000)).alias("level")).count().toPandas()
-    levels = levels.sort_values("level", ascending=False)
+    levels = counts.groupBy(F.least(every, F.lit(1000)).alias("level")).count().toPandas().sort_values("level", ascending=False)
     fits = levels[levels["count"].cumsum() <= max_grams]["level"]
-    least = int(fits.min()) if len(fits) else 1000
-    top = counts.filter(F.col("toxic") + F.col("ordinary") >= least).toPandas()
-    ratio = spark.sparkContext.broadcast(Ratio(top["gram"].to_numpy().view(np.uint64), top["short"].to_numpy(), top["toxic"].to_numpy(), top["ordinary"].to_numpy()))
-    some = rows.filter(for_curve)
-    share = F.xxhash64("doc_id")
-    n = some.count()
-    if n > curve_rows:  # whole hash range at once, no ordering of texts
-        some = some.filter(F.pmod(share, F.lit(1 << 20)) < int((1 << 20) * curve_rows / n))
-    fit = score_rows(some, ratio, ["y"]).select("y", *DIFFERENCES).toPandas()
+    top = counts.filter(every >= (int(fits.min()) if len(fits) else 1001)).toPandas()
+    gram, short = top["gram"].to_numpy().view(np.uint64), top["short"].to_numpy()
+    ordinary, toxic = ([top[f"{c}{half}"].to_numpy() for half in (0, 1)] for c in ("ordinary", "toxic"))
+
+    def ratio(t, o):
+        seen = t + o > 0
+        return Ratio(gram[seen], short[seen], t[seen], o[seen])
+
+    # each half is judged by the counts of the other
+    other = spark.sparkContext.broadcast([ratio(toxic[1], ordinary[1]), ratio(toxic[0], ordinary[0])])
+    some = rows
+    if n_labels > curve_rows:
+        some = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < int((1 << 20) * curve_rows / n_labels))
+
+    def judge(batches):
+        for batch, buf, off in slices(batches, "text", SLICE_BYTES):
+            half = np.asarray(batch.column("half"))
+            d = np.where((half == 0)[:, None], *[differences(buf, off, r) for r in other.value])
+            yield pa.RecordBatch.from_arrays([batch.column("y").cast(pa.int64()), *[pa.array(x) for x in d.T]], ["y", *DIFFERENCES])
+
+    fit = some.select("y", "half", "text").mapInArrow(judge, "y long, " + ", ".join(f"{c} double" for c in DIFFERENCES)).toPandas()
     curve = Curve.fit(fit[DIFFERENCES].to_numpy(), (fit["y"].to_numpy() > 0).astype(float))
-    return ratio, curve
+    other.destroy()
+    return spark.sparkContext.broadcast(ratio(toxic[0] + toxic[1], ordinary[0] + ordinary[1])), curve
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, **how) -> DataFrame:
