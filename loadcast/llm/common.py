@@ -52,6 +52,15 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def typed(df: DataFrame, *columns: str) -> DataFrame:
+    """The given columns ("name type"), cast only where the type differs, so that
+    equal selections stay equal plans and can share a shuffle."""
+    have = dict(df.dtypes)
+    kinds = {"long": "bigint"}
+    return df.select(*[F.col(n) if have.get(n) == kinds.get(t, t) else F.col(n).cast(t).alias(n)
+                       for n, t in (c.split() for c in columns)])
+
+
 def slot(column: str, divisor: int) -> Column:
     """crc32 of the value as text, modulo ``divisor`` (null counts as '')."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % divisor
