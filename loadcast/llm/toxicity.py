@@ -44,7 +44,7 @@ DISCOUNT = 0.75
 SHARED_WEIGHT = 20.0
 CLEAR = 2.5  # difference in nats from which a word counts as a likely insult
 WINDOW = 12
-MAX_GRAMS = 1_000_000
+MAX_GRAMS = 500_000
 CURVE_ROWS = 20_000
 BROADCAST_LABELS = 2_000_000
 SLICE_BYTES = 8 << 20
@@ -115,7 +115,7 @@ class Level:
         self.total = np.add.reduceat(self.count, first) if len(first) else np.zeros(0)
 
     @staticmethod
-    def _at(table, values, key):
+    def at(table, values, key):
         if not len(table):
             return np.zeros(len(key))
         at = np.minimum(np.searchsorted(table, key), len(table) - 1)
@@ -124,43 +124,56 @@ class Level:
     def smooth(self, gram: np.ndarray, backoff: np.ndarray, weight: float = 0.0) -> np.ndarray:
         """Kneser-Ney probability of each gram's byte after its context."""
         ctx = gram >> 8
-        n, total, types = self._at(self.gram, self.count, gram), self._at(self.ctx, self.total, ctx), self._at(self.ctx, self.types, ctx)
+        n, total, types = self.at(self.gram, self.count, gram), self.at(self.ctx, self.total, ctx), self.at(self.ctx, self.types, ctx)
         size = total + weight
         p = (np.maximum(n - DISCOUNT, 0) + (DISCOUNT * types + weight) * backoff) / np.maximum(size, 1e-9)
         return np.where(size > 0, p, backoff)
 
 
 class Ratio:
-    """Log-likelihood ratio of a byte after its context, toxic to ordinary."""
+    """Log-likelihood ratio of a byte after its context, toxic to ordinary.
+
+    Both classes back off to the same probability, so for a byte that neither has
+    in a context it cancels out: what is left depends on the context only, and is
+    0 where that is unknown. The model is therefore two sorted tables: a ratio per
+    counted gram, and one per context."""
 
     def __init__(self, gram: np.ndarray, short: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, order: int = ORDER):
         self.order = order
-        self.pooled = Level(gram, toxic + ordinary)
-        self.classes = [Level(gram[c > 0], c[c > 0]) for c in (toxic, ordinary)]
-        self.lower = []
-        key, depth = short & ((1 << 56) - 1), short >> 56
-        for o in range(SHORT, -1, -1):
-            # distinct longer contexts are counted; words' beginnings have none
-            take = depth >= o
-            u, n = np.unique(key[take] & self._mask(o), return_counts=True)
-            self.lower.append(Level(u, n))
-            key = np.concatenate([u, key[~take]])
-            depth = np.concatenate([np.full(len(u), o), depth[~take]])
-        self.lower.reverse()
-
-    @staticmethod
-    def _mask(o: int) -> int:
-        return (1 << 8 * (o + 1)) - 1
-
-    def __call__(self, gram: np.ndarray, short: np.ndarray) -> np.ndarray:
-        key, depth = short & ((1 << 56) - 1), short >> 56
-        p = np.full(len(gram), 1 / 256)
-        for o, level in enumerate(self.lower):
-            deep = np.flatnonzero(depth >= o)
-            p[deep] = level.smooth(key[deep] & self._mask(o), p[deep])
-        p = self.pooled.smooth(gram, p)
-        toxic, ordinary = (c.smooth(gram, p, SHARED_WEIGHT) for c in self.classes)
-        return np.log(toxic) - np.log(ordinary)
+        k = np.argsort(gram)
+        gram, short, counts = gram[k], short[k], [toxic[k].astype(np.float64), ordinary[k].astype(np.float64)]
+        shared = Level(gram, counts[0] + counts[1]).smooth(gram, continuation(short))
+        classes = [Level(gram[c > 0], c[c > 0]) for c in counts]
+        at_gram = [np.log(c.smooth(gram, shared, SHARED_WEIGHT)) for c in classes]
+        ctx = np.unique(gram >> 8)
+        rest = [np.log((DISCOUNT * c.at(c.ctx, c.types, ctx) + SHARED_WEIGHT) / (c.at(c.ctx, c.total, ctx) + SHARED_WEIGHT))
+                for c in classes]
+        self.gram, self.value = gram, (at_gram[0] - at_gram[1]).astype(np.float32)
+        self.ctx, self.other = ctx, (rest[0] - rest[1]).astype(np.float32)
+
+    def __call__(self, gram: np.ndarray) -> np.ndarray:
+        if not len(self.gram):
+            return np.zeros(len(gram))
+        at = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)
+        return np.where(self.gram[at] == gram, self.value[at], Level.at(self.ctx, self.other, gram >> 8))
+
+
+def continuation(short: np.ndarray) -> np.ndarray:
+    """Shared Kneser-Ney probability of each gram's byte after ``SHORT`` bytes."""
+    key, depth = short & ((1 << 56) - 1), short >> 56
+    mask = lambda o: (1 << 8 * (o + 1)) - 1
+    levels, k, d = [], key, depth
+    for o in range(SHORT, -1, -1):
+        # distinct longer contexts are counted; words' beginnings have none
+        take = d >= o
+        u, n = np.unique(k[take] & mask(o), return_counts=True)
+        levels.append(Level(u, n))
+        k, d = np.concatenate([u, k[~take]]), np.concatenate([np.full(len(u), o), d[~take]])
+    p = np.full(len(short), 1 / 256)
+    for o, level in enumerate(reversed(levels)):
+        deep = np.flatnonzero(depth >= o)
+        p[deep] = level.smooth(key[deep] & mask(o), p[deep])
+    return p
 
 
 def differences(buf: np.ndarray, off: np.ndarray, ratio: Ratio) -> np.ndarray:
@@ -173,9 +186,9 @@ def differences(buf: np.ndarray, off: np.ndarray, ratio: Ratio) -> np.ndarray:
         return out
     u, first, inv = np.unique(span_hashes(buf, s, e), return_index=True, return_inverse=True)
     data, word = spelled(buf, s[first], e[first], lower=True)
-    i, key, short = contexts(data, word, ratio.order)
-    g, gfirst, ginv = np.unique(key, return_index=True, return_inverse=True)
-    each = np.bincount(word[i], ratio(g, short[gfirst])[ginv], minlength=len(u))[inv]
+    i, key, _ = contexts(data, word, ratio.order)
+    g, ginv = np.unique(key, return_inverse=True)
+    each = np.bincount(word[i], ratio(g)[ginv], minlength=len(u))[inv]
     count = np.bincount(row, minlength=n)
     has = np.flatnonzero(count)
     out[:, 0] = np.bincount(row, each, minlength=n) / np.maximum(count, 1)
