@@ -61,7 +61,8 @@ MARKS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising"
          "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
+                   r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*)(?:>|\Z)", re.S)
 ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 SPLIT = re.compile(r"[^a-z0-9]+")
 NEITHER, IN_CHROME, IN_MAIN = 0, 1, 2
@@ -84,13 +85,30 @@ def blocks(page: str) -> list[tuple[str, int]]:
     stack: list[tuple[str, int]] = []  # element, part within it
     text: list[str] = []
     part, at, size = NEITHER, 0, len(page)
+    # an inline element of chrome within a block: its place in stack and text
+    inline, mark, outer = -1, 0, NEITHER
 
     def close():
+        nonlocal mark
+        if inline >= 0:
+            del text[mark:]
+            mark = 0
         if text:
             t = " ".join(entities.unescape("".join(text)).split())
             text.clear()
             if t:
-                out.append((t, part))
+                out.append((t, outer if inline >= 0 else part))
+
+    def leave(i):
+        """Close the elements from place ``i`` on."""
+        nonlocal inline, part
+        if 0 <= i <= inline:
+            del text[mark:]
+            inline, part = -1, outer
+        if any(n not in INLINE for n, _ in stack[i:]):
+            close()
+        del stack[i:]
+        part = stack[-1][1] if stack else NEITHER
 
     while at < size:
         m = TOKEN.search(page, at)
@@ -107,11 +125,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
         if m.group(1):
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    if name not in INLINE:
-                        close()
-                    del stack[i:]
-                    # an unclosed inline element ends with its block
-                    part = stack[-1][1] if stack else NEITHER
+                    leave(i)  # unclosed elements within it end too
                     break
             else:
                 if name not in INLINE:
@@ -128,7 +142,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
             continue
         if name in INLINE:
             if attributes and name not in VOID and part != IN_CHROME and _marked(attributes):
-                close()
+                inline, mark, outer = len(stack), len(text), part
                 stack.append((name, IN_CHROME))
                 part = IN_CHROME
             elif name not in VOID and not attributes.rstrip().endswith("/"):
@@ -141,8 +155,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
             # such an element ends an open one of its kind
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    del stack[i:]
-                    part = stack[-1][1] if stack else NEITHER
+                    leave(i)
                     break
                 if stack[i][0] not in INLINE and stack[i][0] not in ("p", "td", "th", "dt", "dd"):
                     break
