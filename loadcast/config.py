@@ -18,7 +18,7 @@ from dataclasses import dataclass, replace
 # Allowed out-of-orderness of the event-time watermark: 10 seconds
 # Entity names used in predictions: "House", "Plug"
 # Key-string delimiter: "|"
-# Document index name: "smartgrid"; document types "prediction_<N>min" (sinks.store) and "raw"
+# Document types: "prediction_<N>min" (sinks.store) and "raw"
 # Feed defaults: topic "sensor_raw", brokers "localhost:9092"
 # ---------------------------------------------------------------------------
 SLIDE_SECONDS = 30
@@ -28,15 +28,17 @@ WATERMARK_DELAY = "10 seconds"
 HOUSE_NAME = "House"
 PLUG_NAME = "Plug"
 KEY_DELIMITER = "|"
-INDEX_NAME = "smartgrid"
 RAW_DOC_TYPE = "raw"
 DEFAULT_TOPIC = "sensor_raw"
 DEFAULT_BROKERS = "localhost:9092"
 
-# Values are summed as exact integers of 10**-VALUE_SCALE units (milli-units by
-# default): sums are then independent of partitioning and summation order, so
-# retries and different cluster sizes give bit-identical averages.
-VALUE_SCALE = 3
+# Values are summed as DECIMAL(38, VALUE_SCALE): exact for every reading of up to
+# 12 fractional digits, and independent of partitioning and summation order, so
+# retries and different cluster sizes give bit-identical averages. 26 digits are
+# left before the point; the largest running sum (a week of one key, counted
+# 2*10*30*120*240 times on the way up the cascade) needs 8 more digits plus those
+# of the 30-second total itself.
+VALUE_SCALE = 12
 
 
 def retention_seconds(minutes: int) -> int:
@@ -56,22 +58,21 @@ class Entity:
     name: str
     key_cols: tuple[str, ...]
     presum_cols: tuple[str, ...]
-    family: str
 
     @property
     def slug(self) -> str:
         return self.name.lower()
 
 
-HOUSE = Entity(HOUSE_NAME, ("house_id",), ("house_id",), "house_avg")
+HOUSE = Entity(HOUSE_NAME, ("house_id",), ("house_id",))
 PLUG = Entity(PLUG_NAME, ("house_id", "household_id", "plug_id"),
-              ("house_id", "household_id", "plug_id"), "plug_avg")
+              ("house_id", "household_id", "plug_id"))
 # Pre-sum key as the plug job wrote it: household is left out of the pre-sum key
 # and inherited from the first reading of each group.
 PLUG_AS_WRITTEN = Entity(PLUG_NAME, ("house_id", "household_id", "plug_id"),
-                         ("house_id", "plug_id"), "plug_avg")
+                         ("house_id", "plug_id"))
 # Keyed by plug number only (the superseded plug job).
-PLUG_ONLY = Entity("PlugOnly", ("plug_id",), ("plug_id",), "plug_avg")
+PLUG_ONLY = Entity("PlugOnly", ("plug_id",), ("plug_id",))
 
 FULL_KEY = ("house_id", "household_id", "plug_id")
 
@@ -87,12 +88,10 @@ class Options:
     median_scale: float = 1.0        # divide the median by this (1000 = as executed)
     include_current: bool = False    # current average inside its own median
     retention: bool = True           # False = keep all history (no TTL)
-    median_exact: bool = True        # False = percentile_approx at scale
-    store_key: str = "intent"        # "intent" | "as_written" key string
+    median_exact: bool = True        # False = percentile_approx, only without retention
     value_scale: int = VALUE_SCALE
     chunk_panes: int = 2880 * 7      # time chunk of the (key, chunk) partitioning
     cascade_partitions: int | None = None   # (key, chunk) partitions; None = shuffle setting
-    levels: tuple[int, ...] = LEVEL_MINUTES
 
     def with_(self, **kw) -> "Options":
         return replace(self, **kw)

@@ -73,9 +73,9 @@ def add_medians(df: DataFrame, targets: dict[str, tuple[Column, int]], part: lis
         w = Window.partitionBy(*part).orderBy(order)
         windows[name] = w.rangeBetween(-lo, hi) if options.retention else \
             w.rangeBetween(Window.unboundedPreceding, hi)
-    if options.median_exact and options.retention:
+    if options.retention:  # at most 2 * minutes + 1 values: always exact
         tmp = {k: f"_hist_{k}" for k in targets}
-        df = df.select("*", *[F.array_sort(F.collect_list(avg).over(windows[k])).alias(tmp[k])
+        df = df.select("*", *[F.sort_array(F.collect_list(avg).over(windows[k])).alias(tmp[k])
                               for k, (avg, _) in targets.items()])
         df = df.select("*", *[_finish(sorted_median(F.col(tmp[k])), options).alias(k) for k in targets])
         return df.drop(*tmp.values())

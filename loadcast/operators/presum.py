@@ -9,13 +9,36 @@ from ..config import SLIDE_SECONDS, Entity, Options
 from ..sources.sensor import SENSOR_COLUMNS
 
 
+def units_type(scale: int) -> str:
+    return f"decimal(38,{scale})"
+
+
 def to_units(value: Column, scale: int) -> Column:
-    """Value as an exact integer count of 10**-scale units."""
-    return F.round(value * F.lit(float(10 ** scale))).cast("long")
+    """Value as an exact decimal; NULL where it is no number that fits (NaN,
+    infinite, too large)."""
+    return value.try_cast(units_type(scale))
+
+
+def from_units(units: Column) -> Column:
+    """Nearest double of an exact decimal."""
+    return units.cast("double")
+
 
+def with_units(readings: DataFrame, scale: int) -> DataFrame:
+    """Readings with ``u``, their value as an exact decimal; readings whose value
+    does not fit are left out (:func:`unfit_counts` counts them)."""
+    return readings.withColumn("u", to_units(F.col("value"), scale)).where(F.col("u").isNotNull())
 
-def from_units(units: Column, scale: int) -> Column:
-    return units.cast("double") / F.lit(float(10 ** scale))
+
+def unfit_counts(readings: DataFrame, options: Options = Options()) -> DataFrame:
+    """(reason, count) of the readings that the sums leave out ("nan",
+    "infinite", "too_large") or take rounded to the scale ("too_fine")."""
+    v = F.col("value")
+    u = to_units(v, options.value_scale)
+    reason = (F.when(v.isNull(), "null").when(F.isnan(v), "nan").when(F.abs(v) == float("inf"), "infinite")
+              .when(u.isNull(), "too_large").when(from_units(u) != v, "too_fine"))
+    return (restrict(readings, options).select(reason.alias("reason")).where("reason is not null")
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("count")))
 
 
 def floordiv(expr: str, n: int) -> Column:
@@ -34,7 +57,7 @@ def presum(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
     """Total the readings of one entity per second.
 
     Output: the seven reading columns (``value`` = the total) plus ``u``, the
-    total in integer units. Fields outside the pre-sum key keep the values of
+    total as an exact decimal. Fields outside the pre-sum key keep the values of
     the group's first reading (lowest ``id``).
 
     * ``final``   one row per (key, second): a partial/final hash aggregate,
@@ -43,8 +66,7 @@ def presum(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
       (key, second) group in id order, as the streaming job emitted it.
     * ``none``    the readings unchanged.
     """
-    scale = options.value_scale
-    df = restrict(readings, options).withColumn("u", to_units(F.col("value"), scale))
+    df = with_units(restrict(readings, options), options.value_scale)
     by = list(entity.presum_cols) + ["timestamp"]
     kept = [c for c in SENSOR_COLUMNS if c not in by and c not in ("value", "id")]
     if options.presum == "none":
@@ -54,11 +76,11 @@ def presum(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
             F.sum("u").alias("u"),
             F.min("id").alias("id"),
             *[F.min_by(c, "id").alias(c) for c in kept])
-        return agg.select(*[c if c != "value" else from_units(F.col("u"), scale).alias("value")
+        return agg.select(*[c if c != "value" else from_units(F.col("u")).alias("value")
                             for c in SENSOR_COLUMNS], "u")
     if options.presum == "rolling":
         out = running_total(df, by, "id", "u", kept)
-        return out.select(*[c if c != "value" else from_units(F.col("u"), scale).alias("value")
+        return out.select(*[c if c != "value" else from_units(F.col("u")).alias("value")
                             for c in SENSOR_COLUMNS], "u")
     raise ValueError(f"unknown presum mode {options.presum!r}")
 
@@ -93,7 +115,7 @@ def running_total(df: DataFrame, group: list[str], order: str, value: str,
     whole = w_b.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = per_bucket.select(
         *group, "_b",
-        F.coalesce(F.sum("_tot").over(before), F.lit(0).cast("long")).alias("_off"),
+        F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"),
         *[F.first(f"_f_{c}").over(whole).alias(f"_g_{c}") for c in first_of])
     out = df.drop(*first_of).join(offsets, [*group, "_b"])
     out = out.withColumn(value, F.col("_run") + F.col("_off"))
@@ -103,10 +125,22 @@ def running_total(df: DataFrame, group: list[str], order: str, value: str,
 
 
 def panes(presummed: DataFrame, key_cols: tuple[str, ...]) -> DataFrame:
-    """One row per (key, 30-s pane): unit sum ``s``, row count ``c``, latest
+    """One row per (key, 30-s pane): exact sum ``s``, row count ``c``, latest
     timestamp ``t``; ``pos`` is the pane index (epoch seconds div 30)."""
     return (presummed
             .withColumn("pos", floordiv("timestamp", SLIDE_SECONDS))
             .groupBy(*key_cols, "pos")
             .agg(F.sum("u").alias("s"), F.count(F.lit(1)).alias("c"),
                  F.max("timestamp").alias("t")))
+
+
+def panes_of_seconds(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
+    """The panes of the ``final`` pre-sum in one aggregate, for entities whose
+    pre-sum key is their window key: a pane's sum needs no second totals, and the
+    number of its distinct seconds is the number of bits set by them."""
+    second = F.expr(f"shiftleft(1, cast(pmod(timestamp, {SLIDE_SECONDS}) as int))")
+    return (with_units(restrict(readings, options), options.value_scale)
+            .withColumn("pos", floordiv("timestamp", SLIDE_SECONDS))
+            .groupBy(*entity.key_cols, "pos")
+            .agg(F.sum("u").alias("s"), F.bit_count(F.bit_or(second)).cast("long").alias("c"),
+                 F.max("timestamp").alias("t")))

@@ -8,7 +8,7 @@ when its own last pane is empty. Each level of the cascade is computed as
    ``pos .. min(next_pos - 1, pos + n - 1)`` (``lead`` + ``explode``), so
    each end is generated exactly once;
 2. prefix sums over the spine: ``sum(last n panes) = S(<= e) - S(<= e-n)``,
-   two running range frames, O(1) per row. Sums are integer units, so the
+   two running range frames, O(1) per row. Sums are decimals, so the
    difference is exact; the latest timestamp is a running ``max`` because it
    grows with the pane.
 
@@ -93,7 +93,7 @@ def slide(df: DataFrame, part: list[str], n: int, chunk: int,
     w = Window.partitionBy(*part).orderBy("pos")
     upto = w.rangeBetween(Window.unboundedPreceding, 0)
     before = w.rangeBetween(Window.unboundedPreceding, -n)
-    zero = F.lit(0).cast("long")
+    zero = F.lit(0)
     return spine.select(
         *part, "pos",
         (F.sum("s").over(upto) - F.coalesce(F.sum("s").over(before), zero)).alias("s"),
@@ -140,10 +140,10 @@ def cascade_wide(pane_rows: DataFrame, key_cols: tuple[str, ...], level_panes: l
             .withColumnRenamed("t", f"t{last}"))
 
 
-def level_struct(i: int, n: int, scale: int, extra: dict | None = None) -> Column:
+def level_struct(i: int, n: int, extra: dict | None = None) -> Column:
     """Averages of level ``i`` of a wide row as a struct (NULL fields where
     the level has no window ending at this row)."""
-    total = from_units(F.col(f"s{i}"), scale)
+    total = from_units(F.col(f"s{i}"))
     fields = [((F.col("pos") - (n - 1)) * SLIDE_SECONDS).alias("window_start"),
               ((F.col("pos") + 1) * SLIDE_SECONDS).alias("window_end"),
               total.alias("sum"), F.col(f"c{i}").alias("count"),
@@ -157,10 +157,10 @@ def home(df: DataFrame, chunk: int) -> DataFrame:
     return df.where(floordiv("pos", chunk) == F.col(CHUNK))
 
 
-def averages(df: DataFrame, key_cols: tuple[str, ...], n: int, scale: int,
+def averages(df: DataFrame, key_cols: tuple[str, ...], n: int,
              extra: tuple[str, ...] = ()) -> DataFrame:
     """Level rows -> averages columns (window bounds in epoch seconds)."""
-    total = from_units(F.col("s"), scale)
+    total = from_units(F.col("s"))
     return df.select(
         *key_cols,
         ((F.col("pos") - (n - 1)) * SLIDE_SECONDS).alias("window_start"),

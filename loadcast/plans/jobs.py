@@ -1,15 +1,16 @@
-"""Batch jobs and their command line: feed, house averaging, plug averaging.
+"""Jobs and their command line: feed, house averaging, plug averaging; batch or
+streaming.
 
     python -m loadcast.plans.jobs house --source csv --path data/*.csv.gz \\
         --store /shared/averages --docs /shared/predictions
+    python -m loadcast.plans.jobs plug --streaming --store /shared/s --docs /shared/p --checkpoint /shared/c
     python -m loadcast.plans.jobs feed --source csv --path data.csv.gz --sink text --out /shared/feed
 
-The averaging job computes the cascade once, level by level. Every level is
-``checkpoint()``-ed into ``spark.checkpoint.dir``: the checkpoint keeps the
-``(key, chunk)`` hash partitioning and sort order, so the next level runs
-without a new exchange, and a lost executor recomputes from the last
-checkpoint instead of from the raw scan. Store and document writes overwrite
-their ``(entity, window_minutes)`` partitions, so a re-run replaces output.
+A batch run adds its readings' panes to the store and recomputes the averages,
+medians and predictions of every day that they can change, from the panes of
+all runs: the first windows of a run read the stored tail of earlier ones
+(look-back of the cascade and retention of the medians), later stored windows
+that now see new data are replaced, and a repeated run changes nothing.
 """
 
 from __future__ import annotations
@@ -21,81 +22,58 @@ from pyspark.sql import functions as F
 
 from ..config import (DEFAULT_BROKERS, DEFAULT_TOPIC, HOUSE, LEVEL_MINUTES, PLUG, PLUG_AS_WRITTEN,
                       Entity, Options)
-from ..operators.median import history_frame, predict, with_median, with_median_all_history
-from ..operators.windows import CHUNK, _with_next, averages, home, lookback, panes_per_window, slide, spread
-from ..session import build_session, conf_override, configure, shared_dir
-from ..sinks.store import debug_dump, kafka_records, prediction_documents, write_kafka
-from ..sources.sensor import load_sensor, rebase_event_time
-from .pipeline import entity_panes, with_full_key
-
-STORE_COLS = ["entity", "window_minutes", "house_id", "household_id", "plug_id", "window_start",
-              "window_end", "sum", "count", "event_timestamp", "avg"]
-
-
-def _overwrite_partitions(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("entity", "window_minutes"))
-    (w.parquet(path) if fmt == "parquet" else w.text(path))
+from ..operators.presum import presum, unfit_counts
+from ..session import build_session, configure, scratch_path, shared_dir
+from ..sinks.store import (DAY_PANES, debug_dump, kafka_records, prediction_documents, raw_documents, read_panes,
+                           replace_averages, write_documents, write_kafka, write_panes)
+from ..sources.sensor import SENSOR_COLUMNS, dropped_lines, load_sensor, read_text, rebase_event_time
+from .pipeline import as_predictions, entity_panes, reach, windows_from_panes
 
 
 def averaging_job(spark: SparkSession, readings: DataFrame, entity: Entity, store_path: str | None,
                   docs_path: str | None, options: Options = Options(),
                   levels: tuple[int, ...] = LEVEL_MINUTES, now_ms: int | None = None,
-                  debug_dir: str | None = None) -> dict[int, int]:
-    """Run the averaging job; returns the number of averages per level.
-
-    Runs with AQE off: Spark records the hash partitioning of a checkpoint
-    only for non-adaptive plans, and the level chain depends on it to avoid
-    one exchange per level. The job has no joins; aggregate skew is handled
-    by map-side partial aggregation and by the (key, chunk) split."""
+                  debug_dir: str | None = None, run_id: str | None = None, raw_path: str | None = None,
+                  doc_format: str = "json", doc_options: dict | None = None) -> dict[int, int]:
+    """Run the averaging job on the readings; returns the number of averages per
+    level that it wrote. ``run_id`` names the readings' panes in the store; by
+    default it is made from the panes, so that the same data is the same run."""
     configure(spark)
-    shared_dir(spark)   # checkpoints go to the cluster's shared checkpoint dir
-    with conf_override(spark, {"spark.sql.adaptive.enabled": "false"}):
-        return _averaging_job(spark, readings, entity, store_path, docs_path, options, levels,
-                              now_ms, debug_dir)
-
-
-def _averaging_job(spark, readings, entity, store_path, docs_path, options, levels, now_ms,
-                   debug_dir) -> dict[int, int]:
-    deepest = max(LEVEL_MINUTES.index(m) for m in levels)
-    chain = list(LEVEL_MINUTES[:deepest + 1])
-    n = [panes_per_window(m) for m in chain]
-    look = lookback(n)
-    halo = look[-1]
-    if options.retention and options.median_mode == "history":
-        halo = max([halo] + [look[i] + history_frame(m, options.include_current)[0]
-                             for i, m in enumerate(chain) if m in levels])
-    part = list(entity.key_cols) + [CHUNK]
-    pane_rows = entity_panes(readings, entity, options)
-    debug_dump(pane_rows, debug_dir, f"{entity.slug}/panes")
-    df = _with_next(spread(pane_rows, options.chunk_panes, halo, entity.key_cols,
-                              options.cascade_partitions), part).checkpoint()
-    counts = {}
-    for i, m in enumerate(chain):
-        df = slide(df, part, n[i], options.chunk_panes).checkpoint()
-        if m not in levels:
-            continue
-        avg = averages(df, entity.key_cols, n[i], options.value_scale, extra=(CHUNK, "pos"))
-        if options.retention:
-            enriched = home(with_median(avg, part, m, options), options.chunk_panes)
-        else:
-            enriched = home(avg, options.chunk_panes)
-            enriched = (with_median_all_history(enriched.drop(CHUNK), list(entity.key_cols), options)
-                        if options.median_mode == "history" and options.median_exact
-                        else with_median(enriched, list(entity.key_cols), m, options))
-        enriched = enriched.drop(CHUNK, "pos") if CHUNK in enriched.columns else enriched.drop("pos")
-        rows = (with_full_key(predict(enriched, entity.name, m), entity)
-                .withColumn("window_minutes", F.lit(m))).persist()
-        try:
-            counts[m] = rows.count()
-            if store_path:
-                _overwrite_partitions(rows.select(*STORE_COLS), store_path)
-            if docs_path:
-                docs = prediction_documents(rows, now_ms)
-                _overwrite_partitions(docs.select("entity", "window_minutes", "value"), docs_path, "text")
-            debug_dump(rows, debug_dir, f"{entity.slug}/{m}min")
-        finally:
-            rows.unpersist()
+    store = store_path or scratch_path(spark, "store")
+    name = entity.slug
+    if raw_path or debug_dir:
+        seconds = presum(readings, entity, options).select(*SENSOR_COLUMNS)
+        debug_dump(seconds, debug_dir, f"{name}/presum")
+        if raw_path:
+            write_documents(raw_documents(seconds), raw_path, doc_format, doc_options)
+    panes = entity_panes(readings, entity, options).persist()
+    try:
+        seen = panes.agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.count("*").alias("n"),
+                         F.sum(F.xxhash64(*panes.columns).cast("decimal(38,0)")).alias("hash")).first()
+        if seen["n"] == 0:
+            return {m: 0 for m in levels}
+        run = run_id or f"r{seen['first']}-{seen['n']}-{int(seen['hash']) % (1 << 64):016x}"
+        write_panes(panes, store, entity, run)
+        debug_dump(panes, debug_dir, f"{name}/panes")
+    finally:
+        panes.unpersist()
+    back, ahead = reach(levels, options)
+    day = lambda pos: pos // DAY_PANES
+    first, last = day(seen["first"]) * DAY_PANES, (day(seen["last"] + ahead) + 1) * DAY_PANES - 1
+    if not options.retention:  # every later median sees all history
+        first, last, back = 0, day(seen["last"] + 400 * DAY_PANES) * DAY_PANES, 0
+    rows = windows_from_panes(read_panes(spark, store, entity, max(first - back, 0), last), entity, levels, options, first, last)
+    rows = as_predictions(rows, entity).persist()
+    try:
+        counts = {m: 0 for m in levels} | {r["window_minutes"]: r["count"] for r in rows.groupBy("window_minutes").count().collect()}
+        replace_averages(rows, store)
+        debug_dump(rows.drop("median_load", "sliding_window_ms", "predicted_value"), debug_dir, f"{name}/averages")
+        debug_dump(rows.drop("sliding_window_ms", "predicted_value"), debug_dir, f"{name}/enriched")
+        debug_dump(rows, debug_dir, f"{name}/predictions")
+        if docs_path:
+            write_documents(prediction_documents(rows, now_ms), docs_path, doc_format, doc_options)
+    finally:
+        rows.unpersist()
     return counts
 
 
@@ -123,10 +101,18 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("job", choices=["feed", "house", "plug"])
     p.add_argument("--source", default="kafka", choices=["kafka", "csv", "parquet", "text"])
     p.add_argument("--path")
+    p.add_argument("--min-partitions", type=int, help="spread unsplittable .gz files over so many tasks")
     p.add_argument("--topic", default=DEFAULT_TOPIC)
     p.add_argument("--bootstrap.servers", dest="brokers", default=DEFAULT_BROKERS)
+    p.add_argument("--group.id", dest="group_id")
+    p.add_argument("--streaming", action="store_true")
+    p.add_argument("--checkpoint", help="checkpoint folder of a streaming job")
+    p.add_argument("--once", action="store_true", help="streaming: take what is there, then end")
     p.add_argument("--store")
     p.add_argument("--docs")
+    p.add_argument("--doc-format", default="json")
+    p.add_argument("--raw-docs")
+    p.add_argument("--run-id")
     p.add_argument("--sink", default="kafka", choices=["kafka", "text"])
     p.add_argument("--out")
     p.add_argument("--rebase-to", type=int)
@@ -143,17 +129,38 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--master")
     a = p.parse_args(argv)
     spark = build_session(a.master) if a.master else configure(SparkSession.builder.getOrCreate())
-    kw = {"topic": a.topic, "brokers": a.brokers} if a.source == "kafka" else {}
-    readings = load_sensor(spark, a.source, a.path, streaming=False, **kw)
-    if a.job == "feed":
-        feed_job(spark, readings, a.sink, a.out, a.topic, a.brokers, a.rebase_to, a.debug_dir)
-        return
-    entity = PLUG_AS_WRITTEN if (a.job == "plug" and a.presum_key == "as_written") else ENTITIES[a.job]
+    kw = {"topic": a.topic, "brokers": a.brokers, "group_id": a.group_id} if a.source == "kafka" else {}
+    if a.source == "csv" and a.min_partitions and not a.streaming:
+        kw["min_partitions"] = a.min_partitions
+    readings = load_sensor(spark, a.source, a.path, streaming=a.streaming, **kw)
     opts = Options(presum=a.presum, property=a.property, median_mode=a.median_mode,
                    median_scale=a.median_scale, include_current=a.include_current,
                    retention=not a.no_retention, median_exact=not a.approx_median)
     levels = tuple(int(x) for x in a.levels.split(","))
-    print(averaging_job(spark, readings, entity, a.store, a.docs, opts, levels, debug_dir=a.debug_dir))
+    entity = None if a.job == "feed" else (
+        PLUG_AS_WRITTEN if (a.job == "plug" and a.presum_key == "as_written") else ENTITIES[a.job])
+    if a.streaming:
+        from ..streaming.jobs import start_averaging_job, start_feed_job
+        trigger = {"availableNow": True} if a.once else {"processingTime": "30 seconds"}
+        checkpoint = a.checkpoint or f"{shared_dir(spark)}/stream-{a.job}"
+        if a.job == "feed":
+            queries = [start_feed_job(readings, checkpoint, a.sink, a.out, a.topic, a.brokers, a.rebase_to, trigger)]
+        else:
+            queries = start_averaging_job(spark, readings, entity, a.store, a.docs, checkpoint, opts, levels, trigger,
+                                          doc_format=a.doc_format)
+        for q in queries:
+            q.awaitTermination()
+        return
+    if a.source in ("csv", "text"):
+        print("lines dropped:", dropped_lines(read_text(spark, a.path)).first()["dropped"])
+    if a.job == "feed":
+        feed_job(spark, readings, a.sink, a.out, a.topic, a.brokers, a.rebase_to, a.debug_dir)
+        return
+    unfit = {r["reason"]: r["count"] for r in unfit_counts(readings, opts).collect()}
+    if unfit:
+        print("readings that do not fit:", unfit)
+    print(averaging_job(spark, readings, entity, a.store, a.docs, opts, levels, debug_dir=a.debug_dir, run_id=a.run_id,
+                        raw_path=a.raw_docs, doc_format=a.doc_format))
 
 
 if __name__ == "__main__":

@@ -3,7 +3,8 @@
 Deliberately written the naive way: every sliding window is materialised by
 a cross join with ``range(0, n)`` and a GROUP BY on the window end, level by
 level -- nothing of the pane/prefix-sum plan is shared with the Spark side.
-Sums are integer thousandths in both engines so doubles match bit for bit.
+Values are summed unrounded: as DECIMALs read from the shortest text of each
+double, and totals go back to the nearest double by way of their text.
 """
 
 from __future__ import annotations
@@ -11,13 +12,12 @@ from __future__ import annotations
 from ..config import LEVEL_MINUTES, SLIDE_SECONDS, VALUE_SCALE, retention_seconds
 from ..sources.sensor import ADAPTER_SQL
 
-UNIT = 10 ** VALUE_SCALE
-U = f"CAST(round(value * {UNIT}) AS BIGINT)"
+U = f"CAST(CAST(value AS VARCHAR) AS DECIMAL(38, {VALUE_SCALE}))"
 READINGS = f"readings AS ({ADAPTER_SQL})"
 
 
 def dbl(x: str) -> str:
-    return f"(CAST({x} AS DOUBLE) / CAST({UNIT} AS DOUBLE))"
+    return f"CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
 
 
 def keys_sql(keys) -> str:

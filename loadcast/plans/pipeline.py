@@ -2,10 +2,10 @@
 predictions, for any entity and option set.
 
 Shuffles of the whole plan, independent of the number of levels:
-1. pre-sum, partial/final aggregate on (key, second) -- the only shuffle of
-   raw-sized data, combined map-side first;
-2. pane aggregate on (key, pane), again combined map-side (~30x smaller);
-3. one exchange on (key, time chunk) that serves every cascade level and the
+1. pre-sum and panes in one aggregate on (key, pane), combined map-side first
+   (two aggregates, on (key, second) and (key, pane), only where the pre-sum key
+   is not the window key or the pre-sum is the rolling one);
+2. one exchange on (key, time chunk) that serves every cascade level and the
    trailing median windows.
 """
 
@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_OPTIONS, FULL_KEY, LEVEL_MINUTES, Entity, Options
+from ..config import DEFAULT_OPTIONS, FULL_KEY, LEVEL_MINUTES, SLIDE_SECONDS, Entity, Options
 from ..operators.median import (add_medians, history_frame, with_median,
                                 with_median_all_history)
-from ..operators.presum import from_units, panes, presum, restrict, to_units
+from ..operators.presum import from_units, panes, panes_of_seconds, presum, restrict, with_units
 from ..operators.windows import (CHUNK, averages, cascade, cascade_wide, home, level_struct, lookback,
                                  panes_per_window)
 
@@ -29,6 +29,8 @@ def _chain_for(levels: tuple[int, ...]) -> list[int]:
 
 
 def entity_panes(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
+    if options.presum == "final" and entity.presum_cols == entity.key_cols:
+        return panes_of_seconds(readings, entity, options)
     return panes(presum(readings, entity, options), entity.key_cols)
 
 
@@ -41,7 +43,7 @@ def _halo(chain: list[int], levels: tuple[int, ...], options: Options, medians:
     return halo
 
 
-def all_levels(readings: DataFrame, entity: Entity, levels: tuple[int, ...] = LEVEL_MINUTES,
+def all_levels(readings: DataFrame | None, entity: Entity, levels: tuple[int, ...] = LEVEL_MINUTES,
                options: Options = DEFAULT_OPTIONS, medians: bool = False,
                pane_rows: DataFrame | None = None) -> DataFrame:
     """Averages (and ``median_load``) of several levels in long format with
@@ -59,11 +61,10 @@ def all_levels(readings: DataFrame, entity: Entity, levels: tuple[int, ...] = LE
     idx = {m: i for i, m in enumerate(chain) if m in levels}
     with_med = medians and options.retention
     if with_med:
-        wide = add_medians(wide, {f"med{i}": (from_units(F.col(f"s{i}"), options.value_scale) / F.col(f"c{i}"), m)
+        wide = add_medians(wide, {f"med{i}": (from_units(F.col(f"s{i}")) / F.col(f"c{i}"), m)
                                   for m, i in idx.items()}, part, options)
     per_level = [F.struct(F.lit(m).alias("window_minutes"),
-                          level_struct(i, n[i], options.value_scale,
-                                       {"median_load": F.col(f"med{i}")} if with_med else None).alias("v"))
+                          level_struct(i, n[i], {"median_load": F.col(f"med{i}")} if with_med else None).alias("v"))
                  for m, i in idx.items()]
     keys = list(entity.key_cols)
     long = (home(wide.select(*part, "pos", F.array(*per_level).alias("levels")), chunk)
@@ -96,7 +97,7 @@ def level_frames(readings: DataFrame, entity: Entity, levels: tuple[int, ...],
     for i, m in enumerate(chain):
         if m not in levels:
             continue
-        df = averages(frames[i], entity.key_cols, n[i], options.value_scale, extra=(CHUNK, "pos"))
+        df = averages(frames[i], entity.key_cols, n[i], extra=(CHUNK, "pos"))
         if medians and options.retention:
             df = with_median(df, part, m, options)
             df = home(df, options.chunk_panes)
@@ -115,15 +116,29 @@ def level_averages(readings: DataFrame, entity: Entity, minutes: int,
     return level_frames(readings, entity, (minutes,), options)[minutes]
 
 
-def enriched(readings: DataFrame, entity: Entity, minutes: int,
-             options: Options = DEFAULT_OPTIONS) -> DataFrame:
-    return level_frames(readings, entity, (minutes,), options, medians=True)[minutes]
-
-
 def predictions(readings: DataFrame, entity: Entity, levels: tuple[int, ...] = LEVEL_MINUTES,
                 options: Options = DEFAULT_OPTIONS) -> DataFrame:
     """Predictions of all requested levels (one cascade pass)."""
-    df = all_levels(readings, entity, levels, options, medians=True)
+    return as_predictions(all_levels(readings, entity, levels, options, medians=True), entity)
+
+
+def reach(levels: tuple[int, ...], options: Options) -> tuple[int, int]:
+    """Panes that the windows and medians of the levels look back over, and so
+    also how far ahead a pane is still seen."""
+    back = _halo(_chain_for(levels), levels, options, medians=True)
+    return back, back
+
+
+def windows_from_panes(pane_rows: DataFrame, entity: Entity, levels: tuple[int, ...], options: Options,
+                       first: int, last: int) -> DataFrame:
+    """Averages with medians of all levels whose window's last pane is in
+    ``first .. last``, from panes that reach back far enough."""
+    rows = all_levels(None, entity, levels, options, medians=True, pane_rows=pane_rows)
+    return rows.where(F.col("window_end").between((first + 1) * SLIDE_SECONDS, (last + 1) * SLIDE_SECONDS))
+
+
+def as_predictions(df: DataFrame, entity: Entity) -> DataFrame:
+    """Enriched averages with entity, full key and predicted value."""
     df = (df.withColumn("entity", F.lit(entity.name))
           .withColumn("sliding_window_ms", (F.col("window_minutes") * 60000).cast("long"))
           .withColumn("predicted_value", (F.col("avg") + F.col("median_load")) / F.lit(2.0)))
@@ -152,12 +167,12 @@ def direct_averages(readings: DataFrame, key_cols: tuple[str, ...], minutes: int
                     options: Options = DEFAULT_OPTIONS, with_timestamp: bool = False) -> DataFrame:
     """True N-minute sliding averages straight from the readings (no
     pre-sum, no cascade): sum and count of the readings in each window."""
-    df = restrict(readings, options).withColumn("u", to_units(F.col("value"), options.value_scale))
+    df = with_units(restrict(readings, options), options.value_scale)
     pane_rows = panes(df, key_cols)
     n = panes_per_window(minutes)
     frames = cascade(pane_rows, key_cols, [n], options.chunk_panes, halo=n - 1,
                      partitions=options.cascade_partitions)
     extra = (CHUNK, "pos")
-    out = home(averages(frames[0], key_cols, n, options.value_scale, extra=extra), options.chunk_panes)
+    out = home(averages(frames[0], key_cols, n, extra=extra), options.chunk_panes)
     out = out.drop(*extra)
     return out if with_timestamp else out.drop("event_timestamp")

@@ -10,6 +10,7 @@ defect a line gets) -- every reading still yields one line.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,10 @@ from ..functions.docs import parse_prediction, parse_raw, prediction_json, raw_j
 from ..functions.keys import key_parse, key_string, scaled_avg, value_parse
 from ..functions.text import cleanse, tokenize_ws
 from ..operators.median import median_of_store
-from ..operators.presum import presum
+from ..operators.presum import presum, unfit_counts
 from ..session import scratch_path
-from ..sinks.store import kafka_records, read_averages, write_averages
-from ..sources.sensor import (SENSOR_COLUMNS, decode_kafka, parse_lines, read_text,
+from ..sinks.store import compact, kafka_records, read_averages, write_averages
+from ..sources.sensor import (ADAPTER_SQL, SENSOR_COLUMNS, decode_kafka, dropped_lines, load_sensor, parse_lines, read_text,
                               rebase_event_time, sensor_from_testdata)
 from . import oracle as O
 from .pipeline import (all_levels, averages_table, direct_averages, level_averages, level_frames,
@@ -105,19 +106,30 @@ register("avg_1min_plug", O.level_sql(PLUG_KEY, 1))(_level_q(PLUG, 1))
 register("house_load_only", O.level_sql(HOUSE_KEY, 1, prop=1))(_level_q(HOUSE, 1, Options(property=1)))
 for _m in (5, 15, 60, 120):
     register(f"cascade_{_m}min_house", O.level_sql(HOUSE_KEY, _m))(_level_q(HOUSE, _m))
-for _m in (5, 15):
+for _m in (5, 15, 60, 120):
     register(f"cascade_{_m}min_plug", O.level_sql(PLUG_KEY, _m))(_level_q(PLUG, _m))
-register("cascade_5min_house_nopresum", O.level_sql(HOUSE_KEY, 5, mode="none"))(
-    _level_q(HOUSE, 5, Options(presum="none")))
-register("cascade_5min_house_rolling", O.level_sql(HOUSE_KEY, 5, mode="rolling"))(
-    _level_q(HOUSE, 5, Options(presum="rolling")))
-register("cascade_5min_plug_as_written", O.level_sql(PLUG_KEY, 5, as_written=True))(
-    _level_q(PLUG_AS_WRITTEN, 5))
 
 
-@register("cascade_5min_plug_only", O.level_sql(("plug_id",), 5, mode="none", ts=False))
+def _cascade_q(entity, opts=Options()):
+    """All five levels in long format."""
+    def q(spark, sf):
+        return averages_table(readings(spark, sf), entity, _ALL, opts)
+    return q
+
+
+_ALL = (1, 5, 15, 60, 120)
+register("cascade_house_nopresum", O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, mode="none"))(
+    _cascade_q(HOUSE, Options(presum="none")))
+register("cascade_house_rolling", O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, mode="rolling"))(
+    _cascade_q(HOUSE, Options(presum="rolling")))
+register("cascade_plug_as_written", O.multi_level_sql(PLUG_KEY, _ALL, PLUG_NAME, as_written=True))(
+    _cascade_q(PLUG_AS_WRITTEN))
+
+
+@register("cascade_plug_only", "SELECT * EXCLUDE (event_timestamp) FROM ("
+          + O.multi_level_sql(("plug_id",), _ALL, PLUG_ONLY.name, mode="none") + ")")
 def _plug_only(spark, sf):
-    return level_averages(readings(spark, sf), PLUG_ONLY, 5, Options(presum="none")).drop("event_timestamp")
+    return _cascade_q(PLUG_ONLY, Options(presum="none"))(spark, sf).drop("event_timestamp")
 
 
 def _direct_q(minutes):
@@ -146,7 +158,7 @@ register("median_history_5min_house_current", O.level_sql(HOUSE_KEY, 5, median={
 register("median_history_1min_house_scaled", O.level_sql(HOUSE_KEY, 1, median={"scale": 1000.0}))(
     _enriched_q(HOUSE, 1, Options(median_scale=1000.0)))
 
-_ALL = (1, 5, 15, 60, 120)
+
 @register("enrich_house", O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, median={}))
 def _enrich(spark, sf):
     df = all_levels(readings(spark, sf), HOUSE, _ALL, Options(), medians=True)
@@ -155,8 +167,8 @@ def _enrich(spark, sf):
 
 register("predict_house", O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, median={}, predict=True))(
     lambda spark, sf: predictions(readings(spark, sf), HOUSE, _ALL))
-register("predict_plug", O.multi_level_sql(PLUG_KEY, (1, 5, 15), PLUG_NAME, median={}, predict=True))(
-    lambda spark, sf: predictions(readings(spark, sf), PLUG, (1, 5, 15)))
+register("predict_plug", O.multi_level_sql(PLUG_KEY, _ALL, PLUG_NAME, median={}, predict=True))(
+    lambda spark, sf: predictions(readings(spark, sf), PLUG, _ALL))
 register("predict_house_zero_median",
          O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, median={}, predict=True)
          .replace("coalesce(median(avg)", "0.0 * coalesce(median(avg)"))(
@@ -166,14 +178,14 @@ register("predict_house_zero_median",
 # ----------------------------------------------------------------- store
 def _table_sql():
     h = O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME)
-    p = O.multi_level_sql(PLUG_KEY, (1, 5, 15), PLUG_NAME)
+    p = O.multi_level_sql(PLUG_KEY, _ALL, PLUG_NAME)
     return f"SELECT * FROM ({h}) UNION ALL SELECT * FROM ({p})"
 
 
 @register("averages_table", _table_sql())
 def _averages_table(spark, sf):
     r = readings(spark, sf)
-    return averages_table(r, HOUSE, _ALL).unionByName(averages_table(r, PLUG, (1, 5, 15)))
+    return averages_table(r, HOUSE, _ALL).unionByName(averages_table(r, PLUG, _ALL))
 
 
 _STORE_COLS = ["entity", "window_minutes", "house_id", "household_id", "plug_id",
@@ -188,12 +200,52 @@ def _averages_sorted(spark, sf):
     return read_averages(spark, path).select(*_STORE_COLS)
 
 
-@register("median_store", O.multi_level_sql(HOUSE_KEY, (5,), HOUSE_NAME, median={}))
+@register("median_store", O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, median={}))
 def _median_store(spark, sf):
     path = scratch_path(spark, "averages")
-    write_averages(averages_table(readings(spark, sf), HOUSE, (1, 5)), path, mode="overwrite")
-    stored = read_averages(spark, path, entity=HOUSE_NAME, minutes=5).select(*_STORE_COLS)
-    return median_of_store(stored, HOUSE_KEY, 5, Options())
+    write_averages(averages_table(readings(spark, sf), HOUSE, _ALL), path, mode="overwrite")
+    per_level = [median_of_store(read_averages(spark, path, entity=HOUSE_NAME, minutes=m).select(*_STORE_COLS), HOUSE_KEY, m, Options())
+                 for m in _ALL]
+    return reduce(DataFrame.unionByName, per_level)
+
+
+_DOC_COLS = ("house_id, household_id, plug_id, \"sum\", \"count\", avg, event_timestamp, median_load, entity, "
+             f"sliding_window_ms, predicted_value, CAST({PREDICTION_NOW_MS} AS BIGINT) AS timestamp")
+
+
+def _docs_sql(keys, name, mode="final"):
+    return f"SELECT {_DOC_COLS} FROM ({O.multi_level_sql(keys, _ALL, name, mode=mode, median={}, predict=True)})"
+
+
+@register("store_two_runs", _docs_sql(HOUSE_KEY, HOUSE_NAME))
+def _store_two_runs(spark, sf):
+    """The batch job on the earlier half of the readings, then on the later half,
+    then on the earlier half again, into one store: the documents are those of
+    one run over all readings."""
+    from .jobs import averaging_job
+    r = readings(spark, sf)
+    ends = r.agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).first()
+    middle = ((ends["a"] or 0) + (ends["b"] or 0)) // 2
+    root = scratch_path(spark, "two-runs")
+    early, late = r.where(F.col("timestamp") < middle), r.where(F.col("timestamp") >= middle)
+    for part in (early, late, early):
+        averaging_job(spark, part, HOUSE, f"{root}/store", f"{root}/docs", now_ms=PREDICTION_NOW_MS)
+    return parse_prediction(spark.read.json(f"{root}/docs"))
+
+
+def _alive_sql():
+    h = O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME)
+    return (f"SELECT * FROM ({h}) WHERE window_end >= (SELECT max(timestamp) FROM ({ADAPTER_SQL})) - 5 - window_minutes * 60")
+
+
+@register("store_retention", _alive_sql())
+def _store_retention(spark, sf):
+    """Averages still alive at the last reading, after compaction."""
+    r = readings(spark, sf)
+    root = scratch_path(spark, "retention")
+    write_averages(averages_table(r, HOUSE, _ALL), f"{root}/all", mode="overwrite")
+    compact(spark, f"{root}/all", f"{root}/alive", now_s=r.agg(F.max("timestamp")).first()[0])
+    return spark.read.parquet(f"{root}/alive").select(*_STORE_COLS)
 
 
 # ----------------------------------------------------------------- scalar functions
@@ -343,10 +395,34 @@ def _scan_text(spark, sf):
 
 @register("scan_csv_file", _PARSE_SQL)
 def _scan_csv_file(spark, sf):
-    from ..sources.sensor import read_csv
     path = scratch_path(spark, "sensor-csv")
     csv_lines(spark, sf).select("value").write.mode("overwrite").text(path)
-    return read_csv(spark, path)
+    return load_sensor(spark, "csv", path)
+
+
+@register("scan_csv_gz", _PARSE_SQL)
+def _scan_csv_gz(spark, sf):
+    path = scratch_path(spark, "sensor-gz")
+    csv_lines(spark, sf).select("value").write.mode("overwrite").option("compression", "gzip").text(path)
+    return load_sensor(spark, "csv", path, min_partitions=4)
+
+
+@register("parse_dropped", f"SELECT (SELECT count(*) FROM readings_all) AS lines, count(*) AS kept, "
+          f"(SELECT count(*) FROM readings_all) - count(*) AS dropped FROM ({_PARSE_SQL}), (SELECT 1)"
+          .replace("readings_all", f"({ADAPTER_SQL})"))
+def _parse_dropped(spark, sf):
+    return dropped_lines(csv_lines(spark, sf))
+
+
+@register("presum_unfit", f"SELECT reason, count(*) AS count FROM (SELECT CASE WHEN isnan(v) THEN 'nan' "
+          f"WHEN isinf(v) THEN 'infinite' WHEN abs(v) >= 1e26 THEN 'too_large' END AS reason FROM (SELECT "
+          f"CASE id % 50 WHEN 1 THEN CAST('nan' AS DOUBLE) WHEN 2 THEN CAST('inf' AS DOUBLE) WHEN 3 THEN 1e30 ELSE value END AS v "
+          f"FROM ({ADAPTER_SQL}))) WHERE reason IS NOT NULL GROUP BY reason")
+def _presum_unfit(spark, sf):
+    """Readings made unfit by rule are counted; the sums leave them out."""
+    m = F.col("id") % 50
+    value = F.when(m == 1, float("nan")).when(m == 2, float("inf")).when(m == 3, 1e30).otherwise(F.col("value"))
+    return unfit_counts(readings(spark, sf).withColumn("value", value))
 
 
 # ----------------------------------------------------------------- documents / kafka
@@ -372,77 +448,83 @@ def _raw_json(spark, sf):
     return parse_raw(pre.select(raw_json().alias("value")))
 
 
-@register("prediction_json", f"SELECT house_id, household_id, plug_id, \"sum\", \"count\", avg, event_timestamp, "
-                             f"median_load, entity, sliding_window_ms, predicted_value, "
-                             f"CAST({PREDICTION_NOW_MS} AS BIGINT) AS timestamp FROM "
-                             f"({O.multi_level_sql(HOUSE_KEY, (1, 5), HOUSE_NAME, median={}, predict=True)})")
+@register("prediction_json", _docs_sql(HOUSE_KEY, HOUSE_NAME))
 def _prediction_json(spark, sf):
-    p = predictions(readings(spark, sf), HOUSE, (1, 5))
+    p = predictions(readings(spark, sf), HOUSE, _ALL)
     return parse_prediction(p.select(prediction_json(PREDICTION_NOW_MS).alias("value")))
 
 
 # ----------------------------------------------------------------- streaming = batch
-FLUSH_HOUSE = 99          # a far-future reading that closes every window; removed from results
+FLUSH_HOUSE = 99          # far-future readings that close every window; removed from results
 FLUSH_AFTER_S = 10 * 86400
+STREAM_BATCHES = 3
+STREAM_FILES = 4          # files of a micro-batch
 
 
-def stream_input(spark: SparkSession, sf: str) -> str:
-    """All readings plus one flush reading as CSV files under the shared
-    directory (one micro-batch: nothing can be late)."""
+def stream_input(spark: SparkSession, sf: str, late: bool = False) -> str:
+    """All readings as CSV files under the shared directory, in time order: some
+    files per micro-batch, then two files with a flush reading each (the second
+    closes the pane of the first). With ``late``, files before the flushes repeat
+    every reading of the first half, all of them late by then."""
     from ..functions.text import sensor_line
     r = readings(spark, sf)
-    flush = r.agg((F.max("timestamp") + FLUSH_AFTER_S).alias("timestamp")).select(
-        F.lit(0).cast("long").alias("id"), "timestamp", F.lit(1.0).alias("value"),
+    ends = r.agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).first()
+    a, b = ends["a"] or 0, ends["b"] or 0
+    edges = [a + (b - a) * i // STREAM_BATCHES for i in range(STREAM_BATCHES)] + [b + 1]
+    flush = lambda n: spark.range(1).select(
+        F.lit(0).cast("long").alias("id"), F.lit(b + n * FLUSH_AFTER_S).cast("long").alias("timestamp"), F.lit(1.0).alias("value"),
         F.lit(1).alias("property"), F.lit(0).cast("long").alias("plug_id"),
         F.lit(0).cast("long").alias("household_id"), F.lit(FLUSH_HOUSE).cast("long").alias("house_id"))
+    parts = [r.where(F.col("timestamp").between(x, y - 1)) for x, y in zip(edges, edges[1:])]
+    if late:
+        parts.append(r.where(F.col("timestamp") < (a + b) // 2))
+    parts += [flush(1), flush(2)]
     path = scratch_path(spark, "stream-in")
-    r.select(*SENSOR_COLUMNS).unionByName(flush).select(sensor_line().alias("value")).write.text(path)
+    for part in parts:  # the file source takes files in the order of their times
+        part.select(*SENSOR_COLUMNS).select(sensor_line().alias("value")).repartition(STREAM_FILES).write.mode("append").text(path)
     return path
 
 
-def _run_stream(spark: SparkSession, sf: str, entity, levels, options: Options) -> DataFrame:
+def _run_stream(spark: SparkSession, sf: str, entity, options: Options, late: bool = False) -> DataFrame:
     from ..sources.sensor import read_csv_stream
     from ..streaming.jobs import start_averaging_job
-    src = stream_input(spark, sf)
+    src = stream_input(spark, sf, late)
     root = scratch_path(spark, "stream-out")
-    queries = start_averaging_job(spark, read_csv_stream(spark, src), entity, f"{root}/store",
-                                  f"{root}/docs", f"{root}/checkpoint", options, levels,
+    queries = start_averaging_job(spark, read_csv_stream(spark, src, max_files=STREAM_FILES), entity, f"{root}/store",
+                                  f"{root}/docs", f"{root}/checkpoint", options, _ALL,
                                   now_ms=PREDICTION_NOW_MS,
                                   state_partitions=spark.sparkContext.defaultParallelism)
     for q in queries:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    docs = parse_prediction(spark.read.text(f"{root}/docs"))
+    docs = parse_prediction(spark.read.json(f"{root}/docs"))
     return docs.where(F.col("house_id") != FLUSH_HOUSE)
 
 
-@register("stream_predict_house", f"SELECT house_id, household_id, plug_id, \"sum\", \"count\", avg, event_timestamp, "
-                                  f"median_load, entity, sliding_window_ms, predicted_value, "
-                                  f"CAST({PREDICTION_NOW_MS} AS BIGINT) AS timestamp FROM "
-                                  f"({O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, median={}, predict=True)})")
+@register("stream_predict_house", _docs_sql(HOUSE_KEY, HOUSE_NAME))
 def _stream_predict_house(spark, sf):
-    """The streaming house job (chained watermarked windows, store,
-    median lookup, documents) run to completion over all readings."""
-    return _run_stream(spark, sf, HOUSE, _ALL, Options())
+    """The streaming house job (panes, store, all levels, medians, documents) run
+    to completion over all readings in several micro-batches."""
+    return _run_stream(spark, sf, HOUSE, Options())
 
 
-@register("stream_predict_house_rolling", f"SELECT house_id, household_id, plug_id, \"sum\", \"count\", avg, "
-                                          f"event_timestamp, median_load, entity, sliding_window_ms, predicted_value, "
-                                          f"CAST({PREDICTION_NOW_MS} AS BIGINT) AS timestamp FROM "
-                                          f"({O.multi_level_sql(HOUSE_KEY, (1, 5), HOUSE_NAME, mode='rolling', median={}, predict=True)})")
+@register("stream_predict_house_rolling", _docs_sql(HOUSE_KEY, HOUSE_NAME, mode="rolling"))
 def _stream_predict_house_rolling(spark, sf):
     """As-executed rolling pre-sum on the stream (stateful processor)."""
     from ..session import conf_override
     from ..streaming.rolling import ROCKSDB
     with conf_override(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
-        return _run_stream(spark, sf, HOUSE, (1, 5), Options(presum="rolling"))
+        return _run_stream(spark, sf, HOUSE, Options(presum="rolling"))
 
 
-@register("stream_predict_plug", f"SELECT house_id, household_id, plug_id, \"sum\", \"count\", avg, event_timestamp, "
-                                 f"median_load, entity, sliding_window_ms, predicted_value, "
-                                 f"CAST({PREDICTION_NOW_MS} AS BIGINT) AS timestamp FROM "
-                                 f"({O.multi_level_sql(PLUG_KEY, (1, 5), PLUG_NAME, median={}, predict=True)})")
+@register("stream_predict_plug", _docs_sql(PLUG_KEY, PLUG_NAME))
 def _stream_predict_plug(spark, sf):
     """The streaming plug job (full key) run to completion over all readings."""
-    return _run_stream(spark, sf, PLUG, (1, 5), Options())
+    return _run_stream(spark, sf, PLUG, Options())
+
+
+@register("stream_late_dropped", _docs_sql(HOUSE_KEY, HOUSE_NAME))
+def _stream_late(spark, sf):
+    """Readings that come again long after their panes closed change nothing."""
+    return _run_stream(spark, sf, HOUSE, Options(), late=True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 from contextlib import contextmanager
 import tempfile
 import uuid
@@ -53,12 +55,16 @@ def shared_dir(spark: SparkSession) -> str:
     """Directory for lineage cuts and derived tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (a shared file system on a real
-    cluster). Only when none is configured -- tests, local runs -- a fresh local
-    directory is created and registered.
+    cluster). Where none is configured, a local master gets a fresh local
+    directory, which goes when the process ends; any other master is an error.
     """
     d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loadcast-ckpt-"))
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        own = tempfile.mkdtemp(prefix="loadcast-ckpt-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(own)
         d = spark.sparkContext.getCheckpointDir()
     return d
 

@@ -84,6 +84,15 @@ def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return lines.select(complete_struct(parsed)).select("r.*")
 
 
+def dropped_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """One row (lines, kept, dropped): how many lines the parser leaves out."""
+    parsed = F.from_csv(F.col(col), SENSOR_DDL, _csv_options("PERMISSIVE"))
+    # generated, so that the parser runs once per line
+    kept = lines.select(F.size(F.filter(F.array(parsed), _all_present)).alias("kept"))
+    return kept.agg(F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum("kept"), F.lit(0)).alias("kept")) \
+        .withColumn("dropped", F.col("lines") - F.col("kept"))
+
+
 def read_text(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     """Lines of text files as a ``value`` column."""
     return (spark.readStream if streaming else spark.read).text(path)
@@ -91,8 +100,8 @@ def read_text(spark: SparkSession, path: str, streaming: bool = False) -> DataFr
 
 def read_parquet(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     if streaming:
-        return spark.readStream.schema(SENSOR).parquet(path)
-    return spark.read.parquet(path).select(*SENSOR_COLUMNS)
+        return complete(spark.readStream.schema(SENSOR).parquet(path))
+    return complete(spark.read.parquet(path))
 
 
 def decode_kafka(records: DataFrame) -> DataFrame:
@@ -102,12 +111,15 @@ def decode_kafka(records: DataFrame) -> DataFrame:
 
 
 def read_kafka(spark: SparkSession, topic: str = DEFAULT_TOPIC,
-               brokers: str = DEFAULT_BROKERS, streaming: bool = True) -> DataFrame:
+               brokers: str = DEFAULT_BROKERS, streaming: bool = True,
+               group_id: str | None = None) -> DataFrame:
     """Kafka source, always from the earliest offset. Needs the Kafka
     connector on the class path."""
     r = (spark.readStream if streaming else spark.read).format("kafka")
     r = (r.option("kafka.bootstrap.servers", brokers).option("subscribe", topic)
          .option("startingOffsets", "earliest"))
+    if group_id:
+        r = r.option("kafka.group.id", group_id)
     return decode_kafka(r.load())
 
 

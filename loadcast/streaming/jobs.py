@@ -1,42 +1,38 @@
 """Structured Streaming versions of the feed and averaging jobs.
 
-Each window length of the averaging stream is one append-mode query with
-chained stateful operators: pre-sum per (key, second) -> 1-min sliding window
--> 5 -> 15 -> 60 -> 120 minutes (up to its level), each level re-windowing the
-previous level's results at ``window_time`` (end - 1 µs, i.e. in the window's
-last pane). The 10-second
-watermark closes windows; late rows for closed windows are dropped (and
-counted in the query progress as ``numRowsDroppedByWatermark``).
-
-Sinks and the median lookup run in ``foreachBatch``:
-1. the batch's averages are written to the Parquet store, overwriting the
-   ``batch_id`` partition so a replayed batch is idempotent;
-2. each average is enriched with the median of the same key's stored
-   averages whose window ended within the retention before it -- an
-   equi-join on (entity, window length, key) with a range on ``window_end``
-   against a ``window_end``-pruned scan of the store, then the exact median
-   of at most 2*minutes+1 sorted values per average;
-3. predictions are written as JSON documents.
+The averaging stream is ONE append-mode query with one watermarked aggregate:
+30-second panes per key. The 10-second watermark closes panes; late rows for
+closed panes are dropped (and counted in the query progress as
+``numRowsDroppedByWatermark``). Everything above the panes runs in
+``foreachBatch`` on the batch plan: the closed panes go into the store, and all
+levels' averages, medians and predictions of the window ends that the batch has
+completed are computed in one pass of the cascade over the stored panes they
+reach back to (look-back of the deepest level plus retention: a bounded tail,
+read from the days it lies in).
+
+A window end is complete once a pane at or after it has closed, for any key:
+panes close in order of the watermark, so all earlier panes have closed too.
+How far a batch came is written beside the store under its batch id. A replayed
+batch finds what its predecessor left, and overwrites its own panes, averages
+and documents: results are idempotent.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import (DEFAULT_BROKERS, DEFAULT_OPTIONS, DEFAULT_TOPIC, FULL_KEY, LEVEL_MINUTES,
-                      SLIDE_SECONDS, WATERMARK_DELAY, Entity, Options, retention_seconds)
-from ..functions.docs import prediction_json
+from ..config import (DEFAULT_BROKERS, DEFAULT_OPTIONS, DEFAULT_TOPIC, LEVEL_MINUTES, SLIDE_SECONDS,
+                      WATERMARK_DELAY, Entity, Options)
+from ..operators.presum import restrict, with_units
+from ..plans.pipeline import as_predictions, reach, windows_from_panes
 from ..session import conf_override
-from ..operators.median import sorted_median
-from ..operators.presum import from_units, restrict, to_units
-from ..sinks.store import write_batch_averages
+from ..sinks.store import prediction_documents, read_panes, replace_averages, write_documents, write_panes
 from ..sources.sensor import SENSOR_COLUMNS, with_event_time
 
-SLIDE = f"{SLIDE_SECONDS} seconds"
+PANE = f"{SLIDE_SECONDS} seconds"
 
 
 def watermarked(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
@@ -44,151 +40,103 @@ def watermarked(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
     return with_event_time(readings).withWatermark("event_time", delay)
 
 
-def stream_presum(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
-    """Per-second pre-sum on a watermarked stream: ``final`` (a watermarked
-    aggregate on (key, event_time)), ``none``, or ``rolling`` (running totals,
-    a stateful processor: see :mod:`.rolling`)."""
+def stream_panes(readings: DataFrame, entity: Entity, options: Options = DEFAULT_OPTIONS,
+                 delay: str = WATERMARK_DELAY) -> DataFrame:
+    """Closed panes ``(key, pos, s, c, t)`` of a stream of readings: one
+    aggregate where the pre-sum key is the window key (see
+    :func:`~loadcast.operators.presum.panes_of_seconds`), else pre-sum, then
+    panes. The rolling pre-sum is a stateful processor (:mod:`.rolling`)."""
+    rows = watermarked(readings, delay)
+    window = F.window("event_time", PANE).alias("window")
+    latest = F.max("timestamp").alias("t")
     if options.presum == "rolling":
         from .rolling import rolling_presum
-        return rolling_presum(readings, entity, options)
-    df = restrict(readings, options).withColumn("u", to_units(F.col("value"), options.value_scale))
-    if options.presum == "none":
-        return df
-    if options.presum != "final":
-        raise ValueError(f"unknown presum mode {options.presum!r}")
-    by = list(entity.presum_cols)
-    kept = [c for c in entity.key_cols if c not in by]
-    return (df.groupBy(*by, "event_time")
-            .agg(F.sum("u").alias("u"), F.max("timestamp").alias("timestamp"),
-                 *[F.min_by(c, "id").alias(c) for c in kept]))
-
-
-def stream_levels(readings: DataFrame, entity: Entity, options: Options = DEFAULT_OPTIONS,
-                  levels: tuple[int, ...] = LEVEL_MINUTES, delay: str = WATERMARK_DELAY) -> dict[int, DataFrame]:
-    """Streaming averages per requested level (chained windows)."""
-    pre = stream_presum(watermarked(readings, delay), entity, options)
-    keys = list(entity.key_cols)
-    deepest = max(LEVEL_MINUTES.index(m) for m in levels)
-    out = {}
-    cur = (pre.groupBy(F.window("event_time", "1 minute", SLIDE).alias("window"), *keys)
-           .agg(F.sum("u").alias("s"), F.count(F.lit(1)).alias("c"), F.max("timestamp").alias("t")))
-    for i, m in enumerate(LEVEL_MINUTES[:deepest + 1]):
-        if i > 0:
-            cur = (cur.groupBy(F.window(F.window_time("window"), f"{m} minutes", SLIDE).alias("window"), *keys)
-                   .agg(F.sum("s").alias("s"), F.sum("c").alias("c"), F.max("t").alias("t")))
-        if m in levels:
-            out[m] = _averages(cur, keys, options.value_scale)
-    return out
-
-
-def _averages(df: DataFrame, keys: list[str], scale: int) -> DataFrame:
-    total = from_units(F.col("s"), scale)
-    return df.select(*keys,
-                     F.unix_seconds(F.col("window.start")).alias("window_start"),
-                     F.unix_seconds(F.col("window.end")).alias("window_end"),
-                     total.alias("sum"), F.col("c").alias("count"),
-                     F.col("t").alias("event_timestamp"), (total / F.col("c")).alias("avg"))
-
-
-def store_rows(df: DataFrame, entity: Entity, minutes: int) -> DataFrame:
-    """Streaming averages of one level as store rows (``entity,
-    window_minutes`` + full key)."""
-    for c in FULL_KEY:
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("long"))
-    return df.select(F.lit(entity.name).alias("entity"), F.lit(minutes).alias("window_minutes"),
-                     *FULL_KEY, "window_start", "window_end", "sum", "count",
-                     "event_timestamp", "avg")
-
-
-def level_dir(root: str, entity: Entity, minutes: int) -> str:
-    return f"{root}/entity={entity.name}/window_minutes={minutes}"
-
-
-def enrich_from_store(batch: DataFrame, history: DataFrame, minutes: int,
-                      options: Options = DEFAULT_OPTIONS) -> DataFrame:
-    """Median lookup for a micro-batch of one level against that level's
-    stored averages (which already contain the batch itself)."""
-    if options.median_mode == "zero":
-        return batch.withColumn("median_load", F.lit(0.0))
-    hi = 0 if options.include_current else 1
-    ret = retention_seconds(minutes)
-    first_end = batch.agg(F.min("window_end")).first()[0]
-    if first_end is None:
-        return batch.withColumn("median_load", F.lit(0.0))
-    if options.retention:   # pushed into the Parquet scan as a row-group filter
-        history = history.where(F.col("window_end") >= F.lit(first_end - ret))
-    h = history.select(*[F.col(c).alias(f"h_{c}") for c in FULL_KEY],
-                       F.col("window_end").alias("h_end"), F.col("avg").alias("h_avg"))
-    cond = [F.col(c).eqNullSafe(F.col(f"h_{c}")) for c in FULL_KEY]
-    cond.append(F.col("h_end") <= F.col("window_end") - hi)
-    if options.retention:
-        cond.append(F.col("h_end") >= F.col("window_end") - ret)
-    joined = batch.join(h, reduce(lambda x, y: x & y, cond), "left")
-    if options.median_exact:   # sorted values of the bounded history, middle taken once
-        out = (joined.groupBy(*batch.columns).agg(F.array_sort(F.collect_list("h_avg")).alias("_hist"))
-               .withColumn("median_load", F.coalesce(sorted_median(F.col("_hist")), F.lit(0.0)))
-               .drop("_hist"))
+        rows = rolling_presum(rows, entity, options)
     else:
-        out = joined.groupBy(*batch.columns).agg(
-            F.coalesce(F.percentile_approx("h_avg", 0.5, 10000), F.lit(0.0)).alias("median_load"))
-    if options.median_scale != 1.0:
-        out = out.withColumn("median_load", F.col("median_load") / F.lit(float(options.median_scale)))
-    return out
-
-
-def predictions_of(enriched: DataFrame) -> DataFrame:
-    return (enriched
-            .withColumn("sliding_window_ms", (F.col("window_minutes") * 60000).cast("long"))
-            .withColumn("predicted_value", (F.col("avg") + F.col("median_load")) / F.lit(2.0)))
+        rows = with_units(restrict(rows, options), options.value_scale)
+    if options.presum == "final" and entity.presum_cols == entity.key_cols:
+        second = F.expr(f"shiftleft(1, cast(pmod(timestamp, {SLIDE_SECONDS}) as int))")
+        count = F.bit_count(F.bit_or(second)).cast("long").alias("c")
+    else:
+        count = F.count(F.lit(1)).alias("c")
+        if options.presum == "final":
+            rows = (rows.groupBy(*entity.presum_cols, "event_time")
+                    .agg(F.sum("u").alias("u"), F.max("timestamp").alias("timestamp"),
+                         *[F.min_by(c, "id").alias(c) for c in entity.key_cols if c not in entity.presum_cols]))
+        elif options.presum not in ("none", "rolling"):
+            raise ValueError(f"unknown presum mode {options.presum!r}")
+    panes = rows.groupBy(window, *entity.key_cols).agg(F.sum("u").alias("s"), count, latest)
+    pos = F.expr(f"unix_seconds(window.start) div {SLIDE_SECONDS}")
+    return panes.select(*entity.key_cols, pos.alias("pos"), "s", "c", "t")
+
+
+def _progress_dir(store: str, entity: Entity, batch_id: int) -> str:
+    return f"{store}/progress/entity={entity.name}/batch_id={batch_id}"
+
+
+def last_complete(spark: SparkSession, store: str, entity: Entity, batch_id: int) -> int | None:
+    """Last pane up to which windows were complete after a batch."""
+    if batch_id < 0:
+        return None
+    try:
+        return spark.read.schema("pos long").parquet(_progress_dir(store, entity, batch_id)).first()["pos"]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def process_batch(panes: DataFrame, batch_id: int, entity: Entity, store: str, docs: str | None,
+                  options: Options = DEFAULT_OPTIONS, levels: tuple[int, ...] = LEVEL_MINUTES,
+                  now_ms: int | None = None, doc_format: str = "json") -> None:
+    """Store a micro-batch of closed panes, then the averages and predictions of
+    the windows that it completes."""
+    spark = panes.sparkSession
+    panes = panes.persist()
+    try:
+        seen = panes.agg(F.min("pos").alias("first"), F.max("pos").alias("last")).first()
+        before = last_complete(spark, store, entity, batch_id - 1)
+        if seen["last"] is not None:
+            write_panes(panes, store, entity, f"batch{batch_id}")
+        done = max((x for x in (before, seen["last"]) if x is not None), default=None)
+        (spark.range(1).select(F.lit(done).cast("long").alias("pos"))
+         .write.mode("overwrite").parquet(_progress_dir(store, entity, batch_id)))
+    finally:
+        panes.unpersist()
+    if done is None or done == before:
+        return
+    first = seen["first"] if before is None else before + 1
+    back = reach(levels, options)[0] if options.retention else first
+    rows = windows_from_panes(read_panes(spark, store, entity, max(first - back, 0), done), entity, levels, options, first, done)
+    rows = as_predictions(rows, entity).persist()
+    try:
+        replace_averages(rows, store, batch_id)
+        if docs:
+            write_documents(prediction_documents(rows, now_ms), docs, doc_format, batch_id=batch_id)
+    finally:
+        rows.unpersist()
 
 
 def start_averaging_job(spark: SparkSession, readings: DataFrame, entity: Entity, store_path: str,
-                        docs_path: str, checkpoint: str, options: Options = DEFAULT_OPTIONS,
+                        docs_path: str | None, checkpoint: str, options: Options = DEFAULT_OPTIONS,
                         levels: tuple[int, ...] = LEVEL_MINUTES, trigger: dict | None = None,
-                        now_ms: int | None = None,
-                        state_partitions: int | None = None) -> list[StreamingQuery]:
-    """House or plug averaging job: stream -> store -> median -> documents.
-
-    One append-mode query per window length, each running the chain of
-    windows up to its level (a union of the levels in one query loses the
-    deeper branches' watermark eviction in Spark 4.1). Each query writes its
-    own ``entity=/window_minutes=`` directory of the store and of the
-    documents, partitioned by ``batch_id`` and overwritten per batch, so a
-    replayed batch is idempotent and writers never share an output path.
-    """
-    queries = []
-    for m, avg in sorted(stream_levels(readings, entity, options, levels).items()):
-        rows = store_rows(avg, entity, m)
-        store_dir = level_dir(store_path, entity, m)
-        docs_dir = level_dir(docs_path, entity, m)
-
-        def per_batch(batch: DataFrame, batch_id: int, m=m, store_dir=store_dir, docs_dir=docs_dir) -> None:
-            batch = batch.persist()
-            try:
-                if batch.isEmpty():
-                    return
-                write_batch_averages(batch.drop("entity", "window_minutes"), store_dir, batch_id)
-                history = spark.read.parquet(store_dir).drop("batch_id")
-                docs = predictions_of(enrich_from_store(batch, history, m, options))
-                (docs.select(F.lit(batch_id).alias("batch_id"), prediction_json(now_ms).alias("value"))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").text(docs_dir))
-            finally:
-                batch.unpersist()
-
-        w = (rows.writeStream.outputMode("append")
-             .option("checkpointLocation", f"{checkpoint}/{entity.slug}-{m}min")
-             .foreachBatch(per_batch)
-             .trigger(**(trigger or {"availableNow": True})))
-        # State-store partitions of a query are fixed at its first start (and
-        # kept in the checkpoint); size them to the stream, not to the batch
-        # shuffle setting, when given.
-        conf = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
-        with conf_override(spark, conf):
-            q = w.start()
-        queries.append(q)
-    return queries
+                        now_ms: int | None = None, state_partitions: int | None = None,
+                        doc_format: str = "json") -> list[StreamingQuery]:
+    """House or plug averaging job: stream -> panes -> store -> averages, medians
+    and documents of all levels. One query; the source is read once."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        process_batch(batch, batch_id, entity, store_path, docs_path, options, levels, now_ms, doc_format)
+
+    w = (stream_panes(readings, entity, options).writeStream.outputMode("append")
+         .option("checkpointLocation", f"{checkpoint}/{entity.slug}")
+         .foreachBatch(per_batch)
+         .trigger(**(trigger or {"availableNow": True})))
+    # State-store partitions of a query are fixed at its first start (and kept in
+    # the checkpoint); size them to the stream, not to the batch shuffle setting,
+    # when given.
+    conf = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
+    with conf_override(spark, conf):
+        return [w.start()]
 
 
 # --------------------------------------------------------------------- feed job

@@ -68,3 +68,37 @@ def test_documents_round_trip(golden):
     back = parse_prediction(docs)
     assert sorted(r.predicted_value for r in back.collect()) == sorted(r.predicted_value for r in p.collect())
     assert {r.timestamp for r in back.collect()} == {123}
+
+
+def test_document_field_names(spark, golden):
+    """Fields by their paths in the documents' text, not by the engine's parser."""
+    from loadcast.config import PLUG
+    from loadcast.functions.docs import prediction_json, raw_json
+    from loadcast.plans.pipeline import predictions
+    raw = golden.select(raw_json().alias("v"), "*")
+    for c in golden.columns:
+        assert raw.where(F.get_json_object("v", f"$.{c}") != F.col(c).cast("string")).count() == 0
+    p = predictions(golden, PLUG, (1,)).select(prediction_json(7).alias("v"), "*")
+    paths = {"$.averageWithKey.house_id": "house_id", "$.averageWithKey.household_id": "household_id",
+             "$.averageWithKey.plug_id": "plug_id", "$.averageWithKey.sum": "sum", "$.averageWithKey.count": "count",
+             "$.averageWithKey.avg": "avg", "$.averageWithKey.eventTimestamp": "event_timestamp", "$.medianLoad.load": "median_load",
+             "$.key": "entity", "$.slidingWindowDuration": "sliding_window_ms", "$.predictedValue": "predicted_value"}
+    for path, c in paths.items():
+        assert p.where(F.get_json_object("v", path).eqNullSafe(F.col(c).cast("string"))).count() == p.count() > 0, path
+    assert {r[0] for r in p.select(F.get_json_object("v", "$.timestamp")).collect()} == {"7"}
+
+
+def test_files_of_the_sorted_table_are_in_order(spark, golden, tmp_path):
+    from loadcast.config import HOUSE
+    from loadcast.plans.pipeline import averages_table
+    from loadcast.sinks.store import write_averages
+    write_averages(averages_table(golden, HOUSE), str(tmp_path / "t"), mode="overwrite", sort_by_value=True)
+    seen = spark.read.parquet(str(tmp_path / "t")).select("window_minutes", "avg", F.input_file_name().alias("f"),
+                                                          F.monotonically_increasing_id().alias("i")).collect()
+    ranges = {}
+    for r in sorted(seen, key=lambda r: r.i):
+        ranges.setdefault((r.window_minutes, r.f), []).append(r.avg)
+    assert all(v == sorted(v) for v in ranges.values())
+    for m in {k[0] for k in ranges}:
+        files = sorted((min(v), max(v)) for k, v in ranges.items() if k[0] == m)
+        assert all(a[1] <= b[0] for a, b in zip(files, files[1:]))

@@ -71,9 +71,13 @@ def test_median_options_differ(golden):
 
 
 def test_approximate_median(golden):
-    """median_exact=False (percentile_approx, for very large histories) picks
-    an element of the history instead of interpolating."""
-    df = level_frames(golden, HOUSE, (1,), Options(median_exact=False), medians=True)[1]
+    """median_exact=False (percentile_approx, for histories without retention)
+    picks an element of the history instead of interpolating; a bounded history
+    is always taken exactly."""
+    bounded = level_frames(golden, HOUSE, (1,), Options(median_exact=False), medians=True)[1]
+    exact = level_frames(golden, HOUSE, (1,), Options(), medians=True)[1]
+    assert sorted(map(tuple, bounded.collect())) == sorted(map(tuple, exact.collect()))
+    df = level_frames(golden, HOUSE, (1,), Options(median_exact=False, retention=False), medians=True)[1]
     assert [r.median_load for r in df.orderBy("window_start").collect()] == pytest.approx([0.0, 30.0, 30.0])
     allh = level_frames(golden, HOUSE, (1,), Options(median_exact=False, retention=False), medians=True)[1]
     assert [r.median_load for r in allh.orderBy("window_start").collect()] == pytest.approx([0.0, 30.0, 30.0])

@@ -1,47 +1,80 @@
-"""Batch job runner: checkpointed level-by-level cascade = the query plans."""
+"""Batch jobs: the store that grows, sinks, command line."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from loadcast.config import HOUSE, PLUG, Options
 from loadcast.functions.docs import parse_prediction
 from loadcast.plans.jobs import averaging_job, feed_job, main
 from loadcast.plans.pipeline import predictions
+from loadcast.sinks.store import compact, write_documents
 from loadcast.sources import sensor_from_testdata
+from loadcast.sources.sensor import load_sensor
 
 SF = "/root/testdata/sf0.001"
+LEVELS = (1, 5)
+COLS = ["window_minutes", "house_id", "window_end", "sum", "count", "avg"]
 
 
 def as_set(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_house_job_matches_query(spark, tmp_path):
+def test_runs_add_up_and_repeat_without_change(spark, tmp_path):
+    """Two halves of the readings, split within a pane, in one store: averages and
+    medians of one run over all. Repeating a half changes nothing."""
     r = sensor_from_testdata(spark, SF)
     store, docs = str(tmp_path / "store"), str(tmp_path / "docs")
-    counts = averaging_job(spark, r, HOUSE, store, docs, now_ms=5)
-    exp = predictions(r, HOUSE)
-    assert sum(counts.values()) == exp.count()
-    cols = ["window_minutes", "house_id", "window_end", "sum", "count", "avg"]
-    assert as_set(spark.read.parquet(store).select(*cols)) == as_set(exp.select(*cols))
-    back = parse_prediction(spark.read.text(docs))
-    assert as_set(back.select("house_id", "predicted_value", "median_load")) == \
-        as_set(exp.select("house_id", "predicted_value", "median_load"))
-    # re-run replaces, never duplicates
-    averaging_job(spark, r, HOUSE, store, docs, now_ms=5)
-    assert spark.read.parquet(store).count() == exp.count()
+    middle = sorted(x.timestamp for x in r.select("timestamp").collect())[400] // 30 * 30 + 10
+    early, late = r.where(F.col("timestamp") < middle), r.where(F.col("timestamp") >= middle)
+    exp = predictions(r, HOUSE, LEVELS)
+    want = as_set(exp.select(*COLS))
+
+    def state():
+        back = parse_prediction(spark.read.json(docs).select("value"))
+        return (as_set(spark.read.parquet(f"{store}/averages").select(*COLS)),
+                as_set(back.select("house_id", "event_timestamp", "sliding_window_ms", "predicted_value", "median_load")))
+
+    counts = averaging_job(spark, late, HOUSE, store, docs, levels=LEVELS, now_ms=5)
+    assert counts.keys() == {1, 5} and state()[0] != want
+    averaging_job(spark, early, HOUSE, store, docs, levels=LEVELS, now_ms=5)
+    first = state()
+    assert first[0] == want
+    assert first[1] == as_set(exp.select("house_id", "event_timestamp", "sliding_window_ms", "predicted_value", "median_load"))
+    averaging_job(spark, late, HOUSE, store, docs, levels=LEVELS, now_ms=5)
+    assert state() == first
+    # compaction with the retention cut
+    n = compact(spark, f"{store}/averages", str(tmp_path / "all"))
+    assert n == len(want)
+    now = max(x[2] for x in want)
+    kept = compact(spark, f"{store}/averages", str(tmp_path / "alive"), now_s=now)
+    assert kept == sum(x[2] >= now - 5 - x[0] * 60 for x in want) < n
 
 
-def test_plug_job_no_retention(spark, tmp_path):
+def test_plug_job_sinks(spark, tmp_path):
+    """Documents keep id and type, raw documents and every debug stage are written."""
     r = sensor_from_testdata(spark, SF)
-    opts = Options(retention=False)
-    counts = averaging_job(spark, r, PLUG, str(tmp_path / "s"), None, opts, levels=(1, 5))
-    exp = predictions(r, PLUG, (1, 5), opts)
+    counts = averaging_job(spark, r, PLUG, str(tmp_path / "s"), str(tmp_path / "d"), Options(retention=False), levels=LEVELS,
+                           debug_dir=str(tmp_path / "debug"), raw_path=str(tmp_path / "raw"))
+    exp = predictions(r, PLUG, LEVELS, Options(retention=False))
     assert sum(counts.values()) == exp.count()
-    got = spark.read.parquet(str(tmp_path / "s"))
-    assert got.where(F.col("household_id").isNull()).count() == 0
+    docs = spark.read.json(str(tmp_path / "d"))
+    assert docs.select("doc_id").distinct().count() == docs.count() == exp.count()
+    assert {x.doc_type for x in docs.select("doc_type").distinct().collect()} == {"prediction_1min", "prediction_5min"}
+    raw = spark.read.json(str(tmp_path / "raw"))
+    assert {x.doc_type for x in raw.collect()} == {"raw"}
+    total = sum(json.loads(x.value)["value"] for x in raw.collect())
+    assert total == pytest.approx(r.agg(F.sum("value")).first()[0])
+    stages = {p.name for p in (tmp_path / "debug" / "plug").iterdir()}
+    assert stages == {"presum", "panes", "averages", "enriched", "predictions"}
+    # any other format on the class path gets the rows as they are
+    write_documents(docs.select("doc_id", "doc_type", "value"), str(tmp_path / "orc"), "orc")
+    assert spark.read.orc(str(tmp_path / "orc")).count() == docs.count()
 
 
-def test_feed_and_cli(spark, tmp_path):
+def test_feed_and_cli(spark, tmp_path, capsys):
     r = sensor_from_testdata(spark, SF)
     out = str(tmp_path / "feed")
     feed_job(spark, r, sink="text", out=out, rebase_to=1_800_000_000)
@@ -49,7 +82,22 @@ def test_feed_and_cli(spark, tmp_path):
     assert recs.count() == r.count()
     assert recs.agg(F.min("timestamp")).first()[0] == 1_800_000_000
     csv = str(tmp_path / "in")
-    r.write.csv(csv)
-    main(["house", "--source", "csv", "--path", csv, "--store", str(tmp_path / "cli-store"),
-          "--levels", "1,5"])
-    assert spark.read.parquet(str(tmp_path / "cli-store")).select("window_minutes").distinct().count() == 2
+    r.write.csv(csv, compression="gzip")
+    spark.createDataFrame([("1,2,3",)], "v string").write.mode("append").text(csv)
+    main(["house", "--source", "csv", "--path", csv, "--store", str(tmp_path / "cli-store"), "--min-partitions", "4", "--levels", "1,5"])
+    assert "lines dropped: 1" in capsys.readouterr().out
+    got = spark.read.parquet(str(tmp_path / "cli-store" / "averages"))
+    assert got.select("window_minutes").distinct().count() == 2
+    main(["house", "--source", "csv", "--path", csv, "--streaming", "--once", "--store", str(tmp_path / "stream-store"),
+          "--docs", str(tmp_path / "stream-docs"), "--checkpoint", str(tmp_path / "ck"), "--levels", "1"])
+    assert spark.read.json(str(tmp_path / "stream-docs")).count() > 0
+
+
+def test_unknown_source(spark):
+    with pytest.raises(ValueError, match="unknown source"):
+        load_sensor(spark, "carrier pigeon")
+
+
+def test_empty_run(spark, tmp_path):
+    r = sensor_from_testdata(spark, SF).limit(0)
+    assert averaging_job(spark, r, HOUSE, str(tmp_path / "s"), None, levels=LEVELS) == {1: 0, 5: 0}

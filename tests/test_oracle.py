@@ -2,11 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from loadcast.plans.queries import ORACLE, QUERIES
 from tools.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +16,12 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    r = compare(queries()[name](spark, SF), con, oracle_sql()[name])
+    r = compare(QUERIES[name](spark, SF), con, ORACLE[name])
     assert r["cols_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r

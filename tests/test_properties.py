@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from loadcast.config import HOUSE, PLUG, Options
 from loadcast.operators.median import running_median
 from loadcast.operators.presum import presum
-from loadcast.plans.pipeline import level_averages, level_frames
+from loadcast.plans.pipeline import all_levels, level_averages, level_frames, predictions
 from loadcast.sources import sensor_from_testdata
 
 SF = "/root/testdata/sf0.001"
@@ -26,11 +26,11 @@ def readings(spark):
 
 
 def test_conservation(readings):
-    """Each row entering the cascade is counted 2, 20, 600 times."""
+    """Each row entering the cascade is counted 2 * 10 * 30 * 120 * 240 times."""
     n_presum = presum(readings, HOUSE, Options()).count()
-    for minutes, mult in ((1, 2), (5, 20), (15, 600)):
-        total = level_averages(readings, HOUSE, minutes).agg({"count": "sum"}).first()[0]
-        assert total == mult * n_presum, minutes
+    total = {r["window_minutes"]: r["sum(count)"] for r in
+             all_levels(readings, HOUSE).groupBy("window_minutes").agg({"count": "sum"}).collect()}
+    assert total == {1: 2 * n_presum, 5: 20 * n_presum, 15: 600 * n_presum, 60: 72_000 * n_presum, 120: 17_280_000 * n_presum}
 
 
 @pytest.mark.parametrize("chunk", [7, 50, 400, 5000])
@@ -48,9 +48,55 @@ def test_plug_chunking(readings):
 
 
 def test_prediction_formula(readings):
-    df = level_frames(readings, HOUSE, (5,), Options(), medians=True)[5]
-    for r in df.collect():
-        assert r.avg == r.sum / r["count"]
+    rows = predictions(readings, HOUSE, (5,)).collect()
+    assert all(r.avg == r.sum / r["count"] and r.predicted_value == (r.avg + r.median_load) / 2 for r in rows)
+    assert any(r.median_load != 0 for r in rows)
+
+
+def made(spark, values, timestamps=None):
+    from loadcast.sources import SENSOR
+    return spark.createDataFrame([(i, t, float(v), 1, 0, 0, 0) for i, (v, t) in
+                                  enumerate(zip(values, timestamps or [1704067200 + i for i in range(len(values))]))], SENSOR)
+
+
+def test_small_values_are_not_rounded(spark):
+    (r,) = presum(made(spark, [0.0004, 0.0004], [1704067200] * 2), HOUSE, Options()).collect()
+    assert r.value == 0.0008
+    rows = level_averages(made(spark, [1e-11, 3.0]), HOUSE, 1).collect()
+    assert {x.sum for x in rows} == {3.00000000001}
+
+
+def test_unfit_readings_are_counted_and_left_out(spark):
+    from loadcast.operators.presum import unfit_counts
+    df = made(spark, [float("nan"), float("inf"), -float("inf"), 1e30, 0.1 + 1e-15, 2.5])
+    assert {r.reason: r["count"] for r in unfit_counts(df).collect()} == {"nan": 1, "infinite": 2, "too_large": 1, "too_fine": 1}
+    assert {x.sum for x in level_averages(df, HOUSE, 1).collect()} == {2.6}
+    assert {x["count"] for x in level_averages(df, HOUSE, 1).collect()} == {2}
+
+
+@pytest.mark.parametrize("chunk", [2880 * 7, 500])
+def test_heavy_key_over_an_aligned_week_does_not_overflow(spark, chunk):
+    """3e10 per pane, every pane of a week that one time chunk holds."""
+    from pyspark.sql import functions as F
+    start = 1704067200 // (2880 * 7 * 30) * (2880 * 7 * 30)
+    week = spark.range(2880 * 7).select(F.lit(0).cast("long").alias("house_id"), (F.col("id") + start // 30).alias("pos"),
+                                        F.lit(3 * 10**10).cast("decimal(38,12)").alias("s"), F.lit(1).cast("long").alias("c"),
+                                        (start + F.col("id") * 30).alias("t"))
+    rows = all_levels(None, HOUSE, (1, 120), Options(chunk_panes=chunk), pane_rows=week)
+    top = rows.groupBy("window_minutes").agg(F.max("sum").alias("s"), F.max("count").alias("c"), F.count("*").alias("n")).collect()
+    got = {r.window_minutes: (r.s, r.c) for r in top}
+    assert got == {1: (6e10, 2), 120: (3e10 * 17_280_000, 17_280_000)}
+
+
+def test_one_pane_aggregate_equals_two(readings):
+    """Counting a pane's seconds by their bits gives the panes of the pre-sum."""
+    from loadcast.operators.presum import panes
+    from loadcast.plans.pipeline import entity_panes
+    for entity in (HOUSE, PLUG):
+        two = panes(presum(readings, entity, Options()), entity.key_cols)
+        assert as_set(entity_panes(readings, entity, Options())) == as_set(two)
+    plan = entity_panes(readings, HOUSE, Options())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_presum_is_order_independent(spark, readings):
@@ -85,7 +131,7 @@ def test_running_total_buckets(spark, readings, bucket):
     from pyspark.sql import functions as F
 
     from loadcast.operators.presum import running_total
-    df = readings.withColumn("u", F.round(F.col("value") * 1000).cast("long"))
+    df = readings.withColumn("u", F.col("value").cast("decimal(38,12)"))
     group = ["house_id", "plug_id"]       # coarse groups: many rows, many buckets
     w = Window.partitionBy(*group).orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.select("id", F.sum("u").over(w).alias("u"), F.first("property").over(w).alias("property"))
@@ -96,7 +142,7 @@ def test_running_total_buckets(spark, readings, bucket):
 def test_custom_entity(readings):
     """Users add entities without code: a household-level cascade."""
     from loadcast.config import Entity
-    household = Entity("Household", ("house_id", "household_id"), ("house_id", "household_id"), "hh_avg")
+    household = Entity("Household", ("house_id", "household_id"), ("house_id", "household_id"))
     out = level_averages(readings, household, 5)
     n_presum = presum(readings, household, Options()).count()
     assert out.agg({"count": "sum"}).first()[0] == 20 * n_presum

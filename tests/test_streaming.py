@@ -1,6 +1,8 @@
-"""Streaming = batch, late data, feed job (file source, availableNow)."""
+"""Streaming: restart, replay, late data, feed job (file source, availableNow).
+That streams equal batches for all levels is checked by the stream_* queries."""
 
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,13 +10,14 @@ from pyspark.sql import functions as F
 from loadcast.config import HOUSE, Options
 from loadcast.functions.docs import parse_prediction
 from loadcast.functions.text import sensor_line
-from loadcast.plans.pipeline import level_frames
+from loadcast.plans.pipeline import all_levels, predictions
 from loadcast.sources import read_csv_stream, sensor_from_testdata
-from loadcast.streaming.jobs import start_averaging_job, start_feed_job
+from loadcast.streaming.jobs import last_complete, process_batch, start_averaging_job, start_feed_job
 
 SF = "/root/testdata/sf0.001"
-LEVELS = (1, 5, 15)
+LEVELS = (1, 5)
 FLUSH_HOUSE = 99
+COLS = ["house_id", "window_minutes", "window_start", "window_end", "sum", "count", "event_timestamp", "avg"]
 
 
 def write_lines(path, lines, mtime):
@@ -25,112 +28,75 @@ def write_lines(path, lines, mtime):
 
 @pytest.fixture(scope="module")
 def stream_input(spark, tmp_path_factory):
-    """sf0.001 readings split over 4 time-ordered CSV files with increasing
-    mtimes, then one far-future flush reading that closes every window."""
+    """sf0.001 readings split over 3 time-ordered CSV files with increasing
+    mtimes; returns them and what flushes the rest."""
     d = tmp_path_factory.mktemp("stream-in")
     r = sensor_from_testdata(spark, SF)
     rows = sorted(r.select(sensor_line().alias("l"), "timestamp").collect(), key=lambda x: x.timestamp)
-    q = len(rows) // 4 + 1
-    base = 1_600_000_000
-    for i in range(4):
-        write_lines(d / f"part{i}.csv", [x.l for x in rows[i * q:(i + 1) * q]], base + i * 10)
-    far = rows[-1].timestamp + 10 * 86400
-    write_lines(d / "part9.csv", [f"0,{far},1.0,1,0,0,{FLUSH_HOUSE}"], base + 100)
-    return d, r
+    q = len(rows) // 3 + 1
+    for i in range(3):
+        write_lines(d / f"part{i}.csv", [x.l for x in rows[i * q:(i + 1) * q]], 1_600_000_000 + i * 10)
+    return d, r, rows
 
 
 def run_job(spark, src, tmp, options=Options()):
     store, docs, ck = str(tmp / "store"), str(tmp / "docs"), str(tmp / "ck")
-    qs = start_averaging_job(spark, read_csv_stream(spark, str(src), max_files=1), HOUSE, store, docs, ck,
-                             options, levels=LEVELS, now_ms=1)
-    for q in qs:
-        q.awaitTermination(600)
-        assert q.exception() is None
-    return qs, store, docs
+    (q,) = start_averaging_job(spark, read_csv_stream(spark, str(src), max_files=1), HOUSE, store, docs, ck,
+                               options, levels=LEVELS, now_ms=1)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    return q, store, docs
 
 
 def as_set(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_stream_equals_batch(spark, stream_input, tmp_path):
-    src, readings = stream_input
-    qs, store, docs = run_job(spark, src, tmp_path)
-    stored = spark.read.parquet(store).where(F.col("house_id") != FLUSH_HOUSE)
-    batch = level_frames(readings, HOUSE, LEVELS, Options(), medians=True)
-    cols = ["house_id", "window_start", "window_end", "sum", "count", "event_timestamp", "avg"]
-    for m in LEVELS:
-        got = stored.where(F.col("window_minutes") == m).select(*cols)
-        assert as_set(got) == as_set(batch[m].select(*cols)), m
-    preds = parse_prediction(spark.read.text(docs + "/entity=House/window_minutes=1"))
-    preds = preds.where(F.col("house_id") != FLUSH_HOUSE)
-    exp = batch[1].select("house_id", "event_timestamp", "median_load")
-    got = preds.select("house_id", "event_timestamp", "median_load")
-    assert sorted(r.median_load for r in got.collect()) == pytest.approx(
-        sorted(r.median_load for r in exp.collect()))
-
-
-def test_late_reading_is_dropped(spark, stream_input, tmp_path):
-    src, _ = stream_input
-    qs, store, _ = run_job(spark, src, tmp_path)
-    before = as_set(spark.read.parquet(store).drop("batch_id"))
-    late = tmp_path / "late"
-    late.mkdir()
-    # same source directory content + one late reading, new query on a copy
-    import shutil
-    shutil.copytree(src, late, dirs_exist_ok=True)
-    write_lines(late / "part99.csv", ["5,1704067205,1000,1,0,0,0"], 1_600_000_500)
-    qs2, store2, _ = run_job(spark, late, tmp_path / "second")
-    after = as_set(spark.read.parquet(store2).drop("batch_id"))
-    assert after == before
-    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
-                  for p in qs2[0].recentProgress for op in p.get("stateOperators", []))
-    assert dropped >= 1
+def test_stream_restarts_drops_late_rows_and_equals_batch(spark, stream_input, tmp_path):
+    """A first run ends in the middle; the job goes on from its checkpoint with new
+    files, one of them with a reading that is late by days."""
+    src, readings, rows = stream_input
+    q, store, docs = run_job(spark, src, tmp_path)
+    done = spark.read.parquet(f"{store}/averages").count()
+    assert done > 0
+    day = 86400
+    write_lines(src / "part7.csv", ["5,1704067205,1000,1,0,0,0"], 1_600_000_500)
+    for i in (1, 2):
+        write_lines(src / f"part{7 + i}.csv", [f"0,{rows[-1].timestamp + i * 10 * day},1.0,1,0,0,{FLUSH_HOUSE}"], 1_600_000_500 + i * 10)
+    q, store, docs = run_job(spark, src, tmp_path)
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p.get("stateOperators", []))
+    assert dropped == 1
+    stored = spark.read.parquet(f"{store}/averages").where(F.col("house_id") != FLUSH_HOUSE)
+    assert as_set(stored.select(*COLS)) == as_set(all_levels(readings, HOUSE, LEVELS).select(*COLS))
+    preds = parse_prediction(spark.read.json(docs)).where(F.col("house_id") != FLUSH_HOUSE)
+    cols = ["house_id", "sliding_window_ms", "event_timestamp", "avg", "median_load", "predicted_value"]
+    assert as_set(preds.select(*cols)) == as_set(predictions(readings, HOUSE, LEVELS).select(*cols))
+
+
+def test_replayed_batch_changes_nothing(spark, tmp_path):
+    store, docs = str(tmp_path / "s"), str(tmp_path / "d")
+    schema = "house_id long, pos long, s decimal(38,12), c long, t long"
+    rows = lambda *x: spark.createDataFrame([(h, p, Decimal(s), c, t) for h, p, s, c, t in x], schema)
+    one, two = rows((1, 100, 5, 1, 3000), (1, 103, 7, 2, 3090), (2, 101, 1, 1, 3030)), rows((1, 110, 2, 1, 3300))
+    run = lambda df, i: process_batch(df, i, HOUSE, store, docs, levels=LEVELS, now_ms=1)
+    run(one, 0)
+    run(two, 1)
+    run(one.limit(0), 2)
+    assert [last_complete(spark, store, HOUSE, i) for i in (-1, 0, 1, 2, 3)] == [None, 103, 110, 110, None]
+    before = as_set(spark.read.parquet(f"{store}/averages")), as_set(spark.read.json(docs))
+    assert max(x.window_end for x in spark.read.parquet(f"{store}/averages").collect()) == 111 * 30
+    run(two, 1)
+    run(one.limit(0), 2)
+    assert (as_set(spark.read.parquet(f"{store}/averages")), as_set(spark.read.json(docs))) == before
 
 
 def test_feed_job(spark, stream_input, tmp_path):
-    src, readings = stream_input
+    src, readings, _ = stream_input
     out = str(tmp_path / "feed")
+    n = spark.read.text(str(src)).count()
     q = start_feed_job(read_csv_stream(spark, str(src)), str(tmp_path / "ck"), sink="text", path=out,
                        rebase_offset_s=3600)
     q.awaitTermination(300)
     recs = spark.read.json(out)
-    assert recs.count() == readings.count() + 1
+    assert recs.count() == n
     assert recs.agg(F.min("timestamp")).first()[0] == readings.agg(F.min("timestamp")).first()[0] + 3600
-
-
-def test_rolling_presum_stream_equals_batch(spark, stream_input, tmp_path):
-    """As-executed rolling pre-sum on a stream (stateful processor keyed by
-    (house, second)) gives the batch window-function result."""
-    from loadcast.plans.pipeline import level_averages
-    from loadcast.streaming.jobs import stream_levels
-    from loadcast.streaming.rolling import enable_state_store
-    src, readings = stream_input
-    enable_state_store(spark)
-    try:
-        opts = Options(presum="rolling")
-        df = stream_levels(read_csv_stream(spark, str(src), max_files=1), HOUSE, opts, (5,))[5]
-        q = (df.writeStream.format("memory").queryName("rolling5").outputMode("append")
-             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-        q.awaitTermination(600)
-        got = spark.sql(f"select * from rolling5 where house_id != {FLUSH_HOUSE}")
-        assert as_set(got) == as_set(level_averages(readings, HOUSE, 5, opts))
-    finally:
-        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-
-
-def test_compact_store(spark, stream_input, tmp_path):
-    """Per-batch store directories compact into day-partitioned files with
-    the same rows; the retention cut drops old windows."""
-    from loadcast.sinks.store import compact
-    src, _ = stream_input
-    qs, store, _ = run_job(spark, src, tmp_path)
-    level = store + "/entity=House/window_minutes=5"
-    before = spark.read.parquet(level).drop("batch_id")
-    n = compact(spark, level, str(tmp_path / "compact"))
-    after = spark.read.parquet(str(tmp_path / "compact")).drop("end_day")
-    assert n == before.count()
-    assert as_set(after.select(*before.columns)) == as_set(before)
-    cut = before.agg(F.max("window_end")).first()[0] - 3600
-    kept = compact(spark, level, str(tmp_path / "compact2"), keep_since=cut)
-    assert kept == before.where(F.col("window_end") >= cut).count() < n
