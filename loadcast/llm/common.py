@@ -87,8 +87,10 @@ def components(edges: DataFrame) -> DataFrame:
         sym = cur.select("a", "b").union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = sym.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = (sym.join(low, "a").filter("b > a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
-        # small-star: every neighbour below, and the node itself, link to the minimum
+                 .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b"))
+        # small-star: every neighbour below, and the node itself, link to the minimum;
+        # a hub is the smaller end by now, so dealing by the larger one is even
+        large = large.repartition("a")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         j = large.join(low, "a")
         small = (j.select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -44,7 +44,7 @@ DISCOUNT = 0.75
 SHARED_WEIGHT = 20.0
 CLEAR = 2.5  # difference in nats from which a word counts as a likely insult
 WINDOW = 12
-MAX_GRAMS = 500_000
+MAX_GRAMS = 250_000
 CURVE_ROWS = 20_000
 BROADCAST_LABELS = 2_000_000
 SLICE_BYTES = 8 << 20
@@ -267,7 +267,8 @@ def train(docs: DataFrame, labels: DataFrame, max_grams: int = MAX_GRAMS, curve_
     fits = levels[levels["count"].cumsum() <= max_grams]["level"]
     top = counts.filter(every >= (int(fits.min()) if len(fits) else 1001)).toPandas()
     gram, short = top["gram"].to_numpy().view(np.uint64), top["short"].to_numpy()
-    ordinary, toxic = ([top[f"{c}{half}"].to_numpy() for half in (0, 1)] for c in ("ordinary", "toxic"))
+    ordinary, toxic = ([top[f"{c}{half}"].to_numpy(np.int32) for half in (0, 1)] for c in ("ordinary", "toxic"))
+    del top
 
     def ratio(t, o):
         seen = t + o > 0
