@@ -134,13 +134,28 @@ def panes(presummed: DataFrame, key_cols: tuple[str, ...]) -> DataFrame:
                  F.max("timestamp").alias("t")))
 
 
-def panes_of_seconds(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
-    """The panes of the ``final`` pre-sum in one aggregate, for entities whose
-    pre-sum key is their window key: a pane's sum needs no second totals, and the
-    number of its distinct seconds is the number of bits set by them."""
+def second_bits(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
+    """Panes with ``bits``, a bit per second of the pane that has a reading."""
     second = F.expr(f"shiftleft(1, cast(pmod(timestamp, {SLIDE_SECONDS}) as int))")
     return (with_units(restrict(readings, options), options.value_scale)
             .withColumn("pos", floordiv("timestamp", SLIDE_SECONDS))
             .groupBy(*entity.key_cols, "pos")
-            .agg(F.sum("u").alias("s"), F.bit_count(F.bit_or(second)).cast("long").alias("c"),
-                 F.max("timestamp").alias("t")))
+            .agg(F.sum("u").alias("s"), F.bit_or(second).alias("bits"), F.max("timestamp").alias("t")))
+
+
+def count_bits(panes_with_bits: DataFrame) -> DataFrame:
+    return (panes_with_bits.withColumn("c", F.bit_count("bits").cast("long"))
+            .select(*[c for c in panes_with_bits.columns if c not in ("s", "bits", "t")], "s", "c", "t"))
+
+
+def panes_of_seconds(readings: DataFrame, entity: Entity, options: Options) -> DataFrame:
+    """The panes of the ``final`` pre-sum in one aggregate, for entities whose
+    pre-sum key is their window key: a pane's sum needs no second totals, and the
+    number of its distinct seconds is the number of bits set by them."""
+    return count_bits(second_bits(readings, entity, options))
+
+
+def rolled_up(panes_with_bits: DataFrame, entity: Entity) -> DataFrame:
+    """Panes of a coarser entity from those of a finer one."""
+    return count_bits(panes_with_bits.groupBy(*entity.key_cols, "pos")
+                      .agg(F.sum("s").alias("s"), F.bit_or("bits").alias("bits"), F.max("t").alias("t")))

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_OPTIONS, FULL_KEY, LEVEL_MINUTES, SLIDE_SECONDS, Entity, Options
 from ..operators.median import (add_medians, history_frame, with_median,
                                 with_median_all_history)
-from ..operators.presum import from_units, panes, panes_of_seconds, presum, restrict, with_units
+from ..operators.presum import (count_bits, from_units, panes, panes_of_seconds, presum, restrict, rolled_up,
+                                second_bits, with_units)
 from ..operators.windows import (CHUNK, averages, cascade, cascade_wide, home, level_struct, lookback,
                                  panes_per_window)
 
@@ -153,13 +154,22 @@ def with_full_key(df: DataFrame, entity: Entity) -> DataFrame:
     return df
 
 
-def averages_table(readings: DataFrame, entity: Entity, levels: tuple[int, ...] = LEVEL_MINUTES,
-                   options: Options = DEFAULT_OPTIONS) -> DataFrame:
+def tables_of(readings: DataFrame, fine: Entity, coarse: Entity, levels: tuple[int, ...] = LEVEL_MINUTES,
+              options: Options = DEFAULT_OPTIONS) -> DataFrame:
+    """Averages of two entities, the coarser one's panes rolled up from the finer
+    one's, so that the readings are aggregated and shuffled once."""
+    bits = second_bits(readings, fine, options)
+    return (averages_table(None, fine, levels, options, count_bits(bits))
+            .unionByName(averages_table(None, coarse, levels, options, rolled_up(bits, coarse))))
+
+
+def averages_table(readings: DataFrame | None, entity: Entity, levels: tuple[int, ...] = LEVEL_MINUTES,
+                   options: Options = DEFAULT_OPTIONS, pane_rows: DataFrame | None = None) -> DataFrame:
     """Rows of the averages store: ``entity, window_minutes`` + full key +
     window bounds + sum/count/event_timestamp/avg (one cascade pass)."""
     cols = ["entity", "window_minutes", *FULL_KEY, "window_start", "window_end",
             "sum", "count", "event_timestamp", "avg"]
-    df = all_levels(readings, entity, levels, options).withColumn("entity", F.lit(entity.name))
+    df = all_levels(readings, entity, levels, options, pane_rows=pane_rows).withColumn("entity", F.lit(entity.name))
     return with_full_key(df, entity).select(*cols)
 
 

@@ -27,7 +27,7 @@ from ..sources.sensor import (ADAPTER_SQL, SENSOR_COLUMNS, decode_kafka, dropped
                               rebase_event_time, sensor_from_testdata)
 from . import oracle as O
 from .pipeline import (all_levels, averages_table, direct_averages, level_averages, level_frames,
-                       predictions, with_full_key)
+                       predictions, tables_of, with_full_key)
 
 Q = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Q] = {}
@@ -184,8 +184,7 @@ def _table_sql():
 
 @register("averages_table", _table_sql())
 def _averages_table(spark, sf):
-    r = readings(spark, sf)
-    return averages_table(r, HOUSE, _ALL).unionByName(averages_table(r, PLUG, _ALL))
+    return tables_of(readings(spark, sf), PLUG, HOUSE, _ALL)
 
 
 _STORE_COLS = ["entity", "window_minutes", "house_id", "household_id", "plug_id",
