@@ -46,6 +46,11 @@ SLICE_BYTES = 8 << 20
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    first = LETTER.search(text)
+    return first is not None and (first[0].isalpha() or any(map(str.isalpha, text)))
+
+
 def with_shorter(key: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Packed grams and counts, with those of all shorter contexts added."""
     keys, counts = [key], [n]
@@ -198,7 +203,7 @@ def predict(docs: DataFrame, model: dict[str, ContextTree]) -> DataFrame:
             for j in range(len(trees)):
                 bits[:, j] = np.bincount(prow, pn * wb[pword, j], minlength=n)
             size = np.maximum(np.bincount(prow, pn * (e - s + 1)[pword], minlength=n), 1)
-            letters = np.array([bool(LETTER.search(t)) for t in (x.as_py() or "" for x in rows.column("text"))], bool)
+            letters = np.array([has_letter(x.as_py() or "") for x in rows.column("text")], bool)
             ok = letters & (len(trees) > 0)
             rate = bits / size[:, None]
             if len(trees):

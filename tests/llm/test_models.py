@@ -282,3 +282,8 @@ def test_language_model_query(spark, docs):
         assert r["held_out"] == (brute.fold(r["doc_id"], 7) == 2)
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > 1.5 * sum(r["base_score"] for r in held)
+
+
+def test_letters():
+    yes, no = ["a", "1é", "日", "²x", "ß"], ["", "12 ½ ² _-", "…", "٠", "Ⅷ"]
+    assert all(map(langid.has_letter, yes)) and not any(map(langid.has_letter, no))
