@@ -126,3 +126,20 @@ def test_contamination_query(spark, docs):
     want = brute.contamination(pairs_of(docs.filter(F.length("text") < 6000)), [(r["item_id"], r["text"]) for r in bench.collect()])
     short = {r["doc_id"] for r in docs.filter(F.length("text") < 6000).collect()}
     assert {k: v for k, v in got.items() if k[0] in short} == {k: v[1] for k, v in want.items()}
+
+
+def test_map_side_combine_decides_only_larger_documents():
+    r = np.random.RandomState(5)
+    n = 500
+    gram, reach = r.randint(0, 20, n).astype(np.uint64) << np.uint64(40), r.randint(0, 5, n).astype(np.uint32).view(np.int32)
+    pos, doc = np.arange(n, dtype=np.int64), r.randint(-3, 30, n)
+    a, b = repeats.pack(gram, reach, pos)
+    x, y = repeats.combine(a, b, doc)
+    done = (y.view(np.uint64) & repeats.DECIDED) > 0
+    low = {}
+    for g, c, d in zip(gram.tolist(), reach.tolist(), doc.tolist()):
+        low[g, c] = min(low.get((g, c), d), d)
+    assert done.tolist() == [d > low[g, c] for g, c, d in zip(gram.tolist(), reach.tolist(), doc.tolist())]
+    assert (x[~done] == a[~done]).all() and (y[~done] == b[~done]).all()
+    assert ((x ^ a)[done] & 0xFFFF == 0).all() and len(np.unique(x[done] >> 16)) > 0.9 * done.sum()
+    assert len(repeats.combine(a[:0], b[:0], doc[:0])[0]) == 0
