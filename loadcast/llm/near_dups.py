@@ -39,10 +39,10 @@ from loadcast.llm.common import components, cut, prepare, stored, table
 from loadcast.llm.textnp import mix, shingle_sets, slices
 
 BANDS = 30
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1_000_000
 DENSE_FROM = 24
-DENSE_COLUMNS = 2048
+DENSE_COLUMNS = 1024
 
 _rng = np.random.RandomState(97)
 _MULT = _rng.randint(1, 2**62, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,8 +130,11 @@ def linked_stars(sids: np.ndarray, side: np.ndarray, start: np.ndarray, h: np.nd
                 for j in range(i + 1, d):
                     np.add.at(common, (members[:, i], members[:, j]), 1)
                     np.add.at(common, (members[:, j], members[:, i]), 1)
-    total = size[:, None] + size[None, :] - common
-    linked = 100 * common.astype(np.float64) >= percent * total
+    # 100 * common >= percent * (a + b - common), some rows at a time
+    linked = np.zeros((m, m), bool)
+    for at in range(0, m, 256):
+        both = percent * (size[at:at + 256, None] + size[None, :])
+        linked[at:at + 256] = (100 + percent) * common[at:at + 256].astype(np.float64) >= both
     np.fill_diagonal(linked, True)
     label = np.arange(m)
     while True:  # spread the smallest label along the links

@@ -47,8 +47,8 @@ WINDOW = 12
 MAX_GRAMS = 250_000
 CURVE_ROWS = 20_000
 BROADCAST_LABELS = 2_000_000
-SLICE_BYTES = 8 << 20
-FLUSH_GRAMS = 2_000_000
+SLICE_BYTES = 4 << 20
+FLUSH_GRAMS = 1_000_000
 DIFFERENCES = ["mean_diff", "window_diff", "word_diff", "clear_diff"]
 
 
