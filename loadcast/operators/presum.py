@@ -97,13 +97,14 @@ def running_total(df: DataFrame, group: list[str], order: str, value: str,
 
     1. split each group into buckets of ``bucket`` consecutive order values;
        a window per (group, bucket) gives the running sum inside the bucket;
-    2. per (group, bucket): bucket total and first row (a map-side combined
-       aggregate); a window over the buckets of a group (``1/bucket`` of the
+    2. per (group, bucket): bucket total and first row (an aggregate over the
+       same exchange); a window over the buckets of a group (``1/bucket`` of the
        rows) turns totals into offsets and finds the group's first row;
     3. equi-join back on (group, bucket) -- fine-grained keys -- and add.
     """
     b = floordiv(order, bucket)
-    df = df.withColumn("_b", b)
+    # one exchange, which the running sums and the bucket totals share
+    df = df.withColumn("_b", b).repartition(*group, "_b")
     w_in = (Window.partitionBy(*group, "_b").orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     df = df.withColumn("_run", F.sum(value).over(w_in))
