@@ -28,9 +28,7 @@ _rng = np.random.RandomState(20240229)
 _BYTE = _rng.randint(1, 2**63 - 1, 256, dtype=np.uint64) * U(2) + U(1)
 _BYTE_LOWER = _BYTE[LOWER]
 _P = 0x9E3779B97F4A7C15 | 1
-_PINV = pow(_P, -1, 2**64)
-_pow = np.ones(1, np.uint64)
-_ipow = np.ones(1, np.uint64)
+_LOW = 11  # powers are products of two small tables
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -42,15 +40,28 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(32))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _pow, _ipow
-    if len(_pow) < n:
-        m = max(n, 1 << 16)
-        for name, base in (("_pow", _P), ("_ipow", _PINV)):
-            x = np.full(m, base, np.uint64)
-            x[0] = 1
-            globals()[name] = np.cumprod(x, dtype=np.uint64)
-    return _pow[:n], _ipow[:n]
+def _tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``base`` up to 2^_LOW - 1, and of base^(2^_LOW) as far as ``n``."""
+    out = []
+    for b, m in ((base, 1 << _LOW), (pow(base, 1 << _LOW, 2**64), (n >> _LOW) + 1)):
+        x = np.full(m, b, np.uint64)
+        x[0] = 1
+        out.append(np.cumprod(x, dtype=np.uint64))
+    return out[0], out[1]
+
+
+_INVERSE = pow(_P, -1, 2**64)
+
+
+def _powers(n: int) -> np.ndarray:
+    """P^0 to P^(n-1); made anew, as a kept table would stay in every worker."""
+    low, high = _tables(_P, n)
+    return (high[:, None] * low[None, :]).reshape(-1)[:n]
+
+
+def _inverse_powers(at: np.ndarray, n: int) -> np.ndarray:
+    low, high = _tables(_INVERSE, n)
+    return high[at >> _LOW] * low[at & ((1 << _LOW) - 1)]
 
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +79,7 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def slices(batches, column: str, max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def slices(batches, column: str, max_bytes: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut record batches into row runs of about ``max_bytes`` of text (a single
     longer text stays whole) and give (rows, bytes, offsets) for each."""
     for batch in batches:
@@ -109,11 +120,12 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
     n = len(buf)
-    pw, ipw = _powers(n + 1)
     s = np.empty(n + 1, np.uint64)
     s[0] = 0
-    np.cumsum((_BYTE_LOWER if lower else _BYTE)[buf] * pw[:n], dtype=np.uint64, out=s[1:])
-    return mix((s[ends] - s[starts]) * ipw[starts] + (ends - starts).astype(np.uint64))
+    terms = _powers(n)
+    terms *= (_BYTE_LOWER if lower else _BYTE)[buf]
+    np.cumsum(terms, dtype=np.uint64, out=s[1:])
+    return mix((s[ends] - s[starts]) * _inverse_powers(starts, n + 1) + (ends - starts).astype(np.uint64))
 
 
 _STEP = U(0xA24BAED4963EE407)
