@@ -12,7 +12,7 @@ from loadcast.session import configure, shared_dir
 
 # Arrow batches are bounded by bytes as well as by rows, so that a run of very
 # long texts does not fill a Python worker.
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 4 << 20
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -20,12 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings that the operators rely on."""
+def prepare(spark: SparkSession, batch_bytes: int = ARROW_BATCH_BYTES) -> SparkSession:
+    """Session settings that an operator relies on."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
+    return _ready(spark)
+
+
+def _ready(spark: SparkSession) -> SparkSession:
+    """Shared folder and import path of the Python workers."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     # Python workers find the package also when the driver was started elsewhere
@@ -39,14 +44,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
-    prepare(df.sparkSession)
+    _ready(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder: for larger
     intermediates, as it is compressed, read by column and of known size."""
-    spark = prepare(df.sparkSession)
+    spark = _ready(df.sparkSession)
     path = shared_path(spark, "tables", uuid.uuid4().hex)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

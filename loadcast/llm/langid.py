@@ -42,6 +42,7 @@ EVIDENCE_BYTES = 40
 MAX_CONTEXTS = 30_000
 MAX_LANGUAGES = 256
 FLUSH_GRAMS = 2_000_000
+BATCH_BYTES = 16 << 20
 SLICE_BYTES = 8 << 20
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -188,7 +189,7 @@ def train(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS,
 
 def predict(docs: DataFrame, model: dict[str, ContextTree]) -> DataFrame:
     """(doc_id, lang_pred, score, bits_per_byte) of every row."""
-    spark = prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession, BATCH_BYTES)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
@@ -224,7 +225,7 @@ def predict(docs: DataFrame, model: dict[str, ContextTree]) -> DataFrame:
 
 def identify(docs: DataFrame, held_out: Column | None = None, **how) -> DataFrame:
     """Learn from the rows that are not held out and predict every row."""
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, BATCH_BYTES)
     rows = docs.select("doc_id", "text", "lang")
     return predict(rows, train(rows if held_out is None else rows.filter(~held_out), **how))
 
