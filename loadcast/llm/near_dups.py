@@ -100,11 +100,9 @@ def fingerprint(docs: DataFrame, k: int, bands: int, width: int) -> DataFrame:
             .mapInArrow(run, "doc_id long, n long, k1 long, k2 long, bands array<long>"))
 
 
-def linked_stars(sids: np.ndarray, side: np.ndarray, start: np.ndarray, h: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within one group of nodes, as (node, smallest node of its linked
-    part). ``side`` is the block of each node; when there are two, only pairs
-    across them and within each are compared all the same (a repeated comparison
-    changes nothing)."""
+def linked_stars(sids: np.ndarray, start: np.ndarray, h: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links within one group of nodes, given by their ids and the runs of their
+    shingles in ``h``, as (node, smallest node of its linked part)."""
     m = len(sids)
     size = np.diff(start)
     doc = np.repeat(np.arange(m), size)
@@ -164,7 +162,7 @@ def verify(groups: DataFrame, percent: int) -> DataFrame:
             begin = np.concatenate([[0], np.cumsum(lens)])
             take = np.concatenate([np.arange(begin[i], begin[i + 1]) for i in first])
             start = np.concatenate([[0], np.cumsum(lens[first])])
-            a, b = linked_stars(u, None, start, h[take], percent)
+            a, b = linked_stars(u, start, h[take], percent)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"]) if len(a) else None
 
         for batch in batches:
