@@ -153,14 +153,6 @@ def with_median_all_history(df: DataFrame, key_cols: list[str], options: Options
     return df.repartition(n, *key_cols).groupBy(*key_cols).applyInPandas(per_key, schema)
 
 
-def predict(df: DataFrame, entity_name: str, minutes: int) -> DataFrame:
-    """``predicted_value = (avg + median_load) / 2`` tagged with the entity
-    name and the window length in milliseconds."""
-    return (df.withColumn("entity", F.lit(entity_name))
-            .withColumn("sliding_window_ms", F.lit(minutes * 60 * 1000).cast("long"))
-            .withColumn("predicted_value", (F.col("avg") + F.col("median_load")) / F.lit(2.0)))
-
-
 def median_of_store(store: DataFrame, key_cols: tuple[str, ...], minutes: int,
                     options: Options) -> DataFrame:
     """Median lookup against a stored averages table (one entity, one window
