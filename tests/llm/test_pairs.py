@@ -143,3 +143,20 @@ def test_map_side_combine_decides_only_larger_documents():
     assert (x[~done] == a[~done]).all() and (y[~done] == b[~done]).all()
     assert ((x ^ a)[done] & 0xFFFF == 0).all() and len(np.unique(x[done] >> 16)) > 0.9 * done.sum()
     assert len(repeats.combine(a[:0], b[:0], doc[:0])[0]) == 0
+
+
+def test_linked_stars_against_plain_sets():
+    r = np.random.RandomState(0)
+    for _ in range(60):
+        m, base = r.randint(2, 40), r.randint(0, 10**9, 60)
+        sets = [np.unique(np.where(r.rand(60) < r.choice([.02, .1, .3]), r.randint(0, 10**9, 60), base)) for _ in range(m)]
+        start = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        a, b = near_dups.linked_stars(np.arange(m) * 7, start, np.concatenate(sets), 80)
+        label = list(range(m))
+        for i in range(m):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                    x, y = max(label[i], label[j]), min(label[i], label[j])
+                    label = [y if k == x else k for k in label]
+        assert set(zip(a.tolist(), b.tolist())) == {(7 * i, 7 * k) for i, k in enumerate(label) if i != k}
