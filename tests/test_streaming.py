@@ -11,7 +11,7 @@ from loadcast.config import HOUSE, Options
 from loadcast.functions.docs import parse_prediction
 from loadcast.functions.text import sensor_line
 from loadcast.plans.pipeline import all_levels, predictions
-from loadcast.sources import read_csv_stream, sensor_from_testdata
+from loadcast.sources import read_csv, read_csv_stream, sensor_from_testdata
 from loadcast.streaming.jobs import last_complete, process_batch, start_averaging_job, start_feed_job
 
 SF = "/root/testdata/sf0.001"
@@ -91,12 +91,13 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
 
 
 def test_feed_job(spark, stream_input, tmp_path):
-    src, readings, _ = stream_input
+    src, _, _ = stream_input
     out = str(tmp_path / "feed")
-    n = spark.read.text(str(src)).count()
+    lines = read_csv(spark, str(src))
+    n = lines.count()
     q = start_feed_job(read_csv_stream(spark, str(src)), str(tmp_path / "ck"), sink="text", path=out,
                        rebase_offset_s=3600)
     q.awaitTermination(300)
     recs = spark.read.json(out)
     assert recs.count() == n
-    assert recs.agg(F.min("timestamp")).first()[0] == readings.agg(F.min("timestamp")).first()[0] + 3600
+    assert recs.agg(F.min("timestamp")).first()[0] == lines.agg(F.min("timestamp")).first()[0] + 3600
