@@ -26,6 +26,9 @@ nothing; a text of fewer words than a shingle has its whole sequence as its only
 shingle; a row with null doc_id is never linked, has a null component and is
 kept; rows that repeat an id are rows of their own and appear as often as in the
 input; an empty table gives no rows. Only doc_id and text are read.
+``drop_near_duplicates`` decides by row, not by id: exactly one row of every class
+stays, that of the smallest doc_id (then the smallest text hash); of rows that
+repeat its id and text, any one.
 """
 
 from __future__ import annotations
@@ -83,7 +86,7 @@ def signatures(row: np.ndarray, h: np.ndarray, rows: np.ndarray, bands: int, wid
 
 
 def fingerprint(docs: DataFrame, k: int, bands: int, width: int) -> DataFrame:
-    """(doc_id, n, k1, k2, bands): a row per input row, over whole texts."""
+    """(doc_id, text_hash, n, k1, k2, bands): a row per input row, over whole texts."""
     def run(batches):
         for batch, buf, off in slices(batches, "text"):
             row, h = shingle_sets(buf, off, k)
@@ -92,12 +95,13 @@ def fingerprint(docs: DataFrame, k: int, bands: int, width: int) -> DataFrame:
             sig = signatures(row, h, has, bands, width) if len(has) else np.zeros((0, bands), np.uint64)
             offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(n.astype(np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.reshape(-1).view(np.int64)))],
-                ["doc_id", "n", "k1", "k2", "bands"])
+                ["doc_id", "text_hash", "n", "k1", "k2", "bands"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n long, k1 long, k2 long, bands array<long>"))
+    text = F.col("text").cast("string")
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+            .mapInArrow(run, "doc_id long, text_hash long, n long, k1 long, k2 long, bands array<long>"))
 
 
 def linked_stars(sids: np.ndarray, start: np.ndarray, h: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -206,20 +210,20 @@ def member_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     return texts.join(members, "rep").select("sid", *extra, "text").mapInArrow(run, schema)
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS,
-                    block_rows: int = BLOCK_ROWS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): the class of every row, links
-    being 100 * intersection >= percent * union of the k-word shingle sets."""
+def row_classes(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS,
+                block_rows: int = BLOCK_ROWS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(doc_id, text_hash, n, component_id, stays): the class of every row, and
+    whether its id and text are those of the one row that stands for it."""
     prepare(docs.sparkSession)
     sig = stored(fingerprint(docs, k, bands, band_rows(percent)).withColumn("sid", F.xxhash64("k1", "k2", "n")))
     sets = (sig.filter("doc_id is not null and n > 0").groupBy("sid")
-            .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("k1").alias("k1"), F.min("bands").alias("bands")))
-    sets = stored(sets)
+            .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("n").alias("n"), F.min("k1").alias("k1"), F.min("bands").alias("bands")))
+    sets = stored(sets.select("sid", F.col("first.doc_id").alias("rep"), F.col("first.text_hash").alias("rep_hash"), "n", "k1", "bands"))
     in_band = sets.select("sid", F.explode("bands").alias("band"))
     shared = in_band.groupBy("band").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high")
     stars = in_band.join(shared.select("band", "low"), "band").filter("sid <> low").select(F.col("sid").alias("a"), F.col("low").alias("b"))
     clusters = cut(components(stars))
-    members = sets.drop("bands").join(clusters.withColumnRenamed("id", "sid").withColumnRenamed("component_id", "cluster"), "sid")
+    members = sets.drop("bands", "rep_hash").join(clusters.withColumnRenamed("id", "sid").withColumnRenamed("component_id", "cluster"), "sid")
     sizes = (members.groupBy("cluster").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
              .select("cluster", F.greatest(F.ceil(F.col("rows") / block_rows), F.ceil(F.col("shingles") / block_shingles))
                      .cast("int").alias("blocks")))
@@ -233,21 +237,41 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
              .select("task", "sid", "shingles"))
     links = verify(tasks.repartition("task").sortWithinPartitions("task"), percent)
     classes = components(links).withColumnRenamed("id", "sid").withColumnRenamed("component_id", "class")
-    named = sets.select("sid", "rep").join(classes, "sid", "left").withColumn("class", F.coalesce("class", "sid"))
-    names = named.groupBy("class").agg(F.min("rep").alias("component"))
-    linked = cut(named.join(names, "class").filter("component <> rep or class <> sid").select(F.col("sid").alias("set_id"), "component"))
-    reps = sets.select(F.col("sid").alias("rep_id"), "rep")
+    named = sets.select("sid", "rep", "rep_hash").join(classes, "sid", "left").withColumn("class", F.coalesce("class", "sid"))
+    names = (named.groupBy("class").agg(F.min(F.struct("rep", "rep_hash")).alias("first"))
+             .select("class", F.col("first.rep").alias("component"), F.col("first.rep_hash").alias("stay_hash")))
+    linked = cut(named.join(names, "class").filter("component <> rep or stay_hash <> rep_hash or class <> sid")
+                 .select(F.col("sid").alias("set_id"), "component", "stay_hash"))
+    reps = sets.select(F.col("sid").alias("rep_id"), "rep", "rep_hash")
     out = sig.join(reps, sig.sid == reps.rep_id, "left").join(linked, sig.sid == linked.set_id, "left")
     own = F.when(F.col("n") > 0, F.coalesce("component", "rep", "doc_id")).otherwise(F.col("doc_id"))
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), own))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    first = (F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.coalesce("stay_hash", "rep_hash"))
+    return out.select("doc_id", "text_hash", "n", "component_id", (F.col("doc_id").isNull() | (F.col("n") == 0) | first).alias("stays"))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, **how) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): the class of every row, links
+    being 100 * intersection >= percent * union of the k-word shingle sets."""
+    return row_classes(docs, k, percent, **how).select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                                           F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs``, all columns, that stand for their class."""
-    gone = cut(near_duplicates(docs, **how).filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """One row of every class, with all columns of ``docs``."""
+    rows = stored(row_classes(docs, **how).filter("doc_id is not null and n > 0")
+                  .groupBy(F.col("doc_id").alias("row_id"), F.col("text_hash").alias("row_hash"))
+                  .agg(F.first("stays").alias("stays"), F.count("*").alias("times")).filter("not stays or times > 1"))
+    gone, many = (rows.filter(c).select("row_id", "row_hash") for c in ("not stays", "stays"))
+    text_hash = F.xxhash64(F.col("text").cast("string"))
+
+    def same(df):
+        return (docs["doc_id"] == df["row_id"]) & (text_hash == df["row_hash"])
+
+    if many.isEmpty():
+        return docs.join(gone, same(gone), "left_anti")
+    one = docs.join(many, same(many), "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(rows, same(rows), "left_anti").unionByName(one)
 
 
 def op9(spark, sf_dir):

@@ -43,6 +43,15 @@ def test_drop_near_duplicates_keeps_columns(odd, none):
     assert near_dups.drop_near_duplicates(none).count() == 0
 
 
+def test_drop_near_duplicates_decides_by_row(spark):
+    say = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    a, b, c, d = map(say, "abcd")
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, c), (7, c.upper()), (9, None), (9, None), (None, c), (3, d), (6, d), (5, d + " more")]
+    left = near_dups.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(((r["doc_id"], r["text"] and r["text"].lower()) for r in left.collect()), key=key)
+    assert got == sorted([(3, a), (5, b), (7, c), (9, None), (9, None), (None, c), (3, d)], key=lambda r: key((r[0], r[1])))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 101), (102, 101), (7, 7), (200, 100)] + [(500, x) for x in range(501, 540)]
     got = dict(rows_of(common.components(spark.createDataFrame(edges, "a long, b long")), "id", "component_id"))
