@@ -13,13 +13,15 @@ toxic window of ``WINDOW`` words and its most toxic word, so that one insult in
 long text is not averaged away. A logistic curve over these three turns them into
 a score.
 
-Counts cover all labelled rows that are not held out. The curve is fitted across
-two halves of them, each judged by the counts of the other. Bounds, both
-parameters: the model keeps the ``max_grams`` most frequent expressions' contexts
-(whole count levels, so ties are kept or dropped together), and the curve is
-fitted on a hash sample of about ``curve_rows`` rows. Labels are
-broadcast up to ``broadcast_labels`` rows (16 bytes each); above that the join is
-a shuffle.
+Counts cover all labelled rows that are not held out, and every gram of them
+stays in the model, however rare: the ratio of each counted gram, and of each
+context, is a row of a Spark table (``ratio_table``), never on the driver. Texts
+are dealt to slices of about ``SLICE_TEXT`` bytes by hash; a slice's distinct grams
+are joined to the table, a context having at most 256 rows a slice, and come back
+to the slice, where the texts are scored. The curve is fitted across two halves of
+the labelled rows, each judged by the counts of the other, on a hash sample of
+about ``curve_rows`` rows (a parameter). Labels are broadcast up to
+``broadcast_labels`` rows (16 bytes each); above that the join is a shuffle.
 
 Nulls and odd input: null or empty texts have differences of 0 and get the score
 that the curve gives to 0; labels with null id or value, and documents labelled
@@ -34,6 +36,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from loadcast.llm.common import cut, prepare, slot, stored, table
 from loadcast.llm.textnp import distinct_words, grams, slices, span_hashes, spelled, words
@@ -44,10 +49,10 @@ DISCOUNT = 0.75
 SHARED_WEIGHT = 20.0
 CLEAR = 2.5  # difference in nats from which a word counts as a likely insult
 WINDOW = 12
-MAX_GRAMS = 250_000
 CURVE_ROWS = 20_000
 BROADCAST_LABELS = 2_000_000
 SLICE_BYTES = 4 << 20
+SLICE_TEXT = 32 << 20
 FLUSH_GRAMS = 1_000_000
 DIFFERENCES = ["mean_diff", "window_diff", "word_diff", "clear_diff"]
 
@@ -135,8 +140,9 @@ class Ratio:
 
     Both classes back off to the same probability, so for a byte that neither has
     in a context it cancels out: what is left depends on the context only, and is
-    0 where that is unknown. The model is therefore two sorted tables: a ratio per
-    counted gram, and one per context."""
+    0 where that is unknown. The model is therefore two tables: a ratio per counted
+    gram, and one per context. This is the form for counts that fit one process,
+    which ``ratio_table`` is compared with."""
 
     def __init__(self, gram: np.ndarray, short: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, order: int = ORDER):
         self.order = order
@@ -202,21 +208,147 @@ def differences(buf: np.ndarray, off: np.ndarray, ratio: Ratio) -> np.ndarray:
     return out
 
 
-def score_rows(docs: DataFrame, ratio, keep: list[str], curve=None) -> DataFrame:
-    """``keep`` columns, the differences and, with a curve, the score."""
-    names = DIFFERENCES
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [f"{c} double" for c in names] + ["score double"])
+class Looked:
+    """Ratios of a slice's grams, looked up before."""
 
-    def run(batches):
-        model = ratio.value
-        for batch, buf, off in slices(batches, "text", SLICE_BYTES):
-            d = differences(buf, off, model)
-            p = curve(d) if curve else np.zeros(len(d))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(x) for x in d.T] + [pa.array(p)],
-                                             [*keep, *names, "score"])
+    def __init__(self, gram: np.ndarray, value: np.ndarray, order: int = ORDER):
+        k = np.argsort(gram)
+        self.gram, self.value, self.order = gram[k], value[k], order
 
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    def __call__(self, gram: np.ndarray) -> np.ndarray:
+        return Level.at(self.gram, self.value, gram)
+
+
+MODELS = 3  # counts of half 1, of half 0, of both
+
+
+def short_table(counts: DataFrame) -> DataFrame:
+    """(short, p0 to p2): :func:`continuation` under each model."""
+    seen = [F.col(f"c{m}") > 0 for m in range(MODELS)]
+    depth = F.shiftright("short", 56).cast("int")
+    bits = F.lit((1 << 56) - 1)
+    # every counted suffix context once, with the grams that end at its level
+    tops = (counts.select("short", *[c.cast("long").alias(f"e{m}") for m, c in enumerate(seen)])
+            .groupBy("short").agg(*[F.sum(f"e{m}").alias(f"e{m}") for m in range(MODELS)]))
+    each = tops.withColumn("depth", depth).withColumn("o", F.explode(F.sequence(F.lit(0), depth)))
+    body = F.when(F.col("o") >= SHORT, F.col("short").bitwiseAND(bits)).otherwise(
+        F.col("short").bitwiseAND(F.expr("shiftleft(1L, 8 * (o + 1)) - 1")))
+    nodes = (each.withColumn("key", body).groupBy("o", "key")
+             .agg(*[F.sum(F.when(F.col("o") == F.col("depth"), F.col(f"e{m}")).otherwise(0)).alias(f"own{m}") for m in range(MODELS)],
+                  *[F.max((F.col(f"e{m}") > 0).cast("long")).alias(f"has{m}") for m in range(MODELS)]))
+    nodes = stored(nodes)
+    up = nodes.filter("o > 0").select((F.col("o") - 1).alias("o"), F.expr("key & (shiftleft(1L, 8 * o) - 1)").alias("key"),
+                                      *[F.col(f"has{m}").alias(f"n{m}") for m in range(MODELS)])
+    levels = (nodes.select("o", "key", *[F.col(f"own{m}").alias(f"n{m}") for m in range(MODELS)]).unionByName(up)
+              .groupBy("o", "key").agg(*[F.sum(f"n{m}").alias(f"n{m}") for m in range(MODELS)]))
+    # p = a + b * (p of the next shorter context); a context has at most 256 rows
+    ctx = W.partitionBy("o", "ctx")
+    levels = levels.withColumn("ctx", F.shiftright("key", 8))
+    for m in range(MODELS):
+        n, total = F.col(f"n{m}"), F.sum(f"n{m}").over(ctx)
+        types = F.sum((F.col(f"n{m}") > 0).cast("long")).over(ctx)
+        levels = (levels.withColumn(f"a{m}", F.when(total > 0, F.greatest(n - DISCOUNT, F.lit(0.0)) / total).otherwise(0.0))
+                  .withColumn(f"b{m}", F.when(total > 0, DISCOUNT * types / total).otherwise(1.0)))
+    levels = stored(levels.select("o", "key", *[f"{x}{m}" for m in range(MODELS) for x in "ab"]))
+    out, last = [], None
+    for o in range(SHORT + 1):
+        at = levels.filter(F.col("o") == o)
+        if last is not None:
+            shorter = F.col("key").bitwiseAND(F.lit((1 << 8 * o) - 1))
+            at = at.withColumn("up", shorter).join(last, "up")
+        last_p = [F.lit(1 / 256) if last is None else F.col(f"q{m}") for m in range(MODELS)]
+        here = stored(at.select("key", *[(F.col(f"a{m}") + F.col(f"b{m}") * last_p[m]).alias(f"p{m}") for m in range(MODELS)]))
+        last = here.select(F.col("key").alias("up"), *[F.col(f"p{m}").alias(f"q{m}") for m in range(MODELS)])
+        out.append(here.withColumn("short", F.col("key").bitwiseOR(F.lit(o << 56))).drop("key"))
+    every = out[0]
+    for x in out[1:]:
+        every = every.unionByName(x)
+    return every
+
+
+def ratio_table(counts: DataFrame) -> DataFrame:
+    """(ctx, other, grams): per context the ratio of a byte that was not counted in
+    it, and (gram, value) of those that were, each an array over the models. What
+    :class:`Ratio` gives, over all counts of (gram, short, GROUPS)."""
+    t = [F.col("toxic1"), F.col("toxic0"), F.col("toxic0") + F.col("toxic1")]
+    n = [F.col("ordinary1"), F.col("ordinary0"), F.col("ordinary0") + F.col("ordinary1")]
+    both = [(x + y) for x, y in zip(t, n)]
+    p = short_table(counts.select("short", *[x.alias(f"c{m}") for m, x in enumerate(both)]))
+    # the shuffles to the shorter and to the whole context carry the counts once
+    rows = counts.join(p, "short").withColumn("ctx", F.shiftright("gram", 8)).drop("short").repartition("ctx")
+    rows = rows.select("ctx", "gram", *[F.col(f"p{m}") for m in range(MODELS)], *[x.alias(f"t{m}") for m, x in enumerate(t)],
+                       *[x.alias(f"n{m}") for m, x in enumerate(n)], *[x.alias(f"c{m}") for m, x in enumerate(both)])
+    ctx = W.partitionBy("ctx")
+    sums = [(F.sum(f"{k}{m}").over(ctx).alias(f"{k}total{m}"), F.sum((F.col(f"{k}{m}") > 0).cast("long")).over(ctx).alias(f"{k}types{m}"))
+            for m in range(MODELS) for k in "tnc"]
+    rows = rows.select("*", *[c for pair in sums for c in pair])
+    value, other = [], []
+    for m in range(MODELS):
+        c = lambda k: F.col(f"{k}{m}")  # noqa: B023, E731
+        shared = F.when(c("ctotal") > 0, (F.greatest(c("c") - DISCOUNT, F.lit(0.0)) + DISCOUNT * c("ctypes") * c("p")) / c("ctotal"))
+        top = {k: F.greatest(c(k) - DISCOUNT, F.lit(0.0)) + (DISCOUNT * c(f"{k}types") + SHARED_WEIGHT) * shared for k in "tn"}
+        size = F.log((c("ntotal") + SHARED_WEIGHT) / (c("ttotal") + SHARED_WEIGHT))
+        rest = F.log((DISCOUNT * c("ttypes") + SHARED_WEIGHT) / (DISCOUNT * c("ntypes") + SHARED_WEIGHT)) + size
+        value.append(F.when(c("c") > 0, F.log(top["t"] / top["n"]) + size).otherwise(rest).cast("float"))
+        other.append(rest.cast("float"))
+    rows = rows.select("ctx", F.struct("gram", F.array(*value).alias("value")).alias("g"), F.array(*other).alias("other"))
+    return rows.groupBy("ctx").agg(F.first("other").alias("other"), F.collect_list("g").alias("grams"))
+
+
+def judged(docs: DataFrame, ratios: DataFrame, model: Column, keep: list[str], finish, schema, slice_text: int = SLICE_TEXT) -> DataFrame:
+    """``finish(rows, differences)`` of every row of ``docs`` under the ``model``
+    (a column: 0 to 2) of its row. Texts are shuffled once, to their slices."""
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    n = max(1, -(-size // slice_text))
+    deal = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))
+    rows = (docs.select(*keep, F.col("text").cast("string").alias("judged_text"), model.cast("int").alias("judged_by"), deal.alias("judged_slice"))
+            .repartition(max(n, 1), "judged_slice"))
+
+    def used(batches):
+        held, size = {}, 0
+
+        def flush():
+            for part, keys in held.items():
+                u = np.unique(np.concatenate(keys)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), part)), pa.array(u)], ["judged_slice", "gram"])
+
+        for batch, buf, off in slices(batches, "judged_text", SLICE_BYTES):
+            part = np.asarray(batch.column("judged_slice"))
+            s, e, prow, pword, _ = distinct_words(buf, off, lower=True)
+            data, word = spelled(buf, s, e, lower=True)
+            i, key, _ = contexts(data, word)
+            for p in np.unique(part):
+                mine = np.zeros(len(s), bool)
+                mine[pword[(part == p)[prow]]] = True
+                held.setdefault(p, []).append(u := np.unique(key[mine[word[i]]]))
+                size += len(u)
+            if size > 4 * FLUSH_GRAMS:
+                yield from flush()
+                held, size = {}, 0
+        yield from flush()
+
+    need = rows.mapInArrow(used, "judged_slice long, gram long").distinct().withColumn("ctx", F.shiftright("gram", 8))
+    found = (need.withColumnRenamed("gram", "need").join(ratios, "ctx")
+             .select("judged_slice", "need", F.coalesce(F.try_element_at(F.transform(F.filter("grams", lambda g: g["gram"] == F.col("need")),
+                     lambda g: g["value"]), F.lit(1)), F.col("other")).alias("value"))
+             .select("judged_slice", "need", *[F.col("value")[m].alias(f"v{m}") for m in range(MODELS)]))
+
+    def judge(left, right):
+        gram = right.column("need").combine_chunks().to_numpy(zero_copy_only=False).view(np.uint64)
+        models = {}
+        out = []
+        for batch, buf, off in slices(left.to_batches(), "judged_text", SLICE_BYTES):
+            by = np.asarray(batch.column("judged_by"))
+            d = np.zeros((len(by), 4))
+            for m in np.unique(by):
+                if m not in models:
+                    models[m] = Looked(gram, right.column(f"v{m}").combine_chunks().to_numpy(zero_copy_only=False).astype(np.float64))
+                d[by == m] = differences(buf, off, models[m])[by == m]
+            out.append(finish(batch, d))
+        return pa.Table.from_batches(out) if out else empty
+
+    empty = to_arrow_schema(schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).empty_table()
+    return rows.groupBy("judged_slice").cogroup(found.groupBy("judged_slice")).applyInArrow(judge, schema)
 
 
 class Curve:
@@ -251,69 +383,52 @@ class Curve:
         return cls(w, 0.0)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_grams: int = MAX_GRAMS, curve_rows: int = CURVE_ROWS,
-          broadcast_labels: int = BROADCAST_LABELS):
-    """(broadcast Ratio, Curve) from all labelled rows of ``docs``."""
-    spark = prepare(docs.sparkSession)
+def train(docs: DataFrame, labels: DataFrame, curve_rows: int = CURVE_ROWS, broadcast_labels: int = BROADCAST_LABELS):
+    """(ratio table, Curve) from all labelled rows of ``docs``."""
+    prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lab = cut(clear_labels(labels))
     n_labels = lab.count()
     near = F.broadcast(lab) if n_labels <= broadcast_labels else lab
     rows = base.join(near, F.col("doc_id") == F.col("label_id")).withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)))
-    counts = stored(count_grams(rows))
-    every = sum((F.col(c) for c in GROUPS), F.lit(0))
-    # the smallest count level at which at most max_grams grams remain
-    levels = counts.groupBy(F.least(every, F.lit(1000)).alias("level")).count().toPandas().sort_values("level", ascending=False)
-    fits = levels[levels["count"].cumsum() <= max_grams]["level"]
-    top = counts.filter(every >= (int(fits.min()) if len(fits) else 1001)).toPandas()
-    gram, short = top["gram"].to_numpy().view(np.uint64), top["short"].to_numpy()
-    ordinary, toxic = ([top[f"{c}{half}"].to_numpy(np.int32) for half in (0, 1)] for c in ("ordinary", "toxic"))
-    del top
-
-    def ratio(t, o):
-        seen = t + o > 0
-        return Ratio(gram[seen], short[seen], t[seen], o[seen])
-
-    # each half is judged by the counts of the other
-    other = spark.sparkContext.broadcast([ratio(toxic[1], ordinary[1]), ratio(toxic[0], ordinary[0])])
+    ratios = stored(ratio_table(stored(count_grams(rows))))
     some = rows
     if n_labels > curve_rows:
         some = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < int((1 << 20) * curve_rows / n_labels))
 
-    def judge(batches):
-        for batch, buf, off in slices(batches, "text", SLICE_BYTES):
-            half = np.asarray(batch.column("half"))
-            d = np.where((half == 0)[:, None], *[differences(buf, off, r) for r in other.value])
-            yield pa.RecordBatch.from_arrays([batch.column("y").cast(pa.int64()), *[pa.array(x) for x in d.T]], ["y", *DIFFERENCES])
+    def finish(batch, d):
+        return pa.RecordBatch.from_arrays([batch.column("y").cast(pa.int64()), *[pa.array(x) for x in d.T]], ["y", *DIFFERENCES])
 
-    fit = some.select("y", "half", "text").mapInArrow(judge, "y long, " + ", ".join(f"{c} double" for c in DIFFERENCES)).toPandas()
-    curve = Curve.fit(fit[DIFFERENCES].to_numpy(), (fit["y"].to_numpy() > 0).astype(float))
-    other.destroy()
-    return spark.sparkContext.broadcast(ratio(toxic[0] + toxic[1], ordinary[0] + ordinary[1])), curve
+    # each half is judged by the counts of the other
+    fit = judged(some, ratios, F.col("half"), ["y"], finish, "y long, " + ", ".join(f"{c} double" for c in DIFFERENCES)).toPandas()
+    return ratios, Curve.fit(fit[DIFFERENCES].to_numpy(), (fit["y"].to_numpy() > 0).astype(float))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, **how) -> DataFrame:
     """(doc_id, differences, score, predicted) of every row; rows for which
     ``held_out`` holds are never learned from."""
     base = docs.select("doc_id", "text")
-    ratio, curve = train(base if held_out is None else base.filter(~held_out), labels, **how)
+    ratios, curve = train(base if held_out is None else base.filter(~held_out), labels, **how)
     rows = base.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return (score_rows(rows, ratio, ["doc_id"], curve)
+
+    def finish(batch, d):
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x) for x in d.T], pa.array(curve(d))],
+                                          ["doc_id", *DIFFERENCES, "score"])
+
+    schema = ", ".join(["doc_id long", *[f"{c} double" for c in DIFFERENCES], "score double"])
+    return (judged(rows, ratios, F.lit(2), ["doc_id"], finish, schema)
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted toxic."""
-    prepare(docs.sparkSession)
-    ratio, curve = train(docs.select("doc_id", "text"), labels, **how)
-    spark_schema = docs.schema
+    ratios, curve = train(docs.select("doc_id", "text"), labels, **how)
+    columns = docs.columns
 
-    def run(batches):
-        model = ratio.value
-        for batch, buf, off in slices(batches, "text", SLICE_BYTES):
-            yield batch.filter(pa.array(curve(differences(buf, off, model)) < 0.5))
+    def finish(batch, d):
+        return batch.select(columns).filter(pa.array(curve(d) < 0.5))
 
-    return docs.mapInArrow(run, spark_schema)
+    return judged(docs, ratios, F.lit(2), columns, finish, docs.schema)
 
 
 def op1(spark, sf_dir):

@@ -136,6 +136,38 @@ def test_toxicity_finds_inflected_words(spark, odd, none):
     assert empty[2]["score"] == empty[3]["score"] == empty[4]["score"] and empty[2]["mean_diff"] == 0
 
 
+def test_toxicity_keeps_every_gram(spark):
+    """The table on Spark is that of one process over all grams, rare ones too."""
+    r = np.random.RandomState(6)
+    texts = [(i, " ".join("".join(r.choice(list("abcdefgh"), r.randint(1, 18))) for _ in range(30)), i % 2, i // 2 % 2) for i in range(60)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, half long, y int")
+    counts = toxicity.count_grams(rows)
+    got = {g["gram"]: (g["value"], x["other"]) for x in toxicity.ratio_table(counts).collect() for g in x["grams"]}
+    c = counts.toPandas()
+    assert len(got) == len(c) and c[toxicity.GROUPS].sum(axis=1).eq(1).sum() > 1000
+    gram, short = c["gram"].to_numpy().view(np.uint64), c["short"].to_numpy()
+    n = {g: c[g].to_numpy() for g in toxicity.GROUPS}
+    for m, (t, o) in enumerate([(n["toxic1"], n["ordinary1"]), (n["toxic0"], n["ordinary0"]),
+                                (n["toxic0"] + n["toxic1"], n["ordinary0"] + n["ordinary1"])]):
+        seen = t + o > 0
+        want = toxicity.Ratio(gram[seen], short[seen], t[seen], o[seen])
+        assert np.allclose([got[g][0][m] for g in c["gram"].tolist()], want(gram), atol=1e-5)
+        ctx = (gram >> 8) << 8  # byte 0 is never counted
+        assert np.allclose([got[g][1][m] for g in c["gram"].tolist()], want(ctx), atol=1e-5)
+
+
+def test_toxicity_learns_insults_beyond_any_count(spark, monkeypatch):
+    """Small slices change nothing, and no parameter bounds the grams."""
+    import inspect
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    lab = spark.read.parquet(f"{SF}/labels.parquet")
+    one = rows_of(toxicity.toxicity_scores(docs, lab), "doc_id", "score")
+    monkeypatch.setattr(toxicity.judged, "__defaults__", (50_000,))
+    many = rows_of(toxicity.toxicity_scores(docs, lab), "doc_id", "score")
+    assert np.allclose([x[1] for x in one], [x[1] for x in many]) and [x[0] for x in one] == [x[0] for x in many]
+    assert "max_grams" not in inspect.signature(toxicity.train).parameters
+
+
 # --------------------------------------------------------------- language ID
 
 def test_language_accuracy_on_held_out(spark):
