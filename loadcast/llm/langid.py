@@ -13,9 +13,9 @@ wins; the score is its share of the posterior over languages, computed from
 code lengths per byte with a fixed evidence length (``EVIDENCE_BYTES``), so that
 it stays comparable between short and long texts.
 
-The model is bounded: per language the ``max_contexts`` most frequent contexts
-of each order stay (ties: smaller bytes), and at most ``max_languages`` languages
-(the most frequent ones) are learned. Everything else covers all rows.
+Nothing is cut: every context and every language of the training rows is in the
+model. It is collected by the driver, ``COLLECT_GRAMS`` counts at a time, and
+broadcast, so its size is that of the distinct (language, context, byte) rows.
 
 Nulls and odd input: rows with null text or lang are not learned from; null
 text, or text without a letter, is ``und`` with score 0; bytes are never
@@ -32,15 +32,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from loadcast.llm.common import prepare, slot, stored, table
 from loadcast.llm.textnp import distinct_words, grams, slices, spelled
 
 ORDER = 4
 EVIDENCE_BYTES = 40
-MAX_CONTEXTS = 30_000
-MAX_LANGUAGES = 256
+COLLECT_GRAMS = 500_000
 FLUSH_GRAMS = 2_000_000
 BATCH_BYTES = 16 << 20
 SLICE_BYTES = 8 << 20
@@ -167,24 +165,20 @@ def word_bits(trees: list[ContextTree], data: np.ndarray, word: np.ndarray, n: i
     return total
 
 
-def train(docs: DataFrame, order: int = ORDER, max_contexts: int = MAX_CONTEXTS,
-          max_languages: int = MAX_LANGUAGES) -> dict[str, ContextTree]:
+def train(docs: DataFrame, order: int = ORDER) -> dict[str, ContextTree]:
     """Context trees by language from all rows of (lang, text)."""
     counts = stored(count_grams(docs.filter("lang is not null and text is not null"), order))
-    kind = F.shiftright("gram", 56)
-    width = W.partitionBy("lang", "kind")
-    ranked = counts.withColumn("kind", kind).withColumn("ctx", F.shiftright("gram", 8))
-    keep = (ranked.groupBy("lang", "kind", "ctx").agg(F.sum("n").alias("cn"))
-            .withColumn("rank", F.row_number().over(width.orderBy(F.desc("cn"), "ctx"))).filter(F.col("rank") <= max_contexts)
-            .select("lang", "ctx"))
-    langs = (counts.filter(kind == 0).groupBy("lang").agg(F.sum("n").alias("ln"))
-             .orderBy(F.desc("ln"), "lang").limit(max_languages))
-    kept = stored(ranked.join(keep, ["lang", "ctx"]).select("lang", "gram", "n"))
-    model = {}
-    for lang in sorted(r["lang"] for r in langs.collect()):  # one bounded tree at a time
-        g = kept.filter(F.col("lang") == lang).select("gram", "n").toPandas()
-        model[lang] = ContextTree(g["gram"].to_numpy(), g["n"].to_numpy(), order)
-    return model
+    sizes = sorted((r["lang"], r["count"]) for r in counts.groupBy("lang").count().collect())
+    model, at = {}, 0
+    while at < len(sizes):  # one large or several small trees at a time
+        to, n = at + 1, sizes[at][1]
+        while to < len(sizes) and n + sizes[to][1] <= COLLECT_GRAMS:
+            n, to = n + sizes[to][1], to + 1
+        some = counts.filter(F.col("lang").isin([lang for lang, _ in sizes[at:to]])).toPandas()
+        for lang, g in some.groupby("lang"):
+            model[lang] = ContextTree(g["gram"].to_numpy(), g["n"].to_numpy(), order)
+        at = to
+    return {lang: model[lang] for lang, _ in sizes}
 
 
 def predict(docs: DataFrame, model: dict[str, ContextTree]) -> DataFrame:

@@ -217,6 +217,19 @@ def test_code_lengths_match_a_dictionary_version():
         assert np.allclose(bits, [-math.log2(p(ctx, b)) for b in range(256)])
 
 
+def test_every_language_and_context_is_learned(spark):
+    r = np.random.RandomState(3)
+    say = lambda n, letters: " ".join("".join(w) for w in r.choice(list(letters), (n, 6)))
+    rows = [("big", say(40_000, "abcdefghijklmnopqrst"))]
+    rows += [(f"l{i:03}", say(20 if i < 280 else 5, [chr(0x4E00 + 3 * i + j) for j in range(3)])) for i in range(281)]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.train(df)
+    deep = {x[i - 4:i] for x in (f" {w} " for w in rows[0][1].split()) for i in range(4, len(x))}
+    assert len(model) == 282 and len(model["big"].leave[langid.ORDER][0]) == len(deep) > 60_000
+    got = langid.predict(df.filter("lang in ('l279', 'l280', 'big')"), model).collect()
+    assert [x["lang_pred"] for x in sorted(got, key=lambda x: x["doc_id"])] == ["big", "l279", "l280"]
+
+
 def test_language_odd_tables(odd, none):
     got = langid.identify(odd, common.slot("doc_id", 4) == 2).collect()
     assert len(got) == odd.count()
