@@ -94,13 +94,13 @@ def slices(batches, column: str, max_bytes: int = 2 << 20) -> Iterator[tuple[pa.
             at = to
 
 
-def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(buf: np.ndarray, off: np.ndarray, separators: np.ndarray = SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of every word, in order; words never cross rows."""
     n = len(buf)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, z
-    sep = SEP[buf]
+    sep = separators[buf]
     first = np.empty(n, bool)
     first[0] = True
     first[1:] = sep[:-1]
