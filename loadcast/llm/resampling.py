@@ -133,7 +133,8 @@ def draw(weighted: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS
     """All rows with score and rank: the highest ``percent`` of the rows with at
     least ``min_words`` words are drawn and ranked from 1, the others' rank is null."""
     prepare(weighted.sparkSession)
-    scored = (weighted.drop("score", "rank").withColumn("score", F.col("weight") + gumbel(seed, F.col("doc_id")))
+    # stored first, as range partitioning reads its input twice
+    scored = (stored(weighted.drop("score", "rank")).withColumn("score", F.col("weight") + gumbel(seed, F.col("doc_id")))
               .withColumn("rank", F.col("n_words") >= min_words))
     order = [F.col("rank").desc(), F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
     # partition number in the upper bits, row number within the partition below
