@@ -112,3 +112,59 @@ def base_scores(rows, n_folds=7, out_fold=2):
             count.update(t)
     n, v = sum(count.values()), len(count)
     return [(len(t), sum(count[w] > 0 for w in t), n, sum(math.log10((count[w] + 1) / (n + v + 1)) for w in t)) for t in tokens]
+
+
+ALNUM = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LETTERS = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def resampling(docs, target, min_n=1, max_n=1, buckets=10_000, seed=2024, percent=10, min_words=20):
+    """(doc_id, n_features, weight, score, rank) per row."""
+    def features(text):
+        w = ALNUM.findall((text or "").translate(LOW))
+        return len(w), [zlib.crc32(" ".join(w[i:i + n]).encode()) % buckets for n in range(min_n, max_n + 1) for i in range(len(w) - n + 1)]
+
+    own = [features(t) for _, t in docs]
+    s = collections.Counter(b for _, f in own for b in f)
+    t = collections.Counter(b for text in target for b in features(text)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = {b: math.floor(1000 * math.log(float(t[b] + 1) * float(all_s + buckets) / (float(s[b] + 1) * float(all_t + buckets)))) for b in s}
+    rows = []
+    for (d, _), (n, f) in zip(docs, own):
+        h = int(hashlib.sha256(f"{seed}:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in f)
+        rows.append([d, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, n])
+    fit = sorted((r for r in rows if r[5] >= min_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for i, r in enumerate(fit[:percent * len(fit) // 100]):
+        r[4] = i + 1
+    return [tuple(r[:5]) for r in rows]
+
+
+def divergence(docs, min_docs=10, top=10):
+    """(lang, source, part, item, value, rank) over (lang, source, text) rows."""
+    n, df, groups = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter), set()
+    for lang, source, text in docs:
+        lang, source = lang or "", source or ""
+        w = LETTERS.findall((text or "").translate(LOW))
+        groups.add((lang, source))
+        n[lang, source].update(w)
+        df[lang].update(set(w))
+    out = []
+    for lang in {g[0] for g in groups}:
+        terms = [t for t, c in df[lang].items() if c >= min_docs]
+        mine = sorted(g[1] for g in groups if g[0] == lang)
+
+        def shares(counts):
+            total = sum(counts[t] for t in terms)
+            return {t: 1 + 10**9 * (counts[t] + 2) // (total + 2 * len(terms)) for t in terms}
+
+        q = shares(sum((n[lang, s] for s in mine), collections.Counter()))
+        p = {s: shares(n[lang, s]) for s in mine}
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in mine:
+            pair = [(sum(f(p[s][t], p[o][t]) for t in terms), o) for o in mine if o != s]
+            term = [(f(p[s][t], q[t]), t) for t in terms if n[lang, s][t] and p[s][t] > q[t]]
+            for part, rows, limit in (("pair", pair, None), ("term", term, top)):
+                rows = sorted(rows, key=lambda r: (-r[0], r[1].encode()))[:limit]
+                out += [(lang, s, part, o, v, i + 1) for i, (v, o) in enumerate(rows)]
+    return out
