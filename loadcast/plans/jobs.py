@@ -9,8 +9,10 @@ streaming.
 A batch run adds its readings' panes to the store and recomputes the averages,
 medians and predictions of every day that they can change, from the panes of
 all runs: the first windows of a run read the stored tail of earlier ones
-(look-back of the cascade and retention of the medians), later stored windows
-that now see new data are replaced, and a repeated run changes nothing.
+(look-back of the cascade and retention of the medians), and later stored windows
+that now see new data are replaced. Readings that are stored already change
+nothing, whatever run brings them, and a run becomes visible as a whole
+(:mod:`loadcast.sinks.runs`).
 """
 
 from __future__ import annotations
@@ -24,56 +26,68 @@ from ..config import (DEFAULT_BROKERS, DEFAULT_TOPIC, HOUSE, LEVEL_MINUTES, PLUG
                       Entity, Options)
 from ..operators.presum import presum, unfit_counts
 from ..session import build_session, configure, scratch_path, shared_dir
-from ..sinks.store import (DAY_PANES, debug_dump, kafka_records, prediction_documents, raw_documents, read_panes,
-                           replace_averages, write_documents, write_kafka, write_panes)
+from ..sinks.runs import Snapshot, Store, add_run, drop_partitions
+from ..sinks.store import (DAY_PANES, FILE_FORMATS, debug_dump, kafka_records, prediction_documents, raw_documents, with_day,
+                           write_documents, write_kafka)
 from ..sources.sensor import SENSOR_COLUMNS, dropped_lines, load_sensor, read_text, rebase_event_time
-from .pipeline import as_predictions, entity_panes, reach, windows_from_panes
+from .pipeline import as_predictions, reach, windows_from_panes
+
+
+def days_to_compute(changed: tuple[int, ...], before: Snapshot, after: Snapshot, levels: tuple[int, ...],
+                    options: Options) -> tuple[list[int], list[int] | None]:
+    """Days whose averages a change of the panes of some days can alter, and the
+    days whose panes they are computed from (None: all)."""
+    back, ahead = reach(levels, options)
+    if not options.retention:  # every later median sees all history
+        ends = [r.last for s in (before, after) for r in s.runs.values() if r.last is not None]
+        return list(range(changed[0], (max(ends) + ahead) // DAY_PANES + 1)), None
+    later = sorted({x for d in changed for x in range(d, ((d + 1) * DAY_PANES - 1 + ahead) // DAY_PANES + 1)})
+    return later, sorted({x for d in later for x in range((d * DAY_PANES - back) // DAY_PANES, d + 1)})
 
 
 def averaging_job(spark: SparkSession, readings: DataFrame, entity: Entity, store_path: str | None,
                   docs_path: str | None, options: Options = Options(),
                   levels: tuple[int, ...] = LEVEL_MINUTES, now_ms: int | None = None,
                   debug_dir: str | None = None, run_id: str | None = None, raw_path: str | None = None,
-                  doc_format: str = "json", doc_options: dict | None = None) -> dict[int, int]:
+                  doc_format: str = "json", doc_options: dict | None = None, track_ids: bool = True) -> dict[int, int]:
     """Run the averaging job on the readings; returns the number of averages per
-    level that it wrote. ``run_id`` names the readings' panes in the store; by
-    default it is made from the panes, so that the same data is the same run."""
+    level that it wrote. ``run_id`` names the run in the store: a run of that name
+    is replaced, any other adds to the store what it has not yet. ``track_ids`` as
+    in :func:`~loadcast.sinks.runs.add_run`."""
     configure(spark)
-    store = store_path or scratch_path(spark, "store")
+    store = Store(spark, store_path or scratch_path(spark, "store"), entity)
     name = entity.slug
     if raw_path or debug_dir:
         seconds = presum(readings, entity, options).select(*SENSOR_COLUMNS)
         debug_dump(seconds, debug_dir, f"{name}/presum")
         if raw_path:
             write_documents(raw_documents(seconds), raw_path, doc_format, doc_options)
-    panes = entity_panes(readings, entity, options).persist()
-    try:
-        seen = panes.agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.count("*").alias("n"),
-                         F.sum(F.xxhash64(*panes.columns).cast("decimal(38,0)")).alias("hash")).first()
-        if seen["n"] == 0:
-            return {m: 0 for m in levels}
-        run = run_id or f"r{seen['first']}-{seen['n']}-{int(seen['hash']) % (1 << 64):016x}"
-        write_panes(panes, store, entity, run)
-        debug_dump(panes, debug_dir, f"{name}/panes")
-    finally:
-        panes.unpersist()
-    back, ahead = reach(levels, options)
-    day = lambda pos: pos // DAY_PANES
-    first, last = day(seen["first"]) * DAY_PANES, (day(seen["last"] + ahead) + 1) * DAY_PANES - 1
-    if not options.retention:  # every later median sees all history
-        first, last, back = 0, day(seen["last"] + 400 * DAY_PANES) * DAY_PANES, 0
-    rows = windows_from_panes(read_panes(spark, store, entity, max(first - back, 0), last), entity, levels, options, first, last)
-    rows = as_predictions(rows, entity).persist()
+    added = add_run(store, readings, options, run_id, track_ids)
+    if not added.changed:
+        store.commit(added.base, [added.run_row])
+        return {m: 0 for m in levels}
+    days, needed = days_to_compute(added.changed, added.base, added.after, levels, options)
+    panes = store.read_panes(options, added.after, needed)
+    debug_dump(panes, debug_dir, f"{name}/panes")
+    rows = windows_from_panes(panes, entity, levels, options, days[0] * DAY_PANES, (days[-1] + 1) * DAY_PANES - 1)
+    rows = as_predictions(with_day(rows).where(F.col("day").isin(days)).drop("day"), entity).persist()
     try:
-        counts = {m: 0 for m in levels} | {r["window_minutes"]: r["count"] for r in rows.groupBy("window_minutes").count().collect()}
-        replace_averages(rows, store)
+        written = with_day(rows).groupBy("window_minutes", "day").count().collect()  # a row per level and day
+        store.write_averages(rows, added.generation)
         debug_dump(rows.drop("median_load", "sliding_window_ms", "predicted_value"), debug_dir, f"{name}/averages")
         debug_dump(rows.drop("sliding_window_ms", "predicted_value"), debug_dir, f"{name}/enriched")
         debug_dump(rows, debug_dir, f"{name}/predictions")
         if docs_path:
             write_documents(prediction_documents(rows, now_ms), docs_path, doc_format, doc_options)
+            if doc_format in FILE_FORMATS:
+                drop_partitions(spark, docs_path, entity, days, {(r["window_minutes"], r["day"]) for r in written})
     finally:
         rows.unpersist()
+    store.commit(added.base, [added.run_row, *({"kind": "day", "day": d, "generation": added.generation,
+                                                "live": any(r["day"] == d for r in written)} for d in days)])
+    counts = dict.fromkeys(levels, 0)
+    for r in written:
+        counts[r["window_minutes"]] += r["count"]
     return counts
 
 
@@ -112,7 +126,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--docs")
     p.add_argument("--doc-format", default="json")
     p.add_argument("--raw-docs")
-    p.add_argument("--run-id")
+    p.add_argument("--run-id", help="replace the run of this name")
+    p.add_argument("--distinct-runs", action="store_true", help="runs never overlap: read the readings once, track no ids")
+    p.add_argument("--expire", type=int, metavar="SECONDS", help="then drop what has outlived its retention at this time")
+    p.add_argument("--vacuum", action="store_true", help="then delete files that no longer count")
     p.add_argument("--sink", default="kafka", choices=["kafka", "text"])
     p.add_argument("--out")
     p.add_argument("--rebase-to", type=int)
@@ -160,7 +177,12 @@ def main(argv: list[str] | None = None) -> None:
     if unfit:
         print("readings that do not fit:", unfit)
     print(averaging_job(spark, readings, entity, a.store, a.docs, opts, levels, debug_dir=a.debug_dir, run_id=a.run_id,
-                        raw_path=a.raw_docs, doc_format=a.doc_format))
+                        raw_path=a.raw_docs, doc_format=a.doc_format, track_ids=not a.distinct_runs))
+    store = Store(spark, a.store, entity) if a.store else None
+    if store and a.expire is not None:
+        store.expire(a.expire, reach(levels, opts)[0])
+    if store and a.vacuum:
+        print("folders deleted:", store.vacuum())
 
 
 if __name__ == "__main__":

@@ -232,6 +232,22 @@ def _store_two_runs(spark, sf):
     return parse_prediction(spark.read.json(f"{root}/docs"))
 
 
+@register("store_split_runs", O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME))
+def _store_split_runs(spark, sf):
+    """Runs that share seconds and readings: a run three days off, replaced under its
+    name by the plugs of even numbers; those of odd numbers; all plugs. The store is
+    that of one run over all readings, counts of distinct seconds included."""
+    from ..sinks.runs import Store
+    from .jobs import averaging_job
+    r = readings(spark, sf)
+    root = scratch_path(spark, "split-runs")
+    even = F.col("plug_id") % 2 == 0
+    off = r.withColumn("timestamp", F.col("timestamp") + F.when(F.col("id") % 2 == 0, 3 * 86400).otherwise(0))
+    for part, name in ((off.where(even), "evens"), (r.where(even), "evens"), (r.where(~even), None), (r, None)):
+        averaging_job(spark, part, HOUSE, root, None, run_id=name)
+    return Store(spark, root, HOUSE).averages().select(*_STORE_COLS)
+
+
 def _alive_sql():
     h = O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME)
     return (f"SELECT * FROM ({h}) WHERE window_end >= (SELECT max(timestamp) FROM ({ADAPTER_SQL})) - 5 - window_minutes * 60")

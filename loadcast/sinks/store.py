@@ -1,15 +1,12 @@
 """Sinks: the store of panes and averages, prediction / raw documents, Kafka
-records and debug dumps.
+records and debug dumps. The store of batch runs is in :mod:`.runs`; here is that
+of a stream::
 
-Layout of a store::
+    panes/entity=E/day=D/run=R       30-second panes, by the micro-batch
+    averages/entity=E/window_minutes=M/day=D/batch_id=B
 
-    panes/entity=E/day=D/run=R       30-second panes, by the run that brought them
-    averages/entity=E/window_minutes=M/day=D[/batch_id=B]
-
-A run only ever replaces its own panes, and every average is computed from the
-panes of all runs, so later data continues the windows and medians of earlier
-data, and repeating a run changes nothing. Days are days of panes (UTC); a
-reader names the days it needs, so old days are neither listed nor read.
+Days are days of panes (UTC); a reader names the days it needs, so old days are
+neither listed nor read.
 """
 
 from __future__ import annotations
@@ -28,6 +25,7 @@ STORE_COLS = ["entity", "window_minutes", "house_id", "household_id", "plug_id",
               "window_end", "sum", "count", "event_timestamp", "avg"]
 DAY_PANES = 86400 // SLIDE_SECONDS
 FILES_PER_DAY = 8
+FILE_FORMATS = ("json", "parquet", "orc")
 
 
 def pane_dir(store: str, entity: Entity) -> str:
@@ -121,15 +119,15 @@ def retain(df: DataFrame, now_s: int, extra_s: int = 5) -> DataFrame:
     return df.where(F.col("window_end") >= F.lit(now_s - extra_s) - F.col("window_minutes") * 60)
 
 
-def compact(spark: SparkSession, src: str, dst: str, now_s: int | None = None,
+def compact(spark: SparkSession, src: str | DataFrame, dst: str, now_s: int | None = None,
             keep_since: int | None = None) -> int:
-    """Copy an averages table into ``dst`` with few key-ordered files per day and
-    without micro-batch directories; with ``now_s`` only averages that
+    """Copy an averages table (a path, or rows) into ``dst`` with few key-ordered
+    files per day and without micro-batch directories; with ``now_s`` only averages that
     :func:`retain` keeps, with ``keep_since`` only windows that end from then on.
     Returns the number of rows written."""
-    if dst.rstrip("/") == src.rstrip("/"):
+    if isinstance(src, str) and dst.rstrip("/") == src.rstrip("/"):
         raise ValueError("compact into a new location, then swap")
-    df = spark.read.parquet(src)
+    df = spark.read.parquet(src) if isinstance(src, str) else src
     if now_s is not None:
         df = retain(df, now_s)
     if keep_since is not None:
@@ -166,7 +164,7 @@ def write_documents(docs: DataFrame, path: str, fmt: str = "json", options: dict
     partitioned by entity, window length and day where the documents have them,
     and replaced by partition; any other format on the class path (a document
     store's connector) gets the rows to add."""
-    if fmt in ("json", "parquet", "orc"):
+    if fmt in FILE_FORMATS:
         parts = [c for c in (*STORE_PARTITIONS, "day") if c in docs.columns]
         if batch_id is not None:
             docs, parts = docs.withColumn("batch_id", F.lit(batch_id)), [*parts, "batch_id"]
