@@ -42,6 +42,7 @@ UNIT = 1_000_000_000
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[0x00:0x41] = SEPARATORS[0x5B:0x61] = SEPARATORS[0x7B:0x80] = True
 SLICE_BYTES = 4 << 20
+HELD_ROWS = 1 << 20
 
 
 def _slice_counts(batches):
@@ -55,7 +56,7 @@ def _slice_counts(batches):
         text, s, e = compact(buf, s, e)
         owner, slot = intern(text, s, e - s)
         used = np.flatnonzero(owner >= 0)
-        term = np.searchsorted(used, slot)
+        term = (np.cumsum(owner >= 0) - 1)[slot]
         in_doc, n = np.unique(row * len(used) + term, return_counts=True)
         key = pair[in_doc // len(used)] * len(used) + in_doc % len(used)
         key, of = np.unique(key, return_inverse=True)
@@ -71,11 +72,31 @@ def _slice_counts(batches):
             names=["lang", "source", "term", "docs", "n"])
 
 
+def _task_counts(batches):
+    """The counts of a task's slices, added up before they are shuffled. At most
+    ``HELD_ROWS`` rows are held; what many slices share is small in number."""
+    held, n = [], 0
+
+    def combined():
+        t = pa.Table.from_batches(held).group_by(["lang", "source", "term"], use_threads=False).aggregate([("docs", "sum"), ("n", "sum")])
+        return t.select(["lang", "source", "term", "docs_sum", "n_sum"]).rename_columns(["lang", "source", "term", "docs", "n"])
+
+    for batch in _slice_counts(batches):
+        held.append(batch)
+        n += batch.num_rows
+        if n > HELD_ROWS:
+            yield from combined().to_batches()
+            held, n = [], 0
+    if held:
+        yield from combined().to_batches()
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, docs, n) over all documents."""
+    """(lang, source, term, docs, n) over all documents, dealt by (lang, term)."""
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    return (read.mapInArrow(_slice_counts, "lang string, source string, term string, docs long, n long")
-            .groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")))
+    # added up in the tasks, so one shuffle serves this aggregate and the terms' windows
+    return (read.mapInArrow(_task_counts, "lang string, source string, term string, docs long, n long")
+            .repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")))
 
 
 def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:

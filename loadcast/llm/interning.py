@@ -36,19 +36,20 @@ def _lanes(buf: np.ndarray, kind: str) -> np.ndarray:
 
 def compact(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True
             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words joined by one space each (A-Z lower-cased), zero-padded, and the
-    words' starts and ends there: a run of words is one span."""
+    """The words (in order, none in another) joined by one space each, A-Z
+    lower-cased, zero-padded, and their starts and ends: a run of words is one span."""
     size = ends - starts
     to = np.cumsum(size + 1) - 1
     at = to - size
     out = np.full((int(to[-1]) + 1 if len(to) else 0) + PAD, 32, np.uint8)
     out[len(out) - PAD:] = 0
-    inner = np.repeat(starts - at, size)
-    place = np.arange(len(out) - PAD)
-    is_inner = np.ones(len(place), bool)
-    is_inner[to] = False
-    place = place[is_inner]
-    out[place] = (LOWER[buf] if lower else buf)[place + inner]
+    inner = np.ones(len(out) - PAD, bool)
+    inner[to] = False
+    edge = np.zeros(len(buf) + 1, np.int8)
+    edge[starts] = 1
+    edge[ends] -= 1
+    words = buf[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+    out[:len(inner)][inner] = LOWER[words] if lower else words
     return out, at, to
 
 
