@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from loadcast.config import HOUSE, PLUG, Options
-from loadcast.operators.median import running_median
+from loadcast.operators.median import running_median, with_median_all_history
 from loadcast.operators.presum import presum
 from loadcast.plans.pipeline import all_levels, level_averages, level_frames, predictions
 from loadcast.sources import sensor_from_testdata
@@ -184,3 +185,36 @@ def test_hot_key_is_split_over_tasks(readings):
     assert len(sizes) >= 4 and max(sizes) < 0.5 * sum(sizes)
     small = level_averages(hot, HOUSE, 15, Options(chunk_panes=100, cascade_partitions=8))
     assert as_set(small) == as_set(level_averages(hot, HOUSE, 15))
+
+
+# ------------------------------------------------------ median over all history
+
+@pytest.mark.parametrize("include", [False, True])
+def test_all_history_median_in_chunks(spark, include):
+    """A key's history over many chunks, with ties, gaps and trends, equals the
+    running median of the whole; more chunks than one hold the key."""
+    r = random.Random(8)
+    rows = [(1, p, float(r.choice((0, 0, 5, r.random(), p / 50)))) for p in range(900) if p % 7]
+    rows += [(2, 31 * p, 1.0) for p in range(60)] + [(3, p, float(-p)) for p in range(200)] + [(4, 5000, 2.5)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "house_id long, pos long, avg double")
+    opts = Options(retention=False, include_current=include, median_scale=1000.0)
+    want = {}
+    for house in (1, 2, 3, 4):
+        own = sorted((p, v) for h, p, v in rows if h == house)
+        for (p, _), m in zip(own, running_median(np.array([v for _, v in own]), include)):
+            want[house, p] = m / 1000.0
+    for chunk, buckets in ((64, 16), (300, 4), (1 << 17, 256)):
+        got = with_median_all_history(df, ["house_id"], opts, chunk=chunk, buckets=buckets)
+        assert {(x.house_id, x.pos): x.median_load for x in got.collect()} == want, chunk
+
+
+def test_hot_key_history_is_spread(spark, readings):
+    """One key with all readings: its history is worked on in several groups, none
+    longer than a chunk."""
+    path = with_median_all_history(
+        spark.range(2000).select(F.lit(1).alias("house_id"), F.col("id").alias("pos"), F.rand(1).alias("avg")),
+        ["house_id"], Options(retention=False), chunk=128, buckets=16)
+    plan = path._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "FlatMapGroupsInPandas" not in plan
+    assert path.count() == 2000
