@@ -430,7 +430,7 @@ def _parse_dropped(spark, sf):
 
 
 @register("presum_unfit", f"SELECT reason, count(*) AS count FROM (SELECT CASE WHEN isnan(v) THEN 'nan' "
-          f"WHEN isinf(v) THEN 'infinite' WHEN abs(v) >= 1e26 THEN 'too_large' END AS reason FROM (SELECT "
+          f"WHEN isinf(v) THEN 'infinite' WHEN abs(v) >= 1e23 THEN 'too_large' END AS reason FROM (SELECT "
           f"CASE id % 50 WHEN 1 THEN CAST('nan' AS DOUBLE) WHEN 2 THEN CAST('inf' AS DOUBLE) WHEN 3 THEN 1e30 ELSE value END AS v "
           f"FROM ({ADAPTER_SQL}))) WHERE reason IS NOT NULL GROUP BY reason")
 def _presum_unfit(spark, sf):

@@ -69,7 +69,7 @@ def test_small_values_are_not_rounded(spark):
 
 def test_unfit_readings_are_counted_and_left_out(spark):
     from loadcast.operators.presum import unfit_counts
-    df = made(spark, [float("nan"), float("inf"), -float("inf"), 1e30, 0.1 + 1e-15, 2.5])
+    df = made(spark, [float("nan"), float("inf"), -float("inf"), 1e30, 0.1 + 1e-16, 2.5])
     assert {r.reason: r["count"] for r in unfit_counts(df).collect()} == {"nan": 1, "infinite": 2, "too_large": 1, "too_fine": 1}
     assert {x.sum for x in level_averages(df, HOUSE, 1).collect()} == {2.6}
     assert {x["count"] for x in level_averages(df, HOUSE, 1).collect()} == {2}
@@ -81,7 +81,7 @@ def test_heavy_key_over_an_aligned_week_does_not_overflow(spark, chunk):
     from pyspark.sql import functions as F
     start = 1704067200 // (2880 * 7 * 30) * (2880 * 7 * 30)
     week = spark.range(2880 * 7).select(F.lit(0).cast("long").alias("house_id"), (F.col("id") + start // 30).alias("pos"),
-                                        F.lit(3 * 10**10).cast("decimal(38,12)").alias("s"), F.lit(1).cast("long").alias("c"),
+                                        F.lit(3 * 10**10).cast("decimal(38,15)").alias("s"), F.lit(1).cast("long").alias("c"),
                                         (start + F.col("id") * 30).alias("t"))
     rows = all_levels(None, HOUSE, (1, 120), Options(chunk_panes=chunk), pane_rows=week)
     top = rows.groupBy("window_minutes").agg(F.max("sum").alias("s"), F.max("count").alias("c"), F.count("*").alias("n")).collect()
@@ -132,7 +132,7 @@ def test_running_total_buckets(spark, readings, bucket):
     from pyspark.sql import functions as F
 
     from loadcast.operators.presum import running_total
-    df = readings.withColumn("u", F.col("value").cast("decimal(38,12)"))
+    df = readings.withColumn("u", F.col("value").cast("decimal(38,15)"))
     group = ["house_id", "plug_id"]       # coarse groups: many rows, many buckets
     w = Window.partitionBy(*group).orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.select("id", F.sum("u").over(w).alias("u"), F.first("property").over(w).alias("property"))
@@ -218,3 +218,16 @@ def test_hot_key_history_is_spread(spark, readings):
     plan = path._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "FlatMapGroupsInPandas" not in plan
     assert path.count() == 2000
+
+
+def test_small_value_beside_a_large_total(spark):
+    rows = level_averages(made(spark, [1e-15, 3.0]), HOUSE, 1).collect()
+    assert {x.sum for x in rows} == {3.000000000000001}
+
+
+def test_head_room_of_the_sums():
+    """The longest running sum that config states stays within its digits."""
+    from loadcast.config import VALUE_SCALE
+    from loadcast.operators.windows import lookback, panes_per_window
+    rows = Options().chunk_panes + lookback([panes_per_window(m) for m in (1, 5, 15, 60, 120)])[-1] + 241
+    assert 3 * 10**10 * (2 * 10 * 30 * 120 * 240) * rows < 10 ** (38 - VALUE_SCALE)

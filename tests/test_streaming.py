@@ -75,7 +75,7 @@ def test_stream_restarts_drops_late_rows_and_equals_batch(spark, stream_input, t
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     store, docs = str(tmp_path / "s"), str(tmp_path / "d")
-    schema = "house_id long, pos long, s decimal(38,12), c long, t long"
+    schema = "house_id long, pos long, s decimal(38,15), c long, t long"
     rows = lambda *x: spark.createDataFrame([(h, p, Decimal(s), c, t) for h, p, s, c, t in x], schema)
     one, two = rows((1, 100, 5, 1, 3000), (1, 103, 7, 2, 3090), (2, 101, 1, 1, 3030)), rows((1, 110, 2, 1, 3300))
     run = lambda df, i: process_batch(df, i, HOUSE, store, docs, levels=LEVELS, now_ms=1)
