@@ -13,9 +13,11 @@ from pyspark.sql import SparkSession
 
 # Settings the pipeline relies on: UTC so that epoch seconds never pass through
 # a daylight-saving zone, AQE to coalesce the small post-pane shuffles and to
-# split skewed partitions at run time.
+# split skewed partitions at run time, and decimals that keep their places when
+# running sums are subtracted (else each level of a cascade loses one).
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.decimalOperations.allowPrecisionLoss": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

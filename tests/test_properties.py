@@ -1,6 +1,7 @@
 """Properties of the cascade and medians on the driver's sf0.001 data."""
 
 import random
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -221,8 +222,11 @@ def test_hot_key_history_is_spread(spark, readings):
 
 
 def test_small_value_beside_a_large_total(spark):
-    rows = level_averages(made(spark, [1e-15, 3.0]), HOUSE, 1).collect()
-    assert {x.sum for x in rows} == {3.000000000000001}
+    """No level of the cascade loses a place: every row counts both readings alike."""
+    rows = all_levels(made(spark, [1e-15, 3.0]), HOUSE).collect()
+    want = {(x.window_minutes, x["count"]): float(Decimal("3.000000000000001") * (x["count"] // 2)) for x in rows}
+    assert {m for m, _ in want} == {1, 5, 15, 60, 120} and max(n for _, n in want) > 100_000
+    assert {(x.window_minutes, x["count"], x.sum) for x in rows} == {(*k, v) for k, v in want.items()}
 
 
 def test_head_room_of_the_sums():
