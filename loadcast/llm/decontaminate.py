@@ -133,7 +133,10 @@ class Items:
             for n in self.sizes_of.get(int(sh[p]), ()):
                 sizes.setdefault(n, []).append(p)
         for n, at in sizes.items():
-            if n > len(h):
+            if n > len(h):  # the whole text is the one window
+                prints = fold(planes(sh).sum(axis=0, dtype=np.int32)[None])
+                for _, item in self.candidates(prints, n):
+                    judge(int(item), sh, 0)
                 continue
             # starts of all windows of n words that hold a hit
             span = n - K + 1
@@ -157,7 +160,7 @@ class Items:
                     for item in self.by_size[n][0]:
                         if self.sets[item][0] == wins[w]:
                             judge(int(item), wins[w:w + 1], int(at[w]))
-        return [(i, s, a, int(self.size[i])) for i, (s, a) in sorted(best.items())]
+        return [(i, s, a, min(int(self.size[i]), len(h))) for i, (s, a) in sorted(best.items())]
 
 
 def item_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS, block_bytes: int = BLOCK_BYTES):

@@ -12,13 +12,17 @@ of all pages, so the array is not sorted in one task: the intervals of depth
 ``RUN`` are groups of (host, hash of ``RUN`` words), and whether two pages are in
 one is told by the smallest and the largest page key, which combine before the
 shuffle. The union of these intervals covers exactly the words that a full array
-would. Covered words of blocks that no markup declares are removed, and of what
-stays runs of at least ``UNIQUE`` words, or whole untouched blocks, are kept.
+would. Covered words of blocks that no markup declares are removed; every run
+that stays is kept.
 
 The method alone gives wrong results in two ways that pages really show: menus
 and adverts that differ from page to page are unique and would stay, and articles
 that a host has twice are repeated and would go. So a page that declares its main
-part keeps all of it and nothing else, and declared chrome never stays.
+part keeps all of it and nothing else, and declared chrome never stays. A class or id
+declares less than an element: an article or main part within a wrapper that is
+only marked so, or an article so marked, is the main part where the page has no
+other. A mark is a whole class or id, all of whose words are marks or say where
+or what a box is ("cookie-notice", "page-sidebar"; not "has-sidebar").
 
 Text: character references are decoded; white space within a block becomes one
 space; blocks are trimmed and joined in page order by one line feed.
@@ -45,7 +49,6 @@ from loadcast.llm.common import cut, prepare, table
 from loadcast.llm.textnp import shingles, span_hashes, text_buffer, words
 
 RUN = 8
-UNIQUE = 5
 BROADCAST_PAGES = 200_000
 
 # Elements and words that mark parts of a page.
@@ -59,33 +62,105 @@ MARKS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising"
          "comments", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar",
          "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promotion", "related", "respond", "search",
          "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+# words that a class may have beside a mark
+PLACES = {"area", "bar", "block", "body", "bottom", "box", "button", "buttons", "card", "container", "content", "form", "global", "group", "icons",
+          "inner", "item", "items", "left", "links", "list", "main", "message", "mobile", "module", "outer", "page", "panel", "post", "posts",
+          "primary", "reply", "right", "row", "secondary", "section", "side", "site", "slot", "sticky", "thread", "title", "top", "unit",
+          "wrap", "wrapper"}
+READERS = {"comment", "comments", "disqus", "respond"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
                    r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*)(?:>|\Z)", re.S)
 ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-SPLIT = re.compile(r"[^a-z0-9]+")
-NEITHER, IN_CHROME, IN_MAIN = 0, 1, 2
+SPLIT = re.compile(r"[-_]+")
+# Parts of a page; within SOFT chrome an article opens a SOFT_MAIN part.
+NEITHER, IN_CHROME, IN_MAIN, SOFT, SOFT_MAIN = range(5)
+CLOSED_BY_OWN = {"p", "li", "tr", "td", "th", "dt", "dd", "option"}
+PASSED = INLINE | {"p", "td", "th", "dt", "dd"}
 
 
-def _marked(attributes: str) -> bool:
+def _marks(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether a role declares chrome, whether a class or id does, and whether that
+    one is of reader comments."""
+    role = marked = readers = False
     for name, a, b, c in ATTR.findall(attributes):
         value = (a or b or c).lower()
         if name.lower() == "role":
-            if value.strip() in ROLES:
-                return True
-        elif not MARKS.isdisjoint(SPLIT.split(value)):
-            return True
-    return False
+            role |= value.strip() in ROLES
+            continue
+        for token in value.split():
+            parts = {x for x in SPLIT.split(token) if x}
+            if not MARKS.isdisjoint(parts) and parts <= MARKS | PLACES:
+                marked = True
+                readers |= not READERS.isdisjoint(parts)
+    return role, marked, readers
+
+
+class _Open:
+    """Open elements with the part within each, found by name."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = {}
+        self.barriers: list[int] = []  # places of elements that end a search for p, li, ...
+
+    def push(self, name: str, part: int) -> None:
+        if name not in PASSED:
+            self.barriers.append(len(self.stack))
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, part))
+
+    def last(self, name: str) -> int:
+        at = self.places.get(name)
+        return at[-1] if at else -1
+
+    def last_in_reach(self, name: str) -> int:
+        """The last one of its name that no other block is open within."""
+        i = self.last(name)
+        return i if not self.barriers or i >= self.barriers[-1] else -1
+
+    def cut(self, i: int) -> None:
+        """Close the elements from place ``i`` on."""
+        while len(self.stack) > i:
+            name, _ = self.stack.pop()
+            self.places[name].pop()
+            if self.barriers and self.barriers[-1] == len(self.stack):
+                self.barriers.pop()
+
+    def block_from(self, i: int) -> bool:
+        """Whether a block element is open at place ``i`` or within it."""
+        return (bool(self.barriers) and self.barriers[-1] >= i) or any(self.last(n) >= i for n in PASSED - INLINE)
+
+    @property
+    def part(self) -> int:
+        return self.stack[-1][1] if self.stack else NEITHER
+
+
+def _part_within(name: str, attributes: str, part: int) -> int:
+    """The part that a block element opens within another part."""
+    if part == IN_CHROME:
+        return part
+    main = part in (IN_MAIN, SOFT_MAIN)
+    role, marked, readers = _marks(attributes) if attributes and name not in ("html", "body", "main") else (False, False, False)
+    if name in CHROME or role or (name == "header" and not main):
+        return IN_CHROME
+    if name in MAIN:
+        if readers or (marked and main):
+            return IN_CHROME
+        return part if main else SOFT_MAIN if marked or part == SOFT else IN_MAIN
+    if marked:
+        return IN_CHROME if main else SOFT
+    return part
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
     """(text, part) of every non-empty block, in page order."""
     out: list[tuple[str, int]] = []
-    stack: list[tuple[str, int]] = []  # element, part within it
+    opened = _Open()
     text: list[str] = []
     part, at, size = NEITHER, 0, len(page)
-    # an inline element of chrome within a block: its place in stack and text
+    # an inline element of chrome within a block: its place among the open ones and in the text
     inline, mark, outer = -1, 0, NEITHER
 
     def close():
@@ -105,10 +180,10 @@ def blocks(page: str) -> list[tuple[str, int]]:
         if 0 <= i <= inline:
             del text[mark:]
             inline, part = -1, outer
-        if any(n not in INLINE for n, _ in stack[i:]):
+        if opened.block_from(i):
             close()
-        del stack[i:]
-        part = stack[-1][1] if stack else NEITHER
+        opened.cut(i)
+        part = opened.part
 
     while at < size:
         m = TOKEN.search(page, at)
@@ -123,13 +198,11 @@ def blocks(page: str) -> list[tuple[str, int]]:
             continue
         name = name.lower()
         if m.group(1):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    leave(i)  # unclosed elements within it end too
-                    break
-            else:
-                if name not in INLINE:
-                    close()
+            i = opened.last(name)
+            if i >= 0:
+                leave(i)  # unclosed elements within it end too
+            elif name not in INLINE:
+                close()
             continue
         attributes = m.group(3) or ""
         if name in RAW:
@@ -141,33 +214,25 @@ def blocks(page: str) -> list[tuple[str, int]]:
             text.append(" ")
             continue
         if name in INLINE:
-            if attributes and name not in VOID and part != IN_CHROME and _marked(attributes):
-                inline, mark, outer = len(stack), len(text), part
-                stack.append((name, IN_CHROME))
+            if attributes and name not in VOID and part not in (IN_CHROME, SOFT) and any(_marks(attributes)):
+                inline, mark, outer = len(opened.stack), len(text), part
+                opened.push(name, IN_CHROME)
                 part = IN_CHROME
             elif name not in VOID and not attributes.rstrip().endswith("/"):
-                stack.append((name, part))
+                opened.push(name, part)
             continue
         close()
         if name in VOID:
             continue
-        if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option"):
-            # such an element ends an open one of its kind
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    leave(i)
-                    break
-                if stack[i][0] not in INLINE and stack[i][0] not in ("p", "td", "th", "dt", "dd"):
-                    break
-        if part != IN_CHROME:
-            marked = attributes and name not in ("html", "body", "main") and _marked(attributes)
-            if name in CHROME or marked or (name == "header" and part != IN_MAIN):
-                part = IN_CHROME
-            elif name in MAIN:
-                part = IN_MAIN
-        stack.append((name, part))
+        if name in CLOSED_BY_OWN:
+            i = opened.last_in_reach(name)
+            if i >= 0:
+                leave(i)
+        part = _part_within(name, attributes, part)
+        opened.push(name, part)
     close()
-    return out
+    soft = IN_CHROME if any(p == IN_MAIN for _, p in out) else IN_MAIN
+    return [(t, {SOFT: IN_CHROME, SOFT_MAIN: soft}.get(p, p)) for t, p in out]
 
 
 def host_of(url: str | None) -> str:
@@ -259,7 +324,7 @@ def main_text(found: list[tuple[str, int]], covered: list[int] | None) -> str:
             if not g:
                 run.append(word)
             else:
-                if len(run) >= UNIQUE:
+                if run:
                     out.append(" ".join(run))
                 run = []
     return "\n".join(out)

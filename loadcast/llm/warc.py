@@ -19,8 +19,9 @@ Payload digests: of the records with equal payloads of at least
 ``min_revisit_bytes`` bytes, the one with the largest page id is the response
 and the others revisit it. Only digests that occur more than once are joined
 back to the pages, and the join may be skewed (a third of all pages may be
-copies of one): its small side is materialised, so that the optimizer can
-broadcast it or split the hot partition.
+copies of one): its small side is materialised and counted; up to
+``BROADCAST_DIGESTS`` rows it is broadcast, and payloads are not shuffled for it,
+beyond that the optimizer splits the hot partition.
 
 Nulls and odd input: null html is an empty payload; a null url is kept as null;
 a null page id ranks below all others and never becomes a revisit target if
@@ -52,6 +53,8 @@ HEX32, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ2
 RECORD_SCHEMA = ("record_id string, type string, concurrent_to string, refers_to string, "
                  "payload_digest string, payload_bytes long, block binary")
 READ_BYTES = 8 << 20
+BROADCAST_DIGESTS = 200_000  # about 100 bytes each
+ARCHIVE_RECORDS = 6_000      # an archive is read whole by one task
 
 
 def base32_sha1(data: Column) -> Column:
@@ -73,7 +76,9 @@ def with_roles(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
                 .groupBy(F.col("payload_digest").alias("digest"))
                 .agg(F.max("page_id").alias("first_id"), F.count("*").alias("n"))
                 .filter("n > 1 and first_id is not null").drop("n"))
-    j = p.join(twice, p.payload_digest == twice.digest, "left")
+    if twice.count() <= BROADCAST_DIGESTS:  # else the payloads are shuffled to their digests
+        twice = F.broadcast(twice)
+    j = p.join(twice, F.col("payload_digest") == F.col("digest"), "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return (j.withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
             .withColumn("refers_to", F.when(revisit, F.col("first_id"))).drop("digest", "first_id"))
@@ -119,7 +124,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, date
         ("WARC-Concurrent-To", me), ("Content-Type", "application/json")],
         F.to_json(F.struct("page_id", "url")))
     (p.select(F.explode(F.array(request, response, metadata)).alias("value"))
-     .write.option("lineSep", END).option("compression", "gzip").text(path))
+     .write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path))
     return path
 
 

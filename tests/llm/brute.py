@@ -95,11 +95,12 @@ def contamination(docs, items, percent=80):
             if item is None or not n:
                 continue
             c = collections.Counter(tuple(iw[j:j + k]) for j in range(n - k + 1))
-            for a in range(len(w) - n + 1):
-                x = collections.Counter(tuple(w[a + j:a + j + k]) for j in range(n - k + 1))
+            size = min(n, len(w))  # a shorter text is one window
+            for a in range(len(w) - size + 1):
+                x = collections.Counter(tuple(w[a + j:a + j + k]) for j in range(size - k + 1))
                 sim = sum((x & c).values()) / sum((x | c).values())
                 if 100 * sim >= percent - 1e-9 and (-sim, a) < (-best.get((d, item), (0,))[0], best.get((d, item), (0, 1e9))[1]):
-                    best[d, item] = (sim, a, n)
+                    best[d, item] = (sim, a, size)
     return best
 
 

@@ -32,6 +32,14 @@ CASES = [
     ("<article><p>cut <a href='x", "cut"), ("<div role=navigation>n</div><div>kept words here</div>", "kept words here"),
     ("<article><p class=notice>n<p>a<span class=share>s</span>b</article>", "ab"),
     ("<article><p>a <span class=ad>x<p>y</span> b</p>z</article>", "a\ny b\nz"),
+    # a wrapper or an article that is only marked by its class or id
+    ("<div class='has-sidebar'><article><p>Body</p></article></div>", "Body"), ("<article class='no-ads post'><p>Body</p></article>", "Body"),
+    ("<div id='search-page'><main><p>Body</p></main></div><div class='sidebar'>no</div>", "Body"),
+    ("<div class='sidebar'>no</div><article class='promo'><p>Body</p></article>", "Body"),
+    ("<article><p>a</p></article><div class='related-posts'><article><p>other</p></article></div>", "a"),
+    ("<article><p>a</p><div class='comments-area'><article><p>reader</p></article></div></article>", "a"),
+    ("<div class='cookie-notice'>c</div><div class='page sidebar'>s</div><p>free</p>", "free"),
+    ("<article>" + "<div><b>x" * 4000 + "</i></p>" * 4000, "\n".join(["x"] * 4000)),
 ]
 
 
@@ -54,6 +62,13 @@ def test_host_suffix_array_removes_what_pages_share(spark, none):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_short_unique_runs_are_kept(spark):
+    shared = "read all our letters every day of the week"
+    rows = [(i, "http://a.org/", f"<div>{w} {shared} {w}</div>") for i, w in enumerate(("one", "two two"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted((r["page_id"], r["text"]) for r in html_text.extract(df).collect()) == [(0, "one\none"), (1, "two two\ntwo two")]
+
+
 def test_windows_equal_a_full_suffix_array(spark):
     """Covered words by host, from a sorted list of all suffixes."""
     pages = [(i, "http://h.org/", " ".join(f"w{(i * j) % 7}" for j in range(3, 60))) for i in range(1, 9)]
@@ -162,7 +177,7 @@ def test_oracle(spark, name):
 
 
 def test_registry():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash_dedup", "suffix_array_dedup", "decontamination", "source_mix"]
 
 

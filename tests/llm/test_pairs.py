@@ -128,6 +128,17 @@ def test_contamination(spark, odd, none, odd_pairs):
     assert decontaminate.drop_contaminated(odd, bench.limit(0)).count() == len(odd_pairs)
 
 
+def test_contamination_of_texts_shorter_than_the_item(spark):
+    words = [f"w{i}" for i in range(59)]
+    rows = [(1, " ".join(words[:-1])), (2, " ".join(words[:48])), (3, " ".join(words[:40])), (4, " ".join(words[:4])), (5, " ".join(words[9:]))]
+    items = [(1, " ".join(words)), (2, " ".join(words[:5]))]
+    docs, bench = (spark.createDataFrame(x, f"{c} long, text string") for x, c in ((rows, "doc_id"), (items, "item_id")))
+    want = brute.contamination(rows, items)
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["first_word"], r["n_words"]) for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {k: (round(s, 9), a, n) for k, (s, a, n) in want.items()} and (1, 1) in got and (3, 1) not in got
+    assert {r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()} == {4, 5} - {k[0] for k in want}
+
+
 def test_contamination_query(spark, docs):
     from tests.llm.conftest import SF
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
