@@ -1,5 +1,7 @@
 """Near duplicates, repeated strings, decontamination: against brute force."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -153,16 +155,62 @@ def test_map_side_combine_decides_only_larger_documents():
     n = 500
     gram, reach = r.randint(0, 20, n).astype(np.uint64) << np.uint64(40), r.randint(0, 5, n).astype(np.uint32).view(np.int32)
     pos, doc = np.arange(n, dtype=np.int64), r.randint(-3, 30, n)
+    # bytes of the reach: as its hash, but in one of eight rows, which then is covered by nothing
+    size = 4 + reach.astype(np.int64) % 3
+    other = r.randint(0, 8, n) == 0
+    data = np.concatenate([np.full(k, 65 + c + 8 * o + (i % 100 + 16 if o else 0), np.uint8) for i, (k, c, o) in enumerate(zip(size, reach, other))])
+    hi = np.cumsum(size)
+    lo = hi - size
     a, b = repeats.pack(gram, reach, pos)
-    x, y = repeats.combine(a, b, doc)
+    x, y = repeats.combine(a, b, doc, data, lo, hi)
     done = (y.view(np.uint64) & repeats.DECIDED) > 0
     low = {}
-    for g, c, d in zip(gram.tolist(), reach.tolist(), doc.tolist()):
-        low[g, c] = min(low.get((g, c), d), d)
-    assert done.tolist() == [d > low[g, c] for g, c, d in zip(gram.tolist(), reach.tolist(), doc.tolist())]
-    assert (x[~done] == a[~done]).all() and (y[~done] == b[~done]).all()
+    for i, k in enumerate(zip(gram.tolist(), reach.tolist())):
+        low[k] = min(low.get(k, (doc[i], i)), (doc[i], i))
+    heads = [low[k][1] for k in zip(gram.tolist(), reach.tolist())]
+    assert done.tolist() == [doc[i] > doc[j] and data[lo[i]:hi[i]].tolist() == data[lo[j]:hi[j]].tolist() for i, j in enumerate(heads)]
+    assert (x[~done] == a[~done]).all() and (y[~done] == b[~done]).all() and done.sum() > 200
     assert ((x ^ a)[done] & 0xFFFF == 0).all() and len(np.unique(x[done] >> 16)) > 0.9 * done.sum()
-    assert len(repeats.combine(a[:0], b[:0], doc[:0])[0]) == 0
+    assert len(repeats.combine(a[:0], b[:0], doc[:0], data[:0], lo[:0], hi[:0])[0]) == 0
+
+
+def colliding_texts():
+    """Two texts that share a gram of 20 bytes and the 32-bit hash of its reach, and nothing else."""
+    r = np.random.RandomState(9)
+    letters = lambda n, k: r.randint(97, 123, (n, k)).astype(np.uint8)
+    grams = letters(100_000, 20)
+    best = grams[np.argmin([repeats.byte_grams(g, 20)[0] for g in grams])]  # the smallest hash: a minimizer wherever it is
+    n = 300_000
+    texts = np.concatenate([letters(n, 30), np.tile(best, (n, 1)), letters(n, 30)], axis=1)
+    off = np.arange(n + 1) * 80
+    h = repeats.reach_hash(texts.reshape(-1), off, off[:-1] + 30, np.arange(n), 50)
+    order = np.argsort(h, kind="stable")
+    i = np.flatnonzero(h[order][1:] == h[order][:-1])[0]
+    return [texts[j].tobytes().decode() for j in (order[i], order[i + 1])]
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_equal_hashes_of_reaches_remove_nothing(spark, apart):
+    """In one slice, and in different ones."""
+    one, two = colliding_texts()
+    rows = [(1, one), (2, two), (3, "x" + two[10:] + "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = df.repartition(3, "doc_id") if apart else df.coalesce(1)
+    got = [tuple(r) for r in repeats.repeat_report(df, 50).collect()]
+    want = brute.repeats(rows, 50)
+    assert sorted(got) == sorted(want) and [r[2] for r in sorted(want)] == [0, 0, 70]
+
+
+def test_one_gram_in_very_many_contexts(spark):
+    """A phrase in hundreds of texts, its neighbourhood shared by some of them."""
+    r = random.Random(3)
+    say = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    phrase, ends = say(24), [say(40) for _ in range(12)]
+    rows = [(i, say(30) + r.choice(ends) + phrase + r.choice(ends) + say(25)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    for split in (200_000, 64):
+        got = [tuple(x) for x in repeats.repeat_report(df, 50, split_rows=split).collect()]
+        assert sorted(got) == sorted(brute.repeats(rows, 50))
 
 
 def test_linked_stars_against_plain_sets():
