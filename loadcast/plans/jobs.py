@@ -19,17 +19,17 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import (DEFAULT_BROKERS, DEFAULT_TOPIC, HOUSE, LEVEL_MINUTES, PLUG, PLUG_AS_WRITTEN,
                       Entity, Options)
-from ..operators.presum import presum, unfit_counts
+from ..operators.presum import presum
 from ..session import build_session, configure, scratch_path, shared_dir
 from ..sinks.runs import Snapshot, Store, add_run, drop_partitions
 from ..sinks.store import (DAY_PANES, FILE_FORMATS, debug_dump, kafka_records, prediction_documents, raw_documents, with_day,
                            write_documents, write_kafka)
-from ..sources.sensor import SENSOR_COLUMNS, dropped_lines, load_sensor, read_text, rebase_event_time
+from ..sources.sensor import SENSOR_COLUMNS, load_sensor, rebase_event_time
 from .pipeline import as_predictions, reach, windows_from_panes
 
 
@@ -110,6 +110,16 @@ def feed_job(spark: SparkSession, readings: DataFrame, sink: str = "kafka", out:
 ENTITIES = {"house": HOUSE, "plug": PLUG}
 
 
+def print_counts(counts: Observation | None) -> None:
+    """What was counted while the job read its input."""
+    if counts is not None:
+        seen = counts.get
+        print("lines dropped:", seen["dropped"])
+        unfit = {k: seen[k] for k in ("nan", "infinite", "too_large") if seen[k]}
+        if unfit:
+            print("readings that do not fit:", unfit)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="loadcast")
     p.add_argument("job", choices=["feed", "house", "plug"])
@@ -149,6 +159,9 @@ def main(argv: list[str] | None = None) -> None:
     kw = {"topic": a.topic, "brokers": a.brokers, "group_id": a.group_id} if a.source == "kafka" else {}
     if a.source == "csv" and a.min_partitions and not a.streaming:
         kw["min_partitions"] = a.min_partitions
+    counts = Observation("readings") if a.source in ("csv", "text") else None
+    if counts:
+        kw["counts"] = "readings" if a.streaming else counts
     readings = load_sensor(spark, a.source, a.path, streaming=a.streaming, **kw)
     opts = Options(presum=a.presum, property=a.property, median_mode=a.median_mode,
                    median_scale=a.median_scale, include_current=a.include_current,
@@ -157,27 +170,28 @@ def main(argv: list[str] | None = None) -> None:
     entity = None if a.job == "feed" else (
         PLUG_AS_WRITTEN if (a.job == "plug" and a.presum_key == "as_written") else ENTITIES[a.job])
     if a.streaming:
-        from ..streaming.jobs import start_averaging_job, start_feed_job
+        from ..streaming.jobs import StreamCounts, start_averaging_job, start_feed_job
+        seen = StreamCounts()
+        spark.streams.addListener(seen)
         trigger = {"availableNow": True} if a.once else {"processingTime": "30 seconds"}
         checkpoint = a.checkpoint or f"{shared_dir(spark)}/stream-{a.job}"
         if a.job == "feed":
             queries = [start_feed_job(readings, checkpoint, a.sink, a.out, a.topic, a.brokers, a.rebase_to, trigger)]
         else:
             queries = start_averaging_job(spark, readings, entity, a.store, a.docs, checkpoint, opts, levels, trigger,
-                                          doc_format=a.doc_format)
+                                          doc_format=a.doc_format, raw_path=a.raw_docs, debug_dir=a.debug_dir)
         for q in queries:
             q.awaitTermination()
+        spark.streams.removeListener(seen)
+        print("counted:", seen.by_query.get(str(queries[0].id), {}))
         return
-    if a.source in ("csv", "text"):
-        print("lines dropped:", dropped_lines(read_text(spark, a.path)).first()["dropped"])
     if a.job == "feed":
         feed_job(spark, readings, a.sink, a.out, a.topic, a.brokers, a.rebase_to, a.debug_dir)
+        print_counts(counts)
         return
-    unfit = {r["reason"]: r["count"] for r in unfit_counts(readings, opts).collect()}
-    if unfit:
-        print("readings that do not fit:", unfit)
     print(averaging_job(spark, readings, entity, a.store, a.docs, opts, levels, debug_dir=a.debug_dir, run_id=a.run_id,
                         raw_path=a.raw_docs, doc_format=a.doc_format, track_ids=not a.distinct_runs))
+    print_counts(counts)
     store = Store(spark, a.store, entity) if a.store else None
     if store and a.expire is not None:
         store.expire(a.expire, reach(levels, opts)[0])

@@ -4,11 +4,11 @@ event-time rebase of the feed job."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import DEFAULT_BROKERS, DEFAULT_TOPIC
+from ..config import DEFAULT_BROKERS, DEFAULT_TOPIC, VALUE_SCALE
 
 # Column order = CSV column order of a reading.
 SENSOR_COLUMNS = ("id", "timestamp", "value", "property", "plug_id", "household_id", "house_id")
@@ -52,6 +52,24 @@ def complete(df: DataFrame) -> DataFrame:
     return df.where(cond).select(*SENSOR_COLUMNS)
 
 
+def counted(raw: DataFrame, counts: Observation | str) -> DataFrame:
+    """Complete readings of a frame of the seven columns, counted on the way in the
+    same pass: ``lines``, those ``dropped`` by :func:`complete`, and of the kept
+    ones those whose value is no number that the sums take (``nan``, ``infinite``,
+    ``too_large``). A batch job reads an :class:`Observation` after its first
+    action; a stream reports the counts of each micro-batch in its progress, under
+    the name given."""
+    whole = F.lit(True)
+    for c in SENSOR_COLUMNS:
+        whole = whole & F.col(c).isNotNull()
+    v = F.col("value")
+    size = F.abs(v)
+    seen = raw.observe(counts, F.count(F.lit(1)).alias("lines"), F.count_if(~whole).alias("dropped"), F.count_if(whole & F.isnan(v)).alias("nan"),
+                       F.count_if(whole & (size == float("inf"))).alias("infinite"),
+                       F.count_if(whole & (size >= 10.0 ** (38 - VALUE_SCALE)) & (size < float("inf")) & ~F.isnan(v)).alias("too_large"))
+    return complete(seen)
+
+
 def _csv_options(mode: str) -> dict:
     # quote disabled: a field is never unquoted, as in a plain split on ','.
     return {"header": "false", "sep": ",", "quote": "", "mode": mode,
@@ -59,28 +77,35 @@ def _csv_options(mode: str) -> dict:
 
 
 def read_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE",
-             min_partitions: int | None = None) -> DataFrame:
+             min_partitions: int | None = None, counts: Observation | None = None) -> DataFrame:
     """Batch CSV (``.gz`` decoded by extension). A single ``.gz`` file is not
-    splittable and arrives as one partition: ``min_partitions`` re-spreads it."""
+    splittable and arrives as one partition: ``min_partitions`` re-spreads it.
+    ``counts`` as in :func:`counted`."""
     df = spark.read.schema(SENSOR).options(**_csv_options(mode)).csv(path)
-    df = complete(df) if mode != "FAILFAST" else df
+    if counts is not None:
+        df = counted(df, counts)
+    elif mode != "FAILFAST":
+        df = complete(df)
     if min_partitions:
         df = df.repartition(min_partitions)
     return df
 
 
-def read_csv_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def read_csv_stream(spark: SparkSession, path: str, max_files: int | None = None, counts: str | None = None) -> DataFrame:
     r = spark.readStream.schema(SENSOR).options(**_csv_options("PERMISSIVE"))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return complete(r.csv(path))
+    return counted(r.csv(path), counts) if counts else complete(r.csv(path))
 
 
-def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+def parse_lines(lines: DataFrame, col: str = "value", counts: Observation | str | None = None) -> DataFrame:
     """Parse a column of CSV lines into readings (same rules as the file
     reader), e.g. Kafka values or text-file lines; dropped lines are those
     with a NULL field."""
     parsed = F.from_csv(F.col(col), SENSOR_DDL, _csv_options("PERMISSIVE"))
+    if counts is not None:
+        # generated, so that the parser runs once per line
+        return counted(lines.select(F.explode(F.array(parsed)).alias("r")).select("r.*"), counts)
     return lines.select(complete_struct(parsed)).select("r.*")
 
 
@@ -133,7 +158,7 @@ def load_sensor(spark: SparkSession, source: str = "kafka", path: str | None = N
     if source == "parquet":
         return read_parquet(spark, path, streaming=streaming)
     if source == "text":
-        return parse_lines(read_text(spark, path, streaming=streaming))
+        return parse_lines(read_text(spark, path, streaming=streaming), **kw)
     raise ValueError(f"unknown source {source!r}; expected kafka, csv, parquet or text")
 
 

@@ -20,16 +20,17 @@ and documents: results are idempotent.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..config import (DEFAULT_BROKERS, DEFAULT_OPTIONS, DEFAULT_TOPIC, LEVEL_MINUTES, SLIDE_SECONDS,
                       WATERMARK_DELAY, Entity, Options)
-from ..operators.presum import restrict, with_units
+from ..operators.presum import from_units, restrict, with_units
 from ..plans.pipeline import as_predictions, reach, windows_from_panes
 from ..session import conf_override
-from ..sinks.store import prediction_documents, read_panes, replace_averages, write_documents, write_panes
+from ..sinks.store import (debug_dump, prediction_documents, raw_documents, read_panes, replace_averages, write_documents,
+                           write_panes)
 from ..sources.sensor import SENSOR_COLUMNS, with_event_time
 
 PANE = f"{SLIDE_SECONDS} seconds"
@@ -40,6 +41,24 @@ def watermarked(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
     return with_event_time(readings).withWatermark("event_time", delay)
 
 
+def stream_seconds(readings: DataFrame, entity: Entity, options: Options = DEFAULT_OPTIONS,
+                   delay: str = WATERMARK_DELAY) -> DataFrame:
+    """The pre-sum of a stream as readings, each second once it has closed (each
+    reading at once where there is no final pre-sum)."""
+    rows = watermarked(readings, delay)
+    if options.presum == "rolling":
+        from .rolling import rolling_presum
+        return rolling_presum(rows, entity, options).select(*SENSOR_COLUMNS)
+    rows = with_units(restrict(rows, options), options.value_scale)
+    if options.presum == "final":
+        by = [*entity.presum_cols, "event_time"]
+        kept = [c for c in SENSOR_COLUMNS if c not in (*entity.presum_cols, "id", "timestamp", "value")]
+        rows = rows.groupBy(*by).agg(from_units(F.sum("u")).alias("value"), F.min("id").alias("id"),
+                                     *[F.min_by(c, "id").alias(c) for c in kept])
+        rows = rows.withColumn("timestamp", F.unix_seconds("event_time"))
+    return rows.select(*SENSOR_COLUMNS)
+
+
 def stream_panes(readings: DataFrame, entity: Entity, options: Options = DEFAULT_OPTIONS,
                  delay: str = WATERMARK_DELAY) -> DataFrame:
     """Closed panes ``(key, pos, s, c, t)`` of a stream of readings: one
@@ -88,16 +107,18 @@ def last_complete(spark: SparkSession, store: str, entity: Entity, batch_id: int
 
 def process_batch(panes: DataFrame, batch_id: int, entity: Entity, store: str, docs: str | None,
                   options: Options = DEFAULT_OPTIONS, levels: tuple[int, ...] = LEVEL_MINUTES,
-                  now_ms: int | None = None, doc_format: str = "json") -> None:
+                  now_ms: int | None = None, doc_format: str = "json", debug_dir: str | None = None) -> None:
     """Store a micro-batch of closed panes, then the averages and predictions of
     the windows that it completes."""
     spark = panes.sparkSession
     panes = panes.persist()
+    dump = lambda df, stage: debug_dump(df, debug_dir, f"{entity.slug}/{stage}/batch_id={batch_id}")
     try:
         seen = panes.agg(F.min("pos").alias("first"), F.max("pos").alias("last")).first()
         before = last_complete(spark, store, entity, batch_id - 1)
         if seen["last"] is not None:
             write_panes(panes, store, entity, f"batch{batch_id}")
+            dump(panes, "panes")
         done = max((x for x in (before, seen["last"]) if x is not None), default=None)
         (spark.range(1).select(F.lit(done).cast("long").alias("pos"))
          .write.mode("overwrite").parquet(_progress_dir(store, entity, batch_id)))
@@ -111,32 +132,79 @@ def process_batch(panes: DataFrame, batch_id: int, entity: Entity, store: str, d
     rows = as_predictions(rows, entity).persist()
     try:
         replace_averages(rows, store, batch_id)
+        dump(rows.drop("median_load", "sliding_window_ms", "predicted_value"), "averages")
+        dump(rows.drop("sliding_window_ms", "predicted_value"), "enriched")
+        dump(rows, "predictions")
         if docs:
             write_documents(prediction_documents(rows, now_ms), docs, doc_format, batch_id=batch_id)
     finally:
         rows.unpersist()
 
 
+def write_seconds(seconds: DataFrame, batch_id: int, entity: Entity, raw: str | None, debug_dir: str | None,
+                  doc_format: str = "json") -> None:
+    """Raw documents and debug dump of a micro-batch of the pre-sum, in place of
+    what an earlier attempt of the batch wrote."""
+    seconds = seconds.persist()
+    try:
+        if raw and not seconds.isEmpty():
+            write_documents(raw_documents(seconds), raw, doc_format, batch_id=batch_id)
+        debug_dump(seconds, debug_dir, f"{entity.slug}/presum/batch_id={batch_id}")
+    finally:
+        seconds.unpersist()
+
+
 def start_averaging_job(spark: SparkSession, readings: DataFrame, entity: Entity, store_path: str,
                         docs_path: str | None, checkpoint: str, options: Options = DEFAULT_OPTIONS,
                         levels: tuple[int, ...] = LEVEL_MINUTES, trigger: dict | None = None,
                         now_ms: int | None = None, state_partitions: int | None = None,
-                        doc_format: str = "json") -> list[StreamingQuery]:
+                        doc_format: str = "json", raw_path: str | None = None,
+                        debug_dir: str | None = None) -> list[StreamingQuery]:
     """House or plug averaging job: stream -> panes -> store -> averages, medians
-    and documents of all levels. One query; the source is read once."""
+    and documents of all levels. One query, which reads the source once; a second
+    one where raw documents or debug dumps of the pre-sum are wanted."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, entity, store_path, docs_path, options, levels, now_ms, doc_format)
+        process_batch(batch, batch_id, entity, store_path, docs_path, options, levels, now_ms, doc_format, debug_dir)
 
-    w = (stream_panes(readings, entity, options).writeStream.outputMode("append")
-         .option("checkpointLocation", f"{checkpoint}/{entity.slug}")
-         .foreachBatch(per_batch)
-         .trigger(**(trigger or {"availableNow": True})))
+    def per_seconds(batch: DataFrame, batch_id: int) -> None:
+        write_seconds(batch, batch_id, entity, raw_path, debug_dir, doc_format)
+
+    parts = [(stream_panes(readings, entity, options), entity.slug, per_batch)]
+    if raw_path or debug_dir:
+        parts.append((stream_seconds(readings, entity, options), f"{entity.slug}-raw", per_seconds))
     # State-store partitions of a query are fixed at its first start (and kept in
     # the checkpoint); size them to the stream, not to the batch shuffle setting,
     # when given.
     conf = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
     with conf_override(spark, conf):
-        return [w.start()]
+        return [rows.writeStream.outputMode("append").option("checkpointLocation", f"{checkpoint}/{name}")
+                .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start()
+                for rows, name, write in parts]
+
+
+class StreamCounts(StreamingQueryListener):
+    """Adds up what a stream of :func:`~loadcast.sources.sensor.counted` readings
+    reports: lines, dropped and unfit ones, and rows late for their pane, by query.
+    Register it with ``spark.streams.addListener``."""
+
+    def __init__(self, name: str = "readings"):
+        self.name, self.by_query = name, {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        mine = self.by_query.setdefault(str(p.id), {"late": 0})
+        mine["late"] += sum(int(s.numRowsDroppedByWatermark) for s in p.stateOperators)
+        for k, v in (p.observedMetrics.get(self.name) or Row()).asDict().items() if p.observedMetrics else ():
+            mine[k] = mine.get(k, 0) + (v or 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 # --------------------------------------------------------------------- feed job

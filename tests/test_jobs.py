@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loadcast.config import HOUSE, PLUG, Options
 from loadcast.functions.docs import parse_prediction
+from loadcast.operators.presum import presum
 from loadcast.plans.jobs import averaging_job, feed_job, main
 from loadcast.plans.pipeline import predictions, reach
 from loadcast.sinks.runs import Store, add_run
@@ -91,8 +92,18 @@ def test_feed_and_cli(spark, tmp_path, capsys):
     got = Store(spark, str(tmp_path / "cli-store"), HOUSE).averages()
     assert got.select("window_minutes").distinct().count() == 2
     main(["house", "--source", "csv", "--path", csv, "--streaming", "--once", "--store", str(tmp_path / "stream-store"),
-          "--docs", str(tmp_path / "stream-docs"), "--checkpoint", str(tmp_path / "ck"), "--levels", "1"])
+          "--docs", str(tmp_path / "stream-docs"), "--raw-docs", str(tmp_path / "stream-raw"), "--debug", str(tmp_path / "stream-debug"),
+          "--checkpoint", str(tmp_path / "ck"), "--levels", "1"])
     assert spark.read.json(str(tmp_path / "stream-docs")).count() > 0
+    said = capsys.readouterr().out
+    assert f"'lines': {r.count() + 1}" in said and "'dropped': 1" in said and "'late': 0" in said
+    # every output of the streaming command: raw documents of the closed seconds, and each stage
+    raw = [json.loads(x.value) for x in spark.read.json(str(tmp_path / "stream-raw")).collect()]
+    seconds = {(x.house_id, x.timestamp): x.value for x in presum(r, HOUSE, Options()).collect()}
+    assert raw and all(seconds[x["house_id"], x["timestamp"]] == x["value"] for x in raw)
+    assert len(raw) > 0.9 * len(seconds) and len({(x["house_id"], x["timestamp"]) for x in raw}) == len(raw)
+    stages = {p.name for p in (tmp_path / "stream-debug" / "house").iterdir()}
+    assert stages == {"presum", "panes", "averages", "enriched", "predictions"}
 
 
 def test_unknown_source(spark):

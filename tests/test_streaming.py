@@ -90,6 +90,18 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert (as_set(spark.read.parquet(f"{store}/averages")), as_set(spark.read.json(docs))) == before
 
 
+def test_replayed_raw_documents_are_written_once(spark, tmp_path):
+    """A batch that ended between its write and its commit comes again."""
+    from loadcast.sources.sensor import SENSOR
+    from loadcast.streaming.jobs import write_seconds
+    batch = lambda *ids: spark.createDataFrame([(i, 100 + i, 1.0, 1, 0, 0, 0) for i in ids], SENSOR)
+    raw = str(tmp_path / "raw")
+    for ids, n in (((1, 2), 0), ((1, 2), 0), ((3,), 1), ((), 2), ((3,), 1)):
+        write_seconds(batch(*ids) if ids else batch(0).limit(0), n, HOUSE, raw, None)
+    got = spark.read.json(raw)
+    assert got.count() == got.select("doc_id").distinct().count() == 3
+
+
 def test_feed_job(spark, stream_input, tmp_path):
     src, _, _ = stream_input
     out = str(tmp_path / "feed")
