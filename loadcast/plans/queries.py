@@ -248,6 +248,19 @@ def _store_split_runs(spark, sf):
     return Store(spark, root, HOUSE).averages().select(*_STORE_COLS)
 
 
+@register("debug_stages", O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME, median={}, predict=True))
+def _debug_stages(spark, sf):
+    """The prediction stage of the house job, read back from its debug dump."""
+    from .jobs import averaging_job
+    root = scratch_path(spark, "debug")
+    r = readings(spark, sf)
+    averaging_job(spark, r, HOUSE, f"{root}/store", None, debug_dir=f"{root}/dump", track_ids=False)
+    plan = predictions(r, HOUSE, _ALL)
+    schema = {f.name: f.dataType for f in plan.schema.fields}
+    dump = spark.read.option("header", "true").csv(f"{root}/dump/house/predictions")
+    return dump.select(*[F.col(c).cast(schema[c]).alias(c) for c in plan.columns])
+
+
 def _alive_sql():
     h = O.multi_level_sql(HOUSE_KEY, _ALL, HOUSE_NAME)
     return (f"SELECT * FROM ({h}) WHERE window_end >= (SELECT max(timestamp) FROM ({ADAPTER_SQL})) - 5 - window_minutes * 60")

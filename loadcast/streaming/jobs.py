@@ -32,6 +32,8 @@ from ..session import conf_override
 from ..sinks.store import (debug_dump, prediction_documents, raw_documents, read_panes, replace_averages, write_documents,
                            write_panes)
 from ..sources.sensor import SENSOR_COLUMNS, with_event_time
+from .cascade import stream_windows
+from .rolling import ROCKSDB
 
 PANE = f"{SLIDE_SECONDS} seconds"
 
@@ -60,8 +62,8 @@ def stream_seconds(readings: DataFrame, entity: Entity, options: Options = DEFAU
 
 
 def stream_panes(readings: DataFrame, entity: Entity, options: Options = DEFAULT_OPTIONS,
-                 delay: str = WATERMARK_DELAY) -> DataFrame:
-    """Closed panes ``(key, pos, s, c, t)`` of a stream of readings: one
+                 delay: str = WATERMARK_DELAY, timed: bool = False) -> DataFrame:
+    """Closed panes ``(key, pos, s, c, t)``, ``timed`` with their event time, of a stream of readings: one
     aggregate where the pre-sum key is the window key (see
     :func:`~loadcast.operators.presum.panes_of_seconds`), else pre-sum, then
     panes. The rolling pre-sum is a stateful processor (:mod:`.rolling`)."""
@@ -86,7 +88,7 @@ def stream_panes(readings: DataFrame, entity: Entity, options: Options = DEFAULT
             raise ValueError(f"unknown presum mode {options.presum!r}")
     panes = rows.groupBy(window, *entity.key_cols).agg(F.sum("u").alias("s"), count, latest)
     pos = F.expr(f"unix_seconds(window.start) div {SLIDE_SECONDS}")
-    return panes.select(*entity.key_cols, pos.alias("pos"), "s", "c", "t")
+    return panes.select(*entity.key_cols, pos.alias("pos"), "s", "c", "t", *([F.window_time("window").alias("event_time")] if timed else []))
 
 
 def _progress_dir(store: str, entity: Entity, batch_id: int) -> str:
@@ -141,6 +143,24 @@ def process_batch(panes: DataFrame, batch_id: int, entity: Entity, store: str, d
         rows.unpersist()
 
 
+def write_windows(rows: DataFrame, batch_id: int, entity: Entity, store: str, docs: str | None,
+                  now_ms: int | None = None, doc_format: str = "json", debug_dir: str | None = None) -> None:
+    """Store and publish the windows of a micro-batch, in place of what an earlier
+    attempt of the batch wrote."""
+    dump = lambda df, stage: debug_dump(df, debug_dir, f"{entity.slug}/{stage}/batch_id={batch_id}")
+    rows = as_predictions(rows, entity).persist()
+    try:
+        if not rows.isEmpty():
+            replace_averages(rows, store, batch_id)
+            if docs:
+                write_documents(prediction_documents(rows, now_ms), docs, doc_format, batch_id=batch_id)
+        dump(rows.drop("median_load", "sliding_window_ms", "predicted_value"), "averages")
+        dump(rows.drop("sliding_window_ms", "predicted_value"), "enriched")
+        dump(rows, "predictions")
+    finally:
+        rows.unpersist()
+
+
 def write_seconds(seconds: DataFrame, batch_id: int, entity: Entity, raw: str | None, debug_dir: str | None,
                   doc_format: str = "json") -> None:
     """Raw documents and debug dump of a micro-batch of the pre-sum, in place of
@@ -169,14 +189,26 @@ def start_averaging_job(spark: SparkSession, readings: DataFrame, entity: Entity
     def per_seconds(batch: DataFrame, batch_id: int) -> None:
         write_seconds(batch, batch_id, entity, raw_path, debug_dir, doc_format)
 
-    parts = [(stream_panes(readings, entity, options), entity.slug, per_batch)]
+    def per_windows(batch: DataFrame, batch_id: int) -> None:
+        write_windows(batch, batch_id, entity, store_path, docs_path, now_ms, doc_format, debug_dir)
+
+    def per_panes(batch: DataFrame, batch_id: int) -> None:
+        debug_dump(batch, debug_dir, f"{entity.slug}/panes/batch_id={batch_id}")
+
+    if options.retention:  # all that a window or median looks back over is keyed state
+        windows = stream_windows(stream_panes(readings, entity, options, timed=True), entity, levels, options)
+        parts = [(windows, entity.slug, per_windows)]
+        if debug_dir:
+            parts.append((stream_panes(readings, entity, options), f"{entity.slug}-panes", per_panes))
+    else:
+        parts = [(stream_panes(readings, entity, options), entity.slug, per_batch)]
     if raw_path or debug_dir:
         parts.append((stream_seconds(readings, entity, options), f"{entity.slug}-raw", per_seconds))
     # State-store partitions of a query are fixed at its first start (and kept in
     # the checkpoint); size them to the stream, not to the batch shuffle setting,
     # when given.
     conf = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
-    with conf_override(spark, conf):
+    with conf_override(spark, conf | {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}):
         return [rows.writeStream.outputMode("append").option("checkpointLocation", f"{checkpoint}/{name}")
                 .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start()
                 for rows, name, write in parts]

@@ -4,6 +4,7 @@ That streams equal batches for all levels is checked by the stream_* queries."""
 import os
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +91,75 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert (as_set(spark.read.parquet(f"{store}/averages")), as_set(spark.read.json(docs))) == before
 
 
+class Handle:
+    """State and timer of one key."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+    registerTimer = lambda self, t: self.timers.add(t)
+    deleteTimer = lambda self, t: self.timers.discard(t)
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+class Clock:
+    def __init__(self, now):
+        self.getCurrentWatermarkInMs = lambda: now
+
+
+@pytest.mark.parametrize("options", [Options(), Options(include_current=True, median_scale=10.0)])
+def test_keyed_cascade_equals_batch(spark, options):
+    """Panes with gaps of every length, in micro-batches, with timers between them:
+    the windows of the batch plan, each once; at the end no state is left."""
+    import random
+
+    from loadcast.plans.pipeline import all_levels as batch
+    from loadcast.streaming.cascade import RESULT, Cascade
+    r = random.Random(5)
+    pos, panes = 1000, []
+    for _ in range(120):
+        pos += r.choice((1, 1, 1, 2, 5, 30, 400, 900)) if len(panes) % 40 == 39 else r.choice((1, 1, 2, 7))
+        panes.append((pos, r.randint(-10**6, 10**6), r.randint(1, 9), pos * 30 + 7))
+    handle, job = Handle(), Cascade(HOUSE, (1, 5, 15), options)
+    job.init(handle)
+
+    def fire(now):
+        """The key's timer, where it has come."""
+        if handle.timers and min(handle.timers) <= now:
+            (due,) = handle.timers
+            handle.timers.clear()
+            for f in job.handleExpiredTimer((0,), Clock(now), due):
+                got.extend(f.itertuples(index=False))
+
+    got, at = [], 0
+    while at < len(panes):
+        n = r.randint(1, 12)
+        part, at = panes[at:at + n], at + n
+        now = (part[-1][0] + 1) * 30_000
+        frame = pd.DataFrame(part, columns=["pos", "units", "c", "t"]).sample(frac=1, random_state=at)
+        got += [x for f in job.handleInputRows((0,), iter([frame]), Clock(now)) for x in f.itertuples(index=False)]
+        if at < len(panes) and r.random() < 0.5:
+            fire(panes[at][0] * 30_000)  # the watermark of the next pane's beginning
+    end = (panes[-1][0] + 5000) * 30_000
+    fire(end)
+    assert handle.value is None and not handle.timers
+    df = spark.createDataFrame([(0, p, u, c, t) for p, u, c, t in panes], "house_id long, pos long, u long, c long, t long")
+    df = df.select("house_id", "pos", (F.col("u") * F.lit(Decimal("0.000000000000001"))).cast("decimal(38,15)").alias("s"), "c", "t")
+    cols = ["house_id", *[n for n, _ in RESULT]]
+    want = as_set(batch(None, HOUSE, (1, 5, 15), options, medians=True, pane_rows=df).select(*cols))
+    assert sorted(tuple(x) for x in got) == want
+
+
 def test_replayed_raw_documents_are_written_once(spark, tmp_path):
     """A batch that ended between its write and its commit comes again."""
     from loadcast.sources.sensor import SENSOR
