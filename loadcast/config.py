@@ -37,8 +37,7 @@ DEFAULT_BROKERS = "localhost:9092"
 # retries and different cluster sizes give bit-identical averages. 23 digits are
 # left before the point; the largest running sum (a week of one key, counted
 # 2*10*30*120*240 times on the way up the cascade, at 3e10 in 30 seconds) takes
-# 1.1e22. Three longs a sum instead of a decimal were measured and are slower:
-# a window then runs six sums in place of two.
+# 1.1e22.
 VALUE_SCALE = 15
 
 
