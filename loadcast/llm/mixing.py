@@ -22,6 +22,7 @@ replace input columns of these names.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loadcast.llm.common import prepare, table
@@ -55,18 +56,17 @@ def source_rates(docs: DataFrame, weights: DataFrame | None = None, total: int |
     return w.select("source", rate.alias("rate"))
 
 
-def poisson_cdf(rate: Column) -> Column:
-    """Array of P(X <= k) for k from 0 until the rest is below double precision;
-    summed from log probabilities, so that large rates do not underflow."""
-    top = F.ceil(rate + 12 * F.sqrt(rate) + 24).cast("int")
-    start = F.struct((-rate).alias("logp"), F.array(F.exp(-rate)).alias("cdf"))
-
-    def step(acc, k):
-        logp = acc["logp"] + F.log(rate / k)
-        return F.struct(logp.alias("logp"),
-                        F.concat(acc["cdf"], F.array(F.element_at(acc["cdf"], -1) + F.exp(logp))).alias("cdf"))
-
-    return F.aggregate(F.sequence(F.lit(1), top), start, step, lambda acc: acc["cdf"])
+def with_cdf(rates: DataFrame) -> DataFrame:
+    """(source, rate, cdf): array of P(X <= k) for k from 0 until the rest is below
+    double precision; added up from log probabilities, so that large rates do not
+    underflow, by running sums over a source's k."""
+    top = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 24).cast("int")
+    upto = W.partitionBy("source", "rate").orderBy("k")
+    each = rates.withColumn("k", F.explode(F.sequence(F.lit(0), top)))
+    logp = -F.col("rate") + F.coalesce(F.sum(F.when(F.col("k") > 0, F.log(F.col("rate") / F.col("k")))).over(upto), F.lit(0.0))
+    cdf = F.sum(F.exp("logp")).over(upto)
+    return (each.withColumn("logp", logp).select("source", "rate", cdf.alias("c"))
+            .groupBy("source", "rate").agg(F.sort_array(F.collect_list("c")).alias("cdf")))
 
 
 def mix_sources(docs: DataFrame, weights: DataFrame | None = None, total: int | None = None,
@@ -78,7 +78,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, total: int |
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").alias("mix_id"),
                        F.col("source").alias("mix_source"))
     rates = source_rates(docs, weights, total, power).filter("rate > 0")
-    rates = rates.select(F.col("source").alias("rate_source"), "rate", poisson_cdf(F.col("rate")).alias("cdf"))
+    rates = with_cdf(rates).withColumnRenamed("source", "rate_source")
     same = F.col("mix_source").eqNullSafe(F.col("rate_source"))
     if rates.count() <= broadcast_sources:
         joined = rows.join(F.broadcast(rates), same)

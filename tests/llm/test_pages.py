@@ -164,7 +164,9 @@ def test_rates_meet_the_target(spark):
     weights = spark.createDataFrame([("small", 1.0), ("large", 1.0)], "source string, weight double")
     got = {r["source"]: r["count"] for r in mixing.mix_sources(df, weights).groupBy("source").count().collect()}
     assert abs(got["small"] - 10_000) < 500 and abs(got["large"] - 10_000) < 500
-    big = spark.range(1).select(mixing.poisson_cdf(F.lit(2000.0)).alias("c")).first()["c"]
+    tables = {r["source"]: r["cdf"] for r in mixing.with_cdf(spark.createDataFrame([(None, 2000.0), ("b", 60_000.0), ("c", 0.5)], "source string, rate double")).collect()}
+    big = tables[None]
+    assert abs(tables["c"][0] - math.exp(-0.5)) < 1e-15 and abs(tables["b"][60_000] - 0.5) < 0.005 and abs(tables["b"][-1] - 1) < 1e-8
     assert math.isclose(big[-1], 1, rel_tol=1e-9) and abs(sum(x < 0.5 for x in big) - 2000) < 3
 
 
