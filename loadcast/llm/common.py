@@ -66,6 +66,13 @@ def typed(df: DataFrame, *columns: str) -> DataFrame:
                        for n, t in (c.split() for c in columns)])
 
 
+def free_name(name: str, taken) -> str:
+    """The name, with underscores before it until it is none of those taken."""
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def slot(column: str, divisor: int) -> Column:
     """crc32 of the value as text, modulo ``divisor`` (null counts as '')."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % divisor

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.llm import textnp
-from loadcast.llm.common import prepare, stored, table, typed
+from loadcast.llm.common import free_name, prepare, stored, table, typed
 from loadcast.llm.interning import compact, intern
 
 BUCKETS = 10_000
@@ -137,21 +137,23 @@ def draw(weighted: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS
     scored = (stored(weighted.drop("score", "rank")).withColumn("score", F.col("weight") + gumbel(seed, F.col("doc_id")))
               .withColumn("rank", F.col("n_words") >= min_words))
     order = [F.col("rank").desc(), F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
+    place, part_of, start = (free_name(x, scored.columns) for x in ("place", "place_part", "place_start"))
     # partition number in the upper bits, row number within the partition below
     placed = stored(scored.repartitionByRange(*order).sortWithinPartitions(*order)
-                    .withColumn("place", F.struct(F.col("rank").alias("fit"), F.monotonically_increasing_id().alias("at"))))
-    part = F.shiftright(F.col("place.at"), 33)
+                    .withColumn(place, F.struct(F.col("rank").alias("fit"), F.monotonically_increasing_id().alias("at"))))
+    fit, at = F.col(f"{place}.fit"), F.col(f"{place}.at")
+    part = F.shiftright(at, 33)
     sizes = sorted((r["part"], r["n"], r["fit"]) for r in placed.groupBy(part.alias("part")).agg(
-        F.count("*").alias("n"), F.sum(F.col("place.fit").cast("long")).alias("fit")).collect())  # a row a partition
-    offset, at = {}, 0
+        F.count("*").alias("n"), F.sum(fit.cast("long")).alias("fit")).collect())  # a row a partition
+    offset, rows = [], 0
     for p, n, _ in sizes:
-        offset[p] = at
-        at += n
-    drawn = percent * sum(fit for _, _, fit in sizes) // 100
-    offsets = placed.sparkSession.createDataFrame(list(offset.items()), "place_part long, place_start long")
-    placed = placed.join(F.broadcast(offsets), part.cast("long") == F.col("place_part"), "left")  # a row a partition
-    rank = F.col("place_start") + F.col("place.at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    return placed.withColumn("rank", F.when(F.col("place.fit") & (rank <= drawn), rank)).drop("place", "place_part", "place_start")
+        offset.append((p, rows))
+        rows += n
+    drawn = percent * sum(n for _, _, n in sizes) // 100
+    offsets = placed.sparkSession.createDataFrame(offset, f"{part_of} long, {start} long")
+    placed = placed.join(F.broadcast(offsets), part.cast("long") == F.col(part_of), "left")  # a row a partition
+    rank = F.col(start) + at.bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.withColumn("rank", F.when(fit & (rank <= drawn), rank)).drop(place, part_of, start)
 
 
 def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS,

@@ -40,7 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from loadcast.llm.common import cut, prepare, slot, stored, table
+from loadcast.llm.common import cut, free_name, prepare, slot, stored, table
 from loadcast.llm.textnp import distinct_words, grams, slices, span_hashes, spelled, words
 
 ORDER = 14
@@ -298,11 +298,12 @@ def ratio_table(counts: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, ratios: DataFrame, model: Column, keep: list[str], finish, schema, slice_text: int = SLICE_TEXT) -> DataFrame:
     """``finish(rows, differences)`` of every row of ``docs`` under the ``model``
     (a column: 0 to 2) of its row. Texts are shuffled once, to their slices."""
+    text, by_model, part_of = (free_name(x, keep) for x in ("judged_text", "judged_by", "judged_slice"))
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     n = max(1, -(-size // slice_text))
     deal = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))
-    rows = (docs.select(*keep, F.col("text").cast("string").alias("judged_text"), model.cast("int").alias("judged_by"), deal.alias("judged_slice"))
-            .repartition(max(n, 1), "judged_slice"))
+    rows = (docs.select(*keep, F.col("text").cast("string").alias(text), model.cast("int").alias(by_model), deal.alias(part_of))
+            .repartition(max(n, 1), part_of))
 
     def used(batches):
         held, size = {}, 0
@@ -312,8 +313,8 @@ def judged(docs: DataFrame, ratios: DataFrame, model: Column, keep: list[str], f
                 u = np.unique(np.concatenate(keys)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), part)), pa.array(u)], ["judged_slice", "gram"])
 
-        for batch, buf, off in slices(batches, "judged_text", SLICE_BYTES):
-            part = np.asarray(batch.column("judged_slice"))
+        for batch, buf, off in slices(batches, text, SLICE_BYTES):
+            part = np.asarray(batch.column(part_of))
             s, e, prow, pword, _ = distinct_words(buf, off, lower=True)
             data, word = spelled(buf, s, e, lower=True)
             i, key, _ = contexts(data, word)
@@ -337,8 +338,8 @@ def judged(docs: DataFrame, ratios: DataFrame, model: Column, keep: list[str], f
         gram = right.column("need").combine_chunks().to_numpy(zero_copy_only=False).view(np.uint64)
         models = {}
         out = []
-        for batch, buf, off in slices(left.to_batches(), "judged_text", SLICE_BYTES):
-            by = np.asarray(batch.column("judged_by"))
+        for batch, buf, off in slices(left.to_batches(), text, SLICE_BYTES):
+            by = np.asarray(batch.column(by_model))
             d = np.zeros((len(by), 4))
             for m in np.unique(by):
                 if m not in models:
@@ -348,7 +349,7 @@ def judged(docs: DataFrame, ratios: DataFrame, model: Column, keep: list[str], f
         return pa.Table.from_batches(out) if out else empty
 
     empty = to_arrow_schema(schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).empty_table()
-    return rows.groupBy("judged_slice").cogroup(found.groupBy("judged_slice")).applyInArrow(judge, schema)
+    return rows.groupBy(part_of).cogroup(found.groupBy("judged_slice")).applyInArrow(judge, schema)
 
 
 class Curve:

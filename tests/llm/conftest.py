@@ -4,7 +4,8 @@ import pytest
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, row string, copy int, rate int, cdf int, score string, "
-          "kept int, label_id long, sid long, repeat_spans int, copy_id long, doc long, marks int")
+          "kept int, label_id long, sid long, repeat_spans int, copy_id long, doc long, marks int, judged_slice int, judged_by string, "
+          "judged_text int, n_words string, weight int, rank string, place int, ghost int, at string, to_doc int, digest string")
 
 
 def odd_rows():
@@ -24,7 +25,7 @@ def odd_rows():
             (9, other.upper()), (10, long), (11, passage + "\n" + say(100)), (12, say(90) + "\n" + passage + " end"), (13, "ab"), (14, "ab"),
             (15, "Ünïcode größe ñandú 日本語 " * 12), (16, "x " + "Ünïcode größe ñandú 日本語 " * 12), (None, base), (None, None),
             (8, say(50)), (1, base), (17, "a" * 300), (18, "a" * 200), (19, "a" * 49), (20, passage), (-3, say(30) + " " + passage)]
-    extra = ("r", 1, 2, 3, "s", 4, 5, 6, 7, 8, 9, 10)
+    extra = ("r", 1, 2, 3, "s", 4, 5, 6, 7, 8, 9, 10, 11, "b", 12, "w", 13, "k", 14, 15, "a", 16, "d")
     return [(d, t, None if i % 7 == 0 else ("en", "de")[i % 2], None if i % 5 == 0 else f"s{i % 3}", len(t) if t else None) + extra
             for i, (d, t) in enumerate(rows)]
 
