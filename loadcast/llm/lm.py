@@ -12,10 +12,15 @@ probability of an id is that of its class times that of the id within the class:
   texts are one batch of masked attention;
 * the shares within classes are corpus counts over all training texts.
 
-Classes are clusters of ids by their neighbours. Clusters and attention weights
-are fitted by Adam on the driver on at most ``sample_rows`` training texts, the
-first by a hash of the id, each at most ``sample_bytes`` long: a documented bound.
-All counts cover all texts.
+Classes are clusters of ids by their neighbours, counted over all training texts.
+Attention weights are learned from all training texts too, by Adam in the tasks:
+each text belongs to one round, by a hash, and within it to one share of about
+``SHARE_TOKENS`` ids. Every share goes on from the weights of the round before,
+and its own count towards the next by the tokens that it has (sums of whole
+numbers, so that their order does not matter). The first round is one share, which
+is gone over until ``steps`` steps are made; all later ones are gone over once.
+
+A text is cut into subword ids once; ids are stored for all passes.
 
 The base is a word unigram with add-one smoothing. Word counts stay distributed:
 the ``head_words`` most frequent go to the tasks as two arrays (16 bytes each);
@@ -31,6 +36,7 @@ counts as '' for the fold. Only the text enters a score.
 from __future__ import annotations
 
 import base64
+import copy
 
 import numpy as np
 import pyarrow as pa
@@ -50,16 +56,22 @@ CLASSES = 128
 INPUTS = 4096
 NEIGHBOURS = 64
 STEPS = 800
-SAMPLE_ROWS = 1500
-SAMPLE_BYTES = 100_000
+STEP_BLOCKS = 256
+RATE = 1e-2
+WARM_UP = 30
+SHARE_TOKENS = 1_000_000
+ROUND_SHARE = 0.2  # no round has more of the texts than this
+FIXED = 1 << 20  # weights are added up as whole numbers of this fraction
+HASHES = 1 << 30
 HEAD_WORDS = 300_000
 FLUSH_WORDS = 1_000_000
 CHUNK = 256
 END_WORD = np.uint64(0x1F83D9ABFB41BD6B)  # stands for the end among word hashes
 ROW_TOKENS = 100_000
-BATCH_BYTES = 16 << 20  # large slices cut fewer words twice into subwords
-SCORE_BYTES = 6 << 20
-COUNT_BYTES = 8 << 20
+BATCH_BYTES = 8 << 20
+COUNT_BYTES = 4 << 20  # large slices cut fewer words twice into subwords
+IDS_BYTES = 1 << 20
+SUM_BYTES = 512 << 10
 
 
 # ---------------------------------------------------------------- subword ids
@@ -96,8 +108,10 @@ class Subwords:
         return ids, np.concatenate([at, [len(ids)]])
 
 
-def id_rows(buf: np.ndarray, off: np.ndarray, subwords: Subwords) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all rows, offsets by row), without ends."""
+def id_rows(buf: np.ndarray, off: np.ndarray, subwords: Subwords
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of all rows, offsets by row), without ends; hashes of the distinct words;
+    number of the distinct word, and the row, of every word."""
     s, e, row = words(buf, off)
     h = span_hashes(buf, s, e)
     u, first, inv = np.unique(h, return_index=True, return_inverse=True)
@@ -106,7 +120,24 @@ def id_rows(buf: np.ndarray, off: np.ndarray, subwords: Subwords) -> tuple[np.nd
     begin = at[:-1][inv]
     total = np.concatenate([[0], np.cumsum(size)])
     out = ids[np.repeat(begin - total[:-1], size) + np.arange(total[-1])]
-    return out, total[np.searchsorted(row, np.arange(len(off)))]
+    return out, total[np.searchsorted(row, np.arange(len(off)))], u, inv, row
+
+
+def id_type(size: int) -> type:
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
+def id_bytes(ids: np.ndarray, off: np.ndarray, size: int) -> pa.Array:
+    """One binary value a row."""
+    kind = id_type(size)
+    return pa.Array.from_buffers(pa.binary(), len(off) - 1, [None, pa.py_buffer((off * np.dtype(kind).itemsize).astype(np.int32)),
+                                                             pa.py_buffer(ids.astype(kind))])
+
+
+def bytes_ids(buf: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all rows, offsets by row) of :func:`id_bytes`."""
+    kind = id_type(size)
+    return buf.view(kind).astype(np.int64), off // np.dtype(kind).itemsize
 
 
 # ------------------------------------------------------------------ attention
@@ -150,6 +181,19 @@ class Attention:
         self.rel = np.zeros(2 * BLOCK, dtype)
         self.wa, self.wx, self.b = g(WIDTH, classes), g(WIDTH, classes), np.zeros(classes, dtype)
 
+    def flat(self) -> np.ndarray:
+        """All weights, one after the other."""
+        return np.concatenate([getattr(self, k).ravel() for k in self.NAMES])
+
+    def copy(self, flat: np.ndarray | None = None) -> Attention:
+        """The same layer with weights of its own, or with the given ones."""
+        out, at = copy.copy(self), 0
+        for k in self.NAMES:
+            w = getattr(self, k)
+            setattr(out, k, w.copy() if flat is None else flat[at:at + w.size].reshape(w.shape).astype(w.dtype))
+            at += w.size
+        return out
+
     def forward(self, keys: np.ndarray) -> dict:
         """``keys`` are the units of (block before, block)."""
         t = {"x": self.emb[keys]}
@@ -192,23 +236,113 @@ class Attention:
         g["emb"][self.pad] = 0
         return loss, g
 
+    def chain_gradients(self, units: np.ndarray, target: np.ndarray) -> tuple[float, dict]:
+        """As :meth:`gradients` over the blocks after the first of ``units``, each
+        with the one before it: what two blocks share is computed once."""
+        n, scale = len(target), np.float32(HEAD ** -0.5)
+        x = self.emb[units]
+        flat = lambda m: m.reshape(-1, m.shape[-1])
+        times = lambda m, w: (flat(m) @ w).reshape(*m.shape[:-1], w.shape[1])
+
+        def pairs(m):  # (block before, block) as one view of the rows
+            return np.lib.stride_tricks.as_strided(m, (n, 2 * BLOCK, m.shape[2]), m.strides)
+
+        def halves(d):  # sum over both places of a block
+            out = np.zeros((n + 1, BLOCK, d.shape[2]), d.dtype)
+            out[:-1] += d[:, :BLOCK]
+            out[1:] += d[:, BLOCK:]
+            return out
+
+        xq = x[1:]
+        q, k, v = times(xq, self.wq) * scale, pairs(times(x, self.wk)), pairs(times(x, self.wv))
+        a = np.matmul(q, k.transpose(0, 2, 1))
+        a += self.rel[DISTANCE] + CAUSAL
+        pad = np.where(units == self.pad, np.float32(-1e9), np.float32(0))
+        a += np.concatenate([pad[:-1], pad[1:]], axis=1)[:, None, :]
+        a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
+        a /= a.sum(axis=2, keepdims=True)
+        zx = np.concatenate([flat(np.matmul(a, v)), flat(xq)], axis=1)
+        w = np.concatenate([self.wa, self.wx])
+        p = zx @ w
+        p += self.b
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(axis=1, keepdims=True)
+        t = target.ravel()
+        i = np.flatnonzero(t >= 0)
+        m = max(len(i), 1)
+        loss = -float(np.log(np.maximum(p[i, t[i]], 1e-30)).sum()) / m
+        p[i, t[i]] -= 1
+        if len(i) < len(t):
+            p[t < 0] = 0
+        # the mean over targets, where the arrays are small
+        gw, dzx = zx.T @ p / p.dtype.type(m), p @ w.T / p.dtype.type(m)
+        g = {"wa": gw[:WIDTH], "wx": gw[WIDTH:], "b": np.ones(len(p), p.dtype) @ p / p.dtype.type(m)}
+        dz, dxq = dzx[:, :WIDTH].reshape(n, BLOCK, WIDTH), dzx[:, WIDTH:].reshape(n, BLOCK, WIDTH)
+        ds = np.matmul(dz, v.transpose(0, 2, 1))
+        ds -= (ds * a).sum(axis=2, keepdims=True)
+        ds *= a
+        g["rel"] = np.bincount(DISTANCE.ravel(), ds.sum(axis=0).ravel(), minlength=2 * BLOCK).astype(self.rel.dtype)
+        dq = np.matmul(ds, k) * scale
+        dk, dv = halves(np.matmul(ds.transpose(0, 2, 1), q)), halves(np.matmul(a.transpose(0, 2, 1), dz))
+        g["wq"], g["wk"], g["wv"] = flat(xq).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
+        dx = times(dk, self.wk.T) + times(dv, self.wv.T)
+        dx[1:] += dxq + times(dq, self.wq.T)
+        order = np.argsort(units.astype(np.uint16) if self.pad < 1 << 16 else units, axis=None, kind="stable")
+        u = units.ravel()[order]
+        first = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+        g["emb"] = np.zeros_like(self.emb)
+        g["emb"][u[first]] = np.add.reduceat(flat(dx)[order], first, axis=0)
+        g["emb"][self.pad] = 0
+        return loss, g
+
     def fit(self, inputs: np.ndarray, targets: np.ndarray, blocks: np.ndarray, steps: int, batch: int = 128,
-            rate: float = 1e-2, seed: int = 7) -> list[float]:
-        r, losses = np.random.RandomState(seed), []
-        m = {k: np.zeros_like(getattr(self, k)) for k in self.NAMES}
-        v = {k: np.zeros_like(getattr(self, k)) for k in self.NAMES}
+            rate: float = RATE, seed: int = 7) -> list[float]:
+        r, losses, adam = np.random.RandomState(seed), [], Adam(self)
         for step in range(1, steps + 1):
             pick = blocks[r.randint(0, len(blocks), batch)]
             loss, g = self.gradients(np.concatenate([inputs[pick - 1], inputs[pick]], axis=1), targets[pick])
             losses.append(loss)
-            lr = rate * min(1.0, step / 30) * (1 - 0.95 * step / steps)
-            for k in self.NAMES:
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                v[k] = 0.99 * v[k] + 0.01 * g[k] * g[k]
-                w = getattr(self, k)
-                w -= (lr * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-8)).astype(w.dtype)
+            adam.step(g, rate * (1 - 0.95 * step / steps))
         return losses
 
+    def fit_chain(self, inputs: np.ndarray, targets: np.ndarray, rate: tuple[float, float], steps: int = 0,
+                  batch: int = STEP_BLOCKS) -> list[float]:
+        """Go over all blocks after the first in order, once or until ``steps`` steps
+        are made; the rate goes from the first to the second value."""
+        once = -(-(len(inputs) - 1) // batch)
+        total = once * max(1, -(-steps // max(once, 1)))
+        adam, losses = Adam(self), []
+        for step in range(total):
+            x = step % once * batch
+            y = min(x + batch, len(inputs) - 1)
+            loss, g = self.chain_gradients(inputs[x:y + 1], targets[x + 1:y + 1])
+            losses.append(loss)
+            adam.step(g, rate[0] + (rate[1] - rate[0]) * step / total)
+        return losses
+
+
+class Adam:
+    def __init__(self, net: Attention):
+        self.net, self.steps = net, 0
+        self.m = {k: np.zeros_like(getattr(net, k)) for k in net.NAMES}
+        self.v = {k: np.zeros_like(getattr(net, k)) for k in net.NAMES}
+
+    def step(self, g: dict, rate: float):
+        self.steps += 1
+        rate *= min(1.0, self.steps / WARM_UP)
+        for k in self.net.NAMES:
+            m, v, w = self.m[k], self.v[k], getattr(self.net, k)
+            m *= m.dtype.type(0.9)
+            m += m.dtype.type(0.1) * g[k]
+            v *= v.dtype.type(0.99)
+            v += v.dtype.type(0.01) * g[k] * g[k]
+            size = np.sqrt(v)
+            size *= v.dtype.type((1 - 0.99 ** self.steps) ** -0.5)
+            size += v.dtype.type(1e-8)
+            w -= m * m.dtype.type(rate / (1 - 0.9 ** self.steps)) / size
+
 
 class Model:
     """Attention over units, classes of ids, and shares within classes."""
@@ -271,36 +405,44 @@ class Model:
         return np.add.reduceat(per_block + own, first)
 
 
-def cluster(ids: np.ndarray, size: int, classes: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
+def columns_of(count: np.ndarray) -> np.ndarray:
+    """Number of every id among the ``NEIGHBOURS`` - 1 most frequent ones; the others
+    have the last."""
+    by_count = np.argsort(-count, kind="stable")[:NEIGHBOURS - 1]
+    top = np.full(len(count), NEIGHBOURS - 1)
+    top[by_count] = np.arange(len(by_count))
+    return top
+
+
+def add_neighbours(ids: np.ndarray, off: np.ndarray, top: np.ndarray, out: np.ndarray):
+    """Add to ``out`` (by id, next and previous neighbour) those of all rows, an end
+    before and after each."""
+    end = len(top) - 1
+    seq = np.concatenate([[end], np.insert(ids, off[1:], end)])
+    here, there = seq[:-1], seq[1:]
+    np.add.at(out, here * (2 * NEIGHBOURS) + top[there], 1)
+    np.add.at(out, there * (2 * NEIGHBOURS) + NEIGHBOURS + top[here], 1)
+
+
+def cluster(count: np.ndarray, neighbours: np.ndarray, classes: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
     """Class of every id, by which frequent ids stand before and after it; the
     most frequent ids have classes of their own, unseen ids share the last."""
-    count = np.bincount(ids, minlength=size)
     seen = np.flatnonzero(count)
     alone = min(classes // 2, len(seen))
     by_count = seen[np.argsort(-count[seen], kind="stable")]
-    cls = np.full(size, classes - 1)
+    cls = np.full(len(count), classes - 1)
     cls[by_count[:alone]] = np.arange(alone)
     rest, k = by_count[alone:], classes - 1 - alone
     if not len(rest) or k < 1:
         return cls
-    top = np.full(size, NEIGHBOURS - 1)
-    top[by_count[:NEIGHBOURS - 1]] = np.arange(min(NEIGHBOURS - 1, len(by_count)))
-    place = np.full(size, -1)
-    place[rest] = np.arange(len(rest))
-    x = np.zeros((len(rest), 2 * NEIGHBOURS), np.float32)
-    for shift, column in ((1, 0), (-1, NEIGHBOURS)):
-        here, there = (ids[1:], ids[:-1]) if shift == 1 else (ids[:-1], ids[1:])
-        ok = place[here] >= 0
-        np.add.at(x, (place[here[ok]], column + top[there[ok]]), 1)
-    x = np.sqrt(x)
+    x = np.sqrt(neighbours.reshape(-1, 2 * NEIGHBOURS)[rest].astype(np.float32))
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     r = np.random.RandomState(seed)
-    weight = count[rest].astype(np.float32)
+    weighted = x * count[rest].astype(np.float32)[:, None]
     centre = x[:k].copy() if len(rest) >= k else x.copy()
     for _ in range(rounds):
         near = (x @ centre.T).argmax(axis=1)
-        sums = np.zeros_like(centre)
-        np.add.at(sums, near, x * weight[:, None])
+        sums = (near == np.arange(len(centre))[:, None]).astype(np.float32) @ weighted
         empty = ~sums.any(axis=1)
         sums[empty] = x[r.randint(0, len(x), int(empty.sum()))]
         centre = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
@@ -308,14 +450,12 @@ def cluster(ids: np.ndarray, size: int, classes: int, rounds: int = 12, seed: in
     return cls
 
 
-def build(ids: np.ndarray, off: np.ndarray, counts: np.ndarray, end: int, steps: int = STEPS, classes: int = CLASSES,
-          inputs: int = INPUTS) -> Model:
-    """Fit classes and attention on sample rows, shares on full counts."""
-    size = end + 1
-    with_ends = np.insert(ids, off[1:], end) if len(off) > 1 else ids
-    cls = cluster(with_ends, size, classes)
-    freq = np.bincount(with_ends, minlength=size)
-    order = np.argsort(-freq, kind="stable")
+def outline(counts: np.ndarray, neighbours: np.ndarray, classes: int = CLASSES, inputs: int = INPUTS
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray, Attention]:
+    """(unit, class and share of every id, weights before learning) from full counts."""
+    size = len(counts)
+    cls = cluster(counts, neighbours, classes)
+    order = np.argsort(-counts, kind="stable")
     unit = cls + min(inputs, size)  # an id that is not frequent enters as its class
     unit[order[:inputs]] = np.arange(min(inputs, size))
     net = Attention(min(inputs, size) + classes, classes)
@@ -323,6 +463,15 @@ def build(ids: np.ndarray, off: np.ndarray, counts: np.ndarray, end: int, steps:
     total = np.bincount(cls, counts, minlength=classes)
     share = (counts + 1.0) / (total + used)[cls]
     net.b[:] = np.log((total + 1.0) / (total.sum() + classes)).astype(np.float32)
+    return unit, cls, share, net
+
+
+def build(ids: np.ndarray, off: np.ndarray, counts: np.ndarray, end: int, steps: int = STEPS, classes: int = CLASSES,
+          inputs: int = INPUTS) -> Model:
+    """The model of texts that fit one process."""
+    neighbours = np.zeros((end + 1) * 2 * NEIGHBOURS, np.int64)
+    add_neighbours(ids, off, columns_of(counts), neighbours)
+    unit, cls, share, net = outline(counts, neighbours, classes, inputs)
     if len(off) > 1:
         x, t, _, blocks = layout(ids, off, end, -1)
         net.fit(np.where(x >= 0, unit[x], net.pad), np.where(t >= 0, cls[t], -1), blocks, steps)
@@ -331,41 +480,161 @@ def build(ids: np.ndarray, off: np.ndarray, counts: np.ndarray, end: int, steps:
 
 # ---------------------------------------------------------------------- Spark
 
-def count_tokens(train: DataFrame, ranks, size: int) -> DataFrame:
-    """(is_id, token, n): training counts by word hash and by subword id, the end
-    among both. A task adds up its own counts first."""
+def subword_table(rows: DataFrame, ranks, size: int) -> DataFrame:
+    """One pass over the texts: (doc_id, base_key, learn, n_tokens, ids) of every row
+    of (doc_id, base_key, learn, text), and, with null ids, rows of (word, n): counts of
+    word hashes, the end among them, over the rows to learn from. A task adds up its
+    own counts first."""
+    schema = "doc_id long, base_key long, learn boolean, n_tokens long, ids binary, word long, n long"
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    names = [c.split()[0] for c in schema.split(", ")]
+
     def run(batches):
         subwords = Subwords(ranks.value)
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        by_id = np.zeros(size, np.int64)
         pending = rows = 0
 
-        def batch_of(token, n, is_id):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(token), is_id)), pa.array(token), pa.array(n)], ["is_id", "token", "n"])
+        def record(size, /, **have):
+            return pa.RecordBatch.from_arrays([have[c] if c in have else pa.nulls(size, t) for c, t in zip(names, kinds)], names)
 
         def flush():
             u, inv = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            return batch_of(u.view(np.int64), np.bincount(inv, np.concatenate([h[1] for h in held])).astype(np.int64), False)
+            n = np.bincount(inv, np.concatenate([h[1] for h in held])).astype(np.int64)
+            return record(len(u), word=pa.array(u.view(np.int64)), n=pa.array(n))
 
         for batch, buf, off in slices(batches, "text", COUNT_BYTES):
-            s, e, _ = words(buf, off)
-            u, first, n = np.unique(span_hashes(buf, s, e), return_index=True, return_counts=True)
-            ids, at = subwords.encode(buf, s[first], e[first])
-            by_id += np.bincount(ids, np.repeat(n, np.diff(at)), minlength=size).astype(np.int64)
-            rows += batch.num_rows
-            held.append((u, n))
+            ids, at, u, inv, row = id_rows(buf, off, subwords)
+            learn = batch.column("learn").to_numpy(zero_copy_only=False)
+            yield record(batch.num_rows, doc_id=batch.column("doc_id"), base_key=batch.column("base_key"), learn=batch.column("learn"),
+                         n_tokens=pa.array(np.bincount(row, minlength=batch.num_rows) + 1), ids=id_bytes(ids, at, size))
+            n = np.bincount(inv, learn[row], minlength=len(u)).astype(np.int64)
+            rows += int(learn.sum())
+            held.append((u[n > 0], n[n > 0]))
             pending += len(u)
             if pending > FLUSH_WORDS:
                 yield flush()
                 held, pending = [], 0
-        by_id[size - 1] = rows
         held.append((np.array([END_WORD]), np.array([rows])))
         yield flush()
-        got = np.flatnonzero(by_id)
-        yield batch_of(got, by_id[got], True)
 
-    parts = train.select("text").mapInArrow(run, "is_id boolean, token long, n long")
-    return parts.groupBy("is_id", "token").agg(F.sum("n").alias("n")).filter("n > 0")
+    return rows.select("doc_id", "base_key", "learn", "text").mapInArrow(run, schema)
+
+
+def added(parts: DataFrame, length: int, keys: int) -> np.ndarray:
+    """Sums by key of (key, values: 64-bit whole numbers as bytes), at most ``length``
+    to a key, one after the other. Values are added up in tasks."""
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, v in zip(batch.column("key").to_pylist(), batch.column("values")):
+                v = np.frombuffer(v.as_buffer(), np.int64)
+                sums[k] = sums[k] + v if k in sums else v
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
+                                             ["key", "values"])
+
+    out = np.zeros((keys, length), np.int64)
+    for r in parts.repartition("key").mapInArrow(run, "key long, values binary").toPandas().itertuples():
+        v = np.frombuffer(r.values, np.int64)
+        out[r.key, :len(v)] = v
+    return out.reshape(-1)
+
+
+def in_parts(values: np.ndarray, length: int):
+    """Rows for :func:`added`, without those that are 0 throughout."""
+    for k, at in enumerate(range(0, len(values), length)):
+        v = values[at:at + length]
+        if v.any():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([v.tobytes()], pa.binary())], ["key", "values"])
+
+
+def count_ids(train: DataFrame, size: int) -> np.ndarray:
+    """Counts of all ids, the end among them."""
+    def run(batches):
+        n = np.zeros(size, np.int64)
+        for batch, buf, off in slices(batches, "ids", IDS_BYTES):
+            ids, _ = bytes_ids(buf, off, size)
+            n += np.bincount(ids, minlength=size)
+            n[size - 1] += batch.num_rows
+        yield from in_parts(n, size)
+
+    return added(train.select("ids").mapInArrow(run, "key long, values binary"), size, 1)
+
+
+def count_neighbours(train: DataFrame, counts: np.ndarray) -> np.ndarray:
+    """Neighbours of all ids, as :func:`add_neighbours` has them."""
+    spark, size = train.sparkSession, len(counts)
+    columns = spark.sparkContext.broadcast(columns_of(counts))
+    length = SUM_BYTES // 8
+
+    def run(batches):
+        n = np.zeros(size * 2 * NEIGHBOURS, np.int64)
+        for _, buf, off in slices(batches, "ids", IDS_BYTES):
+            add_neighbours(*bytes_ids(buf, off, size), columns.value, n)
+        yield from in_parts(n, length)
+
+    keys = -(-size * 2 * NEIGHBOURS // length)
+    return added(train.select("ids").mapInArrow(run, "key long, values binary"), length, keys)[:size * 2 * NEIGHBOURS]
+
+
+def rounds_of(tokens: int) -> list[tuple[float, float, int]]:
+    """(from, to, shares): each round has as much of the texts as all before it, the
+    first one share, none more than ``ROUND_SHARE`` (of several)."""
+    edges = [0.0, min(1.0, SHARE_TOKENS / max(tokens, 1))]
+    while edges[-1] < 1:
+        edges.append(min(edges[-1] + min(edges[-1], ROUND_SHARE), 1.0))
+    return [(a, b, max(1, round((b - a) * tokens / SHARE_TOKENS))) for a, b in zip(edges, edges[1:])]
+
+
+def learn(train: DataFrame, unit: np.ndarray, cls: np.ndarray, net: Attention, tokens: int, steps: int) -> Attention:
+    """Weights after all rounds over (doc_id, ids) of all rows of ``train``."""
+    spark, size = train.sparkSession, len(unit)
+    place = F.xxhash64("doc_id", "ids")
+    rows = train.select("ids", place.alias("place"), F.pmod(place, F.lit(HASHES)).alias("turn"))
+    of_ids = spark.sparkContext.broadcast((unit, cls))
+    for first, last, shares in rounds_of(tokens):
+        start = spark.sparkContext.broadcast(net)
+        rate = (RATE * (1 - 0.95 * first), RATE * (1 - 0.95 * last))
+        least = steps if first == 0 else 0
+
+        def run(batches, start=start, rate=rate, least=least):
+            unit, cls = of_ids.value
+
+            def fitted(ids, sizes):
+                net = start.value.copy()
+                off = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+                x, t, _, _ = layout(np.concatenate(ids).astype(np.int64), off, size - 1, -1)
+                t = np.where(t >= 0, cls[t], -1)
+                net.fit_chain(np.where(x >= 0, unit[x], net.pad), t, rate, least)
+                n = int((t >= 0).sum())
+                yield from in_parts(np.concatenate([np.rint(net.flat().astype(np.float64) * FIXED).astype(np.int64) * n, [n]]), SUM_BYTES // 8)
+
+            now, ids, sizes = None, [], []
+            for batch in batches:
+                share = np.asarray(batch.column("share"))
+                buf, off = text_buffer(batch.column("ids"))
+                every, off = bytes_ids(buf, off, size)
+                for s in np.unique(share):  # in order
+                    mine = np.flatnonzero(share == s)
+                    if now is not None and s != now:
+                        yield from fitted(ids, sizes)
+                        ids, sizes = [], []
+                    now = s
+                    ids.append(every[off[mine[0]]:off[mine[-1] + 1]].astype(id_type(size)))
+                    sizes.append(np.diff(off[mine[0]:mine[-1] + 2]))
+            if now is not None:
+                yield from fitted(ids, sizes)
+
+        here = rows.filter((F.col("turn") >= round(first * HASHES)) & (F.col("turn") < round(last * HASHES)))
+        here = here.withColumn("share", F.pmod(F.xxhash64("place"), F.lit(shares)).cast("int"))
+        # a share's rows come in the order of their hashes, however they were dealt before
+        parts = here.repartitionById(shares, "share").sortWithinPartitions("share", "place").select("share", "ids")
+        length, n = SUM_BYTES // 8, net.flat().size + 1
+        sums = added(parts.mapInArrow(run, "key long, values binary"), length, -(-n // length))[:n]
+        if sums[-1]:
+            net = net.copy(sums[:-1] / (FIXED * float(sums[-1])))
+        start.unpersist()
+    return net
 
 
 def base_scores(docs: DataFrame, counts: DataFrame, n_all: int, n_types: int, head_words: int = HEAD_WORDS) -> DataFrame:
@@ -418,48 +687,44 @@ def base_scores(docs: DataFrame, counts: DataFrame, n_all: int, n_types: int, he
         F.sum(F.col("gain") + F.coalesce(F.col("times") * F.log10(F.col("c") + 1.0), F.lit(0.0))).alias("gain"))
 
 
-def attention_scores(docs: DataFrame, ranks, model) -> DataFrame:
-    """(doc_id, base_key, n_tokens, n_subwords, score) of every row."""
+def attention_scores(docs: DataFrame, model, size: int) -> DataFrame:
+    """(doc_id, base_key, n_tokens, n_subwords, score) of every row with its ids."""
     def run(batches):
-        subwords, m = Subwords(ranks.value), model.value
-        for batch, buf, off in slices(batches, "text", SCORE_BYTES):
-            _, _, row = words(buf, off)
-            ids, at = id_rows(buf, off, subwords)
+        m = model.value
+        for batch, buf, off in slices(batches, "ids", IDS_BYTES):
+            ids, at = bytes_ids(buf, off, size)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("base_key"), pa.array(np.bincount(row, minlength=batch.num_rows) + 1),
-                 pa.array(np.diff(at) + 1), pa.array(m.score(ids, at))], ["doc_id", "base_key", "n_tokens", "n_subwords", "score"])
+                [batch.column("doc_id"), batch.column("base_key"), batch.column("n_tokens"), pa.array(np.diff(at) + 1), pa.array(m.score(ids, at))],
+                ["doc_id", "base_key", "n_tokens", "n_subwords", "score"])
 
-    return docs.select("doc_id", "base_key", "text").mapInArrow(
+    return docs.select("doc_id", "base_key", "n_tokens", "ids").mapInArrow(
         run, "doc_id long, base_key long, n_tokens long, n_subwords long, score double")
 
 
 def score_texts(docs: DataFrame, held_out: Column | None = None, vocabulary: str = VOCABULARY, steps: int = STEPS,
-                sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, head_words: int = HEAD_WORDS) -> DataFrame:
+                head_words: int = HEAD_WORDS) -> DataFrame:
     """Base and model scores of every row; rows for which ``held_out`` holds are
     never learned from."""
     spark = prepare(docs.sparkSession, BATCH_BYTES)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("base_key", F.xxhash64("doc_id", "text"))
-    train = rows if held_out is None else rows.filter(~held_out)
+    rows = rows.withColumn("learn", F.lit(True) if held_out is None else F.coalesce(~held_out, F.lit(False)))
 
     raw = read_ranks(vocabulary)
     ranks = spark.sparkContext.broadcast(raw)
-    subwords = Subwords(raw)
-    tokens = stored(count_tokens(train, ranks, subwords.size))
-    by_id = tokens.filter("is_id").select("token", "n").toPandas()
-    counts = np.bincount(by_id["token"].to_numpy(), by_id["n"].to_numpy(), minlength=subwords.size)
-    n_train = int(counts[subwords.end])
-    few = train.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= sample_bytes)
-    if n_train > 2 * sample_rows:  # thin by hash first, then order few rows
-        few = few.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int((1 << 30) * 2 * sample_rows / n_train))
-    few = few.select("text", F.xxhash64("doc_id").alias("h")).orderBy("h", "text").limit(sample_rows).toPandas()
-    ids, at = id_rows(*text_buffer(pa.array(few["text"].tolist(), pa.large_string())), subwords)
-    model = spark.sparkContext.broadcast(build(ids, at, counts, subwords.end, steps))
-
-    by_word = tokens.filter("not is_id").select(F.col("token").alias("word"), "n")
+    size = max(raw.values()) + 2
+    tokens = stored(subword_table(rows, ranks, size))
+    texts = tokens.filter("ids is not null")
+    train = texts.filter("learn")
+    counts = count_ids(train, size)
+    unit, cls, share, net = outline(counts, count_neighbours(train, counts))
+    net = learn(train, unit, cls, net, int(counts.sum()), steps)
+    model = spark.sparkContext.broadcast(Model(unit, cls, share, net, size - 1))
+
+    by_word = stored(tokens.filter("ids is null").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0"))
     total = by_word.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     base = base_scores(rows, by_word, total["n"], total["v"], head_words)
-    scored = attention_scores(rows, ranks, model)
+    scored = attention_scores(texts, model, size)
     j = scored.join(base.withColumnRenamed("base_key", "known_key"), F.col("base_key") == F.col("known_key"))
     floor = float(np.log10(total["n"] + total["v"] + 1))
     return j.select("doc_id", "n_tokens", F.col("known").alias("n_known"), F.lit(int(total["n"])).cast("long").alias("train_tokens"),

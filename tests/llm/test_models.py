@@ -1,6 +1,7 @@
 """Toxicity, language ID, quality trees, language model."""
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -303,6 +304,44 @@ def test_training_lowers_the_loss():
     assert b.score(ids, off).sum() > a.score(ids, off).sum()
 
 
+def test_gradients_of_a_chain_of_blocks():
+    r = np.random.RandomState(1)
+    net = lm.Attention(9, 5, dtype=np.float64)
+    units, target = r.randint(0, 9, (7, lm.BLOCK)), r.randint(-1, 5, (7, lm.BLOCK))
+    units[0], target[0], units[3], target[3], units[6, 9:], target[6, 9:] = net.pad, -1, net.pad, -1, net.pad, -1
+    scored = np.array([1, 2, 4, 5, 6])
+    loss, g = net.gradients(np.concatenate([units[scored - 1], units[scored]], axis=1), target[scored])
+    chained, h = net.chain_gradients(units, target[1:])
+    assert math.isclose(loss, chained, rel_tol=1e-6)
+    for name in net.NAMES:
+        assert np.allclose(g[name], h[name], rtol=1e-5, atol=1e-8), name
+
+
+def test_every_training_text_is_learned_from(spark, monkeypatch):
+    long = " ".join("abcdefg"[i % 7] * 2 for i in range(50_000))  # 150,000 bytes
+    got = lm.score_texts(spark.createDataFrame([(1, long)], "doc_id long, text string"), steps=300).first()
+    assert got["score"] > 0.2 * got["base_score"]
+
+    r = random.Random(3)
+    texts = [(i, [r.randrange(30) for _ in range(r.randrange(60))]) for i in range(120)] + [(5, []), (7, [3] * 500), (7, [3] * 500)]
+    off = np.cumsum([0] + [len(t) for _, t in texts])
+    ids = np.concatenate([t for _, t in texts]).astype(np.int64)
+    monkeypatch.setattr(lm, "SHARE_TOKENS", 500)
+    rounds = lm.rounds_of(4200)
+    assert len(rounds) > 4 and rounds[0][0] == 0 and rounds[-1][1] == 1 and all(a[1] == b[0] for a, b in zip(rounds, rounds[1:]))
+    table = spark.createDataFrame([(d, np.array(t, np.uint16).tobytes()) for d, t in texts], "doc_id long, ids binary")
+    counts = lm.count_ids(table, 31)
+    assert counts.tolist() == [*np.bincount(ids, minlength=30), len(texts)]
+    neighbours = np.zeros(31 * 2 * lm.NEIGHBOURS, np.int64)
+    lm.add_neighbours(ids, off, lm.columns_of(counts), neighbours)
+    assert (lm.count_neighbours(table.repartition(4), counts) == neighbours).all()
+    unit, cls, _, net = lm.outline(counts, neighbours, classes=8, inputs=16)
+    one, two = (lm.learn(table.repartition(n), unit, cls, net, 4200, 5).flat() for n in (1, 5))
+    assert (one == two).all() and not (one == net.flat()).all()
+    less = lm.learn(table.filter("doc_id <> 7"), unit, cls, net, 4200, 5).flat()
+    assert not (one == less).all()
+
+
 def test_base_scores(spark, odd, none, odd_pairs):
     held = common.slot("doc_id", 7) == 2
     for head in (300_000, 5):
