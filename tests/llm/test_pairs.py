@@ -150,6 +150,19 @@ def test_contamination_query(spark, docs):
     assert {k: v for k, v in got.items() if k[0] in short} == {k: v[1] for k, v in want.items()}
 
 
+def test_anchors_are_packed_without_zeros_between_random_bytes():
+    r = np.random.RandomState(2)
+    n = 2000
+    gram, pos = r.randint(0, 2**63 - 1, n, dtype=np.uint64), np.sort(r.randint(0, 60_000, n))
+    reach = r.randint(-2**31, 2**31 - 1, n).astype(np.int32)
+    a, b = repeats.pack(gram, reach, pos)
+    raw = np.stack([a, b], axis=1).view(np.uint8).reshape(n, 16)
+    assert (raw[:, [0, 12, 13, 14, 15]] == 0).all() and all(raw[:, i].any() for i in range(1, 12))
+    a, b = a.view(np.uint64), b.view(np.uint64)
+    assert (a >> np.uint64(24) == gram >> np.uint64(24)).all() and (b >> np.uint64(16) == pos.astype(np.uint64)).all()
+    assert (((a >> np.uint64(8) & np.uint64(0xFFFF)) << np.uint64(16)) | b & np.uint64(0xFFFF) == reach.view(np.uint32)).all()
+
+
 def test_map_side_combine_decides_only_larger_documents():
     r = np.random.RandomState(5)
     n = 500
