@@ -169,6 +169,34 @@ def test_toxicity_learns_insults_beyond_any_count(spark, monkeypatch):
     assert "max_grams" not in inspect.signature(toxicity.train).parameters
 
 
+def test_toxicity_counts_each_word_once(spark):
+    """Copies of a text add to counts, not to the rows that are shuffled for them; parts
+    and the way that ratios reach the texts change nothing."""
+    r = np.random.RandomState(8)
+    say = lambda: " ".join("".join(r.choice(list("abcdeFGé"), r.randint(1, 18))) for _ in range(40))
+    texts = [(i, say(), i % 2, (0, 1, None)[i % 3], i % 5 == 0) for i in range(60)] + [(60, None, 0, 1, True), (61, "", 1, 0, None)]
+    schema = "doc_id long, text string, half int, y int, curve boolean"
+    for parts in (1, 5):
+        lex = toxicity.lexicon(spark.createDataFrame(texts * 4, schema).repartition(3), parts)
+        want = {}
+        for _, t, half, y, curve in texts:
+            for w in (t or "").split():
+                n = want.setdefault(w.encode().lower().decode(), [0] * 5)
+                if y is not None:
+                    n[half * 2 + y] += 4
+                n[4] += 4 * curve
+        got = [(w.decode(), n.tolist()) for buf, counts in toxicity.opened_words(lex.toArrow()) for w, n in zip(buf.tobytes().split(), counts)]
+        assert len(got) == len(want) and dict(got) == want
+        once = toxicity.lexicon(spark.createDataFrame(texts, schema), parts)
+        some, same = (toxicity.gram_rows(toxicity.asked_grams(x, 7)).groupBy().agg(F.count("*"), F.sum("ordinary0")).first() for x in (lex, once))
+        assert some[0] == same[0] and some[1] == 4 * same[1]
+    docs = spark.createDataFrame([x[:2] for x in texts], "doc_id long, text string")
+    lab = spark.createDataFrame([(x[0], x[3]) for x in texts], "doc_id long, toxic int")
+    near = rows_of(toxicity.toxicity_scores(docs, lab), "doc_id", "score", *toxicity.DIFFERENCES)
+    far = rows_of(toxicity.toxicity_scores(docs, lab, broadcast_words=0), "doc_id", "score", *toxicity.DIFFERENCES)
+    assert np.allclose(near, far) and len(near) == len(texts) and np.ptp([x[1] for x in near]) > 0
+
+
 # --------------------------------------------------------------- language ID
 
 def test_language_accuracy_on_held_out(spark):
