@@ -485,7 +485,10 @@ def judged(docs: DataFrame, ratios: Ratios, model: Column, keep: list[str], fini
     (a column: 0 to 2) of its row. Texts stay where they are if the ratios are
     broadcast, else they are shuffled once, to their slices."""
     text, by_col, part_of = (free_name(x, keep) for x in ("judged_text", "judged_by", "judged_slice"))
-    rows = docs.select(*keep, F.col("text").cast("string").alias(text), model.cast("int").alias(by_col))
+    if "text" in keep and dict(docs.dtypes)["text"] == "string":
+        text = "text"  # no second copy of it
+    named = [F.col("text").cast("string").alias(text)] if text not in keep else []
+    rows = docs.select(*keep, *named, model.cast("int").alias(by_col))
 
     def each_slice(batches, ratio_of):
         for batch, buf, off in slices(batches, text, SLICE_BYTES):
@@ -505,8 +508,7 @@ def judged(docs: DataFrame, ratios: Ratios, model: Column, keep: list[str], fini
         return rows.mapInArrow(broadcast_to, schema)
 
     n = parts_of(docs, slice_text)
-    rows = (docs.select(*keep, F.col("text").cast("string").alias(text), model.cast("int").alias(by_col),
-                        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias(part_of)).repartition(n, part_of))
+    rows = (docs.select(*keep, *named, model.cast("int").alias(by_col), F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias(part_of)).repartition(n, part_of))
 
     def used(batches):
         held, size = {}, 0
@@ -583,7 +585,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, cu
           broadcast_labels: int = BROADCAST_LABELS, broadcast_words: int = BROADCAST_WORDS) -> tuple[Ratios, Curve]:
     """Ratios of all words of ``docs`` and the curve, from its labelled rows for which
     ``held_out`` does not hold."""
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, SLICE_BYTES)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        (F.lit(True) if held_out is None else ~held_out).alias("learn"))
     lab = cut(clear_labels(labels))
