@@ -226,6 +226,33 @@ def test_one_gram_in_very_many_contexts(spark):
         assert sorted(got) == sorted(brute.repeats(rows, 50))
 
 
+def test_an_anchor_has_one_span_of_all_its_intervals(monkeypatch):
+    """Occurrences of one gram that agree with others over many lengths."""
+    monkeypatch.setattr(repeats, "MATRIX_ROWS", 7, raising=False)
+    r = np.random.RandomState(4)
+    letters = lambda n: r.randint(97, 123, n).astype(np.uint8)
+    side, left, right, gram = 30, letters(30), letters(30), letters(repeats.SEED)
+    texts = []
+    for _ in range(40):
+        a, b = left.copy(), right.copy()
+        a[:r.randint(0, 31)] = letters(1)
+        b[r.randint(0, 31):] = letters(1)
+        texts.append(np.concatenate([a, gram, b]))
+    n = len(texts)
+    doc, pos, off = np.arange(n), np.full(n, side), np.arange(n + 1) * len(texts[0])
+    rows, lo, hi, _ = repeats.cover(np.zeros(n, np.int64), doc, pos, pos, np.concatenate(texts), off, side + repeats.SEED)
+    want = {}
+    for i in range(n):
+        for j in range(i):
+            same = texts[i] == texts[j]
+            x = side - int(np.argmin(np.concatenate([same[:side][::-1], [False]])))
+            y = side + repeats.SEED + int(np.argmin(np.concatenate([same[side + repeats.SEED:], [False]])))
+            if y - x >= side + repeats.SEED:
+                want[i] = (min(x, want.get(i, (x, y))[0]), max(y, want.get(i, (x, y))[1]))
+    assert len(want) > 5 and len(rows) == len(want)
+    assert {k: (x, y) for k, x, y in zip(rows.tolist(), lo.tolist(), hi.tolist())} == want
+
+
 def test_linked_stars_against_plain_sets():
     r = np.random.RandomState(0)
     for _ in range(60):
