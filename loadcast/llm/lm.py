@@ -65,13 +65,15 @@ FIXED = 1 << 20  # weights are added up as whole numbers of this fraction
 HASHES = 1 << 30
 HEAD_WORDS = 300_000
 FLUSH_WORDS = 1_000_000
-CHUNK = 256
+CHUNK = 64
 END_WORD = np.uint64(0x1F83D9ABFB41BD6B)  # stands for the end among word hashes
 ROW_TOKENS = 100_000
 BATCH_BYTES = 8 << 20
 COUNT_BYTES = 4 << 20  # large slices cut fewer words twice into subwords
 IDS_BYTES = 1 << 20
 SUM_BYTES = 512 << 10
+RUN_BYTES = 512 << 10
+COUNT_LIMIT = 1 << 30  # neighbours that a task counts in 32 bits before it sends them
 
 
 # ---------------------------------------------------------------- subword ids
@@ -108,12 +110,26 @@ class Subwords:
         return ids, np.concatenate([at, [len(ids)]])
 
 
+def hashed_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row, hash) of every word, in order. Runs of rows are hashed one
+    by one: the arrays on the way take many times the bytes of the text."""
+    none, at = np.zeros(0, np.int64), 0
+    parts = [(none, none, none, none.astype(np.uint64))]
+    while at < len(off) - 1:
+        to = max(int(np.searchsorted(off, off[at] + RUN_BYTES, side="right")) - 1, at + 1)
+        run = buf[off[at]:off[to]]
+        s, e, row = words(run, off[at:to + 1] - off[at])
+        parts.append((s + off[at], e + off[at], row + at, span_hashes(run, s, e)))
+        at = to
+    s, e, row, h = (np.concatenate(x) for x in zip(*parts))
+    return s, e, row, h
+
+
 def id_rows(buf: np.ndarray, off: np.ndarray, subwords: Subwords
             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(ids of all rows, offsets by row), without ends; hashes of the distinct words;
     number of the distinct word, and the row, of every word."""
-    s, e, row = words(buf, off)
-    h = span_hashes(buf, s, e)
+    s, e, row, h = hashed_words(buf, off)
     u, first, inv = np.unique(h, return_index=True, return_inverse=True)
     ids, at = subwords.encode(buf, s[first], e[first])
     size = np.diff(at)[inv]
@@ -545,7 +561,7 @@ def in_parts(values: np.ndarray, length: int):
     for k, at in enumerate(range(0, len(values), length)):
         v = values[at:at + length]
         if v.any():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([v.tobytes()], pa.binary())], ["key", "values"])
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([v.astype(np.int64).tobytes()], pa.binary())], ["key", "values"])
 
 
 def count_ids(train: DataFrame, size: int) -> np.ndarray:
@@ -568,9 +584,14 @@ def count_neighbours(train: DataFrame, counts: np.ndarray) -> np.ndarray:
     length = SUM_BYTES // 8
 
     def run(batches):
-        n = np.zeros(size * 2 * NEIGHBOURS, np.int64)
+        n, pending = np.zeros(size * 2 * NEIGHBOURS, np.int32), 0
         for _, buf, off in slices(batches, "ids", IDS_BYTES):
-            add_neighbours(*bytes_ids(buf, off, size), columns.value, n)
+            ids, at = bytes_ids(buf, off, size)
+            if pending + len(ids) + len(at) > COUNT_LIMIT:
+                yield from in_parts(n, length)
+                n[:], pending = 0, 0
+            pending += len(ids) + len(at)
+            add_neighbours(ids, at, columns.value, n)
         yield from in_parts(n, length)
 
     keys = -(-size * 2 * NEIGHBOURS // length)
@@ -613,14 +634,14 @@ def learn(train: DataFrame, unit: np.ndarray, cls: np.ndarray, net: Attention, t
             for batch in batches:
                 share = np.asarray(batch.column("share"))
                 buf, off = text_buffer(batch.column("ids"))
-                every, off = bytes_ids(buf, off, size)
+                every, off = buf.view(id_type(size)), off // np.dtype(id_type(size)).itemsize
                 for s in np.unique(share):  # in order
                     mine = np.flatnonzero(share == s)
                     if now is not None and s != now:
                         yield from fitted(ids, sizes)
                         ids, sizes = [], []
                     now = s
-                    ids.append(every[off[mine[0]]:off[mine[-1] + 1]].astype(id_type(size)))
+                    ids.append(every[off[mine[0]]:off[mine[-1] + 1]].copy())
                     sizes.append(np.diff(off[mine[0]:mine[-1] + 2]))
             if now is not None:
                 yield from fitted(ids, sizes)
@@ -653,9 +674,9 @@ def base_scores(docs: DataFrame, counts: DataFrame, n_all: int, n_types: int, he
         log = np.log10(n + 1.0)
         for batch, buf, off in slices(batches, "text", COUNT_BYTES):
             key = np.asarray(batch.column("base_key"))
-            s, e, row = words(buf, off)
+            _, _, row, h = hashed_words(buf, off)
             rows = len(off) - 1
-            h = np.concatenate([span_hashes(buf, s, e), np.full(rows, END_WORD)])
+            h = np.concatenate([h, np.full(rows, END_WORD)])
             row = np.concatenate([row, np.arange(rows)])
             at = np.minimum(np.searchsorted(word, h), max(len(word) - 1, 0))
             hit = word[at] == h if len(word) else np.zeros(len(h), bool)

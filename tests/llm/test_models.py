@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -345,6 +346,26 @@ def test_gradients_of_a_chain_of_blocks():
         assert np.allclose(g[name], h[name], rtol=1e-5, atol=1e-8), name
 
 
+def test_words_are_cut_and_hashed_in_little_memory(monkeypatch):
+    texts = ["", "Two  words", "x" * 90, " end ", "Two words é " * 40, ""]
+    raw = [t.encode() for t in texts]
+    small, ends = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(b) for b in raw])
+    s, e, row = lm.words(small, ends)
+    want = (s, e, row, lm.span_hashes(small, s, e))
+    word = b" " + b"a" * 29
+    subwords = lm.Subwords({bytes([i]): i for i in range(256)} | {word: 256})
+    buf, off = np.tile(np.frombuffer(word * 200, np.uint8), 500), np.arange(501) * 6000
+    tracemalloc.start()
+    ids = lm.id_rows(buf, off, subwords)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) == 500 * 200 and peak < 12 * len(buf)
+    with monkeypatch.context() as m:
+        m.setattr(lm, "RUN_BYTES", 50)
+        assert all((a == b).all() for a, b in zip(lm.hashed_words(small, ends), want))
+        assert all(len(x) == 0 for x in lm.hashed_words(small[:0], ends[:1]))
+
+
 def test_every_training_text_is_learned_from(spark, monkeypatch):
     long = " ".join("abcdefg"[i % 7] * 2 for i in range(50_000))  # 150,000 bytes
     got = lm.score_texts(spark.createDataFrame([(1, long)], "doc_id long, text string"), steps=300).first()
@@ -363,6 +384,10 @@ def test_every_training_text_is_learned_from(spark, monkeypatch):
     neighbours = np.zeros(31 * 2 * lm.NEIGHBOURS, np.int64)
     lm.add_neighbours(ids, off, lm.columns_of(counts), neighbours)
     assert (lm.count_neighbours(table.repartition(4), counts) == neighbours).all()
+    with monkeypatch.context() as m:  # sums that leave a task before it ends
+        m.setattr(lm, "IDS_BYTES", 500)
+        m.setattr(lm, "COUNT_LIMIT", 600)
+        assert (lm.count_neighbours(table.coalesce(1), counts) == neighbours).all()
     unit, cls, _, net = lm.outline(counts, neighbours, classes=8, inputs=16)
     one, two = (lm.learn(table.repartition(n), unit, cls, net, 4200, 5).flat() for n in (1, 5))
     assert (one == two).all() and not (one == net.flat()).all()
