@@ -73,6 +73,8 @@ COUNT_BYTES = 4 << 20  # large slices cut fewer words twice into subwords
 IDS_BYTES = 1 << 20
 SUM_BYTES = 512 << 10
 RUN_BYTES = 512 << 10
+WORD_RUN = 16_384  # words that are written out at once
+KNOWN_IDS = 2_000_000
 COUNT_LIMIT = 1 << 30  # neighbours that a task counts in 32 bits before it sends them
 
 
@@ -97,19 +99,58 @@ class Subwords:
 
     def encode(self, buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, offsets by word)."""
-        raw = LOWER[buf].tobytes()
-        each = [raw[a:b].decode("utf-8", "replace") for a, b in zip(s.tolist(), e.tolist())]
-        if not each:
+        # the words one after the other, a space before each
+        size = e - s + 1
+        total = np.concatenate([[0], np.cumsum(size)])
+        raw = np.empty(total[-1], np.uint8)
+        for x in range(0, len(s), WORD_RUN):
+            y = min(x + WORD_RUN, len(s))
+            at = np.arange(total[x], total[y])
+            raw[total[x]:total[y]] = LOWER[buf[np.repeat(s[x:y] - 1 - total[x:y], size[x:y]) + at]]
+        raw[total[:-1]] = 32
+        if not len(s):
             return np.zeros(0, np.int64), np.zeros(1, np.int64)
-        ids = np.array(self.encoding.encode_ordinary(" " + " ".join(each)), np.int64)
+        text = raw.tobytes().decode("utf-8", "replace")
+        ids = np.array(self.encoding.encode_ordinary(text), np.int64)
         at = np.flatnonzero(self.starts[ids])
-        if len(at) != len(each):  # a word with white space of its own
-            parts = [self.encoding.encode_ordinary(" " + w) for w in each]
+        if len(at) != len(s):  # a word with white space of its own
+            parts = [self.encoding.encode_ordinary(" " + w) for w in text[1:].split(" ")]
             ids = np.array([i for p in parts for i in p], np.int64)
             at = np.concatenate([[0], np.cumsum([len(p) for p in parts])])[:-1]
         return ids, np.concatenate([at, [len(ids)]])
 
 
+class KnownWords:
+    """Subword ids of the words that a task has met, by their hashes: a word is cut
+    once for all slices. Above ``KNOWN_IDS`` ids it begins anew."""
+
+    def __init__(self, subwords: Subwords):
+        self.subwords = subwords
+        self.forget()
+
+    def forget(self):
+        self.h, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.begin = self.size = np.zeros(0, np.int64)
+
+    def cut(self, buf: np.ndarray, s: np.ndarray, e: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the first id among ``ids``, number of ids) of distinct words, whose
+        hashes ``h`` ascend."""
+        if len(self.ids) > KNOWN_IDS:
+            self.forget()
+        new = np.ones(len(h), bool)
+        if len(self.h):
+            new = self.h[np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)] != h
+        if new.any():
+            ids, at = self.subwords.encode(buf, s[new], e[new])
+            both = np.concatenate([self.h, h[new]])
+            order = np.argsort(both, kind="stable")
+            self.begin = np.concatenate([self.begin, at[:-1] + len(self.ids)])[order]
+            self.size = np.concatenate([self.size, np.diff(at)])[order]
+            self.h, self.ids = both[order], np.concatenate([self.ids, ids.astype(np.int32)])
+        at = np.searchsorted(self.h, h)
+        return self.begin[at], self.size[at]
+
+
 def hashed_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row, hash) of every word, in order. Runs of rows are hashed one
     by one: the arrays on the way take many times the bytes of the text."""
@@ -125,17 +166,21 @@ def hashed_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return s, e, row, h
 
 
-def id_rows(buf: np.ndarray, off: np.ndarray, subwords: Subwords
+def id_rows(buf: np.ndarray, off: np.ndarray, subwords: Subwords, known: KnownWords | None = None
             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(ids of all rows, offsets by row), without ends; hashes of the distinct words;
     number of the distinct word, and the row, of every word."""
     s, e, row, h = hashed_words(buf, off)
-    u, first, inv = np.unique(h, return_index=True, return_inverse=True)
-    ids, at = subwords.encode(buf, s[first], e[first])
-    size = np.diff(at)[inv]
-    begin = at[:-1][inv]
+    order = np.argsort(h)
+    new = np.ones(len(h), bool)
+    new[1:] = h[order[1:]] != h[order[:-1]]
+    first, inv = order[new], np.empty(len(h), np.int64)
+    inv[order] = np.cumsum(new) - 1
+    u, known = h[first], known or KnownWords(subwords)
+    begin, each = known.cut(buf, s[first], e[first], u)
+    size = each[inv]
     total = np.concatenate([[0], np.cumsum(size)])
-    out = ids[np.repeat(begin - total[:-1], size) + np.arange(total[-1])]
+    out = known.ids[np.repeat(begin[inv] - total[:-1], size) + np.arange(total[-1])]
     return out, total[np.searchsorted(row, np.arange(len(off)))], u, inv, row
 
 
@@ -436,8 +481,9 @@ def add_neighbours(ids: np.ndarray, off: np.ndarray, top: np.ndarray, out: np.nd
     end = len(top) - 1
     seq = np.concatenate([[end], np.insert(ids, off[1:], end)])
     here, there = seq[:-1], seq[1:]
-    np.add.at(out, here * (2 * NEIGHBOURS) + top[there], 1)
-    np.add.at(out, there * (2 * NEIGHBOURS) + NEIGHBOURS + top[here], 1)
+    one = out.dtype.type(1)  # of another type it would be converted at every place
+    np.add.at(out, here * (2 * NEIGHBOURS) + top[there], one)
+    np.add.at(out, there * (2 * NEIGHBOURS) + NEIGHBOURS + top[here], one)
 
 
 def cluster(count: np.ndarray, neighbours: np.ndarray, classes: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
@@ -507,6 +553,7 @@ def subword_table(rows: DataFrame, ranks, size: int) -> DataFrame:
 
     def run(batches):
         subwords = Subwords(ranks.value)
+        known = KnownWords(subwords)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         pending = rows = 0
 
@@ -519,7 +566,7 @@ def subword_table(rows: DataFrame, ranks, size: int) -> DataFrame:
             return record(len(u), word=pa.array(u.view(np.int64)), n=pa.array(n))
 
         for batch, buf, off in slices(batches, "text", COUNT_BYTES):
-            ids, at, u, inv, row = id_rows(buf, off, subwords)
+            ids, at, u, inv, row = id_rows(buf, off, subwords, known)
             learn = batch.column("learn").to_numpy(zero_copy_only=False)
             yield record(batch.num_rows, doc_id=batch.column("doc_id"), base_key=batch.column("base_key"), learn=batch.column("learn"),
                          n_tokens=pa.array(np.bincount(row, minlength=batch.num_rows) + 1), ids=id_bytes(ids, at, size))
@@ -658,6 +705,28 @@ def learn(train: DataFrame, unit: np.ndarray, cls: np.ndarray, net: Attention, t
     return net
 
 
+class Places:
+    """Places of hashes in an ascending array, from where their leading bits begin."""
+
+    def __init__(self, words: np.ndarray):
+        bits = max(4 * len(words), 2).bit_length()
+        self.words, self.shift = words, np.uint64(64 - bits)
+        count = np.bincount((words >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = (np.cumsum(count) - count).astype(np.int32)
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """As ``searchsorted``, the last place for what lies above all."""
+        last = max(len(self.words) - 1, 0)
+        at = np.minimum(self.first[(h >> self.shift).astype(np.int64)], last).astype(np.int64)
+        if len(self.words):
+            below = np.flatnonzero(self.words[at] < h)
+            while len(below):
+                below = below[at[below] < last]
+                at[below] += 1
+                below = below[self.words[at[below]] < h[below]]
+        return at
+
+
 def base_scores(docs: DataFrame, counts: DataFrame, n_all: int, n_types: int, head_words: int = HEAD_WORDS) -> DataFrame:
     """(base_key, known, gain): per text, tokens with a count and the sum of
     log10(count + 1)."""
@@ -671,14 +740,14 @@ def base_scores(docs: DataFrame, counts: DataFrame, n_all: int, n_types: int, he
 
     def run(batches):
         word, n = head.value
-        log = np.log10(n + 1.0)
+        log, places = np.log10(n + 1.0), Places(word)
         for batch, buf, off in slices(batches, "text", COUNT_BYTES):
             key = np.asarray(batch.column("base_key"))
             _, _, row, h = hashed_words(buf, off)
             rows = len(off) - 1
             h = np.concatenate([h, np.full(rows, END_WORD)])
             row = np.concatenate([row, np.arange(rows)])
-            at = np.minimum(np.searchsorted(word, h), max(len(word) - 1, 0))
+            at = places.of(h)
             hit = word[at] == h if len(word) else np.zeros(len(h), bool)
             known = np.bincount(row[hit], minlength=rows)
             gain = np.bincount(row[hit], log[at[hit]], minlength=rows)

@@ -366,6 +366,31 @@ def test_words_are_cut_and_hashed_in_little_memory(monkeypatch):
         assert all(len(x) == 0 for x in lm.hashed_words(small[:0], ends[:1]))
 
 
+def test_words_are_cut_once_for_all_slices(monkeypatch):
+    subwords = lm.Subwords({bytes([i]): i for i in range(256)} | {b" a": 256, b" ab": 257})
+    cut, encode = [], subwords.encode
+    monkeypatch.setattr(subwords, "encode", lambda buf, s, e: cut.append(len(s)) or encode(buf, s, e))
+    raw = [[b"Ab a cd", b"", "a\u3000b é ab".encode()], [b"cd AB ab", b"a\xe2\x82 x"], [], [b""], [b"x a", b"a\xe2\x82 \xff"]]
+    slices = [(np.frombuffer(b"".join(r), np.uint8), np.cumsum([0] + [len(t) for t in r])) for r in raw]
+    want = [[i for t in r for w in t.split() for i in subwords.encoding.encode_ordinary(" " + w.decode("utf-8", "replace").lower())] for r in raw]
+    for limit, words in ((1000, [5, 2, 1]), (0, [5, 4, 4])):
+        monkeypatch.setattr(lm, "KNOWN_IDS", limit)
+        known = lm.KnownWords(subwords)
+        cut.clear()
+        got = [lm.id_rows(buf, off, subwords, known) for buf, off in slices]
+        assert [g[0].tolist() for g in got] == want and [n for n in cut if n] == words
+        assert got[0][1].tolist() == [0, 5, 5, len(want[0])] and got[0][4].tolist() == [0, 0, 0, 2, 2, 2]
+
+
+def test_places_are_those_of_a_binary_search():
+    r = np.random.RandomState(4)
+    top = 2 ** 64 - 1
+    for words in ([], [7], [0, top], [5, 6, 7, 8, 1 << 63], r.randint(0, 1 << 62, 5000), r.randint(0, 1 << 62, 300) * 4):
+        w = np.unique(np.array(words, np.uint64))
+        h = np.concatenate([w, w + np.uint64(1), w - np.uint64(1), np.array([0, 1, 1 << 63, top], np.uint64)])
+        assert (lm.Places(w).of(h) == np.minimum(np.searchsorted(w, h), max(len(w) - 1, 0))).all()
+
+
 def test_every_training_text_is_learned_from(spark, monkeypatch):
     long = " ".join("abcdefg"[i % 7] * 2 for i in range(50_000))  # 150,000 bytes
     got = lm.score_texts(spark.createDataFrame([(1, long)], "doc_id long, text string"), steps=300).first()
