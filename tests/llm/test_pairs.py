@@ -1,6 +1,7 @@
 """Near duplicates, repeated strings, decontamination: against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -253,6 +254,82 @@ def test_an_anchor_has_one_span_of_all_its_intervals(monkeypatch):
     assert {k: (x, y) for k, x, y in zip(rows.tolist(), lo.tolist(), hi.tolist())} == want
 
 
+def nested_anchors(n, side, seed, docs=None):
+    """Occurrences of one gram that agree with others over many lengths: (doc, pos, left, bytes, off)."""
+    r = np.random.RandomState(seed)
+    letters = lambda k: r.randint(97, 100, k).astype(np.uint8)
+    lefts, rights, gram = [letters(side) for _ in range(3)], [letters(side) for _ in range(3)], letters(repeats.SEED)
+    texts, left_n = [], []
+    for _ in range(n):
+        a, b = lefts[r.randint(3)].copy(), rights[r.randint(3)].copy()
+        a[:r.randint(0, side + 1)], b[r.randint(0, side + 1):] = letters(1), letters(1)
+        a, b = a[r.choice([0, 0, r.randint(0, side + 1)]):], b[:r.choice([side, side, r.randint(0, side + 1)])]
+        texts.append(np.concatenate([a, gram, b]))
+        left_n.append(len(a))
+    left_n = np.array(left_n)
+    return (np.arange(n) if docs is None else r.randint(0, docs, n)), left_n + r.randint(0, 9, n), left_n, np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 60])
+def test_a_large_key_is_split_until_it_is_small(monkeypatch, chunk):
+    """The same spans as of all rows at once, also when no group is small enough and texts repeat an id."""
+    monkeypatch.setattr(repeats, "CHUNK_ROWS", chunk)
+    monkeypatch.setattr(repeats, "MATRIX_ROWS", 5)
+    found = 0
+    for seed in range(6):
+        for n, docs in ((150, None), (90, 12), (40, 1)):
+            doc, pos, left_n, data, off = nested_anchors(n, 30, seed, docs)
+            want = [x.tolist() for x in repeats.cover(np.zeros(n, np.int64), doc, pos, left_n, data, off, 30 + repeats.SEED)[:3]]
+            large = repeats.Large(30 + repeats.SEED)
+            for i in range(0, n, 13):
+                j = min(i + 13, n)
+                large.add(doc[i:j], pos[i:j], left_n[i:j], data[off[i]:off[j]], off[i:j + 1] - off[i])
+            assert [x.tolist() for x in large.cover()] == want
+            found += len(want[0])
+    assert found > 200
+    # grams that only share a number
+    large = repeats.Large(30 + repeats.SEED)
+    for i in range(2 * chunk + 2):
+        large.add(np.array([i]), np.array([0]), np.array([0]), np.frombuffer(bytes([97 + i % 2]) * 60, np.uint8), np.array([0, 60]))
+    rows, lo, hi = (x.tolist() for x in large.cover())
+    assert rows == list(range(2, 2 * chunk + 2)) and set(lo) == {0} and set(hi) == {50}
+
+
+def test_nested_intervals_are_not_held():
+    """Many rows that agree over many lengths: what is held grows with the rows, not with rows times lengths."""
+    n, side = 2000, 180
+    r = np.random.RandomState(1)
+    texts = np.tile(r.randint(97, 123, 2 * side + repeats.SEED).astype(np.uint8), (n, 1))
+    for i in range(n):  # the more alike, the fewer
+        texts[i, side + repeats.SEED + i * side // n:] = r.randint(97, 123, side - i * side // n)
+    rows = np.zeros(n, np.int64), np.arange(n), np.full(n, side), np.full(n, side), texts.reshape(-1), np.arange(n + 1) * texts.shape[1]
+    tracemalloc.start()
+    try:
+        found = len(repeats.cover(*rows, side + repeats.SEED)[0])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == n - 1 and peak < 5000 * n
+
+
+def test_more_rows_of_a_gram_than_a_task_holds(spark):
+    """A passage between different neighbours in more texts than a chunk has rows."""
+    r = random.Random(8)
+    say = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage, n = say(60), repeats.CHUNK_ROWS + 2000
+    rows = [(i, say(40) + passage + say(40)) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {x["doc_id"]: x for x in repeats.repeat_report(df, 50).collect()}
+    assert len(got) == n and got[0]["n_removed"] == 0
+    # the letters beside the passage may be those of another text too
+    assert all(x["n_spans"] == 1 and 60 <= x["n_removed"] < 80 for d, x in got.items() if d)
+    some = [rows[0], *r.sample(rows[1:], 20)]
+    for d, t in some[1:]:
+        left = max(k for k in range(40) if any(t[40 - k:100] in u for _, u in rows[:d]))
+        right = max(k for k in range(40) if any(t[40:100 + k] in u for _, u in rows[:d]))
+        assert got[d]["n_removed"] == 60 + left + right
+
+
 def test_linked_stars_against_plain_sets():
     r = np.random.RandomState(0)
     for _ in range(60):
